@@ -121,7 +121,7 @@ def parse_date(c: str | Column, formats: Sequence[str] = DATE_FORMATS) -> Column
     """Any accepted text layout, or an Excel serial day number, -> DateType (NULL if none fits)."""
     s = strip_ws(col(c).cast("string"))
     tries = [F.to_date(F.try_to_timestamp(s, F.lit(f))) for f in formats]
-    serial = F.try_cast(s, "double")
+    serial = s.try_cast("double")
     excel = F.when((serial >= 1) & (serial < 2958466) & s.rlike(r"^\d+(\.\d+)?$"),
                    F.date_add(F.lit("1899-12-30").cast("date"), F.floor(serial).cast("int")))
     return F.coalesce(*tries, excel)

@@ -6,6 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from ..functions import columns as C
+from ..operators import conform as CF
+from ..operators import ingest as I
+from ..operators import quality as Q
 from ..operators import seasons as S
 from ..operators import summary as M
 from . import fixtures as X
@@ -69,6 +75,362 @@ def q_last30_rate(spark, sf_dir):
     return averages(spark, sf_dir).select(*L30_COLS)
 
 
+# --- duplicate audit and repair (A10-A12, O2, D1/M2) on events keyed (user, day) ---------
+
+AUDIT_SQL = X.with_(X.EVENT_LOGS_SQL, """
+audit AS (SELECT PLAYER_ID, DATE, EVENT_TYPE FROM event_logs)""")
+
+
+def audit_table(spark, sf_dir):
+    return X.event_logs(spark, sf_dir).select("PLAYER_ID", "DATE", "EVENT_TYPE")
+
+
+@register("dup_stats", AUDIT_SQL + """
+SELECT count(*) AS total_rows,
+       count(DISTINCT CAST(PLAYER_ID AS VARCHAR) || '_' || CAST(DATE AS VARCHAR)) AS distinct_keys,
+       (SELECT count(*) FROM (SELECT DISTINCT * FROM audit)) AS distinct_full_rows,
+       count(*) - count(DISTINCT CAST(PLAYER_ID AS VARCHAR) || '_' || CAST(DATE AS VARCHAR)) AS extra_rows
+FROM audit""")
+def q_dup_stats(spark, sf_dir):
+    return Q.duplicate_stats(audit_table(spark, sf_dir))
+
+
+@register("dup_groups_top20", AUDIT_SQL + """
+SELECT PLAYER_ID, DATE, count(*) AS copies FROM audit
+GROUP BY PLAYER_ID, DATE HAVING count(*) > 1
+ORDER BY copies DESC, DATE DESC, PLAYER_ID ASC LIMIT 20""")
+def q_dup_groups_top20(spark, sf_dir):
+    return Q.duplicate_groups(audit_table(spark, sf_dir), top=20)
+
+
+@register("dup_verdict", AUDIT_SQL + """,
+rows_ AS (SELECT PLAYER_ID, DATE, EVENT_TYPE, count(*) AS m FROM audit GROUP BY ALL)
+SELECT PLAYER_ID, DATE, CAST(sum(m) AS BIGINT) AS copies, count(*) AS variants,
+       count(*) = 1 AS exact_copies
+FROM rows_ GROUP BY PLAYER_ID, DATE HAVING sum(m) > 1""")
+def q_dup_verdict(spark, sf_dir):
+    return Q.duplicate_verdict(audit_table(spark, sf_dir))
+
+
+@register("dup_repair_keep_earliest", X.with_(X.EVENT_LOGS_SQL) + """
+SELECT * FROM event_logs
+QUALIFY row_number() OVER (PARTITION BY PLAYER_ID, DATE ORDER BY _row_no) = 1""")
+def q_dup_repair(spark, sf_dir):
+    return Q.remove_duplicates(X.event_logs(spark, sf_dir), order=["_row_no"])
+
+
+# --- incremental ingest (U1, D2, J3, J5, J4, J9) -------------------------------------------
+
+@register("ingest_two_cumulative_files", X.with_(X.CUMULATIVE_FILES_SQL) + """
+SELECT * FROM cumulative_files
+QUALIFY row_number() OVER (PARTITION BY PLAYER_ID, DATE ORDER BY _file_name, _row_no) = 1""")
+def q_ingest_two_files(spark, sf_dir):
+    return I.new_rows(X.cumulative_files(spark, sf_dir), None)
+
+
+INGEST_SQL = X.with_(X.CUMULATIVE_FILES_SQL, """
+stored AS (
+  SELECT * FROM cumulative_files WHERE _file_name = 'feed_1.csv'
+  QUALIFY row_number() OVER (PARTITION BY PLAYER_ID, DATE ORDER BY _file_name, _row_no) = 1
+)""", """
+today AS (
+  SELECT * FROM cumulative_files WHERE _file_name = 'feed_2.csv'
+  QUALIFY row_number() OVER (PARTITION BY PLAYER_ID, DATE ORDER BY _file_name, _row_no) = 1
+)""", """
+new_rows AS (
+  SELECT t.* FROM today t ANTI JOIN stored s ON t.PLAYER_ID = s.PLAYER_ID AND t.DATE = s.DATE
+)""")
+
+
+def _ingest_parts(spark, sf_dir):
+    files = X.cumulative_files(spark, sf_dir)
+    stored = I.new_rows(files.where(F.col("_file_name") == "feed_1.csv"), None)
+    today = files.where(F.col("_file_name") == "feed_2.csv")
+    return stored, today
+
+
+@register("ingest_new_rows_only", INGEST_SQL + "SELECT * FROM new_rows")
+def q_ingest_new_rows(spark, sf_dir):
+    stored, today = _ingest_parts(spark, sf_dir)
+    return I.new_rows(today, stored)
+
+
+@register("learn_new_players", INGEST_SQL.replace("new_rows AS (", """dim AS (
+  SELECT DISTINCT PLAYER_ID FROM stored WHERE EVENT_TYPE = 'purchase'
+),
+new_rows AS (""", 1) + """
+SELECT PLAYER_ID, EVENT_TYPE || '#' || CAST(PLAYER_ID AS VARCHAR) AS PLAYER_NAME FROM new_rows
+WHERE PLAYER_ID NOT IN (SELECT PLAYER_ID FROM dim)
+QUALIFY row_number() OVER (PARTITION BY PLAYER_ID ORDER BY _file_name, _row_no) = 1""")
+def q_learn_new_players(spark, sf_dir):
+    stored, today = _ingest_parts(spark, sf_dir)
+    new = I.new_rows(today, stored).withColumn(
+        "PLAYER", F.concat(F.col("EVENT_TYPE"), F.lit("#"), F.col("PLAYER_ID").cast("string")))
+    dim = stored.where(F.col("EVENT_TYPE") == "purchase").select("PLAYER_ID").distinct()
+    return I.learn_members(new, dim)
+
+
+ABSENCE_SQL = X.with_(X.EVENT_LOGS_SQL, """
+absences AS (
+  SELECT PLAYER_ID, DATE, _row_no, VALUE FROM event_logs WHERE EVENT_TYPE = 'error'
+  QUALIFY row_number() OVER (PARTITION BY PLAYER_ID, DATE ORDER BY _row_no) = 1
+)""", """
+box AS (SELECT PLAYER_ID, DATE FROM event_logs WHERE EVENT_TYPE = 'purchase')""")
+
+
+def _absence_parts(spark, sf_dir):
+    ev = X.event_logs(spark, sf_dir)
+    absences = Q.first_by_key(ev.where(F.col("EVENT_TYPE") == "error").select("PLAYER_ID", "DATE", "_row_no", "VALUE"),
+                              ["PLAYER_ID", "DATE"], ["_row_no"])
+    box = ev.where(F.col("EVENT_TYPE") == "purchase").select("PLAYER_ID", "DATE")
+    return absences, box
+
+
+@register("absences_box_score_wins", ABSENCE_SQL + """
+SELECT a.* FROM absences a ANTI JOIN box b ON a.PLAYER_ID = b.PLAYER_ID AND a.DATE = b.DATE""")
+def q_absences_box_wins(spark, sf_dir):
+    a, b = _absence_parts(spark, sf_dir)
+    return I.drop_conflicts(a, b)
+
+
+@register("absence_overlap", ABSENCE_SQL + """
+SELECT count(*) AS overlapping_absences FROM absences a
+SEMI JOIN box b ON a.PLAYER_ID = b.PLAYER_ID AND a.DATE = b.DATE""")
+def q_absence_overlap(spark, sf_dir):
+    a, b = _absence_parts(spark, sf_dir)
+    return Q.absence_overlap(a, b)
+
+
+# --- conformance (C7, C8, C11, C12, C14, C16-C18, C1-C3) ------------------------------------
+
+@register("absence_type", X.with_(X.ABSENCE_REASONS_SQL) + """
+SELECT GAME_ID, REASON,
+       CASE WHEN upper(regexp_replace(REASON, '^[\\s\\xa0]+|[\\s\\xa0]+$', '', 'g')) = 'COACH''S DECISION'
+            THEN 'DNP-CD' ELSE 'INJURY/ILLNESS/OTHER' END AS ABSENCE_TYPE
+FROM absence_reasons""")
+def q_absence_type(spark, sf_dir):
+    return CF.classify_absence(X.absence_reasons(spark, sf_dir))
+
+
+@register("normalize_ids_report", X.with_(X.RAW_IDS_SQL, """
+c AS (
+  SELECT ROW_ID, PLAYER_ID AS RAW_ID, try_cast(trim(PLAYER_ID) AS DOUBLE) AS num,
+         CASE WHEN PLAYER_ID IS NULL OR trim(PLAYER_ID) = '' THEN 'missing'
+              WHEN try_cast(trim(PLAYER_ID) AS DOUBLE) IS NULL OR isnan(try_cast(trim(PLAYER_ID) AS DOUBLE)) THEN 'non_numeric'
+              WHEN try_cast(trim(PLAYER_ID) AS DOUBLE) <> floor(try_cast(trim(PLAYER_ID) AS DOUBLE)) THEN 'fractional'
+              ELSE 'ok' END AS reason
+  FROM raw_ids
+)""") + """
+SELECT ROW_ID, RAW_ID, reason, CASE WHEN reason = 'ok' THEN CAST(num AS BIGINT) END AS PLAYER_ID FROM c""")
+def q_normalize_ids(spark, sf_dir):
+    raw = X.raw_ids(spark, sf_dir).withColumn("RAW_ID", F.col("PLAYER_ID"))
+    ok, bad = CF.normalize_ids(raw, ["PLAYER_ID"])
+    ok = ok.withColumn("reason", F.lit("ok"))
+    bad = bad.withColumn("reason", F.regexp_replace("reason", "^PLAYER_ID:", "")) \
+             .withColumn("PLAYER_ID", F.lit(None).cast("bigint"))
+    return ok.unionByName(bad).select("ROW_ID", "RAW_ID", "reason", "PLAYER_ID")
+
+
+@register("normalize_dates", X.with_(X.RAW_DATES_SQL) + """
+SELECT ROW_ID, DATE AS RAW_DATE,
+       CAST(coalesce(try_strptime(DATE, '%Y-%m-%d'), try_strptime(DATE, '%Y-%m-%d %H:%M:%S'),
+                     try_strptime(DATE, '%m/%d/%Y'), try_strptime(DATE, '%B %d, %Y')) AS DATE) AS DATE
+FROM raw_dates""")
+def q_normalize_dates(spark, sf_dir):
+    raw = X.raw_dates(spark, sf_dir).withColumn("RAW_DATE", F.col("DATE"))
+    ok, bad = CF.normalize_dates(raw, "DATE")
+    bad = bad.withColumn("DATE", F.lit(None).cast("date")).drop("reason")
+    return ok.unionByName(bad).select("ROW_ID", "RAW_DATE", "DATE")
+
+
+# A correction map over part names (test parameter): four spellings fixed to title case.
+PART_NAME_FIXES = {"small ring": "Small Ring", "red widget": "Red Widget",
+                   "blue bolt": "Blue Bolt", "hot gear": "Hot Gear"}
+
+
+def _map_sql(mapping, alias="fixes"):
+    rows = ", ".join(f"('{k}', '{v}')" for k, v in mapping.items())
+    return f"{alias} AS (SELECT * FROM (VALUES {rows}) t(FROM_NAME, TO_NAME))"
+
+
+@register("standardize_names", X.with_(_map_sql(PART_NAME_FIXES)) + """
+SELECT p.p_partkey AS PART_ID, p.p_name AS RAW_NAME, coalesce(f.TO_NAME, p.p_name) AS PLAYER
+FROM part p LEFT JOIN fixes f ON p.p_name = f.FROM_NAME""")
+def q_standardize_names(spark, sf_dir):
+    p = X.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("PART_ID"),
+                                              F.col("p_name").alias("RAW_NAME"), F.col("p_name").alias("PLAYER"))
+    return CF.standardize_names(p, "PLAYER", PART_NAME_FIXES)
+
+
+@register("names_changed", X.with_(_map_sql(PART_NAME_FIXES)) + """
+SELECT p.p_name AS FROM_NAME, count(*) AS row_count, f.TO_NAME
+FROM part p JOIN fixes f ON p.p_name = f.FROM_NAME GROUP BY p.p_name, f.TO_NAME""")
+def q_names_changed(spark, sf_dir):
+    p = X.table(spark, sf_dir, "part").select(F.col("p_name").alias("PLAYER"))
+    return CF.names_changed(p, "PLAYER", PART_NAME_FIXES)
+
+
+def _named_name_tables(spark, sf_dir):
+    return {"part": (X.table(spark, sf_dir, "part"), "p_name"),
+            "supplier": (X.table(spark, sf_dir, "supplier"), "s_name"),
+            "customer": (X.table(spark, sf_dir, "customer"), "c_name")}
+
+
+NAME_TABLES_SQL = """
+named AS (
+  SELECT 'part' AS table_name, p_name AS NAME FROM part
+  UNION ALL SELECT 'supplier', s_name FROM supplier
+  UNION ALL SELECT 'customer', c_name FROM customer
+)"""
+
+
+@register("correction_impact", X.with_(_map_sql(PART_NAME_FIXES), NAME_TABLES_SQL) + """
+SELECT table_name, NAME, count(*) AS row_count FROM named
+WHERE NAME IN (SELECT FROM_NAME FROM fixes) GROUP BY ALL""")
+def q_correction_impact(spark, sf_dir):
+    return Q.correction_counts(_named_name_tables(spark, sf_dir), PART_NAME_FIXES, side="source")
+
+
+@register("correction_verify", X.with_(_map_sql(PART_NAME_FIXES), NAME_TABLES_SQL, """
+fixed AS (SELECT n.table_name, coalesce(f.TO_NAME, n.NAME) AS NAME FROM named n LEFT JOIN fixes f ON n.NAME = f.FROM_NAME)""") + """
+SELECT table_name, NAME, count(*) AS row_count FROM fixed
+WHERE NAME IN (SELECT TO_NAME FROM fixes) GROUP BY ALL""")
+def q_correction_verify(spark, sf_dir):
+    named = {t: (CF.standardize_names(df, c, PART_NAME_FIXES), c) for t, (df, c) in _named_name_tables(spark, sf_dir).items()}
+    return Q.correction_counts(named, PART_NAME_FIXES, side="target")
+
+
+@register("season_classify", X.with_(X.ORDER_SEGMENTS_SQL, """
+t AS (SELECT *, """ + O.season_type("SEASON_SEGMENT") + """ AS SEASON_TYPE FROM order_segments)""") + """
+SELECT GAME_ID, SEASON_SEGMENT, SEASON_TYPE, """ + O.season_key("SEASON_SEGMENT", "SEASON_TYPE") + """ AS SEASON_KEY FROM t""")
+def q_season_classify(spark, sf_dir):
+    return S.classify_season(X.order_segments(spark, sf_dir))
+
+
+@register("unclassified_segments", X.with_(X.ORDER_SEGMENTS_SQL, """
+t AS (SELECT *, """ + O.season_type("SEASON_SEGMENT") + """ AS SEASON_TYPE FROM order_segments)""", """
+k AS (SELECT *, """ + O.season_key("SEASON_SEGMENT", "SEASON_TYPE") + """ AS SEASON_KEY FROM t)""") + """
+SELECT SEASON_SEGMENT, count(*) AS rows_dropped FROM k
+WHERE SEASON_TYPE IS NULL OR SEASON_KEY IS NULL GROUP BY SEASON_SEGMENT""")
+def q_unclassified_segments(spark, sf_dir):
+    return S.unclassified_segments(X.order_segments(spark, sf_dir))
+
+
+@register("header_map", X.with_(X.HEADER_CELLS_SQL, """
+m AS (
+  SELECT _file_name, pos, raw,
+         row_number() OVER (PARTITION BY _file_name, raw ORDER BY pos) - 1 AS k
+  FROM header_cells
+)""") + """
+SELECT _file_name, pos, raw,
+       upper(regexp_replace(replace(replace(replace(
+           CASE WHEN k > 0 THEN raw || '.' || CAST(k AS VARCHAR) ELSE raw END,
+           chr(10), '_'), '-', '_'), ' ', '_'), '[^a-zA-Z0-9_]', '', 'g')) AS name
+FROM m""")
+def q_header_map(spark, sf_dir):
+    return CF.header_map(X.header_cells(spark, sf_dir), hyphen_to_underscore=True)
+
+
+# --- teams, coverage and audits (M8/U3/C27, J8, A14-A16, J10-J12) --------------------------
+
+SPELLINGS_SQL = """
+spellings AS (
+  SELECT lower(n.n_name) AS SPELLING, r.r_name AS TEAM_ABBREVIATION
+  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey WHERE n.n_name <> 'NATION_24'
+)"""
+
+
+def _spellings(spark, sf_dir):
+    m = X.map_teams(spark, sf_dir)
+    return m.select(F.lower("RAW_TEAM_NAME").alias("SPELLING"), "TEAM_ABBREVIATION")
+
+
+@register("seed_teams", X.with_(X.FANTASY_LOGS_SQL, SPELLINGS_SQL, """
+raw AS (SELECT DISTINCT TEAM AS RAW FROM fantasy_logs WHERE TEAM IS NOT NULL)""") + """
+SELECT r.RAW AS RAW_TEAM_NAME, s.TEAM_ABBREVIATION FROM raw r
+LEFT JOIN spellings s ON lower(trim(regexp_replace(r.RAW, '\\s+', ' ', 'g'))) = s.SPELLING""")
+def q_seed_teams(spark, sf_dir):
+    sources = [X.fantasy_logs(spark, sf_dir), X.played_rows(spark, sf_dir)]
+    mapped, _ = CF.seed_team_map(sources, _spellings(spark, sf_dir))
+    return mapped
+
+
+@register("unmapped_teams", X.with_(X.FANTASY_LOGS_SQL, X.MAP_TEAMS_SQL) + """
+SELECT DISTINCT f.TEAM FROM fantasy_logs f
+WHERE f.TEAM IS NOT NULL AND f.TEAM NOT IN (SELECT RAW_TEAM_NAME FROM map_teams)""")
+def q_unmapped_teams(spark, sf_dir):
+    return Q.unmapped_teams(X.fantasy_logs(spark, sf_dir), X.map_teams(spark, sf_dir))
+
+
+@register("coverage", """
+SELECT 'orders' AS table_name, min(CAST(o_orderdate AS DATE)) AS min_date, max(CAST(o_orderdate AS DATE)) AS max_date, count(*) AS row_count FROM orders
+UNION ALL SELECT 'events', min(CAST(ts AS DATE)), max(CAST(ts AS DATE)), count(*) FROM events
+UNION ALL SELECT 'lineitem', min(CAST(l_shipdate AS DATE)), max(CAST(l_shipdate AS DATE)), count(*) FROM lineitem""")
+def q_coverage(spark, sf_dir):
+    return Q.coverage({"orders": (X.table(spark, sf_dir, "orders"), "o_orderdate"),
+                       "events": (X.table(spark, sf_dir, "events"), "ts"),
+                       "lineitem": (X.table(spark, sf_dir, "lineitem"), "l_shipdate")})
+
+
+@register("segment_counts", X.with_(X.FANTASY_LOGS_SQL) + """
+SELECT SEASON_SEGMENT, count(*) AS row_count FROM fantasy_logs GROUP BY SEASON_SEGMENT""")
+def q_segment_counts(spark, sf_dir):
+    return Q.segment_counts(X.fantasy_logs(spark, sf_dir))
+
+
+def _class_sql(c):
+    s = f"trim(CAST({c} AS VARCHAR))"
+    return (f"CASE WHEN {c} IS NULL THEN 'null' WHEN regexp_matches({s}, '^[+-]?[0-9]+$') THEN 'integer' "
+            f"WHEN try_cast({s} AS DOUBLE) IS NOT NULL THEN 'real' ELSE 'text' END")
+
+
+@register("type_audit", X.with_(X.RAW_IDS_SQL, """
+cells AS (
+  SELECT 'PLAYER_ID' AS column_name, r.PLAYER_ID AS v FROM raw_ids r
+  UNION ALL SELECT 'USER_ID', CAST(user_id AS VARCHAR) FROM events
+  UNION ALL SELECT 'VALUE', CAST(value AS VARCHAR) FROM events
+  UNION ALL SELECT 'EVENT_TYPE', event_type FROM events
+)""") + f"""
+SELECT column_name, {_class_sql('v')} AS storage_class, count(*) AS cells FROM cells GROUP BY ALL""")
+def q_type_audit(spark, sf_dir):
+    ids = X.raw_ids(spark, sf_dir).select("ROW_ID", "PLAYER_ID")
+    ev = X.table(spark, sf_dir, "events").select(F.col("event_id").alias("ROW_ID"),
+                                                  F.col("user_id").alias("USER_ID"),
+                                                  F.col("value").alias("VALUE"),
+                                                  F.col("event_type").alias("EVENT_TYPE"))
+    wide = ev.join(ids, "ROW_ID")
+    return Q.type_audit(wide, ["PLAYER_ID", "USER_ID", "VALUE", "EVENT_TYPE"])
+
+
+@register("name_mismatch", X.with_(X.FANTASY_LOGS_SQL, X.DIM_PLAYERS_SQL) + """
+SELECT f.PLAYER_ID, f.PLAYER, d.PLAYER_NAME, count(*) AS log_rows
+FROM fantasy_logs f JOIN dim_players d ON f.PLAYER_ID = d.PLAYER_ID
+WHERE f.PLAYER <> d.PLAYER_NAME GROUP BY ALL""")
+def q_name_mismatch(spark, sf_dir):
+    return Q.name_mismatches(X.fantasy_logs(spark, sf_dir), X.dim_players(spark, sf_dir))
+
+
+DNP_SQL = X.with_(X.FANTASY_LOGS_SQL, """
+dnp AS (SELECT PLAYER_ID, GAME_ID, DATE, LINE_NO FROM fantasy_logs WHERE MINUTES = 0)""", """
+played AS (SELECT * FROM fantasy_logs WHERE MINUTES > 0)""")
+
+
+@register("same_game_pairs", DNP_SQL + """
+SELECT a.*, CAST(coalesce(c.n, 0) AS BIGINT) AS box_rows_same_game FROM dnp a
+LEFT JOIN (SELECT GAME_ID, count(*) AS n FROM played GROUP BY GAME_ID) c ON a.GAME_ID = c.GAME_ID""")
+def q_same_game_pairs(spark, sf_dir):
+    return Q.same_game_counts(X.dnp_rows(spark, sf_dir), X.played_rows(spark, sf_dir))
+
+
+@register("season_of_absence", DNP_SQL + """,
+seg AS (SELECT DISTINCT GAME_ID, SEASON_SEGMENT FROM played WHERE SEASON_SEGMENT IS NOT NULL),
+nseg AS (SELECT GAME_ID, count(*) AS segments_for_game FROM seg GROUP BY GAME_ID)
+SELECT a.*, s.SEASON_SEGMENT, n.segments_for_game FROM dnp a
+LEFT JOIN seg s ON a.GAME_ID = s.GAME_ID LEFT JOIN nseg n ON s.GAME_ID = n.GAME_ID""")
+def q_season_of_absence(spark, sf_dir):
+    return Q.season_of_absence(X.dnp_rows(spark, sf_dir), X.played_rows(spark, sf_dir))
+
+
 def all_queries() -> dict[str, Query]:
     return dict(QUERIES)
 

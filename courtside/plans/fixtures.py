@@ -150,3 +150,135 @@ cumulative_files AS (
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
+
+
+# ---------------------------------------------------------------------------------------
+# Further adapters: text renderings of the tables that exercise conformance rules.
+# ---------------------------------------------------------------------------------------
+
+def order_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Season-segment text per order, covering every classification branch:
+    tournament and play-in names, a segment without a year, NULL, preseason."""
+    o = table(spark, sf_dir, "orders")
+    y = F.year("o_orderdate").cast("string")
+    st, pr = F.col("o_orderstatus"), F.col("o_orderpriority")
+    seg = (F.when(st == "P", F.lit("Preseason"))
+            .when((st == "O") & (pr == "1-URGENT"), F.concat(y, F.lit(" NBA In-Season Tournament")))
+            .when((st == "F") & (pr == "2-HIGH"), F.concat(y, F.lit(" NBA Play-In")))
+            .when((st == "O") & (pr == "5-LOW"), F.lit("NBA Regular Season"))
+            .when((st == "F") & (pr == "4-NOT SPECIFIED"), F.lit(None).cast("string"))
+            .when(st == "O", F.concat(y, F.lit(" NBA Regular Season")))
+            .when(st == "F", F.concat(y, F.lit(" NBA Playoffs"))))
+    return o.select(F.col("o_orderkey").alias("GAME_ID"), seg.alias("SEASON_SEGMENT"))
+
+
+ORDER_SEGMENTS_SQL = """
+order_segments AS (
+  SELECT o_orderkey AS GAME_ID,
+         CASE WHEN o_orderstatus = 'P' THEN 'Preseason'
+              WHEN o_orderstatus = 'O' AND o_orderpriority = '1-URGENT' THEN CAST(year(o_orderdate) AS VARCHAR) || ' NBA In-Season Tournament'
+              WHEN o_orderstatus = 'F' AND o_orderpriority = '2-HIGH' THEN CAST(year(o_orderdate) AS VARCHAR) || ' NBA Play-In'
+              WHEN o_orderstatus = 'O' AND o_orderpriority = '5-LOW' THEN 'NBA Regular Season'
+              WHEN o_orderstatus = 'F' AND o_orderpriority = '4-NOT SPECIFIED' THEN NULL
+              WHEN o_orderstatus = 'O' THEN CAST(year(o_orderdate) AS VARCHAR) || ' NBA Regular Season'
+              WHEN o_orderstatus = 'F' THEN CAST(year(o_orderdate) AS VARCHAR) || ' NBA Playoffs' END AS SEASON_SEGMENT
+  FROM orders
+)"""
+
+
+def absence_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Absence REASON text per order, with case/whitespace variants and NULL."""
+    o = table(spark, sf_dir, "orders")
+    pr = F.col("o_orderpriority")
+    reason = (F.when(pr == "1-URGENT", F.lit("COACH'S DECISION"))
+               .when(pr == "2-HIGH", F.lit(" Coach's Decision \t"))
+               .when(pr == "3-MEDIUM", F.lit("Injury/Illness - Left Ankle; Sprain"))
+               .when(pr == "4-NOT SPECIFIED", F.lit(None).cast("string"))
+               .otherwise(F.lit("REST")))
+    return o.select(F.col("o_orderkey").alias("GAME_ID"), reason.alias("REASON"))
+
+
+ABSENCE_REASONS_SQL = """
+absence_reasons AS (
+  SELECT o_orderkey AS GAME_ID,
+         CASE o_orderpriority WHEN '1-URGENT' THEN 'COACH''S DECISION'
+                              WHEN '2-HIGH' THEN ' Coach''s Decision ' || chr(9)
+                              WHEN '3-MEDIUM' THEN 'Injury/Illness - Left Ankle; Sprain'
+                              WHEN '4-NOT SPECIFIED' THEN NULL
+                              ELSE 'REST' END AS REASON
+  FROM orders
+)"""
+
+
+def raw_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Id cells as a feed would deliver them: missing, fractional, integral-real, non-numeric, clean."""
+    e = table(spark, sf_dir, "events")
+    u = F.col("user_id").cast("string")
+    t = F.col("event_type")
+    raw = (F.when(t == "error", F.lit(None).cast("string"))
+            .when(t == "view", F.concat(u, F.lit(".5")))
+            .when(t == "click", F.concat(u, F.lit(".0")))
+            .when(t == "signup", F.concat(F.lit("U"), u))
+            .otherwise(u))
+    return e.select(F.col("event_id").alias("ROW_ID"), raw.alias("PLAYER_ID"))
+
+
+RAW_IDS_SQL = """
+raw_ids AS (
+  SELECT event_id AS ROW_ID,
+         CASE event_type WHEN 'error' THEN NULL
+                         WHEN 'view' THEN CAST(user_id AS VARCHAR) || '.5'
+                         WHEN 'click' THEN CAST(user_id AS VARCHAR) || '.0'
+                         WHEN 'signup' THEN 'U' || CAST(user_id AS VARCHAR)
+                         ELSE CAST(user_id AS VARCHAR) END AS PLAYER_ID
+  FROM events
+)"""
+
+
+def raw_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order dates rendered in the layouts feeds use, plus an unparseable cell."""
+    o = table(spark, sf_dir, "orders")
+    d, pr = F.col("o_orderdate"), F.col("o_orderpriority")
+    raw = (F.when(pr == "1-URGENT", F.date_format(d, "yyyy-MM-dd"))
+            .when(pr == "2-HIGH", F.date_format(d, "M/d/yyyy"))
+            .when(pr == "3-MEDIUM", F.date_format(d, "MMMM d, yyyy"))
+            .when(pr == "4-NOT SPECIFIED", F.date_format(d, "yyyy-MM-dd HH:mm:ss"))
+            .otherwise(F.lit("n/a")))
+    return o.select(F.col("o_orderkey").alias("ROW_ID"), raw.alias("DATE"))
+
+
+RAW_DATES_SQL = """
+raw_dates AS (
+  SELECT o_orderkey AS ROW_ID,
+         CASE o_orderpriority WHEN '1-URGENT' THEN strftime(o_orderdate, '%Y-%m-%d')
+                              WHEN '2-HIGH' THEN strftime(o_orderdate, '%-m/%-d/%Y')
+                              WHEN '3-MEDIUM' THEN strftime(o_orderdate, '%B %-d, %Y')
+                              WHEN '4-NOT SPECIFIED' THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+                              ELSE 'n/a' END AS DATE
+  FROM orders
+)"""
+
+
+def header_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header cells of many feed files: one file per brand, one cell per part (position =
+    part key), text = part name -- repeated names exercise duplicate-header handling."""
+    p = table(spark, sf_dir, "part")
+    return p.select(F.col("p_brand").alias("_file_name"), F.col("p_partkey").alias("pos"),
+                    F.concat(F.col("p_type"), F.lit("-"), F.col("p_name")).alias("raw"))
+
+
+HEADER_CELLS_SQL = """
+header_cells AS (
+  SELECT p_brand AS _file_name, p_partkey AS pos, p_type || '-' || p_name AS raw FROM part
+)"""
+
+
+def dnp_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Absence-sheet rows from the fantasy logs: zero minutes means the player did not play."""
+    f = fantasy_logs(spark, sf_dir)
+    return f.where(F.col("MINUTES") == 0).select("PLAYER_ID", "GAME_ID", "DATE", "LINE_NO")
+
+
+def played_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = fantasy_logs(spark, sf_dir)
+    return f.where(F.col("MINUTES") > 0)
