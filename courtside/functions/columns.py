@@ -81,9 +81,14 @@ def season_type(segment: str | Column) -> Column:
             .when(s.rlike(K.PLAYOFFS_PATTERN), F.lit("Playoffs")))
 
 
-def season_key(segment: str | Column, stype: str | Column) -> Column:
+def season_year(segment: str | Column) -> Column:
+    """First four consecutive digits of the segment, NULL when there are none."""
+    return F.nullif(F.regexp_extract(col(segment), r"(\d{4})", 1), F.lit(""))
+
+
+def season_key(segment: str | Column, stype: str | Column, year: Column | None = None) -> Column:
     """'YYYY-YY' for regular seasons (1999 -> '1999-00'), 'YYYY' for playoffs, else NULL."""
-    year = F.nullif(F.regexp_extract(col(segment), r"(\d{4})", 1), F.lit(""))
+    year = season_year(segment) if year is None else year
     nxt = F.lpad(((year.cast("int") + 1) % 100).cast("string"), 2, "0")
     t = col(stype)
     return (F.when((t == "Regular") & year.isNotNull(), F.concat(year, F.lit("-"), nxt))
@@ -101,27 +106,32 @@ def team_spelling_key(c: str | Column) -> Column:
     return F.lower(collapse_ws(col(c)))
 
 
-# Date layouts accepted by ``parse_date``; tried in order, first success wins.
-DATE_FORMATS: Sequence[str] = (
-    "yyyy-MM-dd",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy/MM/dd",
-    "M/d/yyyy",
-    "M/d/yyyy H:mm",
-    "M/d/yy",
-    "MMMM d, yyyy",
-    "MMM d, yyyy",
-    "d MMMM yyyy",
-    "yyyyMMdd",
+# Date layouts accepted by ``parse_date``: (shape of the text, layout).  The shape picks the
+# one layout to try, so each value costs one regex test and at most one parse.
+DATE_FORMATS: Sequence[tuple[str, str]] = (
+    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
+    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}:\d{2}(\.\d+)?$", "yyyy-M-d H:mm:ss[.SSSSSS]"),
+    (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{2}:\d{2}(\.\d+)?$", "yyyy-M-d'T'H:mm:ss[.SSSSSS]"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}(:\d{2})?$", "M/d/yyyy H:mm[:ss]"),
+    (r"^\d{1,2}/\d{1,2}/\d{2}$", "M/d/yy"),
+    (r"^[A-Za-z]{4,9} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
+    (r"^[A-Za-z]{3}\.? \d{1,2}, \d{4}$", "MMM d, yyyy"),
+    (r"^\d{1,2} [A-Za-z]{3,9} \d{4}$", "d MMMM yyyy"),
+    (r"^\d{8}$", "yyyyMMdd"),
 )
 
 
-def parse_date(c: str | Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """Any accepted text layout, or an Excel serial day number, -> DateType (NULL if none fits)."""
+def parse_date(c: str | Column, formats: Sequence[tuple[str, str]] = DATE_FORMATS) -> Column:
+    """Any accepted text layout, or an Excel serial day number (1 to 99999), -> DateType.
+    NULL when nothing fits.  Timestamps/dates pass through as their date."""
     s = strip_ws(col(c).cast("string"))
-    tries = [F.to_date(F.try_to_timestamp(s, F.lit(f))) for f in formats]
+    out = None
+    for shape, fmt in formats:
+        attempt = F.to_date(F.try_to_timestamp(s, F.lit(fmt)))
+        out = F.when(s.rlike(shape), attempt) if out is None else out.when(s.rlike(shape), attempt)
     serial = s.try_cast("double")
-    excel = F.when((serial >= 1) & (serial < 2958466) & s.rlike(r"^\d+(\.\d+)?$"),
-                   F.date_add(F.lit("1899-12-30").cast("date"), F.floor(serial).cast("int")))
-    return F.coalesce(*tries, excel)
+    excel = F.date_add(F.lit("1899-12-30").cast("date"), F.floor(serial).cast("int"))
+    out = out.when(s.rlike(r"^\d{1,5}(\.\d+)?$") & (serial >= 1), excel)
+    return out

@@ -80,15 +80,21 @@ def normalize_dates(df: DataFrame, col: str = "DATE", formats: Sequence[str] = C
                     out: str | None = None) -> tuple[DataFrame, DataFrame]:
     """text/timestamp -> DateType.  Returns (accepted, rejected) where rejected holds the
     non-null values no accepted layout could parse (with ``reason='unparseable_date'``)."""
-    out = out or col
-    parsed = C.parse_date(F.col(col), formats)
-    tagged = df.withColumn("_parsed", parsed)
-    bad = F.col(col).isNotNull() & F.col("_parsed").isNull()
-    rejected = tagged.where(bad).drop("_parsed").withColumn("reason", F.lit("unparseable_date"))
-    accepted = tagged.where(~bad).withColumn(out, F.col("_parsed")).drop("_parsed")
+    tagged = with_parsed_date(df, col, formats, out="_parsed")
+    bad = F.col("reason").isNotNull()
+    rejected = tagged.where(bad).drop("_parsed")
+    accepted = tagged.where(~bad).withColumn(out or col, F.col("_parsed")).drop("_parsed", "reason")
     return accepted, rejected
 
 
+def with_parsed_date(df: DataFrame, col: str = "DATE", formats: Sequence = C.DATE_FORMATS,
+                     out: str = "DATE_PARSED") -> DataFrame:
+    """Single pass: adds the parsed date and ``reason`` ('unparseable_date' or NULL)."""
+    return (df.withColumn(out, C.parse_date(F.col(col), formats))
+              .withColumn("reason", F.when(F.col(col).isNotNull() & F.col(out).isNull(),
+                                           F.lit("unparseable_date"))))
+
+
 def id_reason(c: str):
     """C8 classification of one id cell: missing / non_numeric / fractional / ok."""
     s = C.strip_ws(F.col(c).cast("string"))
@@ -99,22 +105,35 @@ def id_reason(c: str):
              .otherwise(F.lit("ok")))
 
 
+def normalized_id(c: str):
+    """The id as bigint when it is a whole number, else NULL."""
+    s = C.strip_ws(F.col(c).cast("string"))
+    return F.when(id_reason(c) == "ok", s.try_cast("double").cast("bigint"))
+
+
 def normalize_ids(df: DataFrame, cols: Sequence[str] = ("PLAYER_ID", "GAME_ID")) -> tuple[DataFrame, DataFrame]:
     """Ids -> bigint.  Returns (accepted, rejected); rejected carries ``reason`` (the first
     failing column's reason: missing, non_numeric or fractional).  Callers decide the policy:
     the reference drops-and-counts ``missing`` and fails the file on the other two."""
+    tagged = with_id_reasons(df, cols)
     present = [c for c in cols if c in df.columns]
-    reason = F.lit(None).cast("string")
-    for c in reversed(present):
-        r = id_reason(c)
-        reason = F.when(r != "ok", F.concat(F.lit(f"{c}:"), r)).otherwise(reason)
-    tagged = df.withColumn("reason", reason)
     accepted = tagged.where(F.col("reason").isNull()).drop("reason")
     for c in present:
         accepted = accepted.withColumn(c, C.strip_ws(F.col(c).cast("string")).try_cast("double").cast("bigint"))
     return accepted, tagged.where(F.col("reason").isNotNull())
 
 
+def with_id_reasons(df: DataFrame, cols: Sequence[str] = ("PLAYER_ID", "GAME_ID")) -> DataFrame:
+    """Single pass: adds ``reason`` ('<col>:missing|non_numeric|fractional' for the first failing
+    id column, NULL when every id is a whole number)."""
+    present = [c for c in cols if c in df.columns]
+    reason = F.lit(None).cast("string")
+    for c in reversed(present):
+        r = id_reason(c)
+        reason = F.when(r != "ok", F.concat(F.lit(f"{c}:"), r)).otherwise(reason)
+    return df.withColumn("reason", reason)
+
+
 # --------------------------------------------------------------------------- names
 
 def name_map_frame(spark: SparkSession, mapping: Mapping[str, str]) -> DataFrame:

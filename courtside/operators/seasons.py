@@ -12,8 +12,12 @@ from ..functions import columns as C
 
 def classify_season(df: DataFrame, segment: str = "SEASON_SEGMENT") -> DataFrame:
     """Add SEASON_TYPE ('Regular'/'Playoffs'/NULL) and SEASON_KEY ('YYYY-YY'/'YYYY'/NULL)."""
+    # Type and year are separate projections so each regex runs once per row (the optimizer
+    # does not inline a non-trivial expression into a projection that uses it twice).
     return (df.withColumn("SEASON_TYPE", C.season_type(segment))
-              .withColumn("SEASON_KEY", C.season_key(segment, "SEASON_TYPE")))
+              .withColumn("_season_year", C.season_year(segment))
+              .withColumn("SEASON_KEY", C.season_key(segment, "SEASON_TYPE", F.col("_season_year")))
+              .drop("_season_year"))
 
 
 def classified(df: DataFrame, segment: str = "SEASON_SEGMENT") -> DataFrame:

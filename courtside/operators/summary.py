@@ -113,10 +113,11 @@ def season_averages(logs: DataFrame, dim_players: DataFrame, map_teams: DataFram
     MINUTES, USAGE, STARTED.  Rows whose season cannot be classified, or whose player
     or team has no dimension row, drop out (NULL group keys), as in the reference.
     """
-    df = team_abbreviations(canonical_names(logs, dim_players), map_teams)
-    df = S.classified(df)
-    df = df.dropna(subset=list(GROUP_KEYS))
-    return finish(raw_aggregates(game_columns(df, as_of, window_days)), fill=fill)
+    df = S.classify_season(team_abbreviations(canonical_names(logs, dim_players), map_teams))
+    # Groups with a NULL key (unclassifiable season, unknown player or team) are dropped after
+    # the aggregate: the same rows vanish, but the filter runs on groups, not on every log row.
+    agg = raw_aggregates(game_columns(df, as_of, window_days)).dropna(subset=list(GROUP_KEYS))
+    return finish(agg, fill=fill)
 
 
 def season_averages_by_player(logs: DataFrame, dim_players: DataFrame, map_teams: DataFrame, as_of,

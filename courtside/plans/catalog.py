@@ -223,12 +223,9 @@ c AS (
 )""") + """
 SELECT ROW_ID, RAW_ID, reason, CASE WHEN reason = 'ok' THEN CAST(num AS BIGINT) END AS PLAYER_ID FROM c""")
 def q_normalize_ids(spark, sf_dir):
-    raw = X.raw_ids(spark, sf_dir).withColumn("RAW_ID", F.col("PLAYER_ID"))
-    ok, bad = CF.normalize_ids(raw, ["PLAYER_ID"])
-    ok = ok.withColumn("reason", F.lit("ok"))
-    bad = bad.withColumn("reason", F.regexp_replace("reason", "^PLAYER_ID:", "")) \
-             .withColumn("PLAYER_ID", F.lit(None).cast("bigint"))
-    return ok.unionByName(bad).select("ROW_ID", "RAW_ID", "reason", "PLAYER_ID")
+    raw = X.raw_ids(spark, sf_dir).withColumnRenamed("PLAYER_ID", "RAW_ID")
+    return raw.select("ROW_ID", "RAW_ID", CF.id_reason("RAW_ID").alias("reason"),
+                      CF.normalized_id("RAW_ID").alias("PLAYER_ID"))
 
 
 @register("normalize_dates", X.with_(X.RAW_DATES_SQL) + """
@@ -237,10 +234,8 @@ SELECT ROW_ID, DATE AS RAW_DATE,
                      try_strptime(DATE, '%m/%d/%Y'), try_strptime(DATE, '%B %d, %Y')) AS DATE) AS DATE
 FROM raw_dates""")
 def q_normalize_dates(spark, sf_dir):
-    raw = X.raw_dates(spark, sf_dir).withColumn("RAW_DATE", F.col("DATE"))
-    ok, bad = CF.normalize_dates(raw, "DATE")
-    bad = bad.withColumn("DATE", F.lit(None).cast("date")).drop("reason")
-    return ok.unionByName(bad).select("ROW_ID", "RAW_DATE", "DATE")
+    raw = X.raw_dates(spark, sf_dir).withColumnRenamed("DATE", "RAW_DATE")
+    return CF.with_parsed_date(raw, "RAW_DATE", out="DATE").select("ROW_ID", "RAW_DATE", "DATE")
 
 
 # A correction map over part names (test parameter): four spellings fixed to title case.

@@ -40,7 +40,7 @@ def fantasy_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     segment = (F.when(F.col("o_orderstatus") == "O", F.concat(year, F.lit(" NBA Regular Season")))
                 .when(F.col("o_orderstatus") == "F", F.concat(year, F.lit(" NBA Playoffs")))
                 .when(F.col("o_orderstatus") == "P", F.lit("Preseason")))
-    name = F.format_string("Supplier#%09d", F.col("l_suppkey"))
+    name = F.concat(F.lit("Supplier#"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0"))
     return (li.join(o, li.l_orderkey == o.o_orderkey)
               .join(c, o.o_custkey == c.c_custkey)
               .join(n, c.c_nationkey == n.n_nationkey)
