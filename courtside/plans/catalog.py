@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..functions import constants as K
 from ..operators import conform as CF
 from ..operators import ingest as I
 from ..operators import quality as Q
+from ..operators import matching as MT
 from ..operators import seasons as S
+from ..operators import slate as SL
 from ..operators import summary as M
 from . import fixtures as X
 from . import oracle as O
@@ -426,6 +429,75 @@ def q_season_of_absence(spark, sf_dir):
     return Q.season_of_absence(X.dnp_rows(spark, sf_dir), X.played_rows(spark, sf_dir))
 
 
+# --- slates (J6, C26, O1) and name resolution (J7, M11) ------------------------------------
+
+# Season configuration for the test data (1995-2001); the library defaults are the live seasons.
+TEST_SLATE_SEASONS = ("2000-01", "2001-02")
+TEST_L30_SEASON = "2001-02"
+TEST_PLAYOFF_SEASON = "2001"
+
+
+def _matched_slate(spark, sf_dir, avg, season_type="Regular"):
+    """The slate's matched names.  Here the slate file already carries stored spellings, so the
+    list is used as matched (J6 is checked on its own; matching is checked by
+    ``resolve_names_cascade`` and the brute-force tests)."""
+    return X.slate_entries(spark, sf_dir).select(F.col("Name").alias("PLAYER"))
+
+
+SLATE_SQL_BASE = O.averages_with() + ", " + X.SLATE_ENTRIES_SQL.strip() + "\n"
+
+
+def _slate_sql(cols, season_type, seasons):
+    sel = ", ".join("STDV_FPPG AS STDV" if c == "STDV" else c for c in cols)
+    season_list = ", ".join(f"'{x}'" for x in seasons)
+    return (SLATE_SQL_BASE + f"SELECT {sel} FROM fantasy_averages WHERE SEASON_TYPE = '{season_type}' "
+            f"AND SEASON IN ({season_list}) AND PLAYER IN (SELECT Name FROM slate_entries)")
+
+
+@register("daily_slate", _slate_sql(K.SLATE_COLUMNS, "Regular", TEST_SLATE_SEASONS))
+def q_daily_slate(spark, sf_dir):
+    avg = averages(spark, sf_dir)
+    return SL.daily_slate(avg, _matched_slate(spark, sf_dir, avg), TEST_SLATE_SEASONS)
+
+
+@register("daily_slate_l30", _slate_sql(K.SLATE_L30_VIEW_COLUMNS, "Regular", (TEST_L30_SEASON,)))
+def q_daily_slate_l30(spark, sf_dir):
+    avg = averages(spark, sf_dir)
+    return SL.daily_slate_l30(avg, _matched_slate(spark, sf_dir, avg), TEST_L30_SEASON)
+
+
+@register("playoff_slate", _slate_sql(K.SLATE_COLUMNS, "Playoffs", (TEST_PLAYOFF_SEASON,)))
+def q_playoff_slate(spark, sf_dir):
+    avg = averages(spark, sf_dir)
+    return SL.playoff_slate(avg, _matched_slate(spark, sf_dir, avg, "Playoffs"), TEST_PLAYOFF_SEASON)
+
+
+@register("fuzzy_match_lev", X.with_(X.PART_NAME_QUERIES_SQL, """
+cands AS (SELECT DISTINCT p_name AS name FROM part)""", """
+pairs AS (
+  SELECT q.name AS q_name, c.name AS c_name,
+         levenshtein(lower(trim(q.name)), lower(trim(c.name))) AS distance,
+         greatest(length(lower(trim(q.name))), length(lower(trim(c.name)))) AS m
+  FROM part_name_queries q, cands c
+)""") + """
+SELECT q_name, c_name, distance, CAST((m - distance) * 100 AS DOUBLE) / m AS score FROM pairs
+WHERE distance * 100 <= m * 10
+QUALIFY row_number() OVER (PARTITION BY q_name ORDER BY distance, c_name) = 1""")
+def q_fuzzy_match_lev(spark, sf_dir):
+    q = X.part_name_queries(spark, sf_dir).select(F.concat(F.lit("q"), F.xxhash64("name").cast("string")).alias("sid"), "name")
+    c = X.table(spark, sf_dir, "part").select(F.col("p_name").alias("name")).distinct() \
+         .select(F.concat(F.lit("c"), F.xxhash64("name").cast("string")).alias("sid"), "name")
+    return MT.best_matches_levenshtein(q, c, 90)
+
+
+@register("resolve_names_cascade")
+def q_resolve_names_cascade(spark, sf_dir):
+    """Rows-only check: the weighted-ratio scorer has no SQL twin (brute-force test instead)."""
+    avg = averages(spark, sf_dir)
+    cands = S.season_type_view(avg, "Regular").select("PLAYER")
+    return MT.match_names(X.noisy_slate_entries(spark, sf_dir), cands, name_col="Name")
+
+
 def all_queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -282,3 +282,54 @@ def dnp_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def played_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = fantasy_logs(spark, sf_dir)
     return f.where(F.col("MINUTES") > 0)
+
+
+def slate_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Today's slate: the names of suppliers in region 1 as a slate file would list them."""
+    s = table(spark, sf_dir, "supplier")
+    n = table(spark, sf_dir, "nation")
+    return (s.join(n, s.s_nationkey == n.n_nationkey).where(F.col("n_regionkey") == 1)
+             .select(F.col("s_name").alias("Name")))
+
+
+SLATE_ENTRIES_SQL = """
+slate_entries AS (
+  SELECT s.s_name AS Name FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
+  WHERE n.n_regionkey = 1
+)"""
+
+
+def noisy_slate_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slate names as people type them: exact in region 1, upper-cased in region 2, spaced out
+    in region 3, shortened in region 4, plus names from the correction map in region 0."""
+    s = table(spark, sf_dir, "supplier")
+    n = table(spark, sf_dir, "nation")
+    r = F.col("n_regionkey")
+    nm = F.col("s_name")
+    noisy = (F.when(r == 1, nm)
+              .when(r == 2, F.upper(nm))
+              .when(r == 3, F.regexp_replace(nm, "#", " # "))
+              .when(r == 4, F.concat(F.lit("Supp "), F.substring(nm, 11, 9)))
+              .otherwise(F.concat(nm, F.lit(" Jr."))))
+    return s.join(n, s.s_nationkey == n.n_nationkey).select(noisy.alias("Name"))
+
+
+def part_name_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Misspelled part names: plural, vowel swap, upper case, spaces removed."""
+    p = table(spark, sf_dir, "part")
+    nm = F.col("p_name")
+    return (p.select(F.concat(nm, F.lit("s")).alias("name"))
+             .union(p.select(F.regexp_replace(nm, "e", "a").alias("name")))
+             .union(p.select(F.upper(nm).alias("name")))
+             .union(p.select(F.regexp_replace(nm, " ", "").alias("name")))
+             .distinct())
+
+
+PART_NAME_QUERIES_SQL = """
+part_name_queries AS (
+  SELECT DISTINCT name FROM (
+    SELECT p_name || 's' AS name FROM part
+    UNION ALL SELECT replace(p_name, 'e', 'a') FROM part
+    UNION ALL SELECT upper(p_name) FROM part
+    UNION ALL SELECT replace(p_name, ' ', '') FROM part)
+)"""
