@@ -498,6 +498,32 @@ def q_resolve_names_cascade(spark, sf_dir):
     return MT.match_names(X.noisy_slate_entries(spark, sf_dir), cands, name_col="Name")
 
 
+# --- as-of trailing features (D5) ----------------------------------------------------------
+
+@register("asof_trailing_features", X.with_(X.EVENT_LOGS_SQL, """
+d AS (
+  SELECT PLAYER_ID, CAST(DATE - DATE '1970-01-01' AS BIGINT) AS day,
+         sum(VALUE) AS s, count(VALUE) AS n, count(*) AS r
+  FROM event_logs GROUP BY ALL
+)""", """
+w AS (
+  SELECT PLAYER_ID, day,
+         sum(s) OVER win AS VALUE_sum_30d,
+         sum(n) OVER win AS n30,
+         sum(r) OVER win AS r30
+  FROM d
+  WINDOW win AS (PARTITION BY PLAYER_ID ORDER BY day RANGE BETWEEN 30 PRECEDING AND 1 PRECEDING)
+)""") + """
+SELECT e.PLAYER_ID, e.DATE, e._row_no, e.VALUE, w.VALUE_sum_30d,
+       CASE WHEN w.n30 > 0 THEN w.VALUE_sum_30d / w.n30 END AS VALUE_avg_30d,
+       CAST(coalesce(w.r30, 0) AS BIGINT) AS games_30d
+FROM event_logs e JOIN w ON e.PLAYER_ID = w.PLAYER_ID
+ AND CAST(e.DATE - DATE '1970-01-01' AS BIGINT) = w.day""")
+def q_asof_trailing_features(spark, sf_dir):
+    ev = X.event_logs(spark, sf_dir).select("PLAYER_ID", "DATE", "_row_no", "VALUE")
+    return M.trailing_features(ev, ["PLAYER_ID"], "DATE", ["VALUE"], days=30)
+
+
 def all_queries() -> dict[str, Query]:
     return dict(QUERIES)
 
