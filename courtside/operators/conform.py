@@ -79,19 +79,19 @@ def drop_empty_rows(df: DataFrame, data_cols: Sequence[str] | None = None) -> Da
 def normalize_dates(df: DataFrame, col: str = "DATE", formats: Sequence[str] = C.DATE_FORMATS,
                     out: str | None = None) -> tuple[DataFrame, DataFrame]:
     """text/timestamp -> DateType.  Returns (accepted, rejected) where rejected holds the
-    non-null values no accepted layout could parse (with ``reason='unparseable_date'``)."""
+    non-null values no accepted layout could parse (with ``reject_reason='unparseable_date'``)."""
     tagged = with_parsed_date(df, col, formats, out="_parsed")
-    bad = F.col("reason").isNotNull()
+    bad = F.col("reject_reason").isNotNull()
     rejected = tagged.where(bad).drop("_parsed")
-    accepted = tagged.where(~bad).withColumn(out or col, F.col("_parsed")).drop("_parsed", "reason")
+    accepted = tagged.where(~bad).withColumn(out or col, F.col("_parsed")).drop("_parsed", "reject_reason")
     return accepted, rejected
 
 
 def with_parsed_date(df: DataFrame, col: str = "DATE", formats: Sequence = C.DATE_FORMATS,
                      out: str = "DATE_PARSED") -> DataFrame:
-    """Single pass: adds the parsed date and ``reason`` ('unparseable_date' or NULL)."""
+    """Single pass: adds the parsed date and ``reject_reason`` ('unparseable_date' or NULL)."""
     return (df.withColumn(out, C.parse_date(F.col(col), formats))
-              .withColumn("reason", F.when(F.col(col).isNotNull() & F.col(out).isNull(),
+              .withColumn("reject_reason", F.when(F.col(col).isNotNull() & F.col(out).isNull(),
                                            F.lit("unparseable_date"))))
 
 
@@ -112,26 +112,26 @@ def normalized_id(c: str):
 
 
 def normalize_ids(df: DataFrame, cols: Sequence[str] = ("PLAYER_ID", "GAME_ID")) -> tuple[DataFrame, DataFrame]:
-    """Ids -> bigint.  Returns (accepted, rejected); rejected carries ``reason`` (the first
+    """Ids -> bigint.  Returns (accepted, rejected); rejected carries ``reject_reason`` (the first
     failing column's reason: missing, non_numeric or fractional).  Callers decide the policy:
     the reference drops-and-counts ``missing`` and fails the file on the other two."""
     tagged = with_id_reasons(df, cols)
     present = [c for c in cols if c in df.columns]
-    accepted = tagged.where(F.col("reason").isNull()).drop("reason")
+    accepted = tagged.where(F.col("reject_reason").isNull()).drop("reject_reason")
     for c in present:
         accepted = accepted.withColumn(c, C.strip_ws(F.col(c).cast("string")).try_cast("double").cast("bigint"))
-    return accepted, tagged.where(F.col("reason").isNotNull())
+    return accepted, tagged.where(F.col("reject_reason").isNotNull())
 
 
 def with_id_reasons(df: DataFrame, cols: Sequence[str] = ("PLAYER_ID", "GAME_ID")) -> DataFrame:
-    """Single pass: adds ``reason`` ('<col>:missing|non_numeric|fractional' for the first failing
-    id column, NULL when every id is a whole number)."""
+    """Single pass: adds ``reject_reason`` ('<col>:missing|non_numeric|fractional' for the first
+    failing id column, NULL when every id is a whole number)."""
     present = [c for c in cols if c in df.columns]
     reason = F.lit(None).cast("string")
     for c in reversed(present):
         r = id_reason(c)
         reason = F.when(r != "ok", F.concat(F.lit(f"{c}:"), r)).otherwise(reason)
-    return df.withColumn("reason", reason)
+    return df.withColumn("reject_reason", reason)
 
 
 # --------------------------------------------------------------------------- names

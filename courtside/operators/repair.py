@@ -38,9 +38,9 @@ def migrate_id_types(df: DataFrame, cols: Sequence[str] = ("PLAYER_ID", "GAME_ID
     if all(isinstance(df.schema[c].dataType, integral) for c in present):
         return df, 0
     tagged = CF.with_id_reasons(df, present)
-    counts = {r["reason"]: r["n"] for r in
-              tagged.groupBy(F.regexp_replace("reason", "^[^:]*:", "").alias("reason"))
-                    .agg(F.count(F.lit(1)).alias("n")).collect() if r["reason"] is not None}
+    counts = {r["r"]: r["n"] for r in
+              tagged.groupBy(F.regexp_replace("reject_reason", "^[^:]*:", "").alias("r"))
+                    .agg(F.count(F.lit(1)).alias("n")).collect() if r["r"] is not None}
     bad = {k: v for k, v in counts.items() if k in ("fractional", "non_numeric")}
     if bad:
         raise MigrationError(f"refusing to truncate ids: {bad}")

@@ -71,7 +71,8 @@ def _pending_files(spark: SparkSession, root: str, feed: str, landing: str, glob
 
 def _check_rejections(rejected: DataFrame, fatal: Sequence[str]) -> int:
     """Fail on fatal id/date reasons; return the number of rows dropped for a missing id."""
-    counts = {r["reason"]: r["n"] for r in rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = {r["reject_reason"]: r["n"] for r in
+              rejected.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n")).collect()}
     bad = {k: v for k, v in counts.items() if any(k.endswith(f) for f in fatal)}
     if bad:
         raise FeedError(f"rejected rows: {bad}")

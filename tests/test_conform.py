@@ -32,7 +32,7 @@ def test_ids_missing_fractional_non_numeric(spark):
     df = spark.createDataFrame([("12345.0",), ("12345.7",), (None,), ("abc",), (" 7 ",)], "PLAYER_ID string")
     ok, bad = CF.normalize_ids(df, ["PLAYER_ID"])
     assert sorted(r.PLAYER_ID for r in ok.collect()) == [7, 12345]
-    assert sorted(r.reason for r in bad.collect()) == ["PLAYER_ID:fractional", "PLAYER_ID:missing", "PLAYER_ID:non_numeric"]
+    assert sorted(r.reject_reason for r in bad.collect()) == ["PLAYER_ID:fractional", "PLAYER_ID:missing", "PLAYER_ID:non_numeric"]
 
 
 def test_migrate_id_types(spark):
