@@ -290,3 +290,126 @@ def run_daily(spark: SparkSession, root: str, box_landing: str, dfs_landing: str
             summary["warnings"].append(f"{len(slate.unmatched)} slate names unmatched")
     sinks.record_run(spark, root, summary)
     return summary
+
+
+# --------------------------------------------------------------------------- maintenance jobs
+
+LOG_TABLES = ("player_logs", "fantasy_logs", "player_absences")
+
+
+def duplicate_audit(spark: SparkSession, root: str, tables: Sequence[str] = LOG_TABLES, top: int = 20
+                    ) -> tuple[DataFrame, DataFrame, int]:
+    """M1: (per-table stats, worst duplicate groups, total extra rows).  A missing table counts 0;
+    a non-zero total is the CLI's failing exit status."""
+    stats, groups = [], []
+    for t in tables:
+        df = sinks.read_log(spark, root, t)
+        if df is None:
+            continue
+        Q.require_columns(df, KEYS, t)
+        stats.append(Q.duplicate_stats(df).withColumn("table_name", F.lit(t)))
+        groups.append(Q.duplicate_groups(df, top=top).withColumn("table_name", F.lit(t)))
+    if not stats:
+        empty = spark.createDataFrame([], "table_name string")
+        return empty, empty, 0
+    st = stats[0]
+    for s in stats[1:]:
+        st = st.unionByName(s)
+    gr = groups[0]
+    for g in groups[1:]:
+        gr = gr.unionByName(g)
+    extra = st.agg(F.coalesce(F.sum("extra_rows"), F.lit(0))).first()[0]
+    return st, gr, int(extra)
+
+
+def duplicate_repair(spark: SparkSession, root: str, run_id: str, tables: Sequence[str] = LOG_TABLES) -> dict:
+    """M2: keep the earliest copy per key (file order, then row order), only for tables that have
+    duplicates; the previous content is kept as a backup; re-audited after."""
+    removed = {}
+    for t in tables:
+        df = sinks.read_log(spark, root, t)
+        if df is None:
+            continue
+        extra = Q.duplicate_stats(df).first()["extra_rows"]
+        if not extra:
+            continue
+        order = [c for c in ("_file_name", "_row_no") if c in df.columns] or [c for c in df.columns if c not in KEYS]
+        fixed = Q.remove_duplicates(df, KEYS, order).cache()
+        fixed.count()
+        sinks.replace_log(fixed, root, t, run_id)
+        fixed.unpersist()
+        removed[t] = int(extra)
+    _, _, left = duplicate_audit(spark, root, list(removed))
+    if left:
+        raise FeedError(f"duplicates remain after repair: {left}")
+    return removed
+
+
+NAME_COLUMNS = {"fantasy_logs": "PLAYER", "player_logs": "PLAYER", "player_absences": "PLAYER",
+                "dim_players": "PLAYER_NAME"}
+
+
+def correct_names_job(spark: SparkSession, root: str, run_id: str, mapping=K.PLAYER_NAME_MAP) -> DataFrame | None:
+    """M4 + A18: retroactive name correction over the four name-bearing tables; returns the
+    per-table/per-name change counts (computed before the rewrite)."""
+    from ..operators.repair import correct_names
+    tables = {t: (sinks.read_log(spark, root, t), c) for t, c in NAME_COLUMNS.items()}
+    fixed, impact = correct_names(tables, mapping)
+    if impact is None:
+        return None
+    impact = impact.cache()
+    if impact.count():
+        for t, df in fixed.items():
+            sinks.replace_log(df, root, t, run_id)
+    return impact
+
+
+def verify_corrections_job(spark: SparkSession, root: str, mapping=K.PLAYER_NAME_MAP) -> DataFrame | None:
+    """Rows now carrying each corrected name, per table (counts > 0 only)."""
+    present = {t: (df, c) for t, c in NAME_COLUMNS.items()
+               if (df := sinks.read_log(spark, root, t)) is not None and c in df.columns}
+    return Q.correction_counts(present, mapping, side="target") if present else None
+
+
+def migrate_id_types_job(spark: SparkSession, root: str, run_id: str, table: str = "fantasy_logs") -> int:
+    """M6: rewrite a log with integer ids (missing ids dropped and counted; fractions refused),
+    re-asserting key uniqueness on the staged content before the swap."""
+    from ..operators.repair import migrate_id_types
+    df = sinks.read_log(spark, root, table)
+    if df is None:
+        return 0
+    out, dropped = migrate_id_types(df)
+    if out is df:
+        return 0
+    out = out.cache()
+    Q.assert_unique(out, KEYS)
+    sinks.replace_log(out, root, table, run_id)
+    out.unpersist()
+    return dropped
+
+
+def rename_absence_columns_job(spark: SparkSession, root: str, run_id: str) -> list[str]:
+    """M7: bring a stored absence table to the DATE/PLAYER naming; idempotent."""
+    from ..operators.repair import rename_columns
+    df = sinks.read_log(spark, root, "player_absences")
+    if df is None:
+        return []
+    out = rename_columns(df, K.ABSENCE_RENAMES)
+    if out is df:
+        return []
+    sinks.replace_log(out, root, "player_absences", run_id)
+    return [c for c in K.ABSENCE_RENAMES if c in df.columns]
+
+
+def backfill_absences(spark: SparkSession, root: str, files: Sequence[str]) -> int:
+    """M9: absence ingest over historical workbooks, in order, without recording them as
+    processed; stops at the first file without the absence sheet (error)."""
+    total = 0
+    for f in sorted(files):
+        rows = FD.read_feed_rows(spark, [f])
+        name = f.rsplit("/", 1)[-1]
+        n, missing = ingest_absences(spark, root, rows, [name])
+        if missing:
+            raise FeedError(f"{name}: no {K.ABSENCE_SHEET} sheet")
+        total += n
+    return total

@@ -144,3 +144,34 @@ def append_worklist(spark: SparkSession, root: str, run_date: str, resolved: Dat
                                                      F.col("match").alias("best_match"), "score",
                                                      F.col("worklist").alias("text"))
     append_log(rows, root, "unmatched_names")
+
+
+def replace_log(df: DataFrame, root: str, name: str, run_id: str) -> str:
+    """Staged rewrite of a log table (repairs, migrations): write the new content beside the
+    log, then swap folders; the old content stays as ``_log_backup_<run_id>``."""
+    spark = df.sparkSession
+    base = table_path(root, name)
+    staged = f"{base}/_log_staged_{run_id}"
+    df.write.mode("overwrite").parquet(staged)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    live = jvm.org.apache.hadoop.fs.Path(f"{base}/_log")
+    fs = live.getFileSystem(conf)
+    backup = f"{base}/_log_backup_{run_id}"
+    if fs.exists(live) and not fs.rename(live, jvm.org.apache.hadoop.fs.Path(backup)):
+        raise RuntimeError(f"could not move {base}/_log aside")
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staged), live):
+        raise RuntimeError(f"could not publish {staged}")
+    return backup
+
+
+def schema_fingerprint(df: DataFrame) -> str:
+    """A stable hash of the column list and types."""
+    import hashlib
+    return hashlib.sha256(df.schema.json().encode()).hexdigest()
+
+
+def record_schema(spark: SparkSession, root: str, run_id: str, table: str, df: DataFrame) -> None:
+    row = [(run_id, table, schema_fingerprint(df), ",".join(df.columns))]
+    append_log(spark.createDataFrame(row, "run_id string, table_name string, schema_hash string, columns string"),
+               root, "schema_snapshots")

@@ -21,22 +21,22 @@ from ..operators.ingest import new_rows
 
 def landing_stream(spark: SparkSession, landing_dir: str, schema: T.StructType,
                    archive_dir: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
-    """CSV landing files (header row) as a stream, with file name and a position column that
-    orders rows within a file."""
+    """CSV landing files (header row) as a stream, with the source file name."""
     r = spark.readStream.format("csv").option("header", True).schema(schema)
     if archive_dir:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return (r.load(landing_dir)
-             .withColumn("_file_name", F.col("_metadata.file_name"))
-             .withColumn("_row_no", F.monotonically_increasing_id()))
+    return r.load(landing_dir).withColumn("_file_name", F.col("_metadata.file_name"))
 
 
 def ingest_batch(batch: DataFrame, root: str, table: str, keys: Sequence[str],
                  date_col: str | None = "DATE") -> None:
     """One micro-batch: first copy per key across the batch's files, minus stored keys, appended."""
     spark = batch.sparkSession
+    # Inside a micro-batch the frame is static: ids increase with the position in each file
+    # (a file is read front to back), which orders rows within a file.
+    batch = batch.withColumn("_row_no", F.monotonically_increasing_id())
     if date_col and date_col in batch.columns:
         batch = batch.withColumn(date_col, F.to_date(date_col))
     stored = sinks.read_log(spark, root, table)

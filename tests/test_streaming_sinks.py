@@ -34,3 +34,34 @@ def test_publish_refuses_duplicates_and_keeps_previous_version(spark, tmp_dir):
         sinks.publish(bad, root, "t", "r2", keys=("PLAYER_ID", "DATE"))
     assert sinks.read_table(spark, root, "t").count() == 1
     assert sinks.require_tables(spark, root, ["t", "nope"]) == ["nope"]
+
+
+def test_audit_and_repair_jobs(spark, tmp_dir):
+    from courtside.plans import jobs as J
+    root = os.path.join(tmp_dir, "store")
+    df = spark.createDataFrame([(1, "A", "2025-11-01", 30, "f1", 0), (1, "A", "2025-11-01", 35, "f2", 0),
+                                (2, "B", "2025-11-01", 10, "f1", 1)],
+                               "PLAYER_ID long, PLAYER string, DATE string, PTS long, _file_name string, _row_no long")
+    sinks.append_log(df, root, "player_logs")
+    stats, groups, extra = J.duplicate_audit(spark, root)
+    assert extra == 1 and groups.count() == 1
+    assert J.duplicate_repair(spark, root, "r1") == {"player_logs": 1}
+    kept = sorted((r.PLAYER_ID, r.PTS) for r in sinks.read_log(spark, root, "player_logs").collect())
+    assert kept == [(1, 30), (2, 10)]
+    assert J.duplicate_repair(spark, root, "r2") == {}
+
+
+def test_name_correction_and_id_migration_jobs(spark, tmp_dir):
+    from courtside.plans import jobs as J
+    root = os.path.join(tmp_dir, "store")
+    sinks.append_log(spark.createDataFrame([(12345.0, 1.0, "2025-11-01", "GG Jackson"), (None, 2.0, "2025-11-02", "X")],
+                                           "PLAYER_ID double, GAME_ID double, DATE string, PLAYER string"),
+                     root, "fantasy_logs")
+    impact = {(r.table_name, r.NAME): r.row_count for r in J.correct_names_job(spark, root, "r1").collect()}
+    assert impact == {("fantasy_logs", "GG Jackson"): 1}
+    verify = {(r.table_name, r.NAME) for r in J.verify_corrections_job(spark, root).collect()}
+    assert ("fantasy_logs", "Gregory Jackson") in verify
+    assert J.migrate_id_types_job(spark, root, "r2") == 1
+    r = sinks.read_log(spark, root, "fantasy_logs").collect()
+    assert [(x.PLAYER_ID, x.GAME_ID) for x in r] == [(12345, 1)]
+    assert J.migrate_id_types_job(spark, root, "r3") == 0
