@@ -20,6 +20,10 @@ SCALE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # Broadcast only genuinely small sides (dimension lookups, maps); everything else is
+    # shuffle-joined unless AQE measures it small at runtime.
+    "spark.sql.autoBroadcastJoinThreshold": "1m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "1m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
