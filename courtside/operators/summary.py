@@ -56,8 +56,24 @@ def game_columns(df: DataFrame, as_of, window_days: int = 30) -> DataFrame:
     )
 
 
+# Sums and means accumulate in DECIMAL(38,9): addition is then exact and associative, so the
+# result does not depend on how rows were partitioned or in which order partial sums merged
+# (a double sum can differ in its last bit between runs and flip a half-way rounding).
+EXACT = "decimal(38,9)"
+
+
+def exact_sum(c: str) -> Column:
+    """Order-independent sum as double (NULL when there is no non-null value)."""
+    return F.sum(F.col(c).cast(EXACT)).cast("double")
+
+
+def exact_avg(c: str) -> Column:
+    """Mean of the non-null values from the exact sum (NULL when there are none)."""
+    return F.try_divide(exact_sum(c), F.count(c).cast("double"))
+
+
 def _sum0(c: str) -> Column:
-    return F.coalesce(F.sum(c), F.lit(0.0))
+    return F.coalesce(exact_sum(c), F.lit(0.0))
 
 
 def raw_aggregates(games: DataFrame) -> DataFrame:
@@ -65,19 +81,19 @@ def raw_aggregates(games: DataFrame) -> DataFrame:
     agg = games.groupBy(*GROUP_KEYS).agg(
         F.count("DATE").alias("GP"),
         F.count(F.when(F.col("STARTED") == F.lit("Y"), F.lit(1))).alias("GS"),
-        F.avg("DK_SALARY").alias("SALPG"),
-        F.avg("DK_POINTS").alias("FPPG"),
+        exact_avg("DK_SALARY").alias("SALPG"),
+        exact_avg("DK_POINTS").alias("FPPG"),
         F.stddev_samp("DK_POINTS").alias("STDV_FPPG"),
         _sum0("DK_POINTS").alias("DK_POINTS_sum"),
-        F.avg("MINUTES").alias("MPG"),
+        exact_avg("MINUTES").alias("MPG"),
         F.stddev_samp("MINUTES").alias("STDV_MPG"),
         _sum0("MINUTES").alias("MINUTES_sum"),
         F.stddev_samp("GAME_FPPM").alias("STDV_FPPM"),
-        F.avg("USAGE").alias("USG"),
-        F.avg("GS_DK_POINTS").alias("GSFPPG"),
+        exact_avg("USAGE").alias("USG"),
+        exact_avg("GS_DK_POINTS").alias("GSFPPG"),
         F.stddev_samp("GS_DK_POINTS").alias("STDV_GSFPPG"),
         _sum0("GS_DK_POINTS").alias("GS_DK_POINTS_sum"),
-        F.avg("GS_MINUTES").alias("GSMPG"),
+        exact_avg("GS_MINUTES").alias("GSMPG"),
         F.stddev_samp("GS_MINUTES").alias("STDV_GSMPG"),
         _sum0("GS_MINUTES").alias("GS_MINUTES_sum"),
         F.stddev_samp("GS_GAME_FPPM").alias("STDV_GSFPPM"),
@@ -140,13 +156,13 @@ def trailing_features(logs: DataFrame, keys: list[str], date_col: str, value_col
     day = F.datediff(F.col(date_col).cast("date"), F.lit("1970-01-01").cast("date"))
     base = logs.withColumn("_day", day)
     daily = base.groupBy(*keys, "_day").agg(
-        *[F.sum(v).alias(f"_s_{v}") for v in value_cols],
+        *[F.sum(F.col(v).cast(EXACT)).alias(f"_s_{v}") for v in value_cols],
         *[F.count(v).alias(f"_n_{v}") for v in value_cols],
         F.count(F.lit(1)).alias("_rows"))
     w = Window.partitionBy(*keys).orderBy("_day").rangeBetween(-days, -1)
     feats = []
     for v in value_cols:
-        s_, n_ = F.sum(f"_s_{v}").over(w), F.sum(f"_n_{v}").over(w)
+        s_, n_ = F.sum(f"_s_{v}").over(w).cast("double"), F.sum(f"_n_{v}").over(w)
         feats += [s_.alias(f"{v}_sum_{days}d"),
                   F.try_divide(s_, n_.cast("double")).alias(f"{v}_avg_{days}d")]
     feats.append(F.coalesce(F.sum("_rows").over(w), F.lit(0)).alias(f"games_{days}d"))

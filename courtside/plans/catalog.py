@@ -503,12 +503,12 @@ def q_resolve_names_cascade(spark, sf_dir):
 @register("asof_trailing_features", X.with_(X.EVENT_LOGS_SQL, """
 d AS (
   SELECT PLAYER_ID, CAST(DATE - DATE '1970-01-01' AS BIGINT) AS day,
-         sum(VALUE) AS s, count(VALUE) AS n, count(*) AS r
+         sum(CAST(VALUE AS DECIMAL(38,9))) AS s, count(VALUE) AS n, count(*) AS r
   FROM event_logs GROUP BY ALL
 )""", """
 w AS (
   SELECT PLAYER_ID, day,
-         sum(s) OVER win AS VALUE_sum_30d,
+         CAST(sum(s) OVER win AS DOUBLE) AS VALUE_sum_30d,
          sum(n) OVER win AS n30,
          sum(r) OVER win AS r30
   FROM d

@@ -32,12 +32,18 @@ def season_key(seg: str, stype: str) -> str:
             f"WHEN {stype} = 'Playoffs' THEN {y} END)")
 
 
+def xsum(expr: str) -> str:
+    """Exact (DECIMAL) sum returned as double: the twin of ``summary.exact_sum``."""
+    return f"CAST(sum(CAST({expr} AS DECIMAL(38,9))) AS DOUBLE)"
+
+
+def xavg(expr: str) -> str:
+    return f"({xsum(expr)} / count({expr}))"
+
+
 def averages_ctes(logs: str = "fantasy_logs", as_of: str = X.AS_OF, days: int = 30) -> str:
     """CTEs ending in ``fantasy_averages`` computed from the CTE/view named ``logs``."""
     fppm = safe_ratio("DK_POINTS", "MINUTES")
-    agg_cols = []
-    for name in K.AVERAGES_COLUMNS[5:]:
-        agg_cols.append(name)
     outs = []
     for name in K.AVERAGES_COLUMNS:
         src = {"SEASON": "SEASON_KEY", "TEAM": "TEAM_ABBREVIATION"}.get(name, name)
@@ -59,31 +65,35 @@ avg_t AS (SELECT *, {season_type('SEASON_SEGMENT')} AS SEASON_TYPE FROM avg_j),
 avg_k AS (
   SELECT *, {season_key('SEASON_SEGMENT', 'SEASON_TYPE')} AS SEASON_KEY,
          {fppm} AS GAME_FPPM,
-         DATE >= DATE '{as_of}' - INTERVAL {days} DAY AS RECENT
+         DATE >= DATE '{as_of}' - INTERVAL {days} DAY AS RECENT,
+         CASE WHEN STARTED = 'Y' THEN DK_POINTS END AS GS_DK_POINTS,
+         CASE WHEN STARTED = 'Y' THEN MINUTES END AS GS_MINUTES,
+         CASE WHEN DATE >= DATE '{as_of}' - INTERVAL {days} DAY THEN DK_POINTS END AS L30_DK_POINTS,
+         CASE WHEN DATE >= DATE '{as_of}' - INTERVAL {days} DAY THEN MINUTES END AS L30_MINUTES
   FROM avg_t
 ),
 avg_g AS (
   SELECT SEASON_TYPE, PLAYER_ID, PLAYER, SEASON_KEY, TEAM_ABBREVIATION,
     count(DATE) AS GP,
     count(*) FILTER (WHERE STARTED = 'Y') AS GS,
-    avg(DK_SALARY) AS SALPG,
-    avg(DK_POINTS) AS FPPG,
+    {xavg('DK_SALARY')} AS SALPG,
+    {xavg('DK_POINTS')} AS FPPG,
     stddev_samp(DK_POINTS) AS STDV_FPPG,
-    coalesce(sum(DK_POINTS), 0) AS DK_POINTS_sum,
-    avg(MINUTES) AS MPG,
+    coalesce({xsum('DK_POINTS')}, 0) AS DK_POINTS_sum,
+    {xavg('MINUTES')} AS MPG,
     stddev_samp(MINUTES) AS STDV_MPG,
-    coalesce(sum(MINUTES), 0) AS MINUTES_sum,
+    coalesce({xsum('MINUTES')}, 0) AS MINUTES_sum,
     stddev_samp(GAME_FPPM) AS STDV_FPPM,
-    avg(USAGE) AS USG,
-    avg(DK_POINTS) FILTER (WHERE STARTED = 'Y') AS GSFPPG,
+    {xavg('USAGE')} AS USG,
+    {xavg('GS_DK_POINTS')} AS GSFPPG,
     stddev_samp(DK_POINTS) FILTER (WHERE STARTED = 'Y') AS STDV_GSFPPG,
-    coalesce(sum(DK_POINTS) FILTER (WHERE STARTED = 'Y'), 0) AS GS_DK_POINTS_sum,
-    avg(MINUTES) FILTER (WHERE STARTED = 'Y') AS GSMPG,
+    coalesce({xsum('GS_DK_POINTS')}, 0) AS GS_DK_POINTS_sum,
+    {xavg('GS_MINUTES')} AS GSMPG,
     stddev_samp(MINUTES) FILTER (WHERE STARTED = 'Y') AS STDV_GSMPG,
-    coalesce(sum(MINUTES) FILTER (WHERE STARTED = 'Y'), 0) AS GS_MINUTES_sum,
+    coalesce({xsum('GS_MINUTES')}, 0) AS GS_MINUTES_sum,
     stddev_samp(GAME_FPPM) FILTER (WHERE STARTED = 'Y') AS STDV_GSFPPM,
-    coalesce(sum(DK_POINTS) FILTER (WHERE RECENT), 0) AS L30_DK_POINTS_sum,
-    coalesce(sum(MINUTES) FILTER (WHERE RECENT), 0) AS L30_MINUTES_sum
+    coalesce({xsum('L30_DK_POINTS')}, 0) AS L30_DK_POINTS_sum,
+    coalesce({xsum('L30_MINUTES')}, 0) AS L30_MINUTES_sum
   FROM avg_k
   WHERE SEASON_TYPE IS NOT NULL AND SEASON_KEY IS NOT NULL AND PLAYER_ID IS NOT NULL
     AND PLAYER IS NOT NULL AND TEAM_ABBREVIATION IS NOT NULL
