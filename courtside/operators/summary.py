@@ -27,16 +27,33 @@ def _as_date(as_of) -> Column:
     return F.lit(str(as_of)).cast("date")
 
 
+# Size bound (bytes, as estimated by the optimizer) under which a dimension is broadcast.
+DIM_BROADCAST_BYTES = 16 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate.  Without column statistics it is an upper bound for
+    filters, aggregates and joins (a join is estimated as the product of its sides); for a
+    scan it is the file size."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def sized_broadcast(dim: DataFrame, max_bytes: int = DIM_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast a dimension only when its size is known to be small; otherwise leave the join
+    to the planner and AQE (shuffle join, converted at runtime if the side turns out small)."""
+    return F.broadcast(dim) if estimated_bytes(dim) <= max_bytes else dim
+
+
 def canonical_names(logs: DataFrame, dim_players: DataFrame) -> DataFrame:
     """Replace the log's own PLAYER with the dimension's PLAYER_NAME (left join on PLAYER_ID)."""
-    dim = dim_players.select("PLAYER_ID", F.col("PLAYER_NAME").alias("PLAYER"))
+    dim = sized_broadcast(dim_players.select("PLAYER_ID", F.col("PLAYER_NAME").alias("PLAYER")))
     base = logs.drop("PLAYER") if "PLAYER" in logs.columns else logs
     return base.join(dim, "PLAYER_ID", "left")
 
 
 def team_abbreviations(logs: DataFrame, map_teams: DataFrame) -> DataFrame:
     """Attach TEAM_ABBREVIATION by raw team text (left join; duplicate map keys fan out, as in the reference)."""
-    m = map_teams.select(F.col("RAW_TEAM_NAME").alias("TEAM"), "TEAM_ABBREVIATION")
+    m = sized_broadcast(map_teams.select(F.col("RAW_TEAM_NAME").alias("TEAM"), "TEAM_ABBREVIATION"))
     return logs.join(m, "TEAM", "left")
 
 
