@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import sinks
+from ..session import cut_lineage
 from ..functions import constants as K
 from ..operators import conform as CF
 from ..operators import ingest as I
@@ -93,9 +94,11 @@ def ingest_box_scores(spark: SparkSession, root: str, landing: str, run_id: str,
     res.dropped_missing_ids = _check_rejections(rejected, ("non_numeric", "fractional", "unparseable_date"))
     box = I.check_within_file(box, KEYS, duplicate_policy)
     stored = sinks.read_log(spark, root, "player_logs")
-    fresh = I.new_rows(box, stored.select(*KEYS) if stored is not None else None).cache()
+    # checkpointed (reliably, into spark.checkpoint.dir): both writes below see the same rows
+    # even if executors are lost, and the plan of the writes starts from stored data
+    fresh = cut_lineage(I.new_rows(box, stored.select(*KEYS) if stored is not None else None))
     dim = sinks.read_log(spark, root, "dim_players")
-    members = I.learn_members(fresh, dim).cache()
+    members = cut_lineage(I.learn_members(fresh, dim))
     res.members_added = members.count()
     res.rows_added = fresh.count()
     if res.members_added:
@@ -106,8 +109,6 @@ def ingest_box_scores(spark: SparkSession, root: str, landing: str, run_id: str,
     absent = ingest_absences(spark, root, rows, res.files)
     res.absences_inserted, res.absence_files_without_sheet = absent
     sinks.record_files(spark, root, [(f, "box", run_id, "ok", None) for f in res.files])
-    fresh.unpersist()
-    members.unpersist()
     return res
 
 
@@ -131,14 +132,13 @@ def ingest_absences(spark: SparkSession, root: str, rows: DataFrame, files: Sequ
     stored = sinks.read_log(spark, root, "player_absences")
     if stored is not None:
         ab = ab.join(stored.select(*KEYS), list(KEYS), "left_anti")           # J3
-    out = CF.absence_columns(ab).cache()
+    out = cut_lineage(CF.absence_columns(ab))
     n = out.count()
     if n:
         dim = sinks.read_log(spark, root, "dim_players")
         members = I.learn_members(ab.select("PLAYER_ID", "PLAYER", "_file_name", "_row_no"), dim)
         sinks.append_log(members, root, "dim_players")
         sinks.append_log(out, root, "player_absences")
-    out.unpersist()
     return n, missing
 
 
@@ -157,9 +157,9 @@ def ingest_fantasy_logs(spark: SparkSession, root: str, landing: str, run_id: st
     res.dropped_missing_ids = _check_rejections(rejected, ("non_numeric", "fractional", "unparseable_date"))
     df = I.check_within_file(df, KEYS, duplicate_policy)
     stored = sinks.read_log(spark, root, "fantasy_logs")
-    fresh = I.new_rows(df, stored.select(*KEYS) if stored is not None else None).cache()
+    fresh = cut_lineage(I.new_rows(df, stored.select(*KEYS) if stored is not None else None))
     dim = sinks.read_log(spark, root, "dim_players")
-    members = I.learn_members(fresh, dim).cache()
+    members = cut_lineage(I.learn_members(fresh, dim))
     res.members_added = members.count()
     res.rows_added = fresh.count()
     if res.members_added:
@@ -168,8 +168,6 @@ def ingest_fantasy_logs(spark: SparkSession, root: str, landing: str, run_id: st
         sinks.append_log(fresh.drop("_row_no"), root, "fantasy_logs")
     res.files = [f.rsplit("/", 1)[-1] for f in files]
     sinks.record_files(spark, root, [(f, "dfs", run_id, "ok", None) for f in res.files])
-    fresh.unpersist()
-    members.unpersist()
     return res
 
 
@@ -231,7 +229,7 @@ def build_slates(spark: SparkSession, root: str, entries_path: str, averages: Da
         return None
     out = SlateResult()
     regular = S.season_type_view(averages, "Regular")
-    resolved = MT.match_names(entries, regular.select("PLAYER"), name_col="Name").cache()
+    resolved = cut_lineage(MT.match_names(entries, regular.select("PLAYER"), name_col="Name"))
     matched = MT.matched_names(resolved)
     daily = SL.daily_slate(averages, matched, slate_seasons)
     l30 = SL.daily_slate_l30(averages, matched, l30_season)
@@ -247,8 +245,8 @@ def build_slates(spark: SparkSession, root: str, entries_path: str, averages: Da
         out.exported.append(sinks.export_csv(SL.export_order(l30_csv, with_season=False), export_dir,
                                              "slate_player_averages_l30", stamp))
     sinks.append_worklist(spark, root, run_date, resolved)               # regular slate only
+    # the unmatched names are a slate-sized list (hundreds), returned for the run summary
     out.unmatched = [r["worklist"] for r in resolved.where(~F.col("matched")).select("worklist").collect()]
-    resolved.unpersist()
     return out
 
 
@@ -334,10 +332,8 @@ def duplicate_repair(spark: SparkSession, root: str, run_id: str, tables: Sequen
         if not extra:
             continue
         order = [c for c in ("_file_name", "_row_no") if c in df.columns] or [c for c in df.columns if c not in KEYS]
-        fixed = Q.remove_duplicates(df, KEYS, order).cache()
-        fixed.count()
+        fixed = cut_lineage(Q.remove_duplicates(df, KEYS, order))
         sinks.replace_log(fixed, root, t, run_id)
-        fixed.unpersist()
         removed[t] = int(extra)
     _, _, left = duplicate_audit(spark, root, list(removed))
     if left:
@@ -357,7 +353,8 @@ def correct_names_job(spark: SparkSession, root: str, run_id: str, mapping=K.PLA
     fixed, impact = correct_names(tables, mapping)
     if impact is None:
         return None
-    impact = impact.cache()
+    # materialised before the tables are rewritten (a lazy plan would re-read the new tables)
+    impact = cut_lineage(impact)
     if impact.count():
         for t, df in fixed.items():
             sinks.replace_log(df, root, t, run_id)
@@ -381,10 +378,9 @@ def migrate_id_types_job(spark: SparkSession, root: str, run_id: str, table: str
     out, dropped = migrate_id_types(df)
     if out is df:
         return 0
-    out = out.cache()
+    out = cut_lineage(out)
     Q.assert_unique(out, KEYS)
     sinks.replace_log(out, root, table, run_id)
-    out.unpersist()
     return dropped
 
 
