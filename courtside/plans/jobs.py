@@ -45,6 +45,7 @@ class IngestResult:
     dropped_missing_ids: int = 0
     absences_inserted: int = 0
     absence_files_without_sheet: list[str] = field(default_factory=list)
+    touched_segments: list[str | None] = field(default_factory=list)
 
 
 def _numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -165,7 +166,9 @@ def ingest_fantasy_logs(spark: SparkSession, root: str, landing: str, run_id: st
     if res.members_added:
         sinks.append_log(members, root, "dim_players")
     if res.rows_added:
-        sinks.append_log(fresh.drop("_row_no"), root, "fantasy_logs")
+        # partitioned by segment: a season's rows can be read (and recomputed) on their own
+        sinks.append_log(fresh.drop("_row_no"), root, "fantasy_logs", partition_by=("SEASON_SEGMENT",))
+        res.touched_segments = [r[0] for r in fresh.select("SEASON_SEGMENT").distinct().collect()]
     res.files = [f.rsplit("/", 1)[-1] for f in files]
     sinks.record_files(spark, root, [(f, "dfs", run_id, "ok", None) for f in res.files])
     return res
@@ -186,16 +189,53 @@ def seed_map_teams(spark: SparkSession, root: str, run_id: str, force: bool = Fa
     return mapped
 
 
-def build_fantasy_averages(spark: SparkSession, root: str, as_of, run_id: str) -> DataFrame:
-    """B4 + K2: recompute and publish ``fantasy_averages``."""
+AVERAGES_KEYS = ("SEASON_TYPE", "PLAYER_ID", "SEASON", "TEAM")
+
+
+def affected_segments(logs: DataFrame, touched: Sequence[str | None], as_of, window_days: int = 30,
+                      slack_days: int = 7) -> list[str | None]:
+    """Segments whose (season type, season) group must be recomputed: those of touched segments,
+    and those with games recent enough that the trailing window still moves (``slack_days``
+    tolerates skipped runs).  Returns segment strings (tens of values: metadata, not data)."""
+    seg = logs.groupBy("SEASON_SEGMENT").agg(F.max("DATE").alias("last_game"))
+    lookup = S.classify_season(seg)
+    horizon = F.date_sub(F.lit(str(as_of)[:10]).cast("date"), window_days + slack_days)
+    touched_set = [t for t in touched if t is not None]
+    hit = lookup.where(F.col("SEASON_SEGMENT").isin(touched_set) | (F.col("last_game") >= horizon))
+    keys = hit.where(F.col("SEASON_KEY").isNotNull()).select("SEASON_TYPE", "SEASON_KEY").distinct()
+    rows = lookup.join(F.broadcast(keys), ["SEASON_TYPE", "SEASON_KEY"], "left_semi").select("SEASON_SEGMENT").collect()
+    return [r[0] for r in rows]
+
+
+def build_fantasy_averages(spark: SparkSession, root: str, as_of, run_id: str,
+                           touched_segments: Sequence[str | None] | None = None) -> DataFrame:
+    """B4 + K2: compute and publish ``fantasy_averages``.
+
+    With ``touched_segments`` (the segments that received new rows) and a previous version,
+    only the affected seasons are recomputed -- their log partitions are the only ones read --
+    and the other seasons' rows are carried over from the previous version.  Without them,
+    everything is recomputed.  Either way the result is the same table.
+    """
     missing = [t for t in ("fantasy_logs", "dim_players") if sinks.read_log(spark, root, t) is None]
     if sinks.read_table(spark, root, "map_teams") is None:
         missing.append("map_teams")
     if missing:
         raise FeedError(f"missing required tables: {missing}")
-    avg = M.season_averages(sinks.read_log(spark, root, "fantasy_logs"), sinks.read_log(spark, root, "dim_players"),
-                            sinks.read_table(spark, root, "map_teams"), as_of)
-    sinks.publish(avg, root, "fantasy_averages", run_id, keys=("SEASON_TYPE", "PLAYER_ID", "SEASON", "TEAM"))
+    logs = sinks.read_log(spark, root, "fantasy_logs")
+    dims = (sinks.read_log(spark, root, "dim_players"), sinks.read_table(spark, root, "map_teams"))
+    previous = sinks.read_table(spark, root, "fantasy_averages")
+    if touched_segments is None or previous is None:
+        avg = M.season_averages(logs, *dims, as_of)
+    else:
+        segs = affected_segments(logs, touched_segments, as_of)
+        cond = F.col("SEASON_SEGMENT").isin([x for x in segs if x is not None])
+        fresh = M.season_averages(logs.where(cond), *dims, as_of)        # partition-pruned scan
+        done = fresh.select("SEASON_TYPE", "SEASON").distinct()
+        stale = S.classify_season(spark.createDataFrame([(x,) for x in segs], "SEASON_SEGMENT string")) \
+                 .select("SEASON_TYPE", F.col("SEASON_KEY").alias("SEASON")).unionByName(done).distinct()
+        kept = previous.join(F.broadcast(stale), ["SEASON_TYPE", "SEASON"], "left_anti")
+        avg = kept.unionByName(fresh)
+    sinks.publish(avg, root, "fantasy_averages", run_id, keys=AVERAGES_KEYS)
     return sinks.read_table(spark, root, "fantasy_averages")
 
 
@@ -277,7 +317,8 @@ def run_daily(spark: SparkSession, root: str, box_landing: str, dfs_landing: str
         summary["fantasy_rows_dropped"] = dfs.dropped_missing_ids
         if dfs.dropped_missing_ids:
             summary["warnings"].append(f"dropped {dfs.dropped_missing_ids} fantasy rows with a missing id")
-    avg = stage("summary", lambda: build_fantasy_averages(spark, root, as_of, run_id))
+    touched = dfs.touched_segments if dfs else None
+    avg = stage("summary", lambda: build_fantasy_averages(spark, root, as_of, run_id, touched))
     if avg is not None:
         stage("views", lambda: publish_average_views(spark, avg, export_dir, now))
         slate = stage("slate", lambda: build_slates(spark, root, entries_path, avg, now.date().isoformat(),

@@ -88,3 +88,33 @@ def test_two_day_run(spark, tmp_dir):
     assert J.ingest_box_scores(spark, root, box_dir, "r3").rows_added == 0
     runs = sinks.read_log(spark, root, "run_summary").collect()
     assert len(runs) == 1
+
+
+def test_incremental_averages_equal_full_recompute(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "store")
+    dfs_dir = os.path.join(tmp_dir, "dfs")
+    seg_reg, seg_po = "2024-25 NBA Regular Season", "2025 NBA Playoffs"
+
+    def row(pid, date, seg, pts):
+        r = dfs_row(pid, f"P{pid}", date, pts)
+        r[0] = seg
+        return r
+
+    dfs_workbook(os.path.join(dfs_dir, "d1.xlsx"), DFS_HEADER,
+                 [row(1, "2024-11-01", seg_reg, 40.0), row(2, "2024-11-01", seg_reg, 30.0),
+                  row(1, "2025-04-20", seg_po, 50.0)])
+    J.ingest_fantasy_logs(spark, root, dfs_dir, "r1")
+    J.seed_map_teams(spark, root, "r1")
+    J.build_fantasy_averages(spark, root, "2025-05-01", "r1")
+    dfs_workbook(os.path.join(dfs_dir, "d2.xlsx"), DFS_HEADER,
+                 [row(1, "2024-11-01", seg_reg, 40.0), row(2, "2024-11-01", seg_reg, 30.0),
+                  row(1, "2025-04-20", seg_po, 50.0), row(1, "2025-04-25", seg_po, 20.0)])
+    d2 = J.ingest_fantasy_logs(spark, root, dfs_dir, "r2")
+    assert d2.touched_segments == [seg_po]
+    segs = J.affected_segments(sinks.read_log(spark, root, "fantasy_logs"), d2.touched_segments, "2025-05-01")
+    assert segs == [seg_po]
+    inc = J.build_fantasy_averages(spark, root, "2025-05-01", "r2", d2.touched_segments)
+    full = J.build_fantasy_averages(spark, root, "2025-05-01", "r3")
+    assert sorted(map(tuple, inc.collect())) == sorted(map(tuple, full.select(*inc.columns).collect()))
+    po = [r for r in full.collect() if r.SEASON_TYPE == "Playoffs"][0]
+    assert (po.GP, po.FPPG) == (2, 35.0)
