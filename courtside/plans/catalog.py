@@ -524,6 +524,25 @@ def q_asof_trailing_features(spark, sf_dir):
     return M.trailing_features(ev, ["PLAYER_ID"], "DATE", ["VALUE"], days=30)
 
 
+# --- within-file duplicates (D3) and the per-player grain (by_team=False) --------------------
+
+@register("within_file_duplicates", X.with_(X.CUMULATIVE_FILES_SQL) + """
+SELECT _file_name, PLAYER_ID, DATE, count(*) AS copies FROM cumulative_files
+GROUP BY _file_name, PLAYER_ID, DATE HAVING count(*) > 1""")
+def q_within_file_duplicates(spark, sf_dir):
+    return Q.within_file_duplicates(X.cumulative_files(spark, sf_dir))
+
+
+@register("season_averages_by_player", X.with_(X.FANTASY_LOGS_SQL, X.DIM_PLAYERS_SQL, """
+map_teams AS (
+  SELECT DISTINCT n.n_name AS RAW_TEAM_NAME, 'ALL' AS TEAM_ABBREVIATION
+  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey WHERE n.n_name <> 'NATION_24'
+)""", O.averages_ctes()) + "SELECT * FROM fantasy_averages")
+def q_season_averages_by_player(spark, sf_dir):
+    return M.season_averages_by_player(X.fantasy_logs(spark, sf_dir), X.dim_players(spark, sf_dir),
+                                       X.map_teams(spark, sf_dir), X.AS_OF)
+
+
 def all_queries() -> dict[str, Query]:
     return dict(QUERIES)
 
