@@ -73,6 +73,10 @@ ABSENCE_REQUIRED = ("DATE", "GAME_ID", "TEAM", "OPPONENT", "PLAYER_ID", "PLAYER"
 ABSENCE_COLUMNS = ("DATE", "GAME_ID", "TEAM", "OPPONENT", "PLAYER_ID", "PLAYER", "STATUS", "REASON", "ABSENCE_TYPE")
 ABSENCE_RENAMES = {"GAME_DATE": "DATE", "PLAYER_NAME": "PLAYER"}
 
+# --- fixed values: the feeds name their season-segment column "<vendor> DATASET"; whatever the
+# vendor prefix, a sanitised header ending in this suffix is the season segment ---
+SEGMENT_HEADER_SUFFIX = "_DATASET"
+
 # --- fixed values: DFS feed (header sanitised with hyphens stripped) ---
 DFS_DROP = (
     "FANDUEL",
@@ -83,7 +87,6 @@ DFS_DROP = (
     "YAHOO1",
 )
 DFS_RENAMES = {
-    "BIGDATABALL_DATASET": "SEASON_SEGMENT",
     "OWN_TEAM": "TEAM",
     "OPPONENT_TEAM": "OPPONENT",
     "STARTER_YN": "STARTED",
@@ -97,7 +100,6 @@ DFS_RENAMES = {
 
 # --- fixed values: box-score feed (header sanitised with hyphens -> underscore) ---
 BOX_RENAMES = {
-    "BIGDATABALL_DATASET": "SEASON_SEGMENT",
     "GAME_ID": "GAME_ID",
     "PLAYER_ID": "PLAYER_ID",
     "PLAYER__FULL_NAME": "PLAYER",

@@ -58,9 +58,15 @@ def apply_header(rows: DataFrame, hmap: DataFrame, file_col: str = "_file_name",
                      *[F.try_element_at(F.col("_m"), F.lit(n)).alias(n) for n in names])
 
 
-def rename_and_drop(df: DataFrame, renames: Mapping[str, str], drops: Sequence[str] = ()) -> DataFrame:
-    """Rename the columns present, drop those listed (missing ones ignored)."""
+def rename_and_drop(df: DataFrame, renames: Mapping[str, str], drops: Sequence[str] = (),
+                    segment_suffix: str | None = K.SEGMENT_HEADER_SUFFIX) -> DataFrame:
+    """Rename the columns present, drop those listed (missing ones ignored).  The
+    column whose name ends in ``segment_suffix`` becomes SEASON_SEGMENT."""
     present = {k: v for k, v in renames.items() if k in df.columns and k != v}
+    if segment_suffix and "SEASON_SEGMENT" not in df.columns:
+        seg = [c for c in df.columns if c.endswith(segment_suffix)]
+        if len(seg) == 1:
+            present[seg[0]] = "SEASON_SEGMENT"
     out = df.withColumnsRenamed(present) if present else df
     return out.drop(*[c for c in drops if c in out.columns])
 

@@ -10,7 +10,7 @@ from courtside.plans import jobs as J
 from courtside.sources import feeds as FD
 from tests.helpers import box_workbook, dfs_workbook, write_csv
 
-DFS_HEADER = ["BIGDATABALL\nDATASET", "GAME_ID", "PLAYER_ID", "PLAYER", "DATE", "OWN\nTEAM", "STARTER\n(Y/N)",
+DFS_HEADER = ["FEEDCO\nDATASET", "GAME_ID", "PLAYER_ID", "PLAYER", "DATE", "OWN\nTEAM", "STARTER\n(Y/N)",
               "MINUTES", "USAGE\nRATE", "DRAFTKINGS", "FOR DRAFTKINGS CLASSIC CONTESTS", "FANDUEL", "DRAFTKINGS"]
 
 
