@@ -35,7 +35,10 @@ def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate.  Without column statistics it is an upper bound for
     filters, aggregates and joins (a join is estimated as the product of its sides); for a
     scan it is the file size."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a Connect session): size unknown
+        return 1 << 62
 
 
 def sized_broadcast(dim: DataFrame, max_bytes: int = DIM_BROADCAST_BYTES) -> DataFrame:
