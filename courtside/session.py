@@ -49,10 +49,41 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``courtside`` importable in Python workers wherever the driver was started from:
+    the package's modules are zipped once per application and added with ``addPyFile`` (Spark
+    distributes the file to every executor).  Needed by the pandas UDF and mapInPandas steps."""
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # noqa: BLE001 - no SparkContext (Connect): ship with the session's artifacts instead
+        return
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="courtside-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w") as z:
+        for root, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings the library's semantics depend on to an existing session."""
+    """Apply the settings the library's semantics depend on to an existing session, and ship
+    the package to the Python workers."""
     for k, v in REQUIRED_CONF.items():
         spark.conf.set(k, v)
+    ship_package(spark)
     return spark
 
 
