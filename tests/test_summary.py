@@ -106,3 +106,12 @@ def test_plan_has_one_exchange_for_the_aggregate(spark):
     avg = averages(spark, [BASE])
     plan = avg._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_team_map_is_broadcast_not_shuffled(spark):
+    from tests.conftest import SF_SMALL
+    from courtside.plans import fixtures as X
+    avg = M.season_averages(X.fantasy_logs(spark, SF_SMALL), X.dim_players(spark, SF_SMALL),
+                            X.map_teams(spark, SF_SMALL), X.AS_OF)
+    plan = avg._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(TEAM" not in plan      # no shuffle on the ~30-value team key
