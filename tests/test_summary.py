@@ -115,3 +115,13 @@ def test_team_map_is_broadcast_not_shuffled(spark):
                             X.map_teams(spark, SF_SMALL), X.AS_OF)
     plan = avg._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(TEAM" not in plan      # no shuffle on the ~30-value team key
+
+
+def test_trailing_window_runs_on_daily_aggregates(spark):
+    df = spark.range(0, 3000).selectExpr("1L AS PLAYER_ID", "date_add(DATE '2024-01-01', CAST(id % 40 AS INT)) AS DATE",
+                                         "CAST(id AS DOUBLE) AS VALUE")
+    out = M.trailing_features(df, ["PLAYER_ID"], "DATE", ["VALUE"], 30)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    window_at = plan.index("Window [")
+    assert "HashAggregate" in plan[window_at:]     # the window's input is the per-day aggregate
+    assert out.count() == 3000
