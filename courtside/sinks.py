@@ -43,7 +43,7 @@ def read_table(spark: SparkSession, root: str, name: str, schema: T.StructType |
     """Current content of a table; None (or an empty frame of ``schema``) when it does not exist."""
     path = table_path(root, name)
     version = current_version(spark, path)
-    target = f"{path}/{version}" if version else (path if _exists(spark, f"{path}/_log") else None)
+    target = f"{path}/{version}" if version else (f"{path}/_log" if _exists(spark, f"{path}/_log") else None)
     if target is None:
         return spark.createDataFrame([], schema) if schema is not None else None
     return spark.read.parquet(target)

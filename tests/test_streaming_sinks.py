@@ -65,3 +65,10 @@ def test_name_correction_and_id_migration_jobs(spark, tmp_dir):
     r = sinks.read_log(spark, root, "fantasy_logs").collect()
     assert [(x.PLAYER_ID, x.GAME_ID) for x in r] == [(12345, 1)]
     assert J.migrate_id_types_job(spark, root, "r3") == 0
+
+
+def test_read_table_falls_back_to_log(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "store")
+    sinks.append_log(spark.createDataFrame([(1,)], "x long"), root, "only_log")
+    assert sinks.read_table(spark, root, "only_log").count() == 1
+    assert sinks.read_table(spark, root, "missing") is None
