@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from courtside.llm import hash_forest, mixing, packing, topk
+from courtside.llm import hash_forest, langid, mixing, packing, topk, toxicity
 
 QUERIES = {
     "op3_mixing": mixing.op3_mixing,
     "op4_topk": topk.op4_topk,
     "op7_packing": packing.op7_packing,
+    "op8_langid": langid.op8_langid,
     "op9_hash_forest": hash_forest.op9_hash_forest,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE_SQL = {"op4_topk": topk.ORACLE_SQL}
