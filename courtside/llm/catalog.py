@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from courtside.llm import hash_forest, langid, mixing, packing, topk, toxicity
+from courtside.llm import hash_forest, langid, mixing, packing, quality_mil, topk, toxicity
 
 QUERIES = {
+    "op1_quality_mil": quality_mil.op1_quality_mil,
     "op3_mixing": mixing.op3_mixing,
     "op4_topk": topk.op4_topk,
     "op7_packing": packing.op7_packing,
