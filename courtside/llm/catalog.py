@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from courtside.llm import hash_forest, langid, mixing, packing, quality_mil, topk, toxicity
+from courtside.llm import ctw, hash_forest, langid, mixing, packing, quality_mil, topk, toxicity
 
 QUERIES = {
     "op1_quality_mil": quality_mil.op1_quality_mil,
     "op3_mixing": mixing.op3_mixing,
     "op4_topk": topk.op4_topk,
+    "op5_ctw": ctw.op5_ctw,
     "op7_packing": packing.op7_packing,
     "op8_langid": langid.op8_langid,
     "op9_hash_forest": hash_forest.op9_hash_forest,
