@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from courtside.llm import ctw, hash_forest, langid, mixing, packing, quality_mil, topk, toxicity
+from courtside.llm import ctw, hash_forest, langid, license_scan, mixing, packing, quality_mil, topk, toxicity
 
 QUERIES = {
     "op1_quality_mil": quality_mil.op1_quality_mil,
     "op3_mixing": mixing.op3_mixing,
     "op4_topk": topk.op4_topk,
     "op5_ctw": ctw.op5_ctw,
+    "op6_license_scan": license_scan.op6_license_scan,
     "op7_packing": packing.op7_packing,
     "op8_langid": langid.op8_langid,
     "op9_hash_forest": hash_forest.op9_hash_forest,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 
-ORACLE_SQL = {"op4_topk": topk.ORACLE_SQL}
+ORACLE_SQL = {
+    "op4_topk": topk.ORACLE_SQL,
+    "op6_license_scan": license_scan.oracle_sql(),
+}
