@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from courtside.llm import ctw, hash_forest, langid, license_scan, mixing, packing, quality_mil, topk, toxicity
+from courtside.llm import bagminhash, ctw, hash_forest, langid, license_scan, mixing, packing, quality_mil, topk, toxicity
 
 QUERIES = {
     "op1_quality_mil": quality_mil.op1_quality_mil,
+    "op2_bagminhash": bagminhash.op2_bagminhash,
     "op3_mixing": mixing.op3_mixing,
     "op4_topk": topk.op4_topk,
     "op5_ctw": ctw.op5_ctw,
