@@ -88,21 +88,21 @@ def vocabulary(texts: DataFrame, limit: int = TERMS, least: float = CHI_SQUARED)
     return [r["term"] for r in rows]
 
 
+def _known(text: str, index: dict[bytes, int]) -> tuple[tuple, tuple]:
+    """Numbers (ascending) and counts of the vocabulary words of a text."""
+    found = sorted((index[w], c) for w, c in Counter([w for w in words(text) if w in index]).items())
+    return tuple(i for i, _ in found), tuple(c for _, c in found)
+
+
 def term_counts(docs: DataFrame, terms: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """(doc struct, t array<int>, n array<int>): vocabulary words of every text and their counts."""
     index = {t.encode(): i for i, t in enumerate(terms)}
 
     def make():
-        known = frozenset(index)
-
         def fn(text: pa.Array) -> list:
-            t, n = [], []
-            for x in texts_of(text):
-                found = Counter([w for w in words(x) if w in known])
-                pairs = sorted((index[w], c) for w, c in found.items())
-                t.append([p[0] for p in pairs])
-                n.append([p[1] for p in pairs])
-            return [pa.array(t, pa.list_(pa.int32())), pa.array(n, pa.list_(pa.int32()))]
+            pairs = [_known(x, index) for x in texts_of(text)]
+            return [pa.array([p[0] for p in pairs], pa.list_(pa.int32())),
+                    pa.array([p[1] for p in pairs], pa.list_(pa.int32()))]
         return fn
 
     return annotate(docs, keep, [col("text").cast("string")], make, "t array<int>, n array<int>")
@@ -231,13 +231,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, keep: Sequence[str], tra
     sample = bounded_sample(labels, label, train, examples, SEED)
     chosen = staged(labelled_texts(docs, sample))
     terms = vocabulary(chosen.select("y", "text"))
-    counted = term_counts(docs, terms, keep)
-    # The counts are small unless whole rows are kept; either way the texts are read once more only.
-    if "text" not in keep:
-        counted = staged(counted)
-        rows = counted
-    else:
-        rows = term_counts(docs, terms, ["doc_id"])
+    # Whole rows are kept: count in one pass and score in another.  Else stage the small counts.
+    counted = term_counts(docs, terms, [c for c in keep if c != "text"] or ["doc_id"])
+    whole_rows = "text" in keep
+    rows = counted if whole_rows else staged(counted)
     df = dict.fromkeys(range(len(terms)), 0)
     total = 0
     for r in (rows.select(F.explode(F.concat(F.array(F.lit(-1)), F.col("t"))).alias("t"))
@@ -251,28 +248,35 @@ def score_documents(docs: DataFrame, labels: DataFrame, keep: Sequence[str], tra
     model = Model(terms, sorted((r["doc_id"], r["y"], list(r["t"]), list(r["n"])) for r in pairs), idf)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: EXAMPLES x TERMS
 
-    def make():
-        model, memo = shared.value, {}
-
-        def fn(t: pa.Array, n: pa.Array) -> list:
-            scores, near, hits = [], [], []
-            for x, c in zip(t.to_pylist(), n.to_pylist()):
-                key = (tuple(x), tuple(c))
-                if key not in memo:
-                    if len(memo) > 100_000:
-                        memo.clear()
-                    memo[key] = model.score(*key)
-                s, ids = memo[key]
-                scores.append(s)
-                near.append(ids)
-                hits.append([model.terms[i] for i in x])
-            return [pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()),
-                    pa.array(near, pa.list_(pa.int64())), pa.array(hits, pa.list_(pa.string()))]
-        return fn
+    out = "score double, predicted int, evidence array<bigint>, evidence_terms array<string>"
+    if whole_rows:
+        return annotate(docs, keep, [col("text").cast("string")], lambda: _scorer(shared.value, True), out)
+    return (annotate(rows, ["doc"], [F.col("t"), F.col("n")], lambda: _scorer(shared.value, False), out)
+            .withColumn("doc", F.col("doc.doc")))
 
-    return annotate(counted, ["doc"], [F.col("t"), F.col("n")], make,
-                    "score double, predicted int, evidence array<bigint>, evidence_terms array<string>") \
-        .withColumn("doc", F.col("doc.doc"))
+
+def _scorer(model: Model, from_text: bool):
+    """Function from texts, or from their words' numbers and counts, to the output columns."""
+    memo: dict[tuple, tuple[float, list[int]]] = {}
+    index = {t.encode(): i for i, t in enumerate(model.terms)}
+
+    def fn(*columns: pa.Array) -> list:
+        if from_text:
+            pairs = [_known(t, index) for t in texts_of(columns[0])]
+        else:
+            pairs = list(zip(map(tuple, columns[0].to_pylist()), map(tuple, columns[1].to_pylist())))
+        found = []
+        for key in pairs:
+            if key not in memo:
+                if len(memo) > 100_000:
+                    memo.clear()
+                memo[key] = model.score(*key)
+            found.append(memo[key])
+        return [pa.array([s for s, _ in found], pa.float64()),
+                pa.array([int(s >= 0.5) for s, _ in found], pa.int32()),
+                pa.array([ids for _, ids in found], pa.list_(pa.int64())),
+                pa.array([[model.terms[i] for i in t] for t, _ in pairs], pa.list_(pa.string()))]
+    return fn
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
