@@ -20,7 +20,7 @@ Extra columns are ignored.  A null doc_id stays null.
 from __future__ import annotations
 
 import re
-import zlib
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,20 +32,34 @@ from pyspark.sql import functions as F
 from courtside.llm.common import BATCH_ROWS, table, texts_of
 
 WINDOW, END_ID = 4096, 2
-CACHE_WORDS = 400_000  # words whose ids a task remembers; the memory is emptied when full
+CACHE_WORDS = 600_000  # words whose ids a worker remembers, in each of two generations
 FLUSH_IDS = 1_000_000
 SCHEMA = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
           "sequence_id long, offset long")
 
 # Control characters that Python's split() drops but the tokenizer doesn't take for white space.
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
+
+
+def folded(text: str) -> str:
+    """The text in lower case where that is what the tokenizer itself makes of every character
+    (it normalises to NFC, then lowers character by character), else the text as it is."""
+    if text.isascii():
+        return text.lower()
+    if "\u03a3" in text or not unicodedata.is_normalized("NFC", text):
+        return text
+    low = text.lower()
+    return low if unicodedata.is_normalized("NFC", low) else text
 
 
 class WordIds:
     """Token ids of texts as little-endian uint32 bytes.
 
-    The vocabulary's splitting pattern never crosses white space, so a text's ids are its
-    words' ids in a row, and each distinct word is encoded once (tested against whole texts).
+    The vocabulary's splitting pattern never crosses white space and parts letters from marks, so
+    a text's ids are its words' ids in a row, and a word of letters followed by marks has its
+    letters' and its marks' ids.  Each distinct part is encoded once per worker, as long as it is
+    remembered (tested against whole texts).
     """
 
     def __init__(self, path: str):
@@ -54,25 +68,75 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # tokens that end a unit
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
-                for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_units(self, units: list[str]) -> list[bytes]:
+        """Units of letters alone: encoded in one text and parted at the tokens that end them."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(units)], add_special_tokens=False)[0].ids,
+                       dtype="<u4")
+        end = np.flatnonzero(self.ends[ids]) + 1
+        if len(end) != len(units):  # a letter that the vocabulary parts otherwise
+            return self._encode(units)
+        raw = ids.tobytes()
+        return [raw[4 * a:4 * b] for a, b in zip([0, *end.tolist()], end.tolist())]
+
+    def _learn(self, words: set[str]) -> None:
+        """Fill in ids of unknown words."""
+        if len(self.known) > CACHE_WORDS:
+            self.known, self.before = {}, self.known
+        parts = {}
+        letters, mixed = set(), set()
+        for w in words:
+            ids = self.before.get(w)
+            if ids is not None:
+                self.known[w] = ids
+                continue
+            core = w.rstrip(_MARKS)
+            if core.isalpha():
+                letters.add(core)
+                if core != w:
+                    mixed.add(w[len(core):])
+                    parts[w] = (core, w[len(core):])
+            else:
+                mixed.add(w)
+        for group, encode in ((letters, self._encode_units), (mixed, self._encode)):
+            new = [p for p in group if p not in self.known]
+            if new:
+                self.known.update(zip(new, encode(new)))
+        for w, (core, marks) in parts.items():
+            self.known[w] = self.known[core] + self.known[marks]
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        for text in texts:
-            if _NOT_SPACE.search(text):
-                yield self._encode([text])[0]
-                continue
-            words = text.split()
-            try:
-                yield b"".join(map(self.known.__getitem__, words))
-            except KeyError:
-                if len(self.known) > CACHE_WORDS:
-                    self.known.clear()
-                new = list({w for w in words if w not in self.known})
-                self.known.update(zip(new, self._encode(new)))
-                yield b"".join(map(self.known.__getitem__, words))
+        for i in range(0, len(texts), 256):
+            split = [None if _NOT_SPACE.search(t) else folded(t).split() for t in texts[i:i + 256]]
+            ids = [None if words is None else list(map(self.known.get, words)) for words in split]
+            unknown = {w for words, found in zip(split, ids) if found and None in found
+                       for w, x in zip(words, found) if x is None}
+            if unknown:
+                self._learn(unknown)
+            for text, words, found in zip(texts[i:i + 256], split, ids):
+                if words is None:
+                    yield self._encode([text])[0]
+                elif None in found:
+                    yield b"".join([self.known[w] if x is None else x for w, x in zip(words, found)])
+                else:
+                    yield b"".join(found)
+
+
+_encoders: dict[str, WordIds] = {}  # one per vocabulary in each worker
+
+
+def encoder(path: str) -> WordIds:
+    if path not in _encoders:
+        _encoders[path] = WordIds(path)
+    return _encoders[path]
 
 
 class SumOfSquares:
@@ -157,7 +221,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int
     types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, rows, held = WordIds(tokenizer_path), [], [0]
+        encode, rows, held = encoder(tokenizer_path), [], [0]
         first = TaskContext.get().partitionId() << 36
         end = np.array([end_id], dtype="<u4").tobytes()
 
@@ -208,7 +272,3 @@ def default_tokenizer() -> str:
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 4096 ids."""
     return with_digest(pack(table(spark, sf_dir, "documents"), default_tokenizer()))
-
-
-def crc32_of(ids: bytes) -> int:
-    return zlib.crc32(ids)
