@@ -75,9 +75,10 @@ def _encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     head = np.flatnonzero(w.rank % PASSAGE == 0)  # each passage's first word
     n = len(head)
     of = np.cumsum(w.rank % PASSAGE == 0) - 1      # passage of each word
-    at = w.start[head]
+    # Bytes of each passage, from its first word to the end of its last.
+    at = np.column_stack([w.start[head], w.end[np.append(head[1:], len(w.start)) - 1]]).reshape(-1)
     kind = _CLASS[w.buf]
-    share = np.stack([np.add.reduceat(kind == c, at, dtype=np.int32) for c in range(len(_CLASSES))],
+    share = np.stack([np.add.reduceat(kind == c, at, dtype=np.int32)[::2] for c in range(len(_CLASSES))],
                      axis=1).astype(np.float64)
     count = np.bincount(of, minlength=n).astype(np.float64)
     length = (w.end - w.start).astype(np.float64)
