@@ -50,7 +50,7 @@ def candidates(rows: np.ndarray, queries: np.ndarray, bits: int, effort: float):
     n, trees = rows.shape
     order = np.argsort(rows, axis=0, kind="stable")
     trees_sorted = np.take_along_axis(rows, order, axis=0)
-    wanted = effort * n
+    wanted = effort * n + trees  # a query's own leaf is met by all trees and doesn't count
     depth = np.full(len(queries), bits)
     lo = np.zeros((trees, len(queries)), dtype=np.int64)
     hi = lo.copy()
