@@ -78,7 +78,7 @@ class Words:
         inside = np.minimum(n, self.count[self.doc] - self.rank)  # words from here to the text's end
         for i in range(n):
             shifted = np.zeros_like(h)
-            shifted[:len(h) - i] = h[i:]
+            shifted[:max(0, len(h) - i)] = h[i:]
             acc = mix64(acc * _BASE + np.where(inside > i, shifted, np.uint64(0)))
         keep = (self.rank == 0) | (inside == n)
         return self.doc[keep], acc[keep]
