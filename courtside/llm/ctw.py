@@ -8,9 +8,9 @@ resulting weights mix the estimates of all depths into one probability per bit.
 
 Counting.  One pass over the training texts counts runs of ``DEPTH + 1`` bytes and words; tasks
 pack their counts by bucket, Spark shuffles the packed counts, and buckets merge them.  Nothing is
-sampled, and what is gathered grows with the corpus.  The tree keeps the ``NODES`` contexts seen
-most often in the whole corpus (a stated capacity; a context's shorter forms are seen at least as
-often, so they are kept too).  What follows a context that isn't kept is counted at its longest kept form,
+sampled, and what is gathered grows with the corpus.  The tree keeps at most ``NODES`` contexts,
+those seen most often in the whole corpus (a stated capacity; a context's shorter forms are seen
+at least as often, so they are kept too).  What follows a context that isn't kept is counted at its longest kept form,
 apart from that node's kept children.  The tree's size is thereby bounded and it is broadcast.
 
 Base score.  Word counts are exact: the ``FREQUENT`` most frequent words are broadcast, and the
@@ -165,27 +165,55 @@ def word_counts(merged: DataFrame) -> DataFrame:
     return merged.where("kind = 1").select("keys", "counts").mapInArrow(run, "word binary, c long")
 
 
-def kept_contexts(merged: DataFrame, nodes: int) -> DataFrame:
-    """(depth, context, n): the ``nodes`` most frequent contexts of 1 to DEPTH bytes."""
+def least_count(counts: DataFrame, column: str, limit: int) -> int:
+    """The least count such that at most ``limit`` rows have that count or more (to within a step
+    of a fine logarithmic scale, so the histogram that is collected stays small)."""
+    step = F.floor(F.log2(column) * 256).cast("long")
+    rows = (counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("k"), F.min(column).alias("least"))
+            .orderBy(F.desc("step")).collect())
+    total, least = 0, 1 << 62
+    for r in rows:
+        total += r["k"]
+        if total > limit:
+            break
+        least = r["least"]
+    return least
+
+
+def frequent_words(merged: DataFrame, least: int) -> list[tuple[bytes, np.ndarray]]:
+    """Words (joined by blanks) and counts of those seen ``least`` times or more, by bucket."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                c = np.frombuffer(c, np.int64)
+                at = np.flatnonzero(c >= least)
+                if len(at):
+                    words = k.split(b" ")
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([b" ".join([words[i] for i in at])], pa.binary()),
+                         pa.array([c[at].tobytes()], pa.binary())], names=["keys", "counts"])
+
+    rows = merged.where("kind = 1").select("keys", "counts").mapInArrow(run, "keys binary, counts binary")
+    return [(bytes(r["keys"]), np.frombuffer(r["counts"], np.int64)) for r in rows.collect()]
+
+
+def context_counts(merged: DataFrame) -> DataFrame:
+    """(depth, context, n) of all contexts of 1 to DEPTH bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 k, c = np.frombuffer(k, np.int64), np.frombuffer(c, np.int64)
                 for depth in range(1, DEPTH + 1):
                     x, n = _merge([(k >> 8) & ((1 << 8 * depth) - 1)], [c])
-                    if depth >= 3 and len(n) > nodes:  # whole counts: only a bucket's largest can be kept
-                        top = np.lexsort((x, -n))[:nodes]
-                        x, n = x[top], n[top]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(x), depth, np.int32)), pa.array(x), pa.array(n)],
                         names=["depth", "context", "n"])
 
     rows = merged.where("kind = 0").select("keys", "counts").mapInArrow(run, "depth int, context long, n long")
-    return (rows.groupBy("depth", "context").agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "depth", "context").limit(nodes))
+    return rows.groupBy("depth", "context").agg(F.sum("n").alias("n"))
 
 
-def followers(merged: DataFrame, kept: "pa.Table | pd.DataFrame") -> DataFrame:
+def followers(merged: DataFrame, kept: pd.DataFrame) -> DataFrame:
     """(node, byte, n): what follows each kept context (node 0: the empty context)."""
     shared = merged.sparkSession.sparkContext.broadcast(  # bounded by NODES
         [np.sort(kept["context"][kept["depth"] == d].to_numpy(np.int64)) for d in range(1, DEPTH + 1)])
@@ -243,7 +271,7 @@ def _bits(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 class ContextTree:
     """Probabilities of the next byte, by the longest kept context: ``child`` (node, byte) leads
-    to the context one byte longer (-1: not kept), ``table`` (node, byte) holds log10 p."""
+    to the context one byte longer (0: not kept), ``table`` (node, byte) holds log10 p."""
 
     def __init__(self, rows: pd.DataFrame):
         """rows: depth, context, byte, n of the empty and all kept contexts."""
@@ -258,7 +286,7 @@ class ContextTree:
         size = len(depth)
         counts = np.zeros((size, 256), dtype=np.float32)
         counts[node, rows["byte"].to_numpy(np.int64)] = rows["n"].to_numpy(np.float32)
-        self.child = np.full((size, 256), -1, dtype=np.int32)
+        self.child = np.zeros((size, 256), dtype=np.uint16 if size < 1 << 16 else np.int32)
         parent = np.full(size, -1, dtype=np.int64)
         start = np.searchsorted(depth, np.arange(DEPTH + 2))
         for d in range(1, DEPTH + 1):
@@ -276,7 +304,7 @@ class ContextTree:
                 part = slice(lo, min(lo + 2048, start[d + 1]))
                 own = _block(*_bits(counts[part]))
                 parts = below[part] + _block(*_bits(other[part]))
-                inner = (self.child[part] >= 0).any(axis=1)[:, None]
+                inner = (self.child[part] > 0).any(axis=1)[:, None]
                 weight[part] = np.where(inner, 1 / (1 + np.exp(np.clip(parts - own, -80, 80))), 1.0)
                 mixed = np.where(inner, np.logaddexp(own, parts) - np.log(2.0), own)
                 if d:
@@ -314,7 +342,7 @@ class ContextTree:
             where = at
             for back in range(1, DEPTH + 1):
                 next_node = child[(node[live] << 8) | buf[where - back]]
-                on = next_node >= 0
+                on = next_node > 0
                 live, where = live[on], where[on]
                 node[live] = next_node[on]
             out[start:start + len(some)] = np.add.reduceat(
@@ -325,17 +353,19 @@ class ContextTree:
 class WordTable:
     """The most frequent words' counts; its dictionary is built once per worker."""
 
-    def __init__(self, words: list[bytes], counts: np.ndarray):
-        self.joined, self.counts, self.known = b" ".join(words), counts, None
+    def __init__(self, parts: list[tuple[bytes, np.ndarray]]):
+        self.parts, self.known = parts, None
 
-    def lookup(self) -> dict[bytes, tuple[int, float]]:
+    def lookup(self) -> dict[bytes, float]:
+        """log10 of a word's count and a half."""
         if self.known is None:
-            words = self.joined.split(b" ") if len(self.counts) else []
-            self.known = dict(zip(words, np.log10(self.counts + 0.5).tolist()))
+            self.known = {}
+            for words, counts in self.parts:
+                self.known.update(zip(words.split(b" "), np.log10(counts + 0.5).tolist()))
         return self.known
 
     def __getstate__(self):
-        return {"joined": self.joined, "counts": self.counts, "known": None}
+        return {"parts": self.parts, "known": None}
 
 
 _SCORED = ("rid long, n_tokens long, frequent long, base double, score double, "
@@ -351,13 +381,13 @@ def score_documents(docs: DataFrame, train: Column, keep: Sequence[str], nodes:
     buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     merged = staged(count_corpus(docs.where(train).select(col("text").cast("string")), buckets))
 
-    kept = kept_contexts(merged, nodes).toPandas()
+    contexts = staged(context_counts(merged))
+    kept = contexts.where(F.col("n") >= least_count(contexts, "n", nodes)).select("depth", "context").toPandas()
     tree = spark.sparkContext.broadcast(ContextTree(followers(merged, kept).toPandas()))  # at most NODES
     words = staged(word_counts(merged))
     total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = words.orderBy(F.desc("c"), "word").limit(frequent).toPandas()
     common = spark.sparkContext.broadcast(  # at most FREQUENT words
-        WordTable([bytes(w) for w in top["word"]], top["c"].to_numpy(np.int64)))
+        WordTable(frequent_words(merged, least_count(words, "c", frequent))))
 
     def make():
         model, known = tree.value, common.value.lookup()
