@@ -116,12 +116,14 @@ DATE_FORMATS: Sequence[tuple[str, str]] = (
     (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
     (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}(:\d{2})?$", "M/d/yyyy H:mm[:ss]"),
     (r"^\d{1,2}/\d{1,2}/\d{2}$", "M/d/yy"),
-    (r"^[A-Za-z]{4,9} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
-    (r"^[A-Za-z]{3}\.? \d{1,2}, \d{4}$", "MMM d, yyyy"),
-    (r"^\d{1,2} [A-Za-z]{3,9} \d{4}$", "d MMMM yyyy"),
+    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}$", "yyyy-M-d H:mm"),
     (r"^\d{8}$", "yyyyMMdd"),
 )
 
+# A month by name: day and year on either side, any of . , - / or blanks between, a time ignored.
+NAMED_MONTH_FIRST = r"^([A-Za-z]{3})[A-Za-z]*[. ,/-]+(\d{1,2})(?:st|nd|rd|th)?[. ,/-]+(\d{4})(?: +\d{1,2}:\d{2}(?::\d{2})?)?$"
+NAMED_DAY_FIRST = r"^(\d{1,2})(?:st|nd|rd|th)?[. ,/-]+([A-Za-z]{3})[A-Za-z]*[. ,/-]+(\d{4})(?: +\d{1,2}:\d{2}(?::\d{2})?)?$"
+
 
 def parse_date(c: str | Column, formats: Sequence[tuple[str, str]] = DATE_FORMATS) -> Column:
     """Any accepted text layout, or an Excel serial day number (1 to 99999), -> DateType.
@@ -131,6 +133,10 @@ def parse_date(c: str | Column, formats: Sequence[tuple[str, str]] = DATE_FORMAT
     for shape, fmt in formats:
         attempt = F.to_date(F.try_to_timestamp(s, F.lit(fmt)))
         out = F.when(s.rlike(shape), attempt) if out is None else out.when(s.rlike(shape), attempt)
+    for shape, day, mon in ((NAMED_MONTH_FIRST, 2, 1), (NAMED_DAY_FIRST, 1, 2)):
+        part = lambda i: F.regexp_extract(s, shape, i)  # noqa: B023, E731
+        text = F.concat(part(3), F.lit("-"), F.initcap(part(mon)), F.lit("-"), part(day))
+        out = out.when(s.rlike(shape), F.to_date(F.try_to_timestamp(text, F.lit("yyyy-MMM-d"))))
     serial = s.try_cast("double")
     excel = F.date_add(F.lit("1899-12-30").cast("date"), F.floor(serial).cast("int"))
     out = out.when(s.rlike(r"^\d{1,5}(\.\d+)?$") & (serial >= 1), excel)

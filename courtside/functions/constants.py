@@ -55,6 +55,14 @@ TEAM_ABBREVIATIONS = {
     "washington": "WAS", "washington wizards": "WAS",
 }
 
+# --- fixed values: raw team names seeded while no log holds any ---
+CANONICAL_TEAMS = (
+    "Atlanta", "Boston", "Brooklyn", "Charlotte", "Chicago", "Cleveland", "Dallas", "Denver",
+    "Detroit", "Golden State", "Houston", "Indiana", "LA Clippers", "LA Lakers", "Memphis", "Miami",
+    "Milwaukee", "Minnesota", "New Orleans", "New York", "Oklahoma City", "Orlando",
+    "Philadelphia", "Phoenix", "Portland", "Sacramento", "San Antonio", "Toronto", "Utah", "Washington",
+)
+
 # --- fixed values: season configuration for slates ---
 SLATE_SEASONS = ("2024-25", "2025-26")
 L30_SEASON = "2025-26"
@@ -150,4 +158,3 @@ SLATE_L30_CSV_COLUMNS = SLATE_COLUMNS + ("L30FPPM",)
 
 MATCH_THRESHOLD = 90
 SLATE_HEADER_MARKERS = ("Position", "Name + ID")
-SLATE_HEADER_SCAN_LINES = 50

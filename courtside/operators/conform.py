@@ -61,11 +61,13 @@ def apply_header(rows: DataFrame, hmap: DataFrame, file_col: str = "_file_name",
 def rename_and_drop(df: DataFrame, renames: Mapping[str, str], drops: Sequence[str] = (),
                     segment_suffix: str | None = K.SEGMENT_HEADER_SUFFIX) -> DataFrame:
     """Rename the columns present, drop those listed (missing ones ignored).  The
-    column whose name ends in ``segment_suffix`` becomes SEASON_SEGMENT."""
+    column whose name ends in ``segment_suffix`` becomes SEASON_SEGMENT (two such: an error)."""
     present = {k: v for k, v in renames.items() if k in df.columns and k != v}
     if segment_suffix and "SEASON_SEGMENT" not in df.columns:
         seg = [c for c in df.columns if c.endswith(segment_suffix)]
-        if len(seg) == 1:
+        if len(seg) > 1:
+            raise ValueError(f"several columns could be the season segment: {sorted(seg)}")
+        if seg:
             present[seg[0]] = "SEASON_SEGMENT"
     out = df.withColumnsRenamed(present) if present else df
     return out.drop(*[c for c in drops if c in out.columns])
@@ -104,17 +106,20 @@ def with_parsed_date(df: DataFrame, col: str = "DATE", formats: Sequence = C.DAT
 def id_reason(c: str):
     """C8 classification of one id cell: missing / non_numeric / fractional / ok."""
     s = C.strip_ws(F.col(c).cast("string"))
-    num = s.try_cast("double")
+    num = s.try_cast("decimal(38,9)")
     return (F.when(s.isNull() | (s == ""), F.lit("missing"))
-             .when(num.isNull() | F.isnan(num), F.lit("non_numeric"))
+             .when(s.try_cast("bigint").isNotNull(), F.lit("ok"))
+             .when(num.isNull(), F.lit("non_numeric"))
              .when(num != F.floor(num), F.lit("fractional"))
+             .when(num.try_cast("bigint").isNull(), F.lit("non_numeric"))
              .otherwise(F.lit("ok")))
 
 
 def normalized_id(c: str):
-    """The id as bigint when it is a whole number, else NULL."""
+    """The id as bigint when it is a whole number, else NULL.  All 64 bits are kept: text goes
+    through bigint, or DECIMAL where it has a point or an exponent, never through double."""
     s = C.strip_ws(F.col(c).cast("string"))
-    return F.when(id_reason(c) == "ok", s.try_cast("double").cast("bigint"))
+    return F.when(id_reason(c) == "ok", F.coalesce(s.try_cast("bigint"), s.try_cast("decimal(38,9)").try_cast("bigint")))
 
 
 def normalize_ids(df: DataFrame, cols: Sequence[str] = ("PLAYER_ID", "GAME_ID")) -> tuple[DataFrame, DataFrame]:
@@ -125,7 +130,7 @@ def normalize_ids(df: DataFrame, cols: Sequence[str] = ("PLAYER_ID", "GAME_ID"))
     present = [c for c in cols if c in df.columns]
     accepted = tagged.where(F.col("reject_reason").isNull()).drop("reject_reason")
     for c in present:
-        accepted = accepted.withColumn(c, C.strip_ws(F.col(c).cast("string")).try_cast("double").cast("bigint"))
+        accepted = accepted.withColumn(c, normalized_id(c))
     return accepted, tagged.where(F.col("reject_reason").isNotNull())
 
 

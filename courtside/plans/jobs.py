@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import sinks
-from ..session import cut_lineage
+from ..session import cut_lineage, stage
+from ..functions import columns as C
 from ..functions import constants as K
 from ..operators import conform as CF
 from ..operators import ingest as I
@@ -40,152 +41,261 @@ class FeedError(RuntimeError):
 @dataclass
 class IngestResult:
     files: list[str] = field(default_factory=list)
+    overwritten: list[str] = field(default_factory=list)   # names delivered before, with other content
+    rejected: dict[str, str] = field(default_factory=dict)  # file -> why none of it was loaded
     rows_added: int = 0
     members_added: int = 0
     dropped_missing_ids: int = 0
+    bad_cells: dict[str, int] = field(default_factory=dict)  # numeric column -> cells stored as NULL
     absences_inserted: int = 0
+    absence_conflicts: int = 0                               # absences that had a box score
     absence_files_without_sheet: list[str] = field(default_factory=list)
     touched_segments: list[str | None] = field(default_factory=list)
 
 
-def _numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    for c in cols:
-        if c in df.columns:
-            df = df.withColumn(c, F.col(c).try_cast("double"))
-    return df
-
-
-def _conform_dates_ids(df: DataFrame, id_cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """C7 + C8: DATE -> DateType; ids -> bigint.  Returns (clean, rejected with reason)."""
-    dated, bad_dates = CF.normalize_dates(df, "DATE")
-    ok, bad_ids = CF.normalize_ids(dated, id_cols)
-    return ok, bad_dates.unionByName(bad_ids, allowMissingColumns=True)
+@dataclass
+class Feed:
+    """How a feed's main sheet becomes rows of a log."""
+    name: str
+    log: str
+    header_row: int
+    skip_after_header: int
+    hyphen_to_underscore: bool
+    renames: dict
+    drops: Sequence[str]
+    numeric: Sequence[str]
+
+
+BOX = Feed("box", "player_logs", 0, 0, True, K.BOX_RENAMES, (), BOX_NUMERIC)
+DFS = Feed("dfs", "fantasy_logs", 1, 1, False, K.DFS_RENAMES, K.DFS_DROP, DFS_NUMERIC)
+LOAD_COLUMNS = ("_load_no", "_file_name", "_row_no")   # insertion order, kept in every log
+FATAL = ("non_numeric", "fractional", "unparseable_date")
+
+
+def _numeric(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict[str, int]]:
+    """Numeric columns as double; how many cells of each were text (stored as NULL, reported)."""
+    present = [c for c in cols if c in df.columns]
+    if not present:
+        return df, {}
+    bad = df.agg(*[F.count(F.when(C.blank_to_null(F.col(c)).isNotNull() & F.col(c).try_cast("double").isNull(), 1))
+                   .alias(c) for c in present]).first().asDict()
+    for c in present:
+        df = df.withColumn(c, F.col(c).try_cast("double"))
+    return df, {c: n for c, n in bad.items() if n}
 
 
-def _pending_files(spark: SparkSession, root: str, feed: str, landing: str, glob: str | None) -> list[str]:
+def _pending_files(spark: SparkSession, root: str, feed: str, landing: str, glob: str | None) -> list:
+    """Deliveries not loaded yet, by name: (path, name, length, modified).  The listing is metadata."""
     listing = FD.file_listing(spark, landing)
     if glob:
         listing = listing.where(F.col("_file_name").rlike(glob))
-    pending = listing.join(sinks.processed_files(spark, root, feed), "_file_name", "left_anti")
-    # the file list is metadata (names), not data rows
-    return sorted(r["path"] for r in pending.select("path").collect())
-
-
-def _check_rejections(rejected: DataFrame, fatal: Sequence[str]) -> int:
-    """Fail on fatal id/date reasons; return the number of rows dropped for a missing id."""
-    counts = {r["reject_reason"]: r["n"] for r in
-              rejected.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n")).collect()}
-    bad = {k: v for k, v in counts.items() if any(k.endswith(f) for f in fatal)}
-    if bad:
-        raise FeedError(f"rejected rows: {bad}")
-    return sum(v for k, v in counts.items() if k.endswith("missing"))
-
-
-def ingest_box_scores(spark: SparkSession, root: str, landing: str, run_id: str,
-                      glob: str | None = r"\.(xlsx|csv)$", duplicate_policy: str = "error") -> IngestResult:
-    """B1 (+B3 for the absence sheet of the same workbooks)."""
-    res = IngestResult()
-    files = _pending_files(spark, root, "box", landing, glob)
-    if not files:
-        return res
-    rows = FD.read_feed_rows(spark, files)
-    box = CF.rename_and_drop(FD.sheet_frame(rows, 0, header_row=0, hyphen_to_underscore=True), K.BOX_RENAMES)
-    box = CF.standardize_names(_numeric(box, BOX_NUMERIC), "PLAYER")
-    box, rejected = _conform_dates_ids(box, ["PLAYER_ID", "GAME_ID"])
-    res.dropped_missing_ids = _check_rejections(rejected, ("non_numeric", "fractional", "unparseable_date"))
-    box = I.check_within_file(box, KEYS, duplicate_policy)
-    stored = sinks.read_log(spark, root, "player_logs")
+    listing = listing.select("path", "_file_name", "length", F.col("modificationTime").alias("modified"))
+    pending = listing.join(sinks.processed_files(spark, root, feed), ["_file_name", "length", "modified"], "left_anti")
+    return sorted(pending.collect(), key=lambda r: (r["_file_name"], r["path"]))
+
+
+def _why_rejected(df: DataFrame, fatal: Sequence[str]) -> dict[str, str]:
+    """file -> fatal reasons with their row counts (a row per file and reason)."""
+    counts = (df.where(F.col("reject_reason").isNotNull()).groupBy("_file_name", "reject_reason")
+                .agg(F.count(F.lit(1)).alias("n")).orderBy("_file_name", "reject_reason").collect())
+    why: dict[str, list[str]] = {}
+    for r in counts:
+        if r["reject_reason"].endswith(tuple(fatal)):
+            why.setdefault(r["_file_name"], []).append(f"{r['reject_reason']} ({r['n']} rows)")
+    return {f: ", ".join(x) for f, x in why.items()}
+
+
+def _without(df: DataFrame, rejected: dict[str, str]) -> DataFrame:
+    return df.where(~F.col("_file_name").isin(list(rejected))) if rejected else df
+
+
+def _header_faults(rows: DataFrame, feed: Feed) -> dict[str, str]:
+    """Files that cannot be parsed or whose headers collide once sanitised."""
+    why = {r["_file_name"]: r["cells"][0] for r in rows.where(F.col("_sheet") == FD.UNREADABLE).collect()}
+    hmap = FD.sheet_header(rows, 0, feed.header_row, feed.hyphen_to_underscore)
+    for r in CF.header_collisions(hmap).collect():
+        why[r["_file_name"]] = f"headers {sorted(r['raws'])} are both {r['name']}"
+    return why
+
+
+def _checked(df: DataFrame, id_cols: Sequence[str], fatal: Sequence[str]) -> tuple[DataFrame, dict[str, str], int]:
+    """C7 + C8 with per-file isolation: (rows with typed dates and ids, file -> why it is
+    rejected, rows dropped for a missing id)."""
+    tagged = CF.with_parsed_date(df, "DATE", out="_parsed")
+    dates = F.col("reject_reason")
+    tagged = tagged.withColumn("_date_reason", F.when(dates.isNotNull(), F.concat(F.lit("DATE:"), dates)))
+    tagged = CF.with_id_reasons(tagged, id_cols).withColumn("reject_reason", F.coalesce("_date_reason", "reject_reason"))
+    tagged = cut_lineage(tagged)
+    rejected = _why_rejected(tagged, fatal)
+    kept = _without(tagged, rejected)
+    missing = kept.where(F.col("reject_reason").endswith("missing")).count()
+    out = kept.where(F.col("reject_reason").isNull()).withColumn("DATE", F.col("_parsed"))
+    for c in id_cols:
+        if c in out.columns:
+            out = out.withColumn(c, CF.normalized_id(c))
+    return out.drop("_parsed", "_date_reason", "reject_reason"), rejected, missing
+
+
+def _repeated_within(df: DataFrame, policy: str) -> dict[str, str]:
+    """D3 per file: files that repeat a key (policy 'error'); none under 'keep_first'."""
+    if policy not in ("error", "keep_first"):
+        raise ValueError(f"unknown policy {policy!r}")
+    if policy == "keep_first":
+        return {}
+    bad = (Q.within_file_duplicates(df, KEYS).groupBy("_file_name")
+           .agg(F.count(F.lit(1)).alias("n")).collect())
+    return {r["_file_name"]: f"{r['n']} keys occur more than once" for r in bad}
+
+
+def _months(df: DataFrame) -> list[str | None]:
+    """Months of a batch's dates: the only ones whose stored keys are read."""
+    return [r[0] for r in df.select(sinks.month(F.col("DATE"))).distinct().collect()]
+
+
+def _load(spark: SparkSession, root: str, rows: DataFrame, feed: Feed, load_no: int, policy: str,
+          res: IngestResult) -> None:
+    """The main sheet of parsed files into the feed's log and the player dimension.  Everything is
+    derived and checked before the first write; a file that fails is left out whole."""
+    res.rejected |= _header_faults(rows, feed)
+    df = FD.sheet_frame(_without(rows, res.rejected), 0, header_row=feed.header_row,
+                        skip_after_header=feed.skip_after_header, hyphen_to_underscore=feed.hyphen_to_underscore)
+    df = CF.rename_and_drop(df, feed.renames, feed.drops)
+    if feed is DFS and "SEASON_SEGMENT" not in df.columns:
+        df = df.withColumn("SEASON_SEGMENT", F.lit(None).cast("string"))
+    if not {*KEYS, "PLAYER"} <= set(df.columns):   # no file has the columns
+        for f in _files_of(rows):
+            res.rejected.setdefault(f, f"columns {[c for c in (*KEYS, 'PLAYER') if c not in df.columns]} are missing")
+        return
+    df = CF.standardize_names(df, "PLAYER")
+    df, why, res.dropped_missing_ids = _checked(df, ["PLAYER_ID", "GAME_ID"], FATAL)
+    res.rejected |= why
+    why = _repeated_within(df, policy)
+    res.rejected |= why
+    df, res.bad_cells = _numeric(_without(df, why), feed.numeric)
+    months = _months(df)
+    stored = sinks.read_log(spark, root, feed.log, months=months)
+    fresh = I.new_rows(df, stored.select(*KEYS) if stored is not None else None).withColumn("_load_no", F.lit(load_no))
     # checkpointed (reliably, into spark.checkpoint.dir): both writes below see the same rows
     # even if executors are lost, and the plan of the writes starts from stored data
-    fresh = cut_lineage(I.new_rows(box, stored.select(*KEYS) if stored is not None else None))
-    dim = sinks.read_log(spark, root, "dim_players")
-    members = cut_lineage(I.learn_members(fresh, dim))
+    fresh = cut_lineage(fresh.withColumn("_load_no", F.col("_load_no").cast("long")))
+    members = cut_lineage(I.learn_members(fresh, sinks.read_log(spark, root, "dim_players")))
     res.members_added = members.count()
     res.rows_added = fresh.count()
     if res.members_added:
         sinks.append_log(members, root, "dim_players")
     if res.rows_added:
-        sinks.append_log(fresh.drop("_row_no"), root, "player_logs")
-    res.files = [f.rsplit("/", 1)[-1] for f in files]
-    absent = ingest_absences(spark, root, rows, res.files)
-    res.absences_inserted, res.absence_files_without_sheet = absent
-    sinks.record_files(spark, root, [(f, "box", run_id, "ok", None) for f in res.files])
+        sinks.append_log(fresh, root, feed.log)
+        Q.assert_unique(sinks.read_log(spark, root, feed.log, months=months), KEYS)   # M3
+        if "SEASON_SEGMENT" in fresh.columns:
+            res.touched_segments = [r[0] for r in fresh.select("SEASON_SEGMENT").distinct().collect()]
+
+
+def _files_of(rows: DataFrame) -> list[str]:
+    return sorted(r[0] for r in rows.select("_file_name").distinct().collect())
+
+
+def load_rows(spark: SparkSession, root: str, rows: DataFrame, feed: Feed, files: Sequence, run_id: str,
+              duplicate_policy: str = "error") -> IngestResult:
+    """Parsed rows of deliveries ``files`` (name, length, modified) into the logs."""
+    res = IngestResult()
+    load_no = sinks.next_load(spark, root)
+    before = {r["_file_name"] for r in sinks.processed_files(spark, root, feed.name).select("_file_name").distinct()
+              .join(F.broadcast(spark.createDataFrame([(f["_file_name"],) for f in files], "_file_name string")),
+                    "_file_name", "left_semi").collect()}
+    _load(spark, root, rows, feed, load_no, duplicate_policy, res)
+    res.files = [f["_file_name"] for f in files if f["_file_name"] not in res.rejected]
+    if feed is BOX and res.files:
+        absences = ingest_absences(spark, root, _without(rows, res.rejected), res.files, load_no)
+        res.absences_inserted, res.absence_files_without_sheet = absences.inserted, absences.without_sheet
+        res.absence_conflicts = absences.conflicts
+        res.rejected |= absences.rejected
+        res.files = [f for f in res.files if f not in absences.rejected]
+    res.overwritten = [f for f in res.files if f in before]
+    sinks.record_files(spark, root, [(f["_file_name"], feed.name, run_id, "ok", None, f["length"], f["modified"], load_no)
+                                     for f in files if f["_file_name"] in res.files])
     return res
 
 
-def ingest_absences(spark: SparkSession, root: str, rows: DataFrame, files: Sequence[str]) -> tuple[int, list[str]]:
+def _ingest(spark: SparkSession, root: str, landing: str, run_id: str, feed: Feed, glob: str | None,
+            policy: str) -> IngestResult:
+    files = _pending_files(spark, root, feed.name, landing, glob)
+    if not files:
+        return IngestResult()
+    # every file is parsed once: all checks and both sheets read the staged rows
+    rows = stage(FD.read_feed_rows(spark, [f["path"] for f in files]))
+    return load_rows(spark, root, rows, feed, files, run_id, policy)
+
+
+def ingest_box_scores(spark: SparkSession, root: str, landing: str, run_id: str,
+                      glob: str | None = r"\.(xlsx|csv)$", duplicate_policy: str = "error") -> IngestResult:
+    """B1 (+B3 for the absence sheet of the same workbooks)."""
+    return _ingest(spark, root, landing, run_id, BOX, glob, duplicate_policy)
+
+
+@dataclass
+class AbsenceResult:
+    inserted: int = 0
+    conflicts: int = 0
+    without_sheet: list[str] = field(default_factory=list)
+    rejected: dict[str, str] = field(default_factory=dict)
+
+
+def ingest_absences(spark: SparkSession, root: str, rows: DataFrame, files: Sequence[str],
+                    load_no: int | None = None) -> AbsenceResult:
     """Absence sheet -> player_absences (box score wins, first copy per key, new keys only)."""
+    res = AbsenceResult()
+    if load_no is None:
+        load_no = sinks.next_load(spark, root)
     present = {r["_file_name"] for r in rows.where(F.col("_sheet") == K.ABSENCE_SHEET)
                .select("_file_name").distinct().collect()}
-    missing = [f for f in files if f not in present]
+    res.without_sheet = [f for f in files if f not in present]
     if not present:
-        return 0, missing
+        return res
     ab = CF.rename_and_drop(FD.sheet_frame(rows, K.ABSENCE_SHEET, header_row=0), K.ABSENCE_RENAMES)
     Q.require_columns(ab, K.ABSENCE_REQUIRED, "absence sheet")
     ab = CF.standardize_names(ab, "PLAYER")
-    ab, rejected = _conform_dates_ids(ab, ["PLAYER_ID", "GAME_ID"])
-    _check_rejections(rejected, ("non_numeric", "fractional", "unparseable_date", "missing"))
+    ab, res.rejected, _ = _checked(ab, ["PLAYER_ID", "GAME_ID"], (*FATAL, "missing"))
     ab = CF.classify_absence(ab)
-    ab = Q.first_by_key(ab, list(KEYS), ["_file_name", "_row_no"])          # D4 within this run
-    box = sinks.read_log(spark, root, "player_logs")
+    firsts = Q.first_by_key(ab, list(KEYS), ["_file_name", "_row_no"])      # D4 within this run
+    months = _months(firsts)
+    box = sinks.read_log(spark, root, "player_logs", months=months)
+    free = I.drop_conflicts(firsts, box) if box is not None else firsts      # J4
     if box is not None:
-        ab = I.drop_conflicts(ab, box)                                      # J4
-    stored = sinks.read_log(spark, root, "player_absences")
+        res.conflicts = firsts.join(box.select(*KEYS), list(KEYS), "left_semi").count()
+    stored = sinks.read_log(spark, root, "player_absences", months=months)
     if stored is not None:
-        ab = ab.join(stored.select(*KEYS), list(KEYS), "left_anti")           # J3
-    out = cut_lineage(CF.absence_columns(ab))
-    n = out.count()
-    if n:
-        dim = sinks.read_log(spark, root, "dim_players")
-        members = I.learn_members(ab.select("PLAYER_ID", "PLAYER", "_file_name", "_row_no"), dim)
+        free = free.join(stored.select(*KEYS), list(KEYS), "left_anti")      # J3
+    out = cut_lineage(free.withColumn("_load_no", F.lit(load_no).cast("long"))
+                      .select(*K.ABSENCE_COLUMNS, *LOAD_COLUMNS))
+    res.inserted = out.count()
+    if res.inserted:
+        members = cut_lineage(I.learn_members(out.select("PLAYER_ID", "PLAYER", "_file_name", "_row_no"),
+                                              sinks.read_log(spark, root, "dim_players")))
         sinks.append_log(members, root, "dim_players")
         sinks.append_log(out, root, "player_absences")
-    return n, missing
+        Q.assert_unique(sinks.read_log(spark, root, "player_absences", months=months), KEYS)
+    return res
 
 
 def ingest_fantasy_logs(spark: SparkSession, root: str, landing: str, run_id: str,
                         glob: str | None = r"\.(xlsx|csv)$", duplicate_policy: str = "error") -> IngestResult:
     """B2: DFS feed (header on the second row, the row after it discarded, hyphens stripped)."""
-    res = IngestResult()
-    files = _pending_files(spark, root, "dfs", landing, glob)
-    if not files:
-        return res
-    rows = FD.read_feed_rows(spark, files)
-    df = FD.sheet_frame(rows, 0, header_row=1, skip_after_header=1, hyphen_to_underscore=False)
-    df = CF.rename_and_drop(df, K.DFS_RENAMES, K.DFS_DROP)
-    df = CF.standardize_names(_numeric(df, DFS_NUMERIC), "PLAYER")
-    df, rejected = _conform_dates_ids(df, ["PLAYER_ID", "GAME_ID"])
-    res.dropped_missing_ids = _check_rejections(rejected, ("non_numeric", "fractional", "unparseable_date"))
-    df = I.check_within_file(df, KEYS, duplicate_policy)
-    stored = sinks.read_log(spark, root, "fantasy_logs")
-    fresh = cut_lineage(I.new_rows(df, stored.select(*KEYS) if stored is not None else None))
-    dim = sinks.read_log(spark, root, "dim_players")
-    members = cut_lineage(I.learn_members(fresh, dim))
-    res.members_added = members.count()
-    res.rows_added = fresh.count()
-    if res.members_added:
-        sinks.append_log(members, root, "dim_players")
-    if res.rows_added:
-        # partitioned by segment: a season's rows can be read (and recomputed) on their own
-        sinks.append_log(fresh.drop("_row_no"), root, "fantasy_logs", partition_by=("SEASON_SEGMENT",))
-        res.touched_segments = [r[0] for r in fresh.select("SEASON_SEGMENT").distinct().collect()]
-    res.files = [f.rsplit("/", 1)[-1] for f in files]
-    sinks.record_files(spark, root, [(f, "dfs", run_id, "ok", None) for f in res.files])
-    return res
+    return _ingest(spark, root, landing, run_id, DFS, glob, duplicate_policy)
 
 
 def seed_map_teams(spark: SparkSession, root: str, run_id: str, force: bool = False) -> DataFrame:
-    """M8: team dimension from the data (fantasy logs first, then box scores)."""
+    """M8: team dimension from the data (fantasy logs first, then box scores); the canonical teams
+    while no log holds a team name."""
     from ..operators.repair import check_seed
     sources = [t for t in (sinks.read_log(spark, root, "fantasy_logs"), sinks.read_log(spark, root, "player_logs"))
                if t is not None and "TEAM" in t.columns]
-    if not sources:
-        raise FeedError("no log table with a TEAM column")
-    mapped, unmapped = CF.seed_team_map(sources, CF.team_spellings(spark))
+    canonical = spark.createDataFrame([(t,) for t in K.CANONICAL_TEAMS], "TEAM string")
+    mapped, unmapped = CF.seed_team_map([*sources, canonical], CF.team_spellings(spark))
+    mapped = cut_lineage(mapped)   # a row per distinct raw name
     existing = sinks.read_table(spark, root, "map_teams")
     check_seed(existing.count() if existing is not None else 0,
-               [r[0] for r in unmapped.collect()], force)
-    sinks.publish(mapped, root, "map_teams", run_id)
+               [r[0] for r in mapped.where(F.col("TEAM_ABBREVIATION").isNull()).collect()], force)
+    sinks.publish(mapped, root, "map_teams", run_id, keys=("RAW_TEAM_NAME",))
     return mapped
 
 
@@ -193,28 +303,48 @@ AVERAGES_KEYS = ("SEASON_TYPE", "PLAYER_ID", "SEASON", "TEAM")
 
 
 def affected_segments(logs: DataFrame, touched: Sequence[str | None], as_of, window_days: int = 30,
-                      slack_days: int = 7) -> list[str | None]:
+                      previous: DataFrame | None = None) -> list[str | None]:
     """Segments whose (season type, season) group must be recomputed: those of touched segments,
-    and those with games recent enough that the trailing window still moves (``slack_days``
-    tolerates skipped runs).  Returns segment strings (tens of values: metadata, not data)."""
+    those with games inside the trailing window, and those whose previous trailing values are not
+    zero (they have to fall).  Returns segment strings (tens of values: metadata, not data)."""
     seg = logs.groupBy("SEASON_SEGMENT").agg(F.max("DATE").alias("last_game"))
     lookup = S.classify_season(seg)
-    horizon = F.date_sub(F.lit(str(as_of)[:10]).cast("date"), window_days + slack_days)
+    horizon = F.date_sub(F.lit(str(as_of)[:10]).cast("date"), window_days)
     touched_set = [t for t in touched if t is not None]
     hit = lookup.where(F.col("SEASON_SEGMENT").isin(touched_set) | (F.col("last_game") >= horizon))
-    keys = hit.where(F.col("SEASON_KEY").isNotNull()).select("SEASON_TYPE", "SEASON_KEY").distinct()
-    rows = lookup.join(F.broadcast(keys), ["SEASON_TYPE", "SEASON_KEY"], "left_semi").select("SEASON_SEGMENT").collect()
+    keys = hit.where(F.col("SEASON_KEY").isNotNull()).select("SEASON_TYPE", "SEASON_KEY")
+    if previous is not None:
+        moving = F.lit(False)
+        for c in ("L30_DK_POINTS_sum", "L30_MINUTES_sum", "L30FPPM"):
+            moving = moving | (F.col(c) != 0)
+        keys = keys.unionByName(previous.where(moving).select("SEASON_TYPE", F.col("SEASON").alias("SEASON_KEY")))
+    rows = lookup.join(keys.distinct(), ["SEASON_TYPE", "SEASON_KEY"], "left_semi").select("SEASON_SEGMENT").collect()
     return [r[0] for r in rows]
 
 
-def build_fantasy_averages(spark: SparkSession, root: str, as_of, run_id: str,
-                           touched_segments: Sequence[str | None] | None = None) -> DataFrame:
+def _basis(spark: SparkSession, root: str) -> str:
+    """What the published averages rest on besides the rows loaded since: the dimensions' content
+    and the log's folder, which every rewrite changes.  Equal text: equal basis."""
+    parts = [sinks.log_folder(spark, root, "fantasy_logs")]
+    for t in (sinks.read_log(spark, root, "dim_players"), sinks.read_table(spark, root, "map_teams")):
+        h = F.xxhash64(*[F.col(c) for c in t.columns])
+        r = t.agg(F.count(F.lit(1)), F.bit_xor(h), F.sum(h.cast("decimal(38,0)"))).first()
+        parts.append(f"{r[0]}:{r[1]}:{r[2]}")
+    return "|".join(map(str, parts))
+
+
+STATE_SCHEMA = "basis string, load_no long, window_days int"
+
+
+def build_fantasy_averages(spark: SparkSession, root: str, as_of, run_id: str, incremental: bool = True,
+                           window_days: int = 30) -> DataFrame:
     """B4 + K2: compute and publish ``fantasy_averages``.
 
-    With ``touched_segments`` (the segments that received new rows) and a previous version,
-    only the affected seasons are recomputed -- their log partitions are the only ones read --
-    and the other seasons' rows are carried over from the previous version.  Without them,
-    everything is recomputed.  Either way the result is the same table.
+    If the previous version rests on the same dimensions and the same (not rewritten) log, only
+    the affected seasons are recomputed -- their log partitions are the only ones read -- and the
+    other seasons' rows are carried over.  What was loaded since is taken from the log's own load
+    numbers, so a run that failed between loading and averaging leaves nothing stale.  Otherwise,
+    or with ``incremental=False``, everything is recomputed.  Either way the result is the same.
     """
     missing = [t for t in ("fantasy_logs", "dim_players") if sinks.read_log(spark, root, t) is None]
     if sinks.read_table(spark, root, "map_teams") is None:
@@ -224,18 +354,25 @@ def build_fantasy_averages(spark: SparkSession, root: str, as_of, run_id: str,
     logs = sinks.read_log(spark, root, "fantasy_logs")
     dims = (sinks.read_log(spark, root, "dim_players"), sinks.read_table(spark, root, "map_teams"))
     previous = sinks.read_table(spark, root, "fantasy_averages")
-    if touched_segments is None or previous is None:
-        avg = M.season_averages(logs, *dims, as_of)
+    state = sinks.read_table(spark, root, "averages_state")
+    state = state.first() if state is not None else None
+    basis = _basis(spark, root)
+    numbered = "_load_no" in logs.columns
+    latest = logs.agg(F.max("_load_no")).first()[0] if numbered else None
+    same = state is not None and state["basis"] == basis and state["window_days"] == window_days
+    if not (incremental and same and numbered and previous is not None):
+        avg = M.season_averages(logs, *dims, as_of, window_days)
     else:
-        segs = affected_segments(logs, touched_segments, as_of)
-        cond = F.col("SEASON_SEGMENT").isin([x for x in segs if x is not None])
-        fresh = M.season_averages(logs.where(cond), *dims, as_of)        # partition-pruned scan
-        done = fresh.select("SEASON_TYPE", "SEASON").distinct()
-        stale = S.classify_season(spark.createDataFrame([(x,) for x in segs], "SEASON_SEGMENT string")) \
-                 .select("SEASON_TYPE", F.col("SEASON_KEY").alias("SEASON")).unionByName(done).distinct()
-        kept = previous.join(F.broadcast(stale), ["SEASON_TYPE", "SEASON"], "left_anti")
-        avg = kept.unionByName(fresh)
+        # rows without a number were stored before the first numbered load
+        new = logs.where(F.col("_load_no") > F.lit(state["load_no"])) if state["load_no"] is not None else logs
+        touched = [r[0] for r in new.select("SEASON_SEGMENT").distinct().collect()]
+        segs = [x for x in affected_segments(logs, touched, as_of, window_days, previous) if x is not None]
+        fresh = M.season_averages(logs.where(F.col("SEASON_SEGMENT").isin(segs)), *dims, as_of, window_days)
+        stale = (S.classify_season(spark.createDataFrame([(x,) for x in segs], "SEASON_SEGMENT string"))
+                 .select("SEASON_TYPE", F.col("SEASON_KEY").alias("SEASON")).distinct())   # a row per season
+        avg = previous.join(stale, ["SEASON_TYPE", "SEASON"], "left_anti").select(*fresh.columns).unionByName(fresh)
     sinks.publish(avg, root, "fantasy_averages", run_id, keys=AVERAGES_KEYS)
+    sinks.publish(spark.createDataFrame([(basis, latest, window_days)], STATE_SCHEMA), root, "averages_state", run_id)
     return sinks.read_table(spark, root, "fantasy_averages")
 
 
@@ -249,7 +386,7 @@ def publish_average_views(spark: SparkSession, averages: DataFrame, export_dir:
         v.createOrReplaceTempView(view)
         done.append(view)
         if export_dir:
-            sinks.export_csv(v, export_dir, base, stamp)
+            sinks.export_csv(v, export_dir, base, stamp, single_file=False)
     return done
 
 
@@ -276,7 +413,7 @@ def build_slates(spark: SparkSession, root: str, entries_path: str, averages: Da
     SL.export_order(daily).createOrReplaceTempView("vw_daily_slate")
     SL.export_order(l30, with_season=False).createOrReplaceTempView("vw_daily_slate_l30")
     playoffs = S.season_type_view(averages, "Playoffs")
-    resolved_p = MT.match_names(entries, playoffs.select("PLAYER"), name_col="Name")
+    resolved_p = cut_lineage(MT.match_names(entries, playoffs.select("PLAYER"), name_col="Name"))
     SL.export_order(SL.playoff_slate(averages, MT.matched_names(resolved_p), playoff_season)) \
         .createOrReplaceTempView("vw_daily_slate_playoffs")
     if export_dir:
@@ -297,7 +434,7 @@ def run_daily(spark: SparkSession, root: str, box_landing: str, dfs_landing: str
     summary = {"run_id": run_id, "files_processed": 0, "files_overwritten": 0, "fantasy_rows_dropped": 0,
                "absence_rows_inserted": 0, "errors": [], "warnings": []}
 
-    def stage(name, fn):
+    def run(name, fn):
         try:
             return fn()
         except Exception as e:  # noqa: BLE001 - isolate stages, surface the error in the summary
@@ -305,23 +442,32 @@ def run_daily(spark: SparkSession, root: str, box_landing: str, dfs_landing: str
             summary["warnings"].append(traceback.format_exc(limit=1).strip().splitlines()[-1])
             return None
 
-    box = stage("box_scores", lambda: ingest_box_scores(spark, root, box_landing, run_id))
+    def told(feed, res: IngestResult) -> None:
+        summary["files_processed"] += len(res.files)
+        summary["files_overwritten"] += len(res.overwritten)
+        summary["errors"] += [f"{feed}: {f}: {why}" for f, why in sorted(res.rejected.items())]
+        summary["warnings"] += [f"{feed}: {n} cells of {c} are no numbers" for c, n in sorted(res.bad_cells.items())]
+
+    box = run("box_scores", lambda: ingest_box_scores(spark, root, box_landing, run_id))
     if box:
-        summary["files_processed"] += len(box.files)
+        told("box_scores", box)
         summary["absence_rows_inserted"] = box.absences_inserted
+        if box.absence_conflicts:
+            summary["warnings"].append(f"{box.absence_conflicts} absences have a box score and were left out")
         for f in box.absence_files_without_sheet:
             summary["warnings"].append(f"{f}: no {K.ABSENCE_SHEET} sheet")
-    dfs = stage("fantasy_logs", lambda: ingest_fantasy_logs(spark, root, dfs_landing, run_id))
+    dfs = run("fantasy_logs", lambda: ingest_fantasy_logs(spark, root, dfs_landing, run_id))
     if dfs:
-        summary["files_processed"] += len(dfs.files)
+        told("fantasy_logs", dfs)
         summary["fantasy_rows_dropped"] = dfs.dropped_missing_ids
         if dfs.dropped_missing_ids:
             summary["warnings"].append(f"dropped {dfs.dropped_missing_ids} fantasy rows with a missing id")
-    touched = dfs.touched_segments if dfs else None
-    avg = stage("summary", lambda: build_fantasy_averages(spark, root, as_of, run_id, touched))
+    avg = run("summary", lambda: build_fantasy_averages(spark, root, as_of, run_id))
     if avg is not None:
-        stage("views", lambda: publish_average_views(spark, avg, export_dir, now))
-        slate = stage("slate", lambda: build_slates(spark, root, entries_path, avg, now.date().isoformat(),
+        run("drops", lambda: summary["warnings"].extend(dropped_rows(spark, root)))
+        run("schema", lambda: sinks.record_schema(spark, root, run_id, "fantasy_averages", avg))
+        run("views", lambda: publish_average_views(spark, avg, export_dir, now))
+        slate = run("slate", lambda: build_slates(spark, root, entries_path, avg, now.date().isoformat(),
                                                     export_dir, now))
         if slate is None:
             summary["warnings"].append("slate not rebuilt (entries file missing or stage failed)")
@@ -331,6 +477,22 @@ def run_daily(spark: SparkSession, root: str, box_landing: str, dfs_landing: str
     return summary
 
 
+def dropped_rows(spark: SparkSession, root: str) -> list[str]:
+    """What the averages leave out: rows by unclassifiable segment, unknown player, unmapped team."""
+    logs = sinks.read_log(spark, root, "fantasy_logs")
+    out = [f"{r['rows_dropped']} rows of segment {r['SEASON_SEGMENT']!r} are in no season"
+           for r in S.unclassified_segments(logs).orderBy("SEASON_SEGMENT").collect()]
+    unknown = logs.join(sinks.read_log(spark, root, "dim_players"), "PLAYER_ID", "left_anti").count()
+    if unknown:
+        out.append(f"{unknown} rows have no known player")
+    if "TEAM" in logs.columns:
+        teams = Q.unmapped_teams(logs, sinks.read_table(spark, root, "map_teams"))
+        names = sorted(r[0] for r in teams.collect())   # distinct raw team names
+        if names:
+            out.append(f"unmapped teams: {names}")
+    return out
+
+
 # --------------------------------------------------------------------------- maintenance jobs
 
 LOG_TABLES = ("player_logs", "fantasy_logs", "player_absences")
@@ -346,7 +508,13 @@ def duplicate_audit(spark: SparkSession, root: str, tables: Sequence[str] = LOG_
         if df is None:
             continue
         Q.require_columns(df, KEYS, t)
-        stats.append(Q.duplicate_stats(df).withColumn("table_name", F.lit(t)))
+        df = df.drop(*LOAD_COLUMNS)   # copies are compared by what the feeds say
+        verdict = Q.duplicate_verdict(df, KEYS).agg(
+            F.count(F.when(F.col("exact_copies"), 1)).alias("keys_of_exact_copies"),
+            F.count(F.when(~F.col("exact_copies"), 1)).alias("keys_of_differing_copies"))
+        # both sides are one row
+        stats.append(Q.duplicate_stats(df).withColumn("table_name", F.lit(t))
+                     .join(verdict.withColumn("table_name", F.lit(t)), "table_name"))
         groups.append(Q.duplicate_groups(df, top=top).withColumn("table_name", F.lit(t)))
     if not stats:
         empty = spark.createDataFrame([], "table_name string")
@@ -362,7 +530,7 @@ def duplicate_audit(spark: SparkSession, root: str, tables: Sequence[str] = LOG_
 
 
 def duplicate_repair(spark: SparkSession, root: str, run_id: str, tables: Sequence[str] = LOG_TABLES) -> dict:
-    """M2: keep the earliest copy per key (file order, then row order), only for tables that have
+    """M2: keep the first inserted copy per key (load, file, row), only for tables that have
     duplicates; the previous content is kept as a backup; re-audited after."""
     removed = {}
     for t in tables:
@@ -372,7 +540,7 @@ def duplicate_repair(spark: SparkSession, root: str, run_id: str, tables: Sequen
         extra = Q.duplicate_stats(df).first()["extra_rows"]
         if not extra:
             continue
-        order = [c for c in ("_file_name", "_row_no") if c in df.columns] or [c for c in df.columns if c not in KEYS]
+        order = [c for c in LOAD_COLUMNS if c in df.columns] or [c for c in df.columns if c not in KEYS]
         fixed = cut_lineage(Q.remove_duplicates(df, KEYS, order))
         sinks.replace_log(fixed, root, t, run_id)
         removed[t] = int(extra)
@@ -383,29 +551,31 @@ def duplicate_repair(spark: SparkSession, root: str, run_id: str, tables: Sequen
 
 
 NAME_COLUMNS = {"fantasy_logs": "PLAYER", "player_logs": "PLAYER", "player_absences": "PLAYER",
-                "dim_players": "PLAYER_NAME"}
+                "dim_players": "PLAYER_NAME", "fantasy_averages": "PLAYER"}
 
 
 def correct_names_job(spark: SparkSession, root: str, run_id: str, mapping=K.PLAYER_NAME_MAP) -> DataFrame | None:
-    """M4 + A18: retroactive name correction over the four name-bearing tables; returns the
-    per-table/per-name change counts (computed before the rewrite)."""
+    """M4 + A18: retroactive name correction over the name-bearing tables, the published averages
+    among them; returns the per-table/per-name change counts (computed before the rewrite)."""
     from ..operators.repair import correct_names
-    tables = {t: (sinks.read_log(spark, root, t), c) for t, c in NAME_COLUMNS.items()}
+    tables = {t: (sinks.read_table(spark, root, t), c) for t, c in NAME_COLUMNS.items()}
     fixed, impact = correct_names(tables, mapping)
     if impact is None:
         return None
     # materialised before the tables are rewritten (a lazy plan would re-read the new tables)
     impact = cut_lineage(impact)
-    if impact.count():
-        for t, df in fixed.items():
-            sinks.replace_log(df, root, t, run_id)
+    for t in sorted(r["table_name"] for r in impact.select("table_name").distinct().collect()):
+        if sinks.current_version(spark, sinks.table_path(root, t)):
+            sinks.publish(fixed[t], root, t, run_id)
+        else:
+            sinks.replace_log(fixed[t], root, t, run_id)
     return impact
 
 
 def verify_corrections_job(spark: SparkSession, root: str, mapping=K.PLAYER_NAME_MAP) -> DataFrame | None:
     """Rows now carrying each corrected name, per table (counts > 0 only)."""
     present = {t: (df, c) for t, c in NAME_COLUMNS.items()
-               if (df := sinks.read_log(spark, root, t)) is not None and c in df.columns}
+               if (df := sinks.read_table(spark, root, t)) is not None and c in df.columns}
     return Q.correction_counts(present, mapping, side="target") if present else None
 
 
@@ -439,14 +609,16 @@ def rename_absence_columns_job(spark: SparkSession, root: str, run_id: str) -> l
 
 
 def backfill_absences(spark: SparkSession, root: str, files: Sequence[str]) -> int:
-    """M9: absence ingest over historical workbooks, in order, without recording them as
-    processed; stops at the first file without the absence sheet (error)."""
+    """M9: absence ingest over historical workbooks, in the caller's order, without recording them
+    as processed; stops at the first file that is rejected or lacks the absence sheet (error)."""
     total = 0
-    for f in sorted(files):
-        rows = FD.read_feed_rows(spark, [f])
+    for f in files:
+        rows = stage(FD.read_feed_rows(spark, [f]))
         name = f.rsplit("/", 1)[-1]
-        n, missing = ingest_absences(spark, root, rows, [name])
-        if missing:
+        res = ingest_absences(spark, root, rows, [name])
+        if res.without_sheet:
             raise FeedError(f"{name}: no {K.ABSENCE_SHEET} sheet")
-        total += n
+        if res.rejected:
+            raise FeedError(f"{name}: {res.rejected[name]}")
+        total += res.inserted
     return total

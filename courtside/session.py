@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -96,6 +97,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="courtside-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
     return d
@@ -107,6 +110,14 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+def stage(df):
+    """Write a frame as Parquet into the shared checkpoint folder and read it back: it is computed
+    once, columns are pruned on later reads, and lost executors cost nothing."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def env_cpus(default: int = 8) -> int:
     try:
         return int(os.environ.get("BENCH_CPUS", default))

@@ -1,17 +1,29 @@
 """Sinks (K1-K7): versioned publish, log append, CSV export, ingest manifest, run summary.
 
-Tables are plain Parquet folders under a store root.  Derived tables are *published*: the
-new content is written to ``<table>/version=<run_id>``, validated (uniqueness, counts), and
-only then does the table's ``_current`` pointer move to it -- a failed or half-written run
-never becomes visible, the previous version stays as the backup, and overwriting a folder
-that is being read never happens.  Log tables are append-only; each append is one Spark
-write job (committed atomically by the output committer) recorded in the manifest.
+Tables are plain Parquet folders under a store root.
+
+*Derived tables* are published: new content goes to a folder of its own, is validated
+(uniqueness, counts), and only then becomes current.  *Log tables* are append-only; rewrites
+(repairs, migrations) write a new folder beside the old one, which stays as the backup.
+
+What is current is recorded in numbered state files (``<table>/_state/<n>``; the largest number
+counts).  A state file is written under another name and renamed to a number that doesn't exist
+yet, so a crash at any point leaves either the old or the new state, on every file system.  There
+is one writer per table.
+
+A log's state also holds its schema: columns may be added (older rows read NULL), while a
+changed type is refused, so reads never depend on which file Spark looks at first.  Logs are laid
+out by ``LOG_SPECS`` in every write; the month of the row's date lets a batch look up stored keys
+in the months that it touches only.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,39 +31,84 @@ from pyspark.sql import types as T
 
 from .operators.quality import assert_unique
 
+MONTH = "_month"
 
-def _exists(spark: SparkSession, path: str) -> bool:
+
+@dataclass(frozen=True)
+class LogSpec:
+    """Layout of a log: partition columns, and the date column whose month partitions it too."""
+    partition_by: tuple[str, ...] = ()
+    month_of: str | None = None
+
+
+LOG_SPECS = {
+    "fantasy_logs": LogSpec(("SEASON_SEGMENT",), "DATE"),
+    "player_logs": LogSpec((), "DATE"),
+    "player_absences": LogSpec((), "DATE"),
+}
+
+
+class SchemaDriftError(RuntimeError):
+    """A column arrived with another type than the log holds."""
+
+
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, hpath = _fs(spark, path)
     return fs.exists(hpath)
 
 
+def _state(spark: SparkSession, path: str) -> tuple[int, dict]:
+    """(number, content) of a table's current state; (0, {}) when there is none."""
+    fs, folder = _fs(spark, f"{path}/_state")
+    if not fs.exists(folder):
+        return 0, {}
+    numbers = [int(n) for st in fs.listStatus(folder) if (n := st.getPath().getName()).isdigit()]
+    if not numbers:
+        return 0, {}
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(jvm.org.apache.hadoop.fs.Path(f"{path}/_state/{max(numbers)}"))
+    try:
+        return max(numbers), json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _set_state(spark: SparkSession, path: str, content: dict) -> None:
+    number, _ = _state(spark, path)
+    fs, draft = _fs(spark, f"{path}/_state/draft-{uuid.uuid4().hex}")
+    stream = fs.create(draft)
+    try:
+        stream.write(bytearray(json.dumps(content).encode()))
+    finally:
+        stream.close()
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_state/{number + 1}")
+    if not fs.rename(draft, target):
+        raise RuntimeError(f"another writer changed {path}")
+
+
 def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
 def current_version(spark: SparkSession, path: str) -> str | None:
-    ptr = f"{path}/_current"
-    if not _exists(spark, ptr):
-        return None
-    row = spark.read.text(ptr).first()
-    return row[0].strip() if row else None
+    return _state(spark, path)[1].get("version")
 
 
 def read_table(spark: SparkSession, root: str, name: str, schema: T.StructType | None = None) -> DataFrame | None:
     """Current content of a table; None (or an empty frame of ``schema``) when it does not exist."""
     path = table_path(root, name)
     version = current_version(spark, path)
-    target = f"{path}/{version}" if version else (f"{path}/_log" if _exists(spark, f"{path}/_log") else None)
-    if target is None:
-        return spark.createDataFrame([], schema) if schema is not None else None
-    return spark.read.parquet(target)
+    return spark.read.parquet(f"{path}/{version}") if version else read_log(spark, root, name, schema)
 
 
 def table_exists(spark: SparkSession, root: str, name: str) -> bool:
-    path = table_path(root, name)
-    return current_version(spark, path) is not None or _exists(spark, f"{path}/_log")
+    return bool(_state(spark, table_path(root, name))[0])
 
 
 def require_tables(spark: SparkSession, root: str, names: Sequence[str]) -> list[str]:
@@ -61,34 +118,82 @@ def require_tables(spark: SparkSession, root: str, names: Sequence[str]) -> list
 
 def publish(df: DataFrame, root: str, name: str, run_id: str, keys: Sequence[str] | None = None,
             partition_by: Sequence[str] = ()) -> str:
-    """K2/K3 staged replace: write a new version, validate, then flip the pointer."""
+    """K2/K3 staged replace: write a version of its own, validate, then make it current.  A run
+    id may come twice: an existing version is never written to."""
     spark = df.sparkSession
     path = table_path(root, name)
-    version = f"version={run_id}"
-    w = df.write.mode("overwrite")
+    version = f"version={run_id}-{uuid.uuid4().hex[:8]}"
+    w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(f"{path}/{version}")
-    staged = spark.read.parquet(f"{path}/{version}")
     if keys:
-        assert_unique(staged, keys)   # M3 before the flip
-    spark.createDataFrame([(version,)], "v string").coalesce(1).write.mode("overwrite").text(f"{path}/_current")
+        assert_unique(spark.read.parquet(f"{path}/{version}"), keys)   # M3 before it becomes current
+    _set_state(spark, path, {"version": version})
     return version
 
 
-def append_log(df: DataFrame, root: str, name: str, partition_by: Sequence[str] = ()) -> None:
-    """K1: append rows to a log table (``<table>/_log``)."""
-    w = df.write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(f"{table_path(root, name)}/_log")
+def _merged_schema(old: T.StructType | None, new: T.StructType, name: str) -> T.StructType:
+    """The old columns, then new ones; all nullable.  A type that differs is refused."""
+    fields = {f.name: f.dataType for f in (old.fields if old else [])}
+    for f in new.fields:
+        if fields.setdefault(f.name, f.dataType) != f.dataType:
+            raise SchemaDriftError(f"{name}.{f.name} is {fields[f.name].simpleString()}, "
+                                   f"not {f.dataType.simpleString()}")
+    return T.StructType([T.StructField(n, t, True) for n, t in fields.items()])
+
+
+def _laid_out(df: DataFrame, name: str, schema: T.StructType):
+    """A writer of ``df`` in the log's schema and layout."""
+    spec = LOG_SPECS.get(name, LogSpec())
+    have = set(df.columns)
+    df = df.select(*[F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
+                     for f in schema.fields])
+    by = [c for c in spec.partition_by if c in schema.fieldNames()]
+    if spec.month_of in schema.fieldNames():
+        df = df.withColumn(MONTH, month(F.col(spec.month_of)))
+        by.append(MONTH)
+    return df.write.partitionBy(*by) if by else df.write
+
+
+def month(date) -> object:
+    return F.date_format(date.try_cast("date"), "yyyy-MM")
+
+
+def append_log(df: DataFrame, root: str, name: str) -> None:
+    """K1: append rows to a log table."""
+    spark, path = df.sparkSession, table_path(root, name)
+    _, state = _state(spark, path)
+    old = T.StructType.fromJson(state["schema"]) if "schema" in state else None
+    schema = _merged_schema(old, df.schema, name)
+    if schema != old:   # before the rows: columns without values do no harm
+        state = {"folder": state.get("folder", "_log"), "schema": json.loads(schema.json())}
+        _set_state(spark, path, state)
+    _laid_out(df, name, schema).mode("append").parquet(f"{path}/{state['folder']}")
 
 
-def read_log(spark: SparkSession, root: str, name: str, schema: T.StructType | None = None) -> DataFrame | None:
-    path = f"{table_path(root, name)}/_log"
-    if not _exists(spark, path):
+def log_folder(spark: SparkSession, root: str, name: str) -> str | None:
+    """The folder that holds a log's rows now; it changes with every rewrite."""
+    return _state(spark, table_path(root, name))[1].get("folder")
+
+
+def read_log(spark: SparkSession, root: str, name: str, schema: T.StructType | None = None,
+             months: Sequence[str | None] | None = None) -> DataFrame | None:
+    """Rows of a log, of the given months only (a partition filter) if its layout has months."""
+    path = table_path(root, name)
+    _, state = _state(spark, path)
+    if "schema" not in state:
         return spark.createDataFrame([], schema) if schema is not None else None
-    return spark.read.parquet(path)
+    own = T.StructType.fromJson(state["schema"])
+    if not _exists(spark, f"{path}/{state['folder']}"):
+        return spark.createDataFrame([], own)
+    by_month = LOG_SPECS.get(name, LogSpec()).month_of in own.fieldNames()
+    df = spark.read.schema(T.StructType([*own.fields, T.StructField(MONTH, T.StringType())]) if by_month else own) \
+        .parquet(f"{path}/{state['folder']}")
+    if months is not None and by_month:
+        hit = F.col(MONTH).isin([m for m in months if m is not None])
+        df = df.where(hit | F.col(MONTH).isNull() if None in months else hit)
+    return df.select(*own.fieldNames())
 
 
 def export_csv(df: DataFrame, out_dir: str, base_name: str, stamp: _dt.datetime, single_file: bool = True) -> str:
@@ -106,6 +211,9 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType(), False),
     T.StructField("status", T.StringType(), False),
     T.StructField("rows_added", T.LongType(), True),
+    T.StructField("length", T.LongType(), True),
+    T.StructField("modified", T.TimestampType(), True),
+    T.StructField("load_no", T.LongType(), True),
 ])
 
 
@@ -116,8 +224,16 @@ def record_files(spark: SparkSession, root: str, rows: list[tuple]) -> None:
 
 
 def processed_files(spark: SparkSession, root: str, feed: str) -> DataFrame:
+    """Deliveries already loaded: a file is the same delivery if name, length and time agree."""
+    m = read_log(spark, root, "ingest_manifest", MANIFEST_SCHEMA)
+    return (m.where((F.col("feed") == feed) & (F.col("status") == "ok"))
+             .select("_file_name", "length", "modified").distinct())
+
+
+def next_load(spark: SparkSession, root: str) -> int:
+    """Number of the next load: orders rows by when they were inserted."""
     m = read_log(spark, root, "ingest_manifest", MANIFEST_SCHEMA)
-    return m.where((F.col("feed") == feed) & (F.col("status") == "ok")).select("_file_name").distinct()
+    return int(m.agg(F.coalesce(F.max("load_no"), F.lit(0))).first()[0]) + 1
 
 
 RUN_SUMMARY_SCHEMA = T.StructType([
@@ -147,22 +263,15 @@ def append_worklist(spark: SparkSession, root: str, run_date: str, resolved: Dat
 
 
 def replace_log(df: DataFrame, root: str, name: str, run_id: str) -> str:
-    """Staged rewrite of a log table (repairs, migrations): write the new content beside the
-    log, then swap folders; the old content stays as ``_log_backup_<run_id>``."""
-    spark = df.sparkSession
-    base = table_path(root, name)
-    staged = f"{base}/_log_staged_{run_id}"
-    df.write.mode("overwrite").parquet(staged)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    live = jvm.org.apache.hadoop.fs.Path(f"{base}/_log")
-    fs = live.getFileSystem(conf)
-    backup = f"{base}/_log_backup_{run_id}"
-    if fs.exists(live) and not fs.rename(live, jvm.org.apache.hadoop.fs.Path(backup)):
-        raise RuntimeError(f"could not move {base}/_log aside")
-    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staged), live):
-        raise RuntimeError(f"could not publish {staged}")
-    return backup
+    """Rewrite of a log table (repairs, migrations): the new content goes, in the log's layout, to
+    a folder of its own, which then becomes current; the old folder stays as the backup."""
+    spark, path = df.sparkSession, table_path(root, name)
+    _, state = _state(spark, path)
+    folder = f"_log-{run_id}-{uuid.uuid4().hex[:8]}"
+    schema = _merged_schema(None, df.schema, name)
+    _laid_out(df, name, schema).mode("errorifexists").parquet(f"{path}/{folder}")
+    _set_state(spark, path, {"folder": folder, "schema": json.loads(schema.json())})
+    return f"{path}/{state.get('folder', '_log')}"
 
 
 def schema_fingerprint(df: DataFrame) -> str:

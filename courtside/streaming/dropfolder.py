@@ -1,8 +1,10 @@
 """Incremental drop-folder ingest with Structured Streaming.
 
 New landing files are picked up once (the file source's checkpoint is the record of what
-was read), each micro-batch keeps the first copy of every key (file order, then position)
-and appends only keys the table does not hold yet.  Because the batch body is idempotent
+was read) and parsed whole by the feed reader, so rows keep their position in the file; each
+micro-batch keeps the first copy of every key (file order, then position) and appends only keys
+the table does not hold yet.  ``run_feed_stream`` runs the batch jobs' own load on every
+micro-batch.  Because the batch body is idempotent
 (an anti join against the stored keys), a replayed batch after a failure adds nothing, so
 the sink is effectively exactly-once.  ``cleanSource=archive`` moves processed files aside.
 """
@@ -16,43 +18,70 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import sinks
+from ..functions import columns as C
 from ..operators.ingest import new_rows
+from ..session import cut_lineage, stage
+from ..sources import feeds as FD
 
 
-def landing_stream(spark: SparkSession, landing_dir: str, schema: T.StructType,
-                   archive_dir: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
-    """CSV landing files (header row) as a stream, with the source file name."""
-    r = spark.readStream.format("csv").option("header", True).schema(schema)
+FILES = "path string, modificationTime timestamp, length long, content binary"
+
+
+def landing_stream(spark: SparkSession, landing_dir: str, archive_dir: str | None = None,
+                   max_files_per_trigger: int | None = None) -> DataFrame:
+    """Landing files as a stream of (path, modificationTime, length, content)."""
+    r = spark.readStream.format("binaryFile").schema(FILES)
     if archive_dir:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.load(landing_dir).withColumn("_file_name", F.col("_metadata.file_name"))
+    return r.load(landing_dir)
 
 
-def ingest_batch(batch: DataFrame, root: str, table: str, keys: Sequence[str],
+def ingest_batch(files: DataFrame, root: str, table: str, schema: T.StructType, keys: Sequence[str],
                  date_col: str | None = "DATE") -> None:
-    """One micro-batch: first copy per key across the batch's files, minus stored keys, appended."""
-    spark = batch.sparkSession
-    # Inside a micro-batch the frame is static: ids increase with the position in each file
-    # (a file is read front to back), which orders rows within a file.
-    batch = batch.withColumn("_row_no", F.monotonically_increasing_id())
+    """One micro-batch of CSV files with a header: first copy per key across the batch's files,
+    minus stored keys, appended.  Cells that don't fit ``schema`` are NULL."""
+    spark = files.sparkSession
+    rows = stage(FD.parsed(files))
+    named = FD.sheet_frame(rows, 0, header_row=0)
+    batch = named.select("_file_name", "_row_no", *[
+        (F.col(f.name).try_cast(f.dataType) if f.name in named.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in schema.fields])
     if date_col and date_col in batch.columns:
-        batch = batch.withColumn(date_col, F.to_date(date_col))
+        batch = batch.withColumn(date_col, C.parse_date(date_col))
     stored = sinks.read_log(spark, root, table)
     stored_keys = stored.select(*keys) if stored is not None else None
-    fresh = new_rows(batch, stored_keys, keys, ("_file_name", "_row_no")).drop("_row_no")
-    sinks.append_log(fresh, root, table)
+    sinks.append_log(cut_lineage(new_rows(batch, stored_keys, keys, ("_file_name", "_row_no"))), root, table)
 
 
 def run_drop_folder_ingest(spark: SparkSession, landing_dir: str, root: str, table: str,
                            schema: T.StructType, checkpoint: str, keys: Sequence[str] = ("PLAYER_ID", "DATE"),
                            archive_dir: str | None = None, available_now: bool = True):
     """Start (and, with ``available_now``, drain) the ingest stream; returns the query."""
-    stream = landing_stream(spark, landing_dir, schema, archive_dir)
-    w = (stream.writeStream
-               .foreachBatch(lambda df, _epoch: ingest_batch(df, root, table, keys))
-               .option("checkpointLocation", checkpoint))
+    return _started(landing_stream(spark, landing_dir, archive_dir),
+                    lambda df, _epoch: ingest_batch(df, root, table, schema, keys), checkpoint, available_now)
+
+
+def run_feed_stream(spark: SparkSession, landing_dir: str, root: str, feed, checkpoint: str,
+                    archive_dir: str | None = None, available_now: bool = True, duplicate_policy: str = "error"):
+    """A feed's landing folder as a stream: every micro-batch goes through the same load as the
+    batch job (``jobs.load_rows``), so the logs, dimension, absences and manifest are the same.
+    Files that fail are not recorded; the batch job reports and retries them."""
+    from ..plans import jobs as J
+
+    def load(files: DataFrame, epoch: int) -> None:
+        names = F.element_at(F.split("path", "/"), -1).alias("_file_name")
+        listed = files.select("path", names, "length", F.col("modificationTime").alias("modified")).collect()
+        if listed:   # file names of one micro-batch
+            J.load_rows(files.sparkSession, root, stage(FD.parsed(files)), feed,
+                        sorted(listed, key=lambda r: r["_file_name"]), f"stream-{epoch}", duplicate_policy)
+
+    return _started(landing_stream(spark, landing_dir, archive_dir), load, checkpoint, available_now)
+
+
+def _started(stream: DataFrame, batch, checkpoint: str, available_now: bool):
+    w = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     q = w.start()
     if available_now:

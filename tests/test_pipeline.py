@@ -111,10 +111,24 @@ def test_incremental_averages_equal_full_recompute(spark, tmp_dir):
                   row(1, "2025-04-20", seg_po, 50.0), row(1, "2025-04-25", seg_po, 20.0)])
     d2 = J.ingest_fantasy_logs(spark, root, dfs_dir, "r2")
     assert d2.touched_segments == [seg_po]
-    segs = J.affected_segments(sinks.read_log(spark, root, "fantasy_logs"), d2.touched_segments, "2025-05-01")
+    previous = sinks.read_table(spark, root, "fantasy_averages")
+    segs = J.affected_segments(sinks.read_log(spark, root, "fantasy_logs"), d2.touched_segments, "2025-05-01",
+                               previous=previous)
     assert segs == [seg_po]
-    inc = J.build_fantasy_averages(spark, root, "2025-05-01", "r2", d2.touched_segments)
-    full = J.build_fantasy_averages(spark, root, "2025-05-01", "r3")
-    assert sorted(map(tuple, inc.collect())) == sorted(map(tuple, full.select(*inc.columns).collect()))
+    same_as_full(spark, root, "2025-05-01", "r2")
+    full = sinks.read_table(spark, root, "fantasy_averages")
     po = [r for r in full.collect() if r.SEASON_TYPE == "Playoffs"][0]
     assert (po.GP, po.FPPG) == (2, 35.0)
+    # sixty days later the trailing values must have fallen to zero, without a new row
+    assert [r.L30FPPM for r in same_as_full(spark, root, "2025-07-01", "r3") if r.SEASON_TYPE == "Playoffs"] == [0.0]
+    # a changed dimension reaches the seasons that would be carried over
+    dims = sinks.read_log(spark, root, "dim_players")
+    sinks.replace_log(dims.withColumn("PLAYER_NAME", F.concat("PLAYER_NAME", F.lit(" X"))), root, "dim_players", "r4")
+    assert {r.PLAYER for r in same_as_full(spark, root, "2025-07-01", "r4")} == {"P1 X", "P2 X"}
+
+
+def same_as_full(spark, root, as_of, run_id):
+    inc = J.build_fantasy_averages(spark, root, as_of, run_id).collect()
+    full = J.build_fantasy_averages(spark, root, as_of, run_id, incremental=False).collect()
+    assert sorted(map(tuple, inc)) == sorted(map(tuple, full))
+    return full
