@@ -191,15 +191,13 @@ def correction_counts(named: Mapping[str, tuple[DataFrame, str]], name_map: Mapp
                       side: str = "source") -> DataFrame:
     """A17 (side='target': rows now carrying each corrected name) and A18 (side='source': rows a
     correction would change), per name and table; only counts > 0."""
-    from ..operators.conform import name_map_frame
-    spark = next(iter(named.values()))[0].sparkSession
-    m = name_map_frame(spark, name_map)
-    key = "FROM_NAME" if side == "source" else "TO_NAME"
-    targets = m.select(F.col(key).alias("NAME")).distinct()
+    targets = sorted(set(name_map.keys() if side == "source" else name_map.values()))
     parts = []
     for table, (df, c) in named.items():
-        counts = df.groupBy(F.col(c).alias("NAME")).agg(F.count(F.lit(1)).alias("row_count"))
-        parts.append(counts.join(targets, "NAME", "left_semi").withColumn("table_name", F.lit(table)))
+        # the map is a literal list: the filter reaches the scan, only its rows are shuffled
+        counts = (df.where(F.col(c).isin(targets)).groupBy(F.col(c).alias("NAME"))
+                    .agg(F.count(F.lit(1)).alias("row_count")))
+        parts.append(counts.withColumn("table_name", F.lit(table)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

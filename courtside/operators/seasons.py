@@ -30,10 +30,10 @@ def unclassified_segments(df: DataFrame, segment: str = "SEASON_SEGMENT") -> Dat
 
     NULL segments are reported too (the reference aborts the whole stage on them; we drop and count).
     """
-    c = classify_season(df, segment)
-    bad = c.where(F.col("SEASON_TYPE").isNull() | F.col("SEASON_KEY").isNull())
-    return (bad.groupBy(F.col(segment).alias("SEASON_SEGMENT"))
-               .agg(F.count(F.lit(1)).alias("rows_dropped")))
+    # counted per segment first: the patterns run on the distinct segments, not on every row
+    per = df.groupBy(F.col(segment).alias("SEASON_SEGMENT")).agg(F.count(F.lit(1)).alias("rows_dropped"))
+    return (classify_season(per).where(F.col("SEASON_TYPE").isNull() | F.col("SEASON_KEY").isNull())
+            .select("SEASON_SEGMENT", "rows_dropped"))
 
 
 def season_type_view(averages: DataFrame, season_type: str) -> DataFrame:

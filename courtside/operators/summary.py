@@ -135,7 +135,7 @@ def finish(agg: DataFrame, fill: bool = True) -> DataFrame:
             c = C.round_half_even(c, K.AVERAGES_ROUNDING[name])
         if fill and name not in ("SEASON_TYPE", "PLAYER", "SEASON", "TEAM"):
             c = F.coalesce(c, F.lit(0))
-        c = c.cast("int") if name in K.AVERAGES_INTEGERS else (
+        c = c.cast("long" if name == "PLAYER_ID" else "int") if name in K.AVERAGES_INTEGERS else (
             c.cast("double") if name not in ("SEASON_TYPE", "PLAYER", "SEASON", "TEAM") else c)
         out.append(c.alias(name))
     return agg.select(*out)
@@ -150,10 +150,10 @@ def season_averages(logs: DataFrame, dim_players: DataFrame, map_teams: DataFram
     or team has no dimension row, drop out (NULL group keys), as in the reference.
     """
     df = S.classify_season(team_abbreviations(canonical_names(logs, dim_players), map_teams))
-    # Groups with a NULL key (unclassifiable season, unknown player or team) are dropped after
-    # the aggregate: the same rows vanish, but the filter runs on groups, not on every log row.
-    agg = raw_aggregates(game_columns(df, as_of, window_days)).dropna(subset=list(GROUP_KEYS))
-    return finish(agg, fill=fill)
+    # Rows with a NULL key (unclassifiable season, unknown player or team) go before the
+    # aggregate: the left joins become inner joins, and nothing of them is shuffled.
+    games = game_columns(df, as_of, window_days).dropna(subset=list(GROUP_KEYS))
+    return finish(raw_aggregates(games), fill=fill)
 
 
 def season_averages_by_player(logs: DataFrame, dim_players: DataFrame, map_teams: DataFrame, as_of,

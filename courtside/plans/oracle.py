@@ -52,7 +52,7 @@ def averages_ctes(logs: str = "fantasy_logs", as_of: str = X.AS_OF, days: int =
             e = rnd(e, K.AVERAGES_ROUNDING[name])
         if name not in ("SEASON_TYPE", "PLAYER", "SEASON", "TEAM"):
             e = f"coalesce({e}, 0)"
-            e = f"CAST({e} AS INTEGER)" if name in K.AVERAGES_INTEGERS else f"CAST({e} AS DOUBLE)"
+            e = f"CAST({e} AS {'BIGINT' if name == 'PLAYER_ID' else 'INTEGER'})" if name in K.AVERAGES_INTEGERS else f"CAST({e} AS DOUBLE)"
         outs.append(f"{e} AS {name}")
     return f"""
 avg_j AS (
