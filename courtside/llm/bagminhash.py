@@ -14,13 +14,12 @@ are dropped with all that they hold, which makes high counts cost their logarith
 agree in a component with a probability of their weighted Jaccard similarity.
 
 Search.  ``BANDS`` bands of ``ROWS`` components are bucketed (a pair at the threshold shares a
-bucket with probability 1 - 3e-6).  Equal texts are one node, so copies cost nothing further.  Of every bucket the
-smallest and the largest node are pivots, and all its nodes are verified against them (linear in
-the bucket); the links' components are found.  Buckets that still hold several components are
-searched whole: nodes outside the bucket's largest component are paired with all others of other
-components, but for those that the triangle inequality (one minus the similarity is a metric)
-excludes by their known distances to the pivots.  So no bucket is capped, and a bucket of a single class is
-never expanded into pairs.  All links are verified on whole multisets.
+bucket with probability 1 - 3e-6).  Equal texts are one node, so copies cost nothing further.  Of
+every bucket the smallest and the largest node are pivots, and all its nodes are verified against
+them (linear in the bucket); the links' components are found.  The nodes of buckets that still
+hold several components are searched exactly: those of different components that share a rare
+enough shingle (``prefix_pairs``) are verified.  So no bucket is capped, and a class is never
+expanded into pairs of its members.  All links are verified on whole multisets.
 
 Null texts and texts without words: a class of their own, each row by itself.  A null doc_id has a
 null class.  Repeated rows and equal texts: one class.  Empty table: no rows.  Extra columns are
@@ -213,6 +212,49 @@ def distance(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray])
     return 1.0 - shared / (total - shared)
 
 
+def prefix_pairs(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): candidate pairs of different components; no pair at the threshold is missed.
+    nodes: (node, component).
+
+    A multiset is the set of its shingles numbered by occurrence.  Two multisets of at least the
+    threshold share one of each other's first ``n - ceil(threshold * n) + 1`` elements in any
+    common order, and after the first one that they share both must have enough left.  The rarest
+    come first, so what a text has for itself fills its prefix and few texts meet in vain.
+    """
+    def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            doc, h, n = multisets([t.lower().encode() for t in texts_of(b.column(2))])
+            turn = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            own = mix64(np.repeat(h, n) + turn.astype(np.uint64) * _D).view(np.int64)
+            edge = np.searchsorted(np.repeat(doc, n), np.arange(b.num_rows + 1))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(own))],
+                names=["node", "component", "e"])
+
+    sets = staged(nodes.join(texts, "node").select("node", "component", "text")
+                  .mapInArrow(elements, "node long, component long, e array<bigint>"))
+    each = sets.select("node", F.explode("e").alias("x"))
+    seen = each.groupBy("x").agg(F.count(F.lit(1)).alias("df"))
+    prefix = (each.join(seen, "x").groupBy("node")
+              .agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("e"))  # one text's shingles
+              .withColumn("n", F.size("e"))
+              .withColumn("e", F.slice("e", 1, (F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - 1e-9) + 1).cast("int")))
+              .select("node", "n", F.posexplode("e").alias("i", "p")).where(F.col("p.df") > 1)
+              .select("node", "n", "i", F.col("p.x").alias("x")))
+    rows = staged(prefix.join(sets.select("node", "component"), "node"))
+    sizes = rows.groupBy("x", "component").agg(F.count(F.lit(1)).alias("k"))
+    mixed = (sizes.groupBy("x").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("k", "component")).alias("most"))
+             .where(F.col("parts") > 1).select("x", F.col("most.component").alias("main")))
+    met = staged(rows.join(mixed, "x"))
+    # Nodes outside an element's largest component meet all of its nodes of other components.
+    few, all_of = met.where(F.col("component") != F.col("main")).alias("f"), met.alias("m")
+    # From the first element that two sets share, both must hold enough for the threshold.
+    near = (F.least(F.col("f.n") - F.col("f.i"), F.col("m.n") - F.col("m.i"))
+            >= F.lit(threshold / (1 + threshold)) * (F.col("f.n") + F.col("m.n")) - 1e-9)
+    return (few.join(all_of, (F.col("f.x") == F.col("m.x")) & (F.col("f.component") != F.col("m.component")) & near)
+            .select(F.least("f.node", "m.node").alias("a"), F.greatest("f.node", "m.node").alias("b")).distinct())
+
+
 def classed(docs: DataFrame, keep: Sequence[str], threshold: float = THRESHOLD) -> DataFrame:
     """(doc struct of ``keep``, rid, class_id) of every row."""
     spark = docs.sparkSession
@@ -239,27 +281,14 @@ def classed(docs: DataFrame, keep: Sequence[str], threshold: float = THRESHOLD)
     first = staged(verified(pivoted, texts, partitions))
     links = first.where(F.col("distance") <= far)
     found = components(links)
-    # Buckets that still hold several components.
+    # Buckets that still hold several components: their nodes are joined exactly.
     placed = (members.join(found, "node", "left")
-              .withColumn("component", F.coalesce("component", "node")))
-    sizes = placed.groupBy("v", "component").agg(F.count(F.lit(1)).alias("n"))
-    open_buckets = (sizes.groupBy("v").agg(F.count(F.lit(1)).alias("parts"),
-                                           F.max(F.struct("n", "component")).alias("most"))
-                    .where(F.col("parts") > 1).select("v", F.col("most.component").alias("main")))
-    near = first.select("a", "b", "distance")
-    open_members = placed.join(open_buckets, "v")
-    for pivot in ("lo", "hi"):
-        known = near.select(F.col("a").alias("node"), F.col("b").alias(pivot), F.col("distance").alias(f"d_{pivot}"))
-        open_members = (open_members.join(known, ["node", pivot], "left")
-                        .withColumn(f"d_{pivot}", F.coalesce(f"d_{pivot}", F.lit(0.0))))
-    open_members = staged(open_members)
-    x = open_members.where(F.col("component") != F.col("main")).alias("x")
-    y = open_members.alias("y")
-    rest = (x.join(y, (F.col("x.v") == F.col("y.v")) & (F.col("x.component") != F.col("y.component"))
-                   & (F.abs(F.col("x.d_lo") - F.col("y.d_lo")) <= far)
-                   & (F.abs(F.col("x.d_hi") - F.col("y.d_hi")) <= far))
-            .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
-    tried = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+              .select("v", "node", F.coalesce("component", "node").alias("component")))
+    several = (placed.groupBy("v").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+               .where(F.col("lo") < F.col("hi")).select("v"))
+    unsettled = staged(placed.join(several, "v").select("node", "component").distinct())
+    rest = prefix_pairs(unsettled, texts, threshold)
+    tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     second = verified(staged(rest.join(tried, ["a", "b"], "left_anti")), texts, partitions)
     found = components(links.select("a", "b").unionByName(
         second.where(F.col("distance") <= far).select("a", "b")))
