@@ -38,7 +38,7 @@ from courtside.llm.words import chunks
 
 DEPTH, NODES, FREQUENT = 5, 1 << 15, 1 << 19
 END = 0xFF  # never a byte of UTF-8: the end of a text, and what stands before its start
-HOLD = 3_000_000  # distinct runs or words a counting task holds before it sends them on
+HOLD, HOLD_WORDS = 3_000_000, 600_000  # distinct runs and words a counting task holds before it sends them on
 END_WORD = b""
 
 _PACKED = "kind int, bucket int, keys binary, counts binary"
@@ -121,7 +121,7 @@ def count_corpus(texts: DataFrame, buckets: int) -> DataFrame:
                 if held > HOLD:
                     k, c = _merge(keys, counts)
                     keys, counts, held = [k], [c], len(k)
-                if held > HOLD // 2 or len(vocabulary) > HOLD // 2:
+                if held > HOLD // 2 or len(vocabulary) > HOLD_WORDS:
                     yield send()
                     held = 0
         yield send()
