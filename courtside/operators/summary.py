@@ -156,6 +156,13 @@ def season_averages(logs: DataFrame, dim_players: DataFrame, map_teams: DataFram
     return finish(raw_aggregates(games), fill=fill)
 
 
+def known_players(logs: DataFrame, dim_players: DataFrame, map_teams: DataFrame, season_type: str) -> DataFrame:
+    """(PLAYER_ID, PLAYER) with averages of a season type, without computing the averages."""
+    df = S.classify_season(team_abbreviations(canonical_names(logs, dim_players), map_teams))
+    return (df.dropna(subset=list(GROUP_KEYS)).where(F.col("SEASON_TYPE") == season_type)
+              .select("PLAYER_ID", "PLAYER").distinct())
+
+
 def season_averages_by_player(logs: DataFrame, dim_players: DataFrame, map_teams: DataFrame, as_of,
                               window_days: int = 30) -> DataFrame:
     """``by_team=False`` grain: traded players get one row per season, computed from the logs

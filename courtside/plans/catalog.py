@@ -493,8 +493,8 @@ def q_fuzzy_match_lev(spark, sf_dir):
 @register("resolve_names_cascade")
 def q_resolve_names_cascade(spark, sf_dir):
     """Rows-only check: the weighted-ratio scorer has no SQL twin (brute-force test instead)."""
-    avg = averages(spark, sf_dir)
-    cands = S.season_type_view(avg, "Regular").select("PLAYER")
+    cands = M.known_players(X.fantasy_logs(spark, sf_dir), X.dim_players(spark, sf_dir),
+                            X.map_teams(spark, sf_dir), "Regular")
     return MT.match_names(X.noisy_slate_entries(spark, sf_dir), cands, name_col="Name")
 
 

@@ -406,14 +406,14 @@ def build_slates(spark: SparkSession, root: str, entries_path: str, averages: Da
         return None
     out = SlateResult()
     regular = S.season_type_view(averages, "Regular")
-    resolved = cut_lineage(MT.match_names(entries, regular.select("PLAYER"), name_col="Name"))
+    resolved = cut_lineage(MT.match_names(entries, regular.select("PLAYER", "PLAYER_ID"), name_col="Name"))
     matched = MT.matched_names(resolved)
     daily = SL.daily_slate(averages, matched, slate_seasons)
     l30 = SL.daily_slate_l30(averages, matched, l30_season)
     SL.export_order(daily).createOrReplaceTempView("vw_daily_slate")
     SL.export_order(l30, with_season=False).createOrReplaceTempView("vw_daily_slate_l30")
     playoffs = S.season_type_view(averages, "Playoffs")
-    resolved_p = cut_lineage(MT.match_names(entries, playoffs.select("PLAYER"), name_col="Name"))
+    resolved_p = cut_lineage(MT.match_names(entries, playoffs.select("PLAYER", "PLAYER_ID"), name_col="Name"))
     SL.export_order(SL.playoff_slate(averages, MT.matched_names(resolved_p), playoff_season)) \
         .createOrReplaceTempView("vw_daily_slate_playoffs")
     if export_dir:
