@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
+from .. import sinks
 from ..functions import columns as C
 from ..functions import constants as K
 from ..operators import conform as CF
@@ -17,7 +19,9 @@ from ..operators import matching as MT
 from ..operators import seasons as S
 from ..operators import slate as SL
 from ..operators import summary as M
+from ..session import checkpoint_dir
 from . import fixtures as X
+from . import jobs as J
 from . import oracle as O
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,6 +126,39 @@ def q_dup_repair(spark, sf_dir):
     return Q.remove_duplicates(X.event_logs(spark, sf_dir), order=["_row_no"])
 
 
+LOADED_SQL = X.with_(X.EVENT_LOGS_SQL, """
+loaded AS (
+  SELECT * EXCLUDE (_row_no), 3 - _row_no % 3 AS _load_no, 'feed_' || (_row_no % 2) || '.csv' AS _file_name, _row_no
+  FROM event_logs
+)""")
+
+
+@register("repair_first_inserted", LOADED_SQL + """
+SELECT * FROM loaded
+QUALIFY row_number() OVER (PARTITION BY PLAYER_ID, DATE ORDER BY _load_no, _file_name, _row_no) = 1""")
+def q_repair_first_inserted(spark, sf_dir):
+    """M2 over a stored log: the copy of the earliest load stays, whatever its values are."""
+    n = F.col("_row_no")
+    loaded = (X.event_logs(spark, sf_dir).withColumn("_load_no", 3 - n % 3)
+              .withColumn("_file_name", F.concat(F.lit("feed_"), (n % 2).cast("string"), F.lit(".csv"))))
+    return Q.remove_duplicates(loaded, order=list(J.LOAD_COLUMNS))
+
+
+@register("averages_incremental", O.averages_with() + "SELECT * FROM fantasy_averages")
+def q_averages_incremental(spark, sf_dir):
+    """B4 in two runs over a store: the first on the games before July 2000, the second carries
+    over the seasons that neither new games nor the trailing window touch."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/averages-{uuid.uuid4().hex}"
+    sinks.append_log(X.dim_players(spark, sf_dir), root, "dim_players")
+    sinks.publish(X.map_teams(spark, sf_dir), root, "map_teams", "r1")
+    late = F.col("DATE") >= F.lit("2000-07-01").cast("date")
+    logs = X.fantasy_logs(spark, sf_dir).withColumn("_load_no", F.when(late, 2).otherwise(1).cast("long"))
+    sinks.append_log(logs.where(~late), root, "fantasy_logs")
+    J.build_fantasy_averages(spark, root, "2000-07-01", "r1")
+    sinks.append_log(logs.where(late), root, "fantasy_logs")
+    return J.build_fantasy_averages(spark, root, X.AS_OF, "r2")
+
+
 # --- incremental ingest (U1, D2, J3, J5, J4, J9) -------------------------------------------
 
 @register("ingest_two_cumulative_files", X.with_(X.CUMULATIVE_FILES_SQL) + """
@@ -329,6 +366,72 @@ def q_header_map(spark, sf_dir):
     return CF.header_map(X.header_cells(spark, sf_dir), hyphen_to_underscore=True)
 
 
+@register("header_map_dfs", X.with_(X.HEADER_CELLS_SQL, """
+m AS (
+  SELECT _file_name, pos, raw,
+         row_number() OVER (PARTITION BY _file_name, raw ORDER BY pos) - 1 AS k
+  FROM header_cells
+)""") + """
+SELECT _file_name, pos, raw,
+       upper(regexp_replace(replace(replace(
+           CASE WHEN k > 0 THEN raw || '.' || CAST(k AS VARCHAR) ELSE raw END,
+           chr(10), '_'), ' ', '_'), '[^a-zA-Z0-9_]', '', 'g')) AS name
+FROM m""")
+def q_header_map_dfs(spark, sf_dir):
+    """The daily-fantasy variant strips hyphens."""
+    return CF.header_map(X.header_cells(spark, sf_dir), hyphen_to_underscore=False)
+
+
+@register("rename_and_drop", """
+SELECT l_orderkey AS GAME_ID, l_suppkey AS PLAYER_ID, l_linestatus AS TEAM, l_returnflag AS STARTED,
+       l_tax AS USAGE, l_extendedprice AS DK_SALARY, l_discount AS DK_POINTS, l_linenumber AS SEASON_SEGMENT
+FROM lineitem""")
+def q_rename_and_drop(spark, sf_dir):
+    """Feed headers to stored names, other sites' columns dropped."""
+    cols = {"l_orderkey": "GAME_ID", "l_suppkey": "PLAYER_ID", "l_linestatus": "OWN_TEAM",
+            "l_returnflag": "STARTER_YN", "l_tax": "USAGE_RATE", "l_extendedprice": "FOR_DRAFTKINGS_CLASSIC_CONTESTS",
+            "l_discount": "DRAFTKINGS1", "l_linenumber": "FEED_DATASET", "l_quantity": "FANDUEL1", "l_partkey": "YAHOO"}
+    raw = X.table(spark, sf_dir, "lineitem").select(*[F.col(c).alias(n) for c, n in cols.items()])
+    return CF.rename_and_drop(raw, K.DFS_RENAMES, K.DFS_DROP)
+
+
+@register("drop_empty_rows", """
+WITH cells AS (
+  SELECT event_id AS _row_no, CASE WHEN user_id % 3 = 0 THEN CAST(user_id AS VARCHAR) END AS A,
+         CASE WHEN event_type = 'click' THEN event_type WHEN event_type = 'view' THEN ' ' || chr(9) END AS B
+  FROM events)
+SELECT * FROM cells WHERE A IS NOT NULL OR trim(B, ' ' || chr(9)) <> ''""")
+def q_drop_empty_rows(spark, sf_dir):
+    """Rows whose cells are all NULL or blank."""
+    e, kind = X.table(spark, sf_dir, "events"), F.col("event_type")
+    return CF.drop_empty_rows(e.select(
+        F.col("event_id").alias("_row_no"),
+        F.when(F.col("user_id") % 3 == 0, F.col("user_id").cast("string")).alias("A"),
+        F.when(kind == "click", kind).when(kind == "view", F.lit(" \t")).alias("B")))
+
+
+@register("absence_columns", X.with_(X.ABSENCE_REASONS_SQL) + """
+SELECT CAST(o.o_orderdate AS DATE) AS DATE, o.o_orderkey AS GAME_ID, n.n_name AS TEAM, r.r_name AS OPPONENT,
+       o.o_custkey AS PLAYER_ID, c.c_name AS PLAYER, o.o_orderstatus AS STATUS, a.REASON,
+       CASE WHEN upper(regexp_replace(a.REASON, '^[\\s\\xa0]+|[\\s\\xa0]+$', '', 'g')) = 'COACH''S DECISION'
+            THEN 'DNP-CD' ELSE 'INJURY/ILLNESS/OTHER' END AS ABSENCE_TYPE
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+JOIN region r ON n.n_regionkey = r.r_regionkey JOIN absence_reasons a ON a.GAME_ID = o.o_orderkey""")
+def q_absence_columns(spark, sf_dir):
+    """An absence sheet's rows typed, classified and in the stored column order."""
+    o, c = X.table(spark, sf_dir, "orders"), X.table(spark, sf_dir, "customer")
+    n, r = X.table(spark, sf_dir, "nation"), X.table(spark, sf_dir, "region")
+    sheet = (o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+             .join(r, n.n_regionkey == r.r_regionkey)
+             .select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("GAME_DATE"), F.col("o_orderkey").cast("string").alias("GAME_ID"),
+                     F.col("n_name").alias("TEAM"), F.col("r_name").alias("OPPONENT"),
+                     F.concat(F.col("o_custkey").cast("string"), F.lit(".0")).alias("PLAYER_ID"),
+                     F.col("c_name").alias("PLAYER_NAME"), F.col("o_orderstatus").alias("STATUS")))
+    ids = CF.normalize_ids(CF.rename_and_drop(sheet, K.ABSENCE_RENAMES), ["PLAYER_ID", "GAME_ID"])[0]
+    dated = CF.normalize_dates(ids, "DATE")[0].join(X.absence_reasons(spark, sf_dir), "GAME_ID")
+    return CF.absence_columns(CF.classify_absence(dated))
+
+
 # --- teams, coverage and audits (M8/U3/C27, J8, A14-A16, J10-J12) --------------------------
 
 SPELLINGS_SQL = """

@@ -153,7 +153,10 @@ def _laid_out(df: DataFrame, name: str, schema: T.StructType):
     if spec.month_of in schema.fieldNames():
         df = df.withColumn(MONTH, month(F.col(spec.month_of)))
         by.append(MONTH)
-    return df.write.partitionBy(*by) if by else df.write
+    if not by:
+        return df.write
+    # rows of a partition are brought together (large ones split again) so that a load writes few files
+    return df.hint("rebalance", *by).write.partitionBy(*by)
 
 
 def month(date) -> object:
