@@ -302,13 +302,20 @@ def seed_map_teams(spark: SparkSession, root: str, run_id: str, force: bool = Fa
 AVERAGES_KEYS = ("SEASON_TYPE", "PLAYER_ID", "SEASON", "TEAM")
 
 
-def affected_segments(logs: DataFrame, touched: Sequence[str | None], as_of, window_days: int = 30,
+def segment_dates(logs: DataFrame) -> DataFrame:
+    """(SEASON_SEGMENT, last_game, last_load, unnumbered): a row per segment (tens of values);
+    ``unnumbered`` counts rows that were stored without a load number."""
+    load = F.col("_load_no") if "_load_no" in logs.columns else F.lit(None).cast("long")
+    return logs.groupBy("SEASON_SEGMENT").agg(F.max("DATE").alias("last_game"), F.max(load).alias("last_load"),
+                                              F.count(F.when(load.isNull(), 1)).alias("unnumbered"))
+
+
+def affected_segments(segments: DataFrame, touched: Sequence[str | None], as_of, window_days: int = 30,
                       previous: DataFrame | None = None) -> list[str | None]:
-    """Segments whose (season type, season) group must be recomputed: those of touched segments,
-    those with games inside the trailing window, and those whose previous trailing values are not
-    zero (they have to fall).  Returns segment strings (tens of values: metadata, not data)."""
-    seg = logs.groupBy("SEASON_SEGMENT").agg(F.max("DATE").alias("last_game"))
-    lookup = S.classify_season(seg)
+    """Segments (of ``segment_dates``) whose (season type, season) group must be recomputed: those
+    of touched segments, those with games inside the trailing window, and those whose previous
+    trailing values are not zero (they have to fall).  Returns segment strings (metadata)."""
+    lookup = S.classify_season(segments)
     horizon = F.date_sub(F.lit(str(as_of)[:10]).cast("date"), window_days)
     touched_set = [t for t in touched if t is not None]
     hit = lookup.where(F.col("SEASON_SEGMENT").isin(touched_set) | (F.col("last_game") >= horizon))
@@ -356,17 +363,16 @@ def build_fantasy_averages(spark: SparkSession, root: str, as_of, run_id: str, i
     previous = sinks.read_table(spark, root, "fantasy_averages")
     state = sinks.read_table(spark, root, "averages_state")
     state = state.first() if state is not None else None
-    basis = _basis(spark, root)
-    numbered = "_load_no" in logs.columns
-    latest = logs.agg(F.max("_load_no")).first()[0] if numbered else None
+    segments = segment_dates(logs).collect()
+    basis = f"{_basis(spark, root)}|{sum(r['unnumbered'] for r in segments)}"
+    latest = max([r["last_load"] for r in segments if r["last_load"] is not None], default=None)
     same = state is not None and state["basis"] == basis and state["window_days"] == window_days
-    if not (incremental and same and numbered and previous is not None):
+    if not (incremental and same and state["load_no"] is not None and previous is not None):
         avg = M.season_averages(logs, *dims, as_of, window_days)
     else:
-        # rows without a number were stored before the first numbered load
-        new = logs.where(F.col("_load_no") > F.lit(state["load_no"])) if state["load_no"] is not None else logs
-        touched = [r[0] for r in new.select("SEASON_SEGMENT").distinct().collect()]
-        segs = [x for x in affected_segments(logs, touched, as_of, window_days, previous) if x is not None]
+        touched = [r["SEASON_SEGMENT"] for r in segments if (r["last_load"] or 0) > state["load_no"]]
+        known = spark.createDataFrame(segments, "SEASON_SEGMENT string, last_game date, last_load long, unnumbered long")
+        segs = [x for x in affected_segments(known, touched, as_of, window_days, previous) if x is not None]
         fresh = M.season_averages(logs.where(F.col("SEASON_SEGMENT").isin(segs)), *dims, as_of, window_days)
         stale = (S.classify_season(spark.createDataFrame([(x,) for x in segs], "SEASON_SEGMENT string"))
                  .select("SEASON_TYPE", F.col("SEASON_KEY").alias("SEASON")).distinct())   # a row per season

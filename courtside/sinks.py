@@ -13,8 +13,8 @@ is one writer per table.
 
 A log's state also holds its schema: columns may be added (older rows read NULL), while a
 changed type is refused, so reads never depend on which file Spark looks at first.  Logs are laid
-out by ``LOG_SPECS`` in every write; the month of the row's date lets a batch look up stored keys
-in the months that it touches only.
+out by ``LOG_SPECS`` in every write, so that a batch looks up stored keys only around the months
+that it touches.
 """
 
 from __future__ import annotations
@@ -36,15 +36,17 @@ MONTH = "_month"
 
 @dataclass(frozen=True)
 class LogSpec:
-    """Layout of a log: partition columns, and the date column whose month partitions it too."""
+    """Layout of a log: its date column, partition columns, and whether the date's month
+    partitions it too (else lookups by month rely on the date statistics of the files)."""
+    date: str | None = None
     partition_by: tuple[str, ...] = ()
-    month_of: str | None = None
+    by_month: bool = False
 
 
 LOG_SPECS = {
-    "fantasy_logs": LogSpec(("SEASON_SEGMENT",), "DATE"),
-    "player_logs": LogSpec((), "DATE"),
-    "player_absences": LogSpec((), "DATE"),
+    "fantasy_logs": LogSpec("DATE", ("SEASON_SEGMENT",)),
+    "player_logs": LogSpec("DATE", by_month=True),
+    "player_absences": LogSpec("DATE", by_month=True),
 }
 
 
@@ -150,8 +152,8 @@ def _laid_out(df: DataFrame, name: str, schema: T.StructType):
     df = df.select(*[F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
                      for f in schema.fields])
     by = [c for c in spec.partition_by if c in schema.fieldNames()]
-    if spec.month_of in schema.fieldNames():
-        df = df.withColumn(MONTH, month(F.col(spec.month_of)))
+    if spec.by_month and spec.date in schema.fieldNames():
+        df = df.withColumn(MONTH, month(F.col(spec.date)))
         by.append(MONTH)
     if not by:
         return df.write
@@ -182,7 +184,8 @@ def log_folder(spark: SparkSession, root: str, name: str) -> str | None:
 
 def read_log(spark: SparkSession, root: str, name: str, schema: T.StructType | None = None,
              months: Sequence[str | None] | None = None) -> DataFrame | None:
-    """Rows of a log, of the given months only (a partition filter) if its layout has months."""
+    """Rows of a log; with ``months``, at least those of the given months ('yyyy-MM', None for
+    rows without a date): a partition filter, or a date range that files are skipped by."""
     path = table_path(root, name)
     _, state = _state(spark, path)
     if "schema" not in state:
@@ -190,12 +193,19 @@ def read_log(spark: SparkSession, root: str, name: str, schema: T.StructType | N
     own = T.StructType.fromJson(state["schema"])
     if not _exists(spark, f"{path}/{state['folder']}"):
         return spark.createDataFrame([], own)
-    by_month = LOG_SPECS.get(name, LogSpec()).month_of in own.fieldNames()
+    spec = LOG_SPECS.get(name, LogSpec())
+    by_month = spec.by_month and spec.date in own.fieldNames()
     df = spark.read.schema(T.StructType([*own.fields, T.StructField(MONTH, T.StringType())]) if by_month else own) \
         .parquet(f"{path}/{state['folder']}")
     if months is not None and by_month:
         hit = F.col(MONTH).isin([m for m in months if m is not None])
         df = df.where(hit | F.col(MONTH).isNull() if None in months else hit)
+    elif months is not None and spec.date in own.fieldNames() and isinstance(own[spec.date].dataType, T.DateType):
+        some = [m for m in months if m is not None]
+        date, first = F.col(spec.date), F.lit(f"{min(some)}-01" if some else None).cast("date")
+        last = F.last_day(F.lit(f"{max(some)}-01" if some else None).cast("date"))
+        hit = date.between(first, last)
+        df = df.where(hit | date.isNull() if None in months else hit)
     return df.select(*own.fieldNames())
 
 

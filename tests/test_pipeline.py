@@ -112,7 +112,7 @@ def test_incremental_averages_equal_full_recompute(spark, tmp_dir):
     d2 = J.ingest_fantasy_logs(spark, root, dfs_dir, "r2")
     assert d2.touched_segments == [seg_po]
     previous = sinks.read_table(spark, root, "fantasy_averages")
-    segs = J.affected_segments(sinks.read_log(spark, root, "fantasy_logs"), d2.touched_segments, "2025-05-01",
+    segs = J.affected_segments(J.segment_dates(sinks.read_log(spark, root, "fantasy_logs")), d2.touched_segments, "2025-05-01",
                                previous=previous)
     assert segs == [seg_po]
     same_as_full(spark, root, "2025-05-01", "r2")
