@@ -1,8 +1,9 @@
 """Operator 10: toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-Vocabulary: on a bounded seeded sample of labelled texts (``EXAMPLES``; equal texts count once),
-the words whose presence goes with the label by a chi-squared test, at most ``TERMS``.  One pass
-over all documents then gives every text's counts of these words, and their document
+Vocabulary: terms are words, and stems of longer words, with a term of its own for a stem's second
+and third occurrence.  On a bounded seeded sample of labelled texts (``EXAMPLES``; equal texts count
+once), those whose presence goes with the label by a chi-squared test are chosen, at most ``TERMS``.  One pass
+over all documents then gives every text's counts of these terms, and their document
 frequencies over the whole corpus give the weights ``(1 + log tf) * idf``.
 
 The sample's texts are the examples, held in a block-max inverted index: examples lie in blocks,
@@ -32,6 +33,7 @@ from courtside.llm.common import BATCH_ROWS, annotate, bounded_sample, col, rema
 
 EXAMPLES, TERMS, CHI_SQUARED, MIN_TEXTS = 20_000, 2000, 25.0, 3
 NEIGHBOURS, BLOCK, EVIDENCE, SEED = 25, 64, 5, 3
+STEM, REPEATS = 5, 3  # letters of a stem; occurrences of a stem that are terms of their own
 
 # Words are parted by white space, ASCII digits and punctuation, and these signs beyond ASCII.
 _SIGNS = re.compile("[\\u0080-\\u00a9\\u00ab-\\u00b4\\u00b6-\\u00b9\\u00bb-\\u00bf"
@@ -39,12 +41,24 @@ _SIGNS = re.compile("[\\u0080-\\u00a9\\u00ab-\\u00b4\\u00b6-\\u00b9\\u00bb-\\u00
 _BLANKED = bytes(32 if i < 128 and not chr(i).isalpha() else i for i in range(256))
 
 
-def words(text: str) -> list[bytes]:
-    """Lower-cased words as UTF-8."""
+def words(text: str) -> list[str]:
+    """Lower-cased words."""
     low = text.lower()
     if not low.isascii():
         low = _SIGNS.sub(" ", low)
-    return low.encode().translate(_BLANKED).split()
+    return low.encode().translate(_BLANKED).decode().split()
+
+
+def _stemmed(stems: Counter) -> list[tuple[str, int]]:
+    """Terms of stems by their counts: the stem itself, and one for each further occurrence, as
+    cosines don't tell one occurrence from many."""
+    return [(f"{s}*{k}" if k > 1 else f"{s}*", n) for s, n in stems.items() for k in range(1, min(n, REPEATS) + 1)]
+
+
+def all_terms(found: list[str]) -> set[str]:
+    """Terms of a text's words: the words, and the stems (first letters) of the longer ones."""
+    stems = Counter([w[:STEM] for w in found if len(w) > STEM])
+    return set(found).union(t for t, _ in _stemmed(stems))
 
 
 def term_statistics(texts: DataFrame) -> DataFrame:
@@ -53,7 +67,7 @@ def term_statistics(texts: DataFrame) -> DataFrame:
         counts = {0: Counter(), 1: Counter()}
         for b in batches:
             for y, t in zip(b.column(0).to_pylist(), texts_of(b.column(1))):
-                counts[int(y > 0)].update(set(words(t)))
+                counts[int(y > 0)].update(all_terms(words(t)))
             if len(counts[0]) + len(counts[1]) > 2_000_000:
                 yield _frame(counts)
         yield _frame(counts)
@@ -61,7 +75,7 @@ def term_statistics(texts: DataFrame) -> DataFrame:
     def _frame(counts) -> pa.RecordBatch:
         terms = list(counts[0].keys() | counts[1].keys())
         out = pa.RecordBatch.from_arrays(
-            [pa.array([t.decode() for t in terms], pa.string()),
+            [pa.array(terms, pa.string()),
              pa.array([counts[1][t] for t in terms], pa.int64()),
              pa.array([counts[0][t] for t in terms], pa.int64())], names=["term", "pos", "neg"])
         for c in counts.values():
@@ -88,19 +102,31 @@ def vocabulary(texts: DataFrame, limit: int = TERMS, least: float = CHI_SQUARED)
     return [r["term"] for r in rows]
 
 
-def _known(text: str, index: dict[bytes, int]) -> tuple[tuple, tuple]:
-    """Numbers (ascending) and counts of the vocabulary words of a text."""
-    found = sorted((index[w], c) for w, c in Counter([w for w in words(text) if w in index]).items())
-    return tuple(i for i, _ in found), tuple(c for _, c in found)
+class Vocabulary:
+    """The chosen terms, and what is needed to find them among a text's words."""
+
+    def __init__(self, terms: Sequence[str]):
+        self.index = {t: i for i, t in enumerate(terms)}
+        self.words = frozenset(t for t in terms if "*" not in t)
+        self.stems = frozenset(t.partition("*")[0] for t in terms if "*" in t)
+
+    def find(self, text: str) -> tuple[tuple, tuple]:
+        """Numbers (ascending) and counts of the terms of a text."""
+        low = words(text)
+        found = list(Counter([w for w in low if w in self.words]).items())
+        if self.stems:
+            found += _stemmed(Counter([w[:STEM] for w in low if w[:STEM] in self.stems and len(w) > STEM]))
+        pairs = sorted((self.index[t], n) for t, n in found if t in self.index)
+        return tuple(i for i, _ in pairs), tuple(n for _, n in pairs)
 
 
 def term_counts(docs: DataFrame, terms: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """(doc struct, t array<int>, n array<int>): vocabulary words of every text and their counts."""
-    index = {t.encode(): i for i, t in enumerate(terms)}
+    vocabulary = Vocabulary(terms)
 
     def make():
         def fn(text: pa.Array) -> list:
-            pairs = [_known(x, index) for x in texts_of(text)]
+            pairs = [vocabulary.find(x) for x in texts_of(text)]
             return [pa.array([p[0] for p in pairs], pa.list_(pa.int32())),
                     pa.array([p[1] for p in pairs], pa.list_(pa.int32()))]
         return fn
@@ -258,11 +284,11 @@ def score_documents(docs: DataFrame, labels: DataFrame, keep: Sequence[str], tra
 def _scorer(model: Model, from_text: bool):
     """Function from texts, or from their words' numbers and counts, to the output columns."""
     memo: dict[tuple, tuple[float, list[int]]] = {}
-    index = {t.encode(): i for i, t in enumerate(model.terms)}
+    vocabulary = Vocabulary(model.terms)
 
     def fn(*columns: pa.Array) -> list:
         if from_text:
-            pairs = [_known(t, index) for t in texts_of(columns[0])]
+            pairs = [vocabulary.find(t) for t in texts_of(columns[0])]
         else:
             pairs = list(zip(map(tuple, columns[0].to_pylist()), map(tuple, columns[1].to_pylist())))
         found = []
