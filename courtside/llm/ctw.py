@@ -368,14 +368,14 @@ class WordTable:
         return {"parts": self.parts, "known": None}
 
 
-_SCORED = ("rid long, n_tokens long, frequent long, base double, score double, "
+_SCORED = ("rid long, n_bytes long, n_tokens long, frequent long, base double, score double, "
            "rare array<struct<word:binary,n:int>>")
 
 
 def score_documents(docs: DataFrame, train: Column, keep: Sequence[str], nodes: int = NODES,
                     frequent: int = FREQUENT) -> DataFrame:
-    """(doc struct, n_tokens, n_known, train_tokens, base_score, score) of every row of ``docs``;
-    ``code_bits`` is the code length in bits per byte (the end counted as a byte)."""
+    """(doc struct, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) of every row
+    of ``docs``; the last is the code length per byte (the end counted as a byte)."""
     spark = docs.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -409,7 +409,7 @@ def score_documents(docs: DataFrame, train: Column, keep: Sequence[str], nodes:
                 rare.append([{"word": w, "n": c} for w, c in rest.items()])
             rid = np.arange(done[0], done[0] + len(raw)) + first
             done[0] += len(raw)
-            return [pa.array(rid), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
+            return [pa.array(rid), pa.array([len(t) + 1 for t in raw], pa.int64()), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
                     pa.array(base, pa.float64()), pa.array(model.score(raw)),
                     pa.array(rare, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())])))]
         return fn
@@ -426,7 +426,7 @@ def score_documents(docs: DataFrame, train: Column, keep: Sequence[str], nodes:
             .select("doc", "n_tokens", (F.col("frequent") + F.coalesce("known", F.lit(0))).alias("n_known"),
                     F.lit(int(total)).cast("long").alias("train_tokens"),
                     (F.col("base") + F.coalesce("part", F.lit(0.0)) - size * F.lit(divisor)).alias("base_score"),
-                    "score"))
+                    "score", (-F.col("score") * F.lit(float(np.log2(10.0))) / F.col("n_bytes")).alias("bits_per_byte")))
 
 
 def op5_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -435,4 +435,4 @@ def op5_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_documents(docs, remainder(F.col("doc_id"), 5) != 1, ["doc_id"])
     return scored.select(F.col("doc.doc_id").alias("doc_id"),
                          (remainder(F.col("doc.doc_id"), 5) == 1).alias("held_out"),
-                         "n_tokens", "n_known", "train_tokens", "base_score", "score")
+                         "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")

@@ -261,6 +261,7 @@ def test_scores_and_base(docs_of, corpus, odd_rows):
     for r in got:
         text = next(d[1] for d in rows if d[0] == r["doc"]["doc_id"]) or ""
         assert abs(r["score"] - want.score([text.encode()])[0]) < 1e-6 * abs(r["score"])
+        assert abs(r["bits_per_byte"] * (len(text.encode()) + 1) + r["score"] * math.log2(10)) < 1e-6 * abs(r["score"]) * 4
 
 
 def test_scores_without_training_or_rows(docs_of):

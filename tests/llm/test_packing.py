@@ -25,7 +25,7 @@ def test_word_ids_equal_whole_text(text):
 
 
 def test_word_ids_when_the_memory_overflows(monkeypatch):
-    monkeypatch.setattr(packing, "CACHE_WORDS", 50)
+    monkeypatch.setattr(packing, "CACHE_UNITS", 50)
     r = random.Random(3)
     texts = [" ".join("".join(r.choices("abcdef", k=r.randint(1, 6))) + r.choice(["", ",", "!?"]) for _ in range(80))
              for _ in range(60)]
