@@ -19,7 +19,6 @@ Extra columns are ignored.  A null doc_id stays null.
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -30,16 +29,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtside.llm.common import BATCH_ROWS, table, texts_of
+from courtside.llm.words import Words, chunks
 
 WINDOW, END_ID = 4096, 2
-CACHE_WORDS = 600_000  # words whose ids a worker remembers, in each of two generations
+CACHE_UNITS = 1_500_000  # units whose ids a worker remembers (some 25 bytes each); emptied when full
 FLUSH_IDS = 1_000_000
 SCHEMA = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
           "sequence_id long, offset long")
 
-# Control characters that Python's split() drops but the tokenizer doesn't take for white space.
-_NOT_SPACE = re.compile("[\x1c-\x1f]")
-_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
+_MARK = np.zeros(256, dtype=bool)
+_MARK[[i for i in range(33, 127) if not chr(i).isalnum()]] = True
+_ALNUM = np.zeros(256, dtype=bool)
+_ALNUM[[i for i in range(128) if chr(i).isalnum()]] = True
+_LATIN = np.zeros(256, dtype=bool)  # second bytes of the letters from U+00C0 to U+00FF
+_LATIN[[i for i in range(0x80, 0xC0) if chr(i + 0x40).isalpha()]] = True
 
 
 def folded(text: str) -> str:
@@ -56,10 +59,10 @@ def folded(text: str) -> str:
 class WordIds:
     """Token ids of texts as little-endian uint32 bytes.
 
-    The vocabulary's splitting pattern never crosses white space and parts letters from marks, so
-    a text's ids are its words' ids in a row, and a word of letters followed by marks has its
-    letters' and its marks' ids.  Each distinct part is encoded once per worker, as long as it is
-    remembered (tested against whole texts).
+    The vocabulary's splitting pattern never crosses white space, so a text's ids are its words'
+    ids in a row.  It also parts a letter or digit from marks after it, so a word that ends in
+    ASCII marks is taken as two units.  Every distinct unit (by its 64-bit hash) is encoded once
+    and remembered in flat arrays; a chunk's ids are gathered at once (tested against whole texts).
     """
 
     def __init__(self, path: str):
@@ -67,67 +70,91 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # tokens that end a unit
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self._forget()
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes()
+    def _forget(self) -> None:
+        self.keys = np.zeros(0, dtype=np.uint64)     # hashes, ascending
+        self.first = np.zeros(0, dtype=np.int64)     # each unit's ids in the pool
+        self.size = np.zeros(0, dtype=np.int64)
+        self.pool = np.zeros(1 << 16, dtype="<u4")
+        self.used = 0
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype="<u4")
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_units(self, units: list[str]) -> list[bytes]:
+    def _encode_letters(self, units: list[str]) -> list[np.ndarray]:
         """Units of letters alone: encoded in one text and parted at the tokens that end them."""
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(units)], add_special_tokens=False)[0].ids,
-                       dtype="<u4")
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(units)], add_special_tokens=False)[0].ids, dtype="<u4")
         end = np.flatnonzero(self.ends[ids]) + 1
-        if len(end) != len(units):  # a letter that the vocabulary parts otherwise
-            return self._encode(units)
-        raw = ids.tobytes()
-        return [raw[4 * a:4 * b] for a, b in zip([0, *end.tolist()], end.tolist())]
-
-    def _learn(self, words: set[str]) -> None:
-        """Fill in ids of unknown words."""
-        if len(self.known) > CACHE_WORDS:
-            self.known, self.before = {}, self.known
-        parts = {}
-        letters, mixed = set(), set()
-        for w in words:
-            ids = self.before.get(w)
-            if ids is not None:
-                self.known[w] = ids
-                continue
-            core = w.rstrip(_MARKS)
-            if core.isalpha():
-                letters.add(core)
-                if core != w:
-                    mixed.add(w[len(core):])
-                    parts[w] = (core, w[len(core):])
-            else:
-                mixed.add(w)
-        for group, encode in ((letters, self._encode_units), (mixed, self._encode)):
-            new = [p for p in group if p not in self.known]
-            if new:
-                self.known.update(zip(new, encode(new)))
-        for w, (core, marks) in parts.items():
-            self.known[w] = self.known[core] + self.known[marks]
+        return np.split(ids, end[:-1]) if len(end) == len(units) else self._encode(units)
+
+    def _learn(self, hashes: np.ndarray, units: list[str]) -> None:
+        """Remember new units.  hashes: ascending."""
+        ids: list = [None] * len(units)
+        for letters, encode in ((True, self._encode_letters), (False, self._encode)):
+            at = [i for i, u in enumerate(units) if u.isalpha() == letters]
+            for i, x in zip(at, encode([units[i] for i in at]) if at else []):
+                ids[i] = x
+        size = np.array([len(x) for x in ids], dtype=np.int64)
+        need = self.used + int(size.sum())
+        if need > len(self.pool):
+            grown = np.zeros(max(need, 2 * len(self.pool)), dtype="<u4")
+            grown[:self.used] = self.pool[:self.used]
+            self.pool = grown
+        self.pool[self.used:need] = np.concatenate(ids)
+        at = np.searchsorted(self.keys, hashes)
+        self.keys = np.insert(self.keys, at, hashes)
+        self.first = np.insert(self.first, at, self.used + np.cumsum(size) - size)
+        self.size = np.insert(self.size, at, size)
+        self.used = need
+
+    def _units(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, end, text index) of the units, in order."""
+        buf = w.buf
+        plain = np.where(_MARK[buf], -1, np.arange(len(buf)))
+        edges = np.column_stack([w.start, w.end]).reshape(-1)
+        last = np.maximum.reduceat(plain, edges)[::2]            # last byte that is no mark, or -1
+        core = np.where(last >= w.start, last + 1, w.end)
+        byte, before = buf[core - 1], buf[np.maximum(core - 2, 0)]
+        parted = (core < w.end) & (_ALNUM[byte] | ((before == 0xC3) & _LATIN[byte] & (core - 2 >= w.start)))
+        core = np.where(parted, core, w.end)
+        count = 1 + parted
+        at = np.cumsum(count) - count
+        start, end = np.empty(count.sum(), np.int64), np.empty(count.sum(), np.int64)
+        start[at], end[at] = w.start, core
+        start[at[parted] + 1], end[at[parted] + 1] = core[parted], w.end[parted]
+        return start, end, np.repeat(w.doc, count)
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        for i in range(0, len(texts), 256):
-            split = [None if _NOT_SPACE.search(t) else folded(t).split() for t in texts[i:i + 256]]
-            ids = [None if words is None else list(map(self.known.get, words)) for words in split]
-            unknown = {w for words, found in zip(split, ids) if found and None in found
-                       for w, x in zip(words, found) if x is None}
-            if unknown:
-                self._learn(unknown)
-            for text, words, found in zip(texts[i:i + 256], split, ids):
-                if words is None:
-                    yield self._encode([text])[0]
-                elif None in found:
-                    yield b"".join([self.known[w] if x is None else x for w, x in zip(words, found)])
-                else:
-                    yield b"".join(found)
+        for _, some in chunks([folded(t).encode() for t in texts]):
+            w = Words(some)
+            if not len(w.start):
+                yield from (b"" for _ in some)
+                continue
+            start, end, doc = self._units(w)
+            h, index, inverse = np.unique(w.hashes_of(start, end), return_index=True, return_inverse=True)
+            if len(self.keys) + len(h) > CACHE_UNITS:
+                self._forget()
+            at = np.searchsorted(self.keys, h)
+            new = np.ones(len(h), dtype=bool)
+            if len(self.keys):
+                new = self.keys[np.minimum(at, len(self.keys) - 1)] != h
+            if new.any():
+                raw = w.buf.tobytes()
+                self._learn(h[new], [raw[start[i]:end[i]].decode() for i in index[new]])
+                at = np.searchsorted(self.keys, h)
+            at = at[inverse.reshape(-1)]
+            size = self.size[at]
+            total = np.cumsum(size)
+            ids = self.pool[np.repeat(self.first[at] - (total - size), size) + np.arange(total[-1])]
+            of_text = np.bincount(doc, weights=size, minlength=len(some)).astype(np.int64)
+            edge = np.concatenate(([0], np.cumsum(of_text)))
+            for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+                yield ids[a:b].tobytes()
 
 
 _encoders: dict[str, WordIds] = {}  # one per vocabulary in each worker

@@ -8,7 +8,7 @@ import numpy as np
 
 from courtside.llm.common import mix64
 
-CHUNK_BYTES = 2_000_000  # texts handled at once; a longer text is a chunk of its own
+CHUNK_BYTES = 1_000_000  # texts handled at once; a longer text is a chunk of its own
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -62,11 +62,14 @@ class Words:
         self.rank = np.arange(len(self.start)) - self.first[self.doc]
 
     def hashes(self) -> np.ndarray:
+        return self.hashes_of(self.start, self.end)
+
+    def hashes_of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of the bytes from ``start`` up to ``end``, wherever they stand."""
         up, down = _power(len(self.buf) + 1)
         total = np.zeros(len(self.buf) + 1, dtype=np.uint64)
         np.cumsum(_BYTE[self.buf] * up[:len(self.buf)], dtype=np.uint64, out=total[1:])
-        return mix64((total[self.end] - total[self.start]) * down[self.start]
-                     + (self.end - self.start).astype(np.uint64))
+        return mix64((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
 
     def shingles(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(text index, hash) of every run of ``n`` words; a text of fewer words gives one run of
