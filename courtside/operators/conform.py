@@ -207,12 +207,13 @@ def first_nonempty_source(sources: Sequence[DataFrame], col: str) -> DataFrame:
     one pass, no driver-side branching on data."""
     tagged = None
     for prio, s in enumerate(sources):
-        t = s.select(F.col(col).alias("RAW"), F.lit(prio).alias("_prio")).where(F.col("RAW").isNotNull())
+        # distinct first (partial aggregates): all that follows runs on a handful of names
+        t = s.select(F.col(col).alias("RAW")).where(F.col("RAW").isNotNull()).distinct().withColumn("_prio", F.lit(prio))
         tagged = t if tagged is None else tagged.unionByName(t)
     best = tagged.agg(F.min("_prio").alias("_prio"))       # a global aggregate: exactly one row
     # broadcast the one-row side: a shuffle join on a key with a handful of values would put
     # each source into a single task
-    return tagged.join(F.broadcast(best), "_prio", "left_semi").select("RAW").distinct()
+    return tagged.join(F.broadcast(best), "_prio", "left_semi").select("RAW")
 
 
 def seed_team_map(sources: Sequence[DataFrame], spellings: DataFrame, col: str = "TEAM") -> tuple[DataFrame, DataFrame]:

@@ -494,13 +494,11 @@ cells AS (
 )""") + f"""
 SELECT column_name, {_class_sql('v')} AS storage_class, count(*) AS cells FROM cells GROUP BY ALL""")
 def q_type_audit(spark, sf_dir):
-    ids = X.raw_ids(spark, sf_dir).select("ROW_ID", "PLAYER_ID")
-    ev = X.table(spark, sf_dir, "events").select(F.col("event_id").alias("ROW_ID"),
-                                                  F.col("user_id").alias("USER_ID"),
+    ids = X.raw_ids(spark, sf_dir).select("PLAYER_ID")
+    ev = X.table(spark, sf_dir, "events").select(F.col("user_id").alias("USER_ID"),
                                                   F.col("value").alias("VALUE"),
                                                   F.col("event_type").alias("EVENT_TYPE"))
-    wide = ev.join(ids, "ROW_ID")
-    return Q.type_audit(wide, ["PLAYER_ID", "USER_ID", "VALUE", "EVENT_TYPE"])
+    return Q.type_audit(ids, ["PLAYER_ID"]).unionByName(Q.type_audit(ev, ["USER_ID", "VALUE", "EVENT_TYPE"]))
 
 
 @register("name_mismatch", X.with_(X.FANTASY_LOGS_SQL, X.DIM_PLAYERS_SQL) + """
