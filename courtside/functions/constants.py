@@ -108,32 +108,20 @@ DFS_RENAMES = {
 
 # --- fixed values: box-score feed (header sanitised with hyphens -> underscore) ---
 BOX_RENAMES = {
-    "GAME_ID": "GAME_ID",
-    "PLAYER_ID": "PLAYER_ID",
     "PLAYER__FULL_NAME": "PLAYER",
-    "POSITION": "POSITION",
     "OWN__TEAM": "TEAM",
     "OPPONENT__TEAM": "OPPONENT",
     "VENUE_RHN": "VENUE",
     "STARTER_YN": "STARTED",
     "MIN": "MINUTES",
-    "FG": "FG",
-    "FGA": "FGA",
-    "3P": "3P",
-    "3PA": "3PA",
-    "FT": "FT",
-    "FTA": "FTA",
     "OR": "OREB",
     "DR": "DREB",
     "TOT": "TREB",
     "A": "AST",
-    "PF": "PF",
     "ST": "STL",
     "TO": "TOV",
     "BL": "BLK",
-    "PTS": "PTS",
     "USAGE__RATE_": "USAGE",
-    "DAYS_REST": "DAYS_REST",
 }
 
 # --- fixed values: season-averages output (column order, rounding digits, integer columns) ---

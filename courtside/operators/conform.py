@@ -184,14 +184,6 @@ def absence_columns(df: DataFrame) -> DataFrame:
     return df.select(*K.ABSENCE_COLUMNS)
 
 
-# --------------------------------------------------------------------------- matching input
-
-def clean_names(df: DataFrame, col: str) -> DataFrame:
-    """Cast to text, strip, drop NULL and blank."""
-    s = C.strip_ws(F.col(col).cast("string"))
-    return df.select(s.alias(col)).where(F.col(col).isNotNull() & (F.col(col) != ""))
-
-
 # --------------------------------------------------------------------------- teams
 
 def team_spellings(spark: SparkSession, mapping: Mapping[str, str] = K.TEAM_ABBREVIATIONS) -> DataFrame:

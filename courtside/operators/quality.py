@@ -20,10 +20,10 @@ class DuplicateKeyError(RuntimeError):
 
 
 def require_columns(df: DataFrame, cols: Sequence[str], what: str = "table") -> None:
-    """Raise listing missing and found columns."""
-    missing = [c for c in cols if c not in df.columns]
-    if missing:
-        raise ValueError(f"{what} is missing required column(s) {missing} (has: {sorted(df.columns)})")
+    """Raise if a column is absent, naming it."""
+    absent = sorted(set(cols) - set(df.columns))
+    if absent:
+        raise ValueError(f"{what}: no column {', '.join(absent)} among {', '.join(df.columns)}")
 
 
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -170,21 +170,25 @@ def name_mismatches(logs: DataFrame, dim_players: DataFrame) -> DataFrame:
 
 
 class AmbiguousSegmentError(RuntimeError):
-    pass
+    """A game's rows name more than one season segment."""
 
 
 def game_segments(logs: DataFrame, game: str = "GAME_ID", segment: str = "SEASON_SEGMENT") -> DataFrame:
-    """Distinct (game, segment) with the number of segments seen for the game."""
-    d = logs.select(game, segment).where(F.col(segment).isNotNull()).distinct()
-    n = d.groupBy(game).agg(F.count(F.lit(1)).alias("segments_for_game"))
-    return d.join(n, game)
+    """One segment per game (the smallest that its rows name) and how many its rows name."""
+    named = logs.where(F.col(segment).isNotNull()).groupBy(game, segment).agg(F.lit(1).alias("_one"))
+    return named.groupBy(game).agg(F.min(segment).alias(segment), F.count("_one").alias("segments_for_game"))
 
 
 def season_of_absence(absences: DataFrame, logs: DataFrame, game: str = "GAME_ID",
-                      segment: str = "SEASON_SEGMENT") -> DataFrame:
-    """Absence rows get SEASON_SEGMENT from another row of the same game (left join on the
-    distinct (game, segment) pairs).  ``segments_for_game`` > 1 flags an ambiguous game."""
-    return absences.join(game_segments(logs, game, segment), game, "left")
+                      segment: str = "SEASON_SEGMENT", strict: bool = False) -> DataFrame:
+    """Absence rows get SEASON_SEGMENT from another row of the same game (one row per
+    absence).  ``segments_for_game`` > 1 flags an ambiguous game; ``strict`` refuses them."""
+    segments = game_segments(logs, game, segment)
+    if strict:
+        bad = segments.where(F.col("segments_for_game") > 1).orderBy(game).limit(5).collect()
+        if bad:
+            raise AmbiguousSegmentError(f"games with several season segments, e.g. {[r[game] for r in bad]}")
+    return absences.join(segments, game, "left")
 
 
 def correction_counts(named: Mapping[str, tuple[DataFrame, str]], name_map: Mapping[str, str],

@@ -43,20 +43,19 @@ def migrate_id_types(df: DataFrame, cols: Sequence[str] = ("PLAYER_ID", "GAME_ID
                     .agg(F.count(F.lit(1)).alias("n")).collect() if r["r"] is not None}
     bad = {k: v for k, v in counts.items() if k in ("fractional", "non_numeric")}
     if bad:
-        raise MigrationError(f"refusing to truncate ids: {bad}")
+        raise MigrationError(f"ids that are no whole numbers, by kind: {bad}")
     accepted, _ = CF.normalize_ids(df, present)
     return accepted, int(counts.get("missing", 0))
 
 
 def rename_columns(df: DataFrame, renames: Mapping[str, str]) -> DataFrame:
-    """M7: idempotent column rename.  Pending = old present and new absent; already done = new
-    present and old absent; anything else (both or neither) is unaccounted and aborts."""
-    cols = set(df.columns)
-    pending = {o: n for o, n in renames.items() if o in cols and n not in cols}
-    unaccounted = [o for o, n in renames.items() if (o in cols) == (n in cols)]
-    if unaccounted:
-        raise MigrationError(f"cannot account for columns {unaccounted} (have {sorted(cols)})")
-    return df.withColumnsRenamed(pending) if pending else df
+    """M7: rename columns; a second run changes nothing.  Of each pair exactly one name must be
+    there, or the table is not the one that the migration is for."""
+    for old, new in renames.items():
+        if len({old, new} & set(df.columns)) != 1:
+            raise MigrationError(f"one of {old} and {new} was expected in {df.columns}")
+    todo = {old: new for old, new in renames.items() if old in df.columns}
+    return df.withColumnsRenamed(todo) if todo else df
 
 
 class SeedRefused(RuntimeError):
@@ -69,4 +68,4 @@ def check_seed(existing_rows: int, unmapped: list[str], force: bool = False) ->
     if unmapped:
         raise SeedRefused(f"unmapped team names: {sorted(unmapped)}")
     if existing_rows > 0 and not force:
-        raise SeedRefused("map_teams already has rows; pass force=True to replace it")
+        raise SeedRefused(f"{existing_rows} team rows would be replaced; force=True does so")

@@ -20,11 +20,6 @@ def classify_season(df: DataFrame, segment: str = "SEASON_SEGMENT") -> DataFrame
               .drop("_season_year"))
 
 
-def classified(df: DataFrame, segment: str = "SEASON_SEGMENT") -> DataFrame:
-    """Rows whose segment yields both a season type and a season key (the rest are dropped)."""
-    return classify_season(df, segment).where(F.col("SEASON_TYPE").isNotNull() & F.col("SEASON_KEY").isNotNull())
-
-
 def unclassified_segments(df: DataFrame, segment: str = "SEASON_SEGMENT") -> DataFrame:
     """Distinct segments that cannot be classified, with how many rows each one drops.
 

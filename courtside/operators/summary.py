@@ -27,14 +27,15 @@ def _as_date(as_of) -> Column:
     return F.lit(str(as_of)).cast("date")
 
 
-# Size bound (bytes, as estimated by the optimizer) under which a dimension is broadcast.
-DIM_BROADCAST_BYTES = 16 * 1024 * 1024
+# Size bound (bytes, as estimated by the optimizer) under which a dimension is broadcast.  A scan's
+# estimate is its compressed file size; dictionary-coded text may take some ten times that in
+# memory, so the bound is a tenth of what an executor can well spare.
+DIM_BROADCAST_BYTES = 4 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate.  Without column statistics it is an upper bound for
-    filters, aggregates and joins (a join is estimated as the product of its sides); for a
-    scan it is the file size."""
+    """The optimizer's size estimate: for a scan the (compressed) file size, above it grown by
+    joins (the product of the sides) and never shrunk by filters without statistics."""
     try:
         return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - no JVM handle (e.g. a Connect session): size unknown

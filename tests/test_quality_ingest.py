@@ -100,3 +100,12 @@ def test_first_by_key_hot_key_is_aggregated_not_windowed(spark):
     assert out.collect()[0]._row_no == 0
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+def test_season_of_absence_gives_one_row_each(spark):
+    logs = spark.createDataFrame([(1, "b"), (1, "a"), (1, "a"), (2, "c"), (3, None)], "GAME_ID long, SEASON_SEGMENT string")
+    ab = spark.createDataFrame([(9, 1), (8, 2), (7, 3)], "PLAYER_ID long, GAME_ID long")
+    got = sorted((r.PLAYER_ID, r.SEASON_SEGMENT, r.segments_for_game) for r in Q.season_of_absence(ab, logs).collect())
+    assert got == [(7, None, None), (8, "c", 1), (9, "a", 2)]
+    with pytest.raises(Q.AmbiguousSegmentError):
+        Q.season_of_absence(ab, logs, strict=True)
