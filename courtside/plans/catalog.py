@@ -19,7 +19,7 @@ from ..operators import matching as MT
 from ..operators import seasons as S
 from ..operators import slate as SL
 from ..operators import summary as M
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, stage
 from . import fixtures as X
 from . import jobs as J
 from . import oracle as O
@@ -538,13 +538,20 @@ TEST_L30_SEASON = "2001-02"
 TEST_PLAYOFF_SEASON = "2001"
 
 
-def _matched_slate(spark, sf_dir, avg, season_type="Regular"):
+def _matched_slate(spark, sf_dir) -> DataFrame:
     """The slate's matched names.  Here the slate file already carries stored spellings, so the
-    list is used as matched (J6 is checked on its own; matching is checked by
-    ``resolve_names_cascade`` and the brute-force tests)."""
+    list is used as matched; ``slate_through_matching`` takes it through the matching."""
     return X.slate_entries(spark, sf_dir).select(F.col("Name").alias("PLAYER"))
 
 
+def _slate_averages(spark, sf_dir, matched: DataFrame) -> DataFrame:
+    """Averages of the slate's players only: the restriction goes through the player dimension,
+    so other players' games are left out before the aggregate."""
+    dims = X.dim_players(spark, sf_dir).join(matched.select(F.col("PLAYER").alias("PLAYER_NAME")).distinct(),
+                                             "PLAYER_NAME", "left_semi").select("PLAYER_ID", "PLAYER_NAME")
+    return M.season_averages(X.fantasy_logs(spark, sf_dir), dims, X.map_teams(spark, sf_dir), X.AS_OF)
+
+
 SLATE_SQL_BASE = O.averages_with() + ", " + X.SLATE_ENTRIES_SQL.strip() + "\n"
 
 
@@ -557,20 +564,32 @@ def _slate_sql(cols, season_type, seasons):
 
 @register("daily_slate", _slate_sql(K.SLATE_COLUMNS, "Regular", TEST_SLATE_SEASONS))
 def q_daily_slate(spark, sf_dir):
-    avg = averages(spark, sf_dir)
-    return SL.daily_slate(avg, _matched_slate(spark, sf_dir, avg), TEST_SLATE_SEASONS)
+    names = _matched_slate(spark, sf_dir)
+    return SL.daily_slate(_slate_averages(spark, sf_dir, names), names, TEST_SLATE_SEASONS)
 
 
 @register("daily_slate_l30", _slate_sql(K.SLATE_L30_VIEW_COLUMNS, "Regular", (TEST_L30_SEASON,)))
 def q_daily_slate_l30(spark, sf_dir):
-    avg = averages(spark, sf_dir)
-    return SL.daily_slate_l30(avg, _matched_slate(spark, sf_dir, avg), TEST_L30_SEASON)
+    names = _matched_slate(spark, sf_dir)
+    return SL.daily_slate_l30(_slate_averages(spark, sf_dir, names), names, TEST_L30_SEASON)
 
 
 @register("playoff_slate", _slate_sql(K.SLATE_COLUMNS, "Playoffs", (TEST_PLAYOFF_SEASON,)))
 def q_playoff_slate(spark, sf_dir):
-    avg = averages(spark, sf_dir)
-    return SL.playoff_slate(avg, _matched_slate(spark, sf_dir, avg, "Playoffs"), TEST_PLAYOFF_SEASON)
+    names = _matched_slate(spark, sf_dir)
+    return SL.playoff_slate(_slate_averages(spark, sf_dir, names), names, TEST_PLAYOFF_SEASON)
+
+
+@register("slate_through_matching", O.averages_with() + ", " + X.TYPED_SLATE_SQL.strip() + """
+SELECT """ + ", ".join("STDV_FPPG AS STDV" if c == "STDV" else c for c in K.SLATE_COLUMNS) + """
+FROM fantasy_averages WHERE SEASON_TYPE = 'Regular' AND SEASON IN ('2000-01', '2001-02')
+AND PLAYER IN (SELECT stored FROM typed_slate)""")
+def q_slate_through_matching(spark, sf_dir):
+    """B6 as a whole: typed names to known players, then their averages in the slate's columns."""
+    known = M.known_players(X.fantasy_logs(spark, sf_dir), X.dim_players(spark, sf_dir),
+                            X.map_teams(spark, sf_dir), "Regular")
+    names = stage(MT.matched_names(MT.match_names(X.typed_slate(spark, sf_dir), known, name_col="Name")))
+    return SL.daily_slate(_slate_averages(spark, sf_dir, names), names, TEST_SLATE_SEASONS)
 
 
 @register("fuzzy_match_lev", X.with_(X.PART_NAME_QUERIES_SQL, """

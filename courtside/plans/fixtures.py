@@ -299,6 +299,22 @@ slate_entries AS (
 )"""
 
 
+def typed_slate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A slate as typed: known players of region 1, every other name in capitals and spread out."""
+    s, n = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
+    known = s.join(n, s.s_nationkey == n.n_nationkey).where((F.col("n_regionkey") == 1) & (F.col("s_acctbal") >= 0))
+    name = F.col("s_name")
+    return known.select(F.when(F.col("s_suppkey") % 2 == 0, name)
+                        .otherwise(F.concat(F.lit("  "), F.upper(name), F.lit(" "))).alias("Name"))
+
+
+TYPED_SLATE_SQL = """
+typed_slate AS (
+  SELECT s.s_name AS stored FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
+  WHERE n.n_regionkey = 1 AND s.s_acctbal >= 0
+)"""
+
+
 def noisy_slate_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slate names as people type them: exact in region 1, upper-cased in region 2, spaced out
     in region 3, shortened in region 4, plus names from the correction map in region 0."""
