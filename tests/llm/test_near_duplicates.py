@@ -121,3 +121,25 @@ def test_components(spark):
     got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert got == {**{i: 100 for i in range(100, 141)}, 3: 3, 7: 3, 9: 3, 1: 1, 2: 1}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_prefix_pairs_miss_no_link(spark):
+    """With every text a component of its own, all pairs at the threshold are candidates."""
+    rows = [(d[0], d[1]) for d in make(5, groups=15, copies=8, edits=6)]
+    texts = spark.createDataFrame(rows, "node long, text string")
+    nodes = texts.selectExpr("node", "node AS component")
+    found = {tuple(r) for r in B.prefix_pairs(nodes, texts, THRESHOLD).collect()}
+    sets = {i: multiset(t) for i, t in rows}
+    links = {(a, b) for a in sets for b in sets if a < b and similarity(sets[a], sets[b]) >= THRESHOLD}
+    assert links and links <= found and len(found) < len(rows) * (len(rows) - 1) / 4
+
+
+def test_distances_of_given_pairs(spark):
+    rows = [(i, d[1]) for i, d in enumerate(make(6, groups=4))]
+    texts = spark.createDataFrame(rows, "node long, text string")
+    pairs = [(a, b) for a in range(len(rows)) for b in (0, 1) if a > 1]
+    got = {(r.a, r.b): r.distance for r in
+           B.verified(spark.createDataFrame(pairs, "a long, b long"), texts, 5).collect()}
+    assert set(got) == set(pairs)
+    for (a, b), x in got.items():
+        assert abs(1 - x - similarity(multiset(rows[a][1]), multiset(rows[b][1]))) < 1e-12
