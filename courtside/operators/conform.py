@@ -122,11 +122,25 @@ def normalized_id(c: str):
     return F.when(id_reason(c) == "ok", F.coalesce(s.try_cast("bigint"), s.try_cast("decimal(38,9)").try_cast("bigint")))
 
 
-def normalize_ids(df: DataFrame, cols: Sequence[str] = ("PLAYER_ID", "GAME_ID")) -> tuple[DataFrame, DataFrame]:
+class IdError(ValueError):
+    """An id that the policy doesn't allow."""
+
+
+# policy -> reasons that raise instead of being handed back as rejected rows
+ID_POLICIES = {"report": (), "drop_missing": ("non_numeric", "fractional"),
+               "strict": ("missing", "non_numeric", "fractional")}
+
+
+def normalize_ids(df: DataFrame, cols: Sequence[str] = ("PLAYER_ID", "GAME_ID"),
+                  policy: str = "report") -> tuple[DataFrame, DataFrame]:
     """Ids -> bigint.  Returns (accepted, rejected); rejected carries ``reject_reason`` (the first
-    failing column's reason: missing, non_numeric or fractional).  Callers decide the policy:
-    the reference drops-and-counts ``missing`` and fails the file on the other two."""
+    failing column's reason: missing, non_numeric or fractional).  Policy 'drop_missing' (box
+    scores and daily fantasy) raises on the other two, 'strict' (absences) on any."""
     tagged = with_id_reasons(df, cols)
+    if ID_POLICIES[policy]:
+        bad = tagged.where(F.substring_index("reject_reason", ":", -1).isin(*ID_POLICIES[policy])).limit(1).collect()
+        if bad:
+            raise IdError(f"{bad[0]['reject_reason']} in {bad[0].asDict()}")
     present = [c for c in cols if c in df.columns]
     accepted = tagged.where(F.col("reject_reason").isNull()).drop("reject_reason")
     for c in present:

@@ -143,13 +143,15 @@ def finish(agg: DataFrame, fill: bool = True) -> DataFrame:
 
 
 def season_averages(logs: DataFrame, dim_players: DataFrame, map_teams: DataFrame, as_of,
-                    window_days: int = 30, fill: bool = True) -> DataFrame:
-    """The fantasy_averages table.
+                    window_days: int = 30, by_team: bool = True, fill: bool = True) -> DataFrame:
+    """The fantasy_averages table; ``by_team=False`` gives players with several teams one row.
 
     ``logs`` needs PLAYER_ID, DATE (date), SEASON_SEGMENT, TEAM, DK_POINTS, DK_SALARY,
     MINUTES, USAGE, STARTED.  Rows whose season cannot be classified, or whose player
     or team has no dimension row, drop out (NULL group keys), as in the reference.
     """
+    if not by_team:
+        map_teams = map_teams.select("RAW_TEAM_NAME", F.lit("ALL").alias("TEAM_ABBREVIATION")).distinct()
     df = S.classify_season(team_abbreviations(canonical_names(logs, dim_players), map_teams))
     # Rows with a NULL key (unclassifiable season, unknown player or team) go before the
     # aggregate: the left joins become inner joins, and nothing of them is shuffled.
@@ -168,8 +170,7 @@ def season_averages_by_player(logs: DataFrame, dim_players: DataFrame, map_teams
                               window_days: int = 30) -> DataFrame:
     """``by_team=False`` grain: traded players get one row per season, computed from the logs
     (never by averaging the per-team averages)."""
-    collapsed = map_teams.select("RAW_TEAM_NAME", F.lit("ALL").alias("TEAM_ABBREVIATION")).distinct()
-    return season_averages(logs, dim_players, collapsed, as_of, window_days)
+    return season_averages(logs, dim_players, map_teams, as_of, window_days, by_team=False)
 
 
 def trailing_features(logs: DataFrame, keys: list[str], date_col: str, value_cols: list[str],

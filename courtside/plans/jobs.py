@@ -53,21 +53,18 @@ class IngestResult:
     touched_segments: list[str | None] = field(default_factory=list)
 
 
-@dataclass
+@dataclass(frozen=True)
 class Feed:
-    """How a feed's main sheet becomes rows of a log."""
+    """A feed: its main sheet's form, the log that takes its rows, and its numeric columns."""
     name: str
     log: str
-    header_row: int
-    skip_after_header: int
-    hyphen_to_underscore: bool
-    renames: dict
-    drops: Sequence[str]
+    spec: FD.FeedSpec
     numeric: Sequence[str]
 
 
-BOX = Feed("box", "player_logs", 0, 0, True, K.BOX_RENAMES, (), BOX_NUMERIC)
-DFS = Feed("dfs", "fantasy_logs", 1, 1, False, K.DFS_RENAMES, K.DFS_DROP, DFS_NUMERIC)
+BOX = Feed("box", "player_logs", FD.FeedSpec(0, 0, True, K.BOX_RENAMES), BOX_NUMERIC)
+DFS = Feed("dfs", "fantasy_logs", FD.FeedSpec(1, 1, False, K.DFS_RENAMES, K.DFS_DROP), DFS_NUMERIC)
+ABSENCES = FD.FeedSpec(renames=K.ABSENCE_RENAMES, required=K.ABSENCE_REQUIRED)
 LOAD_COLUMNS = ("_load_no", "_file_name", "_row_no")   # insertion order, kept in every log
 FATAL = ("non_numeric", "fractional", "unparseable_date")
 
@@ -112,7 +109,7 @@ def _without(df: DataFrame, rejected: dict[str, str]) -> DataFrame:
 def _header_faults(rows: DataFrame, feed: Feed) -> dict[str, str]:
     """Files that cannot be parsed or whose headers collide once sanitised."""
     why = {r["_file_name"]: r["cells"][0] for r in rows.where(F.col("_sheet") == FD.UNREADABLE).collect()}
-    hmap = FD.sheet_header(rows, 0, feed.header_row, feed.hyphen_to_underscore)
+    hmap = FD.sheet_header(rows, 0, feed.spec.header_row, feed.spec.hyphen_to_underscore)
     for r in CF.header_collisions(hmap).collect():
         why[r["_file_name"]] = f"headers {sorted(r['raws'])} are both {r['name']}"
     return why
@@ -157,9 +154,7 @@ def _load(spark: SparkSession, root: str, rows: DataFrame, feed: Feed, load_no:
     """The main sheet of parsed files into the feed's log and the player dimension.  Everything is
     derived and checked before the first write; a file that fails is left out whole."""
     res.rejected |= _header_faults(rows, feed)
-    df = FD.sheet_frame(_without(rows, res.rejected), 0, header_row=feed.header_row,
-                        skip_after_header=feed.skip_after_header, hyphen_to_underscore=feed.hyphen_to_underscore)
-    df = CF.rename_and_drop(df, feed.renames, feed.drops)
+    df = FD.apply_feed_spec(_without(rows, res.rejected), feed.spec)
     if feed is DFS and "SEASON_SEGMENT" not in df.columns:
         df = df.withColumn("SEASON_SEGMENT", F.lit(None).cast("string"))
     if not {*KEYS, "PLAYER"} <= set(df.columns):   # no file has the columns
@@ -251,9 +246,7 @@ def ingest_absences(spark: SparkSession, root: str, rows: DataFrame, files: Sequ
     res.without_sheet = [f for f in files if f not in present]
     if not present:
         return res
-    ab = CF.rename_and_drop(FD.sheet_frame(rows, K.ABSENCE_SHEET, header_row=0), K.ABSENCE_RENAMES)
-    Q.require_columns(ab, K.ABSENCE_REQUIRED, "absence sheet")
-    ab = CF.standardize_names(ab, "PLAYER")
+    ab = CF.standardize_names(FD.apply_feed_spec(rows, ABSENCES, K.ABSENCE_SHEET), "PLAYER")
     ab, res.rejected, _ = _checked(ab, ["PLAYER_ID", "GAME_ID"], (*FATAL, "missing"))
     ab = CF.classify_absence(ab)
     firsts = Q.first_by_key(ab, list(KEYS), ["_file_name", "_row_no"])      # D4 within this run

@@ -202,3 +202,13 @@ def test_no_checkpoint_folder_on_a_cluster(spark, monkeypatch):
                 return None
     with pytest.raises(RuntimeError):
         session.checkpoint_dir(Fake())
+
+
+def test_id_policies(spark):
+    df = spark.createDataFrame([("1",), (None,), ("2.0",)], "PLAYER_ID string")
+    ok, bad = CF.normalize_ids(df, ["PLAYER_ID"], policy="drop_missing")
+    assert sorted(r[0] for r in ok.collect()) == [1, 2] and bad.count() == 1
+    with pytest.raises(CF.IdError):
+        CF.normalize_ids(df, ["PLAYER_ID"], policy="strict")
+    with pytest.raises(CF.IdError):
+        CF.normalize_ids(spark.createDataFrame([("x",)], "PLAYER_ID string"), ["PLAYER_ID"], policy="drop_missing")
