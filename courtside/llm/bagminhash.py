@@ -15,8 +15,8 @@ agree in a component with a probability of their weighted Jaccard similarity.
 
 Search.  ``BANDS`` bands of ``ROWS`` components are bucketed (a pair at the threshold shares a
 bucket with probability 1 - 3e-6).  Equal texts are one node, so copies cost nothing further.  Of
-every bucket the smallest and the largest node are pivots, and all its nodes are verified against
-them (linear in the bucket); the links' components are found.  The nodes of buckets that still
+every bucket the node that meets most others (in all its buckets) and the smallest are pivots, and
+all its nodes are verified against them (linear in the bucket); the links' components are found.  The nodes of buckets that still
 hold several components are searched exactly: those of different components that share a rare
 enough shingle (``prefix_pairs``) are verified.  So no bucket is capped, and a class is never
 expanded into pairs of its members.  All links are verified on whole multisets.
@@ -269,14 +269,17 @@ def classed(docs: DataFrame, keep: Sequence[str], threshold: float = THRESHOLD)
     nodes = staged(part.groupBy("digest").agg(F.min("rid").alias("node")))
     values = (part.join(nodes.select("node"), F.col("rid") == F.col("node"), "left_semi")
               .select(F.col("rid").alias("node"), F.explode("bands").alias("v")))
-    buckets = (values.groupBy("v").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-               .where(F.col("lo") < F.col("hi")))
+    buckets = values.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     members = staged(values.join(buckets, "v"))
     # Whole texts of the nodes that share a bucket with another.
     sought = nodes.join(members.select("node").distinct(), "node")
     texts = staged(docs.select(digest_of(col("text")).alias("digest"), col("text").cast("string").alias("text"))
                    .join(sought, "digest").groupBy("node").agg(F.first("text").alias("text")))
-    pivoted = (members.select(F.col("node").alias("a"), F.explode(F.array("lo", "hi")).alias("b"))
+    met = members.groupBy("node").agg(F.sum(F.col("n") - 1).alias("met"))
+    pivots = (members.join(met, "node").groupBy("v")
+              .agg(F.max(F.struct("met", "node")).alias("hub"), F.min("node").alias("low"))
+              .select("v", F.array("hub.node", "low").alias("pivots")))
+    pivoted = (members.join(pivots, "v").select(F.col("node").alias("a"), F.explode("pivots").alias("b"))
                .where(F.col("a") != F.col("b")).distinct())
     first = staged(verified(pivoted, texts, partitions))
     links = first.where(F.col("distance") <= far)
