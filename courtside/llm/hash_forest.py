@@ -39,29 +39,34 @@ def hash_strings(x: np.ndarray, trees: int, bits: int, seed: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def prefix_ranges(tree: np.ndarray, strings: np.ndarray, depth: int, bits: int) -> tuple:
-    """Ranges of a sorted array that share the strings' first ``depth`` bits."""
+def prefix_ranges(tree: np.ndarray, strings: np.ndarray, depth: np.ndarray, bits: int) -> tuple:
+    """Ranges of a sorted array that share each string's first ``depth`` bits."""
     low = (strings >> (bits - depth)) << (bits - depth)
-    return np.searchsorted(tree, low), np.searchsorted(tree, low + (1 << (bits - depth)))
+    return np.searchsorted(tree, low), np.searchsorted(tree, low + (np.int64(1) << (bits - depth)))
 
 
 def candidates(rows: np.ndarray, queries: np.ndarray, bits: int, effort: float):
-    """Yields each query's candidate positions.  rows, queries: hash strings (n, trees)."""
+    """Yields each query's candidate positions.  rows, queries: hash strings (n, trees).
+
+    The ascent of all trees at once ends at the deepest level whose ranges hold the wanted number;
+    as a shorter prefix never holds less, that level is found by bisection."""
     n, trees = rows.shape
     order = np.argsort(rows, axis=0, kind="stable")
-    trees_sorted = np.take_along_axis(rows, order, axis=0)
+    trees_sorted = np.ascontiguousarray(np.take_along_axis(rows, order, axis=0).T)
+    strings = np.ascontiguousarray(queries.T)
     wanted = effort * n + trees  # a query's own leaf is met by all trees and doesn't count
-    depth = np.full(len(queries), bits)
-    lo = np.zeros((trees, len(queries)), dtype=np.int64)
-    hi = lo.copy()
-    active = np.arange(len(queries))
-    for d in range(bits, -1, -1):  # synchronous ascent: one bit shorter in all trees at once
-        for t in range(trees):
-            lo[t, active], hi[t, active] = prefix_ranges(trees_sorted[:, t], queries[active, t], d, bits)
-        depth[active] = d
-        active = active[(hi[:, active] - lo[:, active]).sum(axis=0) < wanted]
-        if not len(active):
-            break
+
+    def ranges(depth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        found = [prefix_ranges(trees_sorted[t], strings[t], depth, bits) for t in range(trees)]
+        return np.stack([f[0] for f in found]), np.stack([f[1] for f in found])
+
+    enough, short = np.zeros(len(queries), dtype=np.int64), np.full(len(queries), bits + 1, dtype=np.int64)
+    while (short - enough > 1).any():
+        depth = np.minimum((enough + short) // 2, bits)
+        lo, hi = ranges(depth)
+        ok = (hi - lo).sum(axis=0) >= wanted
+        enough, short = np.where(ok, depth, enough), np.where(ok, short, depth)
+    lo, hi = ranges(enough)
     for j in range(len(queries)):
         met = np.zeros(n, dtype=bool)
         for t in range(trees):
@@ -82,16 +87,19 @@ def nearest(k: int, trees: int, bits: int, effort: float, seed: int):
                 own_ids[member[i]].append(ids[i])
         length = np.sqrt((leaf * leaf).sum(axis=1))
         unit_leaf, a_length = leaf / length[:, None], np.sqrt((a * a).sum(axis=1))
+        unit_a = a / a_length[:, None]
+        near = unit_a @ unit_leaf.T  # to within rounding, which may differ by position
         out_q, out_v, out_s = [], [], []
         found = candidates(hash_strings(unit_leaf, trees, bits, seed),
-                           hash_strings(a / a_length[:, None], trees, bits, seed), bits, effort)
+                           hash_strings(unit_a, trees, bits, seed), bits, effort)
         for j, at in enumerate(found):
             query = int(q["query_id"].iloc[j])
-            score = (leaf[at] * a[j]).sum(axis=1) / (length[at] * a_length[j])
             # The k + 1 best leaves (one may hold the query alone) with ties, then their ids.
-            edge = np.partition(score, len(score) - k - 1)[len(score) - k - 1] if len(score) > k + 1 else -np.inf
-            keep = np.flatnonzero(score >= edge)
-            pairs = [(i, s) for at_i, s in zip(at[keep], score[keep]) for i in own_ids[at_i] if i != query]
+            if len(at) > k + 1:
+                rough = near[j, at]
+                at = at[rough >= np.partition(rough, len(at) - k - 1)[len(at) - k - 1] - 1e-9]
+            score = (leaf[at] * a[j]).sum(axis=1) / (length[at] * a_length[j])
+            pairs = [(i, s) for at_i, s in zip(at, score) for i in own_ids[at_i] if i != query]
             vec = np.array([p[0] for p in pairs], dtype=np.int64)
             value = np.array([p[1] for p in pairs], dtype=np.float64)
             best = first_k(value, vec, k) if len(pairs) else np.zeros(0, np.int64)
