@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from courtside.llm.common import BATCH_ROWS, annotate, bounded_sample, col, remainder, staged, table, texts_of
 
 EXAMPLES, TERMS, CHI_SQUARED, MIN_TEXTS = 20_000, 2000, 25.0, 3
-NEIGHBOURS, BLOCK, EVIDENCE, SEED = 25, 64, 5, 3
+NEIGHBOURS, BLOCK, EVIDENCE, SEED = 25, 512, 5, 3
 STEM, REPEATS = 5, 3  # letters of a stem; occurrences of a stem that are terms of their own
 
 # Words are parted by white space, ASCII digits and punctuation, and these signs beyond ASCII.
