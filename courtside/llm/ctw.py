@@ -6,12 +6,19 @@ start symbols).  Each context node has a Krichevsky-Trofimov estimate from the c
 a node's weighted probability mixes its own estimate with its children's, half and half; the
 resulting weights mix the estimates of all depths into one probability per bit.
 
-Counting.  One pass over the training texts counts runs of ``DEPTH + 1`` bytes and words; tasks
-pack their counts by bucket, Spark shuffles the packed counts, and buckets merge them.  Nothing is
-sampled, and what is gathered grows with the corpus.  The tree keeps at most ``NODES`` contexts,
-those seen most often in the whole corpus (a stated capacity; a context's shorter forms are seen
-at least as often, so they are kept too).  What follows a context that isn't kept is counted at its longest kept form,
-apart from that node's kept children.  The tree's size is thereby bounded and it is broadcast.
+Counting.  One pass over all texts counts runs of ``DEPTH + 1`` bytes (in the training texts, and
+in all) and the training texts' words; tasks pack their counts by bucket, Spark shuffles the packed
+counts, and buckets merge them.  Nothing is sampled and every context seen is a node of the tree.
+
+The tree.  Runs are dealt to buckets by their last three context bytes, so a bucket holds whole
+subtrees from depth three down.  A first pass over the buckets sums the weighted probabilities of
+the nodes of depth three for their parents; the tree above (contexts of two bytes and less, at most
+65,793 whatever the corpus) is weighted from these sums and broadcast; a second pass over the buckets gives
+every run's log probability, as a table of runs.
+
+Scores.  The ``FREQUENT_RUNS`` most frequent runs' log probabilities are broadcast, and the other
+distinct runs of every text are joined with the table of all runs: the score is the same whatever
+is broadcast.
 
 Base score.  Word counts are exact: the ``FREQUENT`` most frequent words are broadcast, and the
 other words of every text are joined with the table of all counts.
@@ -36,7 +43,9 @@ from pyspark.sql import functions as F
 from courtside.llm.common import BATCH_ROWS, annotate, col, mix64, remainder, staged, table, texts_of
 from courtside.llm.words import chunks
 
-DEPTH, NODES, FREQUENT = 5, 1 << 15, 1 << 19
+DEPTH, FREQUENT, FREQUENT_RUNS = 5, 1 << 19, 1 << 21
+SHALLOW = 2  # depth of the longest contexts of the broadcast part of the tree
+NODES = 1 << 15  # contexts of the tests' tree in memory
 END = 0xFF  # never a byte of UTF-8: the end of a text, and what stands before its start
 HOLD, HOLD_WORDS = 3_000_000, 600_000  # distinct runs and words a counting task holds before it sends them on
 END_WORD = b""
@@ -78,8 +87,8 @@ def bucket_of(run_codes: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def count_corpus(texts: DataFrame, buckets: int) -> DataFrame:
-    """Packed counts of runs (kind 0) and words (kind 1); one row per kind and bucket.
-    texts: (text)."""
+    """Packed counts of runs (kind 0: in training texts and in all) and of the training texts'
+    words (kind 1); one row per kind and bucket.  texts: (text, train)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: list[np.ndarray] = []
         counts: list[np.ndarray] = []
@@ -110,20 +119,23 @@ def count_corpus(texts: DataFrame, buckets: int) -> DataFrame:
                 names=["kind", "bucket", "keys", "counts"])
 
         for batch in batches:
-            for _, some in chunks([t.encode() for t in texts_of(batch.column(0))]):
-                for t in some:
-                    vocabulary.update(t.lower().split())
-                vocabulary[END_WORD] += len(some)
-                k, c = np.unique(runs(*coded(some)[:2]), return_counts=True)
-                keys.append(k)
-                counts.append(c.astype(np.int64))
-                held += len(k)
-                if held > HOLD:
-                    k, c = _merge(keys, counts)
-                    keys, counts, held = [k], [c], len(k)
-                if held > HOLD // 2 or len(vocabulary) > HOLD_WORDS:
-                    yield send()
-                    held = 0
+            texts, train = [t.encode() for t in texts_of(batch.column(0))], batch.column(1).to_pylist()
+            for learned in (True, False):
+                for _, some in chunks([t for t, x in zip(texts, train) if bool(x) == learned]):
+                    if learned:
+                        for t in some:
+                            vocabulary.update(t.lower().split())
+                        vocabulary[END_WORD] += len(some)
+                    k, c = np.unique(runs(*coded(some)[:2]), return_counts=True)
+                    keys.append(k)
+                    counts.append(np.column_stack([c * learned, c]).astype(np.int64))
+                    held += len(k)
+                    if held > HOLD:
+                        k, c = _merge(keys, counts)
+                        keys, counts, held = [k], [c], len(k)
+                    if held > HOLD // 2 or len(vocabulary) > HOLD_WORDS:
+                        yield send()
+                        held = 0
         yield send()
 
     packed = texts.mapInArrow(run, _PACKED)
@@ -135,7 +147,7 @@ def count_corpus(texts: DataFrame, buckets: int) -> DataFrame:
             for pdf in rows:
                 for k, c in zip(pdf["keys"], pdf["counts"]):
                     keys.append(np.frombuffer(k, np.int64))
-                    counts.append(np.frombuffer(c, np.int64))
+                    counts.append(np.frombuffer(c, np.int64).reshape(-1, 2))
                     held += len(counts[-1])
                     if held > HOLD and len(keys) > 1:
                         k1, c1 = _merge(keys, counts)
@@ -197,49 +209,6 @@ def frequent_words(merged: DataFrame, least: int) -> list[tuple[bytes, np.ndarra
     return [(bytes(r["keys"]), np.frombuffer(r["counts"], np.int64)) for r in rows.collect()]
 
 
-def context_counts(merged: DataFrame) -> DataFrame:
-    """(depth, context, n) of all contexts of 1 to DEPTH bytes."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                k, c = np.frombuffer(k, np.int64), np.frombuffer(c, np.int64)
-                for depth in range(1, DEPTH + 1):
-                    x, n = _merge([(k >> 8) & ((1 << 8 * depth) - 1)], [c])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(x), depth, np.int32)), pa.array(x), pa.array(n)],
-                        names=["depth", "context", "n"])
-
-    rows = merged.where("kind = 0").select("keys", "counts").mapInArrow(run, "depth int, context long, n long")
-    return rows.groupBy("depth", "context").agg(F.sum("n").alias("n"))
-
-
-def followers(merged: DataFrame, kept: pd.DataFrame) -> DataFrame:
-    """(node, byte, n): what follows each kept context (node 0: the empty context)."""
-    shared = merged.sparkSession.sparkContext.broadcast(  # bounded by NODES
-        [np.sort(kept["context"][kept["depth"] == d].to_numpy(np.int64)) for d in range(1, DEPTH + 1)])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                k, c = np.frombuffer(k, np.int64), np.frombuffer(c, np.int64)
-                for depth in range(DEPTH + 1):
-                    part, n = _merge([k & ((1 << 8 * (depth + 1)) - 1)], [c])
-                    if depth:
-                        known = shared.value[depth - 1]
-                        at = np.searchsorted(known, part >> 8)
-                        ok = at < len(known)
-                        ok[ok] = known[at[ok]] == (part >> 8)[ok]
-                        part, n = part[ok], n[ok]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(part), depth, np.int32)), pa.array(part >> 8),
-                         pa.array((part & 0xFF).astype(np.int32)), pa.array(n)],
-                        names=["depth", "context", "byte", "n"])
-
-    rows = merged.where("kind = 0").select("keys", "counts").mapInArrow(
-        run, "depth int, context long, byte int, n long")
-    return rows.groupBy("depth", "context", "byte").agg(F.sum("n").alias("n"))
-
-
 def _lgamma(x: np.ndarray) -> np.ndarray:
     """Log gamma for x > 0 (Stirling's series after a shift by eight)."""
     product = np.ones_like(x)
@@ -269,8 +238,176 @@ def _bits(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return tree[:, 2::2][:, :255], tree[:, 3::2][:, :255]
 
 
+def levels(codes: np.ndarray, counts: np.ndarray, depths: Sequence[int]) -> list[tuple]:
+    """(distinct codes of a context and its next byte, ascending; counts; each longer code's place)
+    by depth.  codes: distinct and ascending, of the first (longest) depth.  Runs that no training
+    text holds have count 0, which leaves all weights and estimates as if they weren't there."""
+    out = [(codes, counts.astype(np.float64), None)]
+    for depth in depths[1:]:
+        short, place = np.unique(out[-1][0] & ((1 << 8 * (depth + 1)) - 1), return_inverse=True)
+        place = place.reshape(-1)
+        out.append((short, np.bincount(place, weights=out[-1][1], minlength=len(short)), place))
+    return out
+
+
+def weighted(level: list[tuple], bit: int, below: np.ndarray | None = None) -> tuple[list[tuple], np.ndarray]:
+    """One binary decision of the nodes of all ``levels``, bottom-up: by level (each code's
+    decision, its weight against its children's, its probability of a one), and the log weighted
+    probabilities of the last level's.  below: the first level's children's (none: leaves)."""
+    found: list[tuple] = []
+    first = mixed = None
+    for codes, counts, place in level:
+        prefix = codes >> (8 - bit)  # context, and the byte's bits before the decision
+        new = np.concatenate(([True], prefix[1:] != prefix[:-1]))
+        node = np.cumsum(new) - 1
+        total = np.bincount(node, weights=counts)
+        one = np.bincount(node, weights=counts * ((codes >> (7 - bit)) & 1))
+        own = _block(total - one, one)
+        if mixed is not None:
+            below = np.bincount(node[place[first]], weights=mixed, minlength=len(own))
+        if below is None:
+            weight, mixed = np.ones(len(own)), own
+        else:
+            weight = 1 / (1 + np.exp(np.clip(below - own, -80, 80)))
+            mixed = np.logaddexp(own, below) - np.log(2.0)
+        first = np.flatnonzero(new)
+        found.append((node, weight, (one + 0.5) / (total + 1.0)))
+    return found, mixed
+
+
+def _trained(column: bytes) -> np.ndarray:
+    return np.frombuffer(column, np.int64).reshape(-1, 2)[:, 0]
+
+
+class ShallowTree:
+    """The tree's contexts of at most ``SHALLOW`` bytes.  By code of such a context and a byte:
+    the probability of a one at each decision is ``base + slope * p``, p that of the longer contexts."""
+
+    def __init__(self, rows: pd.DataFrame):
+        """rows: bit, prefix, n, log (bit 8: the codes and their counts; else the sums of the
+        children's log weighted probabilities)."""
+        rows = rows.sort_values(["bit", "prefix"])
+        bit = rows["bit"].to_numpy()
+        self.codes = rows["prefix"].to_numpy(np.int64)[bit == 8]
+        level = levels(self.codes, rows["n"].to_numpy()[bit == 8], range(SHALLOW, -1, -1))
+        self.base, self.slope = np.zeros((len(self.codes), 8)), np.ones((len(self.codes), 8))
+        for b in range(8 if len(self.codes) else 0):
+            at = np.arange(len(self.codes))
+            for (node, weight, p), (_, _, place) in zip(
+                    weighted(level, b, rows["log"].to_numpy(np.float64)[bit == b])[0], level):
+                at = at if place is None else place[at]
+                w = weight[node[at]]
+                self.base[:, b] = w * p[node[at]] + (1 - w) * self.base[:, b]
+                self.slope[:, b] *= 1 - w
+
+
+def shallow_tree(merged: DataFrame) -> ShallowTree:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                level = levels(np.frombuffer(k, np.int64), _trained(c), range(DEPTH, SHALLOW, -1))
+                codes, counts, _ = level[-1]
+                short, n = _merge([codes & ((1 << 8 * (SHALLOW + 1)) - 1)], [counts])
+                parts = [(8, short, n, np.zeros(len(short)))]
+                for bit in range(8):
+                    found, mixed = weighted(level, bit)
+                    node = found[-1][0]
+                    first = np.flatnonzero(np.diff(node, prepend=-1))
+                    prefix, log = _merge([(codes[first] & ((1 << 8 * (SHALLOW + 1)) - 1)) >> (8 - bit)], [mixed])
+                    parts.append((bit, prefix, np.zeros(len(prefix)), log))
+                for bit, prefix, n, log in parts:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(prefix), bit, np.int32)), pa.array(prefix), pa.array(n), pa.array(log)],
+                        names=["bit", "prefix", "n", "log"])
+
+    parts = merged.where("kind = 0").select("keys", "counts").mapInArrow(
+        run, "bit int, prefix long, n double, log double")
+    return ShallowTree(parts.groupBy("bit", "prefix").agg(  # at most 2**24 codes of three bytes
+        F.sum("n").alias("n"), F.sum("log").alias("log")).toArrow().to_pandas())
+
+
+def run_probabilities(merged: DataFrame, shared) -> DataFrame:
+    """(run, n, logp) of all runs: how often all texts hold it, log10 probability of its last byte.
+    shared: broadcast ShallowTree."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top = shared.value
+        for b in batches:
+            for k, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                codes = np.frombuffer(k, np.int64)
+                level = levels(codes, _trained(c), range(DEPTH, SHALLOW, -1))
+                short = np.searchsorted(top.codes, codes & ((1 << 8 * (SHALLOW + 1)) - 1))
+                logp = np.zeros(len(codes))
+                for bit in range(8):
+                    at, one = np.arange(len(codes)), np.zeros(len(codes))
+                    for (node, weight, p), (_, _, place) in zip(weighted(level, bit)[0], level):
+                        at = at if place is None else place[at]
+                        w = weight[node[at]]
+                        one = w * p[node[at]] + (1 - w) * one
+                    one = top.base[short, bit] + top.slope[short, bit] * one
+                    logp += np.log10(np.where((codes >> (7 - bit)) & 1, one, 1 - one))
+                n = np.frombuffer(c, np.int64).reshape(-1, 2)[:, 1]
+                for lo in range(0, len(codes), 1 << 16):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x[lo:lo + (1 << 16)]) for x in (codes, n, logp.astype(np.float32))],
+                        names=["run", "n", "logp"])
+
+    return merged.where("kind = 0").select("keys", "counts").mapInArrow(run, "run long, n long, logp float")
+
+
+class RunTable:
+    """Log10 probabilities of the most frequent runs, hashed with linear probing."""
+
+    def __init__(self, codes: np.ndarray, logp: np.ndarray):
+        self.shift = 64 - max(4, (2 * len(codes)).bit_length())
+        home = self._home(codes)
+        order = np.argsort(home, kind="stable")
+        rank = np.arange(len(codes))
+        at = np.maximum.accumulate(home[order] - rank) + rank if len(codes) else rank
+        size = max((1 << (64 - self.shift)) + 1, int(at[-1]) + 2 if len(codes) else 0)
+        self.codes, self.logp = np.full(size, -1, dtype=np.int64), np.zeros(size, dtype=np.float32)
+        self.codes[at], self.logp[at] = codes[order], logp[order]
+
+    def _home(self, codes: np.ndarray) -> np.ndarray:
+        return ((codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(self.shift)).astype(np.int64)
+
+    def score(self, texts: list[bytes]) -> tuple[np.ndarray, list[tuple]]:
+        """(sum of the known runs' log10 probabilities by text; for each chunk of texts the other
+        runs by text: runs per text, runs, their numbers)."""
+        out, rest = np.zeros(len(texts)), []
+        for start, some in chunks(texts):
+            buf, at, first = coded(some)
+            codes = runs(buf, at)
+            slot = self._home(codes)
+            seen = self.codes[slot]
+            value = self.logp[slot].astype(np.float64)
+            open_ = np.flatnonzero(seen != codes)
+            value[open_] = 0.0
+            missing = []
+            while len(open_):
+                empty = seen[open_] < 0
+                missing.append(open_[empty])
+                open_ = open_[~empty]
+                slot[open_] += 1
+                seen[open_] = self.codes[slot[open_]]
+                hit = open_[seen[open_] == codes[open_]]
+                value[hit] = self.logp[slot[hit]]
+                open_ = open_[seen[open_] != codes[open_]]
+            out[start:start + len(some)] = np.add.reduceat(value, first)
+            lost = np.sort(np.concatenate(missing)) if missing else np.zeros(0, np.int64)
+            owner = np.searchsorted(first, lost, side="right") - 1
+            pair, n = np.unique((owner << 48) | codes[lost], return_counts=True)
+            rest.append((np.bincount(pair >> 48, minlength=len(some)), pair & ((1 << 48) - 1), n))
+        return out, rest
+
+
+def frequent_runs(table_of_runs: DataFrame, least: int) -> RunTable:
+    rows = table_of_runs.where(F.col("n") >= least).select("run", "logp").toArrow()
+    return RunTable(rows.column("run").to_numpy(), rows.column("logp").to_numpy())
+
+
 class ContextTree:
-    """Probabilities of the next byte, by the longest kept context: ``child`` (node, byte) leads
+    """The same model with chosen contexts in memory, for tests: what follows a context that isn't
+    kept counts at its longest kept form.  Probabilities of the next byte, by the longest kept context: ``child`` (node, byte) leads
     to the context one byte longer (0: not kept), ``table`` (node, byte) holds log10 p."""
 
     def __init__(self, rows: pd.DataFrame):
@@ -284,8 +421,8 @@ class ContextTree:
         if not len(depth):
             depth, context = np.zeros(1, np.int64), np.zeros(1, np.int64)
         size = len(depth)
-        counts = np.zeros((size, 256), dtype=np.float32)
-        counts[node, rows["byte"].to_numpy(np.int64)] = rows["n"].to_numpy(np.float32)
+        counts = np.zeros((size, 256))
+        counts[node, rows["byte"].to_numpy(np.int64)] = rows["n"].to_numpy(np.float64)
         self.child = np.zeros((size, 256), dtype=np.uint16 if size < 1 << 16 else np.int32)
         parent = np.full(size, -1, dtype=np.int64)
         start = np.searchsorted(depth, np.arange(DEPTH + 2))
@@ -297,8 +434,8 @@ class ContextTree:
         other = counts.copy()  # what follows a node's contexts that aren't kept
         np.subtract.at(other, parent[1:], counts[1:])
         np.maximum(other, 0, out=other)
-        weight = np.ones((size, 255), dtype=np.float32)  # of a node's own estimate against its children's
-        below = np.zeros((size, 255), dtype=np.float32)  # children's log weighted probabilities
+        weight = np.ones((size, 255))  # of a node's own estimate against its children's
+        below = np.zeros((size, 255))  # children's log weighted probabilities
         for d in range(DEPTH, -1, -1):
             for lo in range(start[d], start[d + 1], 2048):
                 part = slice(lo, min(lo + 2048, start[d + 1]))
@@ -308,7 +445,7 @@ class ContextTree:
                 weight[part] = np.where(inner, 1 / (1 + np.exp(np.clip(parts - own, -80, 80))), 1.0)
                 mixed = np.where(inner, np.logaddexp(own, parts) - np.log(2.0), own)
                 if d:
-                    np.add.at(below, parent[part], mixed.astype(np.float32))
+                    np.add.at(below, parent[part], mixed)
         self.table = np.empty((size, 256), dtype=np.float32)
         byte = np.arange(256)
         for lo in range(0, size, 2048):
@@ -369,28 +506,29 @@ class WordTable:
 
 
 _SCORED = ("rid long, n_bytes long, n_tokens long, frequent long, base double, score double, "
-           "rare array<struct<word:binary,n:int>>")
+           "rare array<struct<word:binary,n:int>>, rare_runs array<struct<run:long,n:long>>")
 
 
-def score_documents(docs: DataFrame, train: Column, keep: Sequence[str], nodes: int = NODES,
-                    frequent: int = FREQUENT) -> DataFrame:
+def score_documents(docs: DataFrame, train: Column, keep: Sequence[str], frequent: int = FREQUENT,
+                    most_runs: int = FREQUENT_RUNS) -> DataFrame:
     """(doc struct, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) of every row
     of ``docs``; the last is the code length per byte (the end counted as a byte)."""
     spark = docs.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    merged = staged(count_corpus(docs.where(train).select(col("text").cast("string")), buckets))
+    merged = staged(count_corpus(docs.select(col("text").cast("string"), train), buckets))
 
-    contexts = staged(context_counts(merged))
-    kept = contexts.where(F.col("n") >= least_count(contexts, "n", nodes)).select("depth", "context").toPandas()
-    tree = spark.sparkContext.broadcast(ContextTree(followers(merged, kept).toPandas()))  # at most NODES
+    shallow = spark.sparkContext.broadcast(shallow_tree(merged))  # at most 2**24 codes
+    all_runs = staged(run_probabilities(merged, shallow))
+    likely = spark.sparkContext.broadcast(  # at most FREQUENT_RUNS
+        frequent_runs(all_runs, least_count(all_runs, "n", most_runs)))
     words = staged(word_counts(merged))
     total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     common = spark.sparkContext.broadcast(  # at most FREQUENT words
         WordTable(frequent_words(merged, least_count(words, "c", frequent))))
 
     def make():
-        model, known = tree.value, common.value.lookup()
+        model, known = likely.value, common.value.lookup()
         first = TaskContext.get().partitionId() << 36
         done = [0]
 
@@ -407,11 +545,16 @@ def score_documents(docs: DataFrame, train: Column, keep: Sequence[str], nodes:
                 n_known.append(len(words) - n)
                 base.append(sum([v for v in values if v is not None]))
                 rare.append([{"word": w, "n": c} for w, c in rest.items()])
+            score, rest = model.score(raw)
+            edge = np.concatenate(([0], np.cumsum(np.concatenate([x[0] for x in rest]))))
+            rare_runs = pa.StructArray.from_arrays(
+                [pa.array(np.concatenate([x[i] for x in rest]), pa.int64()) for i in (1, 2)], ["run", "n"])
             rid = np.arange(done[0], done[0] + len(raw)) + first
             done[0] += len(raw)
             return [pa.array(rid), pa.array([len(t) + 1 for t in raw], pa.int64()), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
-                    pa.array(base, pa.float64()), pa.array(model.score(raw)),
-                    pa.array(rare, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())])))]
+                    pa.array(base, pa.float64()), pa.array(score),
+                    pa.array(rare, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))),
+                    pa.ListArray.from_arrays(pa.array(edge, pa.int32()), rare_runs)]
         return fn
 
     scored = staged(annotate(docs, keep, [col("text").cast("string")], make, _SCORED))
@@ -420,13 +563,17 @@ def score_documents(docs: DataFrame, train: Column, keep: Sequence[str], nodes:
              .groupBy("rid").agg(
                  F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("known"),
                  F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.5))).alias("part")))
+    run_parts = (scored.select("rid", F.explode("rare_runs").alias("r")).select("rid", "r.run", F.col("r.n").alias("times"))
+                 .join(all_runs.select("run", "logp"), "run")
+                 .groupBy("rid").agg(F.sum(F.col("times") * F.col("logp").cast("double")).alias("run_part")))
     divisor = float(np.log10(float(total) + 0.5 * (float(distinct) + 1.0)))
     size = F.col("n_tokens").cast("double")
-    return (scored.drop("rare").join(found, "rid", "left")
+    score = F.col("score") + F.coalesce("run_part", F.lit(0.0))
+    return (scored.drop("rare", "rare_runs").join(found, "rid", "left").join(run_parts, "rid", "left")
             .select("doc", "n_tokens", (F.col("frequent") + F.coalesce("known", F.lit(0))).alias("n_known"),
                     F.lit(int(total)).cast("long").alias("train_tokens"),
                     (F.col("base") + F.coalesce("part", F.lit(0.0)) - size * F.lit(divisor)).alias("base_score"),
-                    "score", (-F.col("score") * F.lit(float(np.log2(10.0))) / F.col("n_bytes")).alias("bits_per_byte")))
+                    score.alias("score"), (-score * F.lit(float(np.log2(10.0))) / F.col("n_bytes")).alias("bits_per_byte")))
 
 
 def op5_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:

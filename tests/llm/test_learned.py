@@ -268,3 +268,22 @@ def test_scores_without_training_or_rows(docs_of):
     got = ctw.score_documents(docs_of([(1, "ab", *[None] * 8)]), F.lit(False), ["doc_id"]).first()
     assert abs(got["score"] - 24 * math.log10(.5)) < 1e-6 and got["n_known"] == 0 and got["train_tokens"] == 0
     assert ctw.score_documents(docs_of([]), F.lit(True), ["doc_id"]).count() == 0
+
+
+@pytest.mark.parametrize("most_runs", [ctw.FREQUENT_RUNS, 500, 0])
+def test_every_context_is_a_node(docs_of, most_runs):
+    """More contexts than a tree of NODES holds: scores are those of the whole tree."""
+    r = random.Random(11)
+    letters = [chr(97 + i) for i in range(26)] + list("0123456789 ,.é")
+    texts = ["".join(r.choices(letters, k=1100)) for _ in range(20)] + ["the same words over and over " * 9] * 2
+    train = [t.encode() for i, t in enumerate(texts) if fold(i, 5) != 1]
+    seen = {s[i - d:i] for t in train for s in [b"\xff" * ctw.DEPTH + t + b"\xff"]
+            for i in range(ctw.DEPTH, len(s)) for d in range(1, ctw.DEPTH + 1)}
+    assert len(seen) > ctw.NODES
+    got = ctw.score_documents(docs_of([(i, t, *[None] * 8) for i, t in enumerate(texts)]),
+                              remainder(F.col("doc_id"), 5) != 1, ["doc_id"], most_runs=most_runs).collect()
+    scores = {x["doc"]["doc_id"]: x["score"] for x in got}
+    whole = tree_of(train)
+    for i, t in enumerate(texts):
+        want = whole.score([t.encode()])[0]
+        assert abs(scores[i] - want) < 1e-6 * abs(want)
