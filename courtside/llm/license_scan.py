@@ -4,9 +4,11 @@ A text and every line of it are brought to a canonical form: lower case, punctua
 collapsed to one blank, spellings made equal, empty and copyright lines left out.  The digest of
 the entire text is hash-joined to the digests of known licence texts and notices, and the lines'
 digests are looked up among them, so a notice is found wherever it stands on a line of its own.
-The known table is fixed in this module (a few hundred entries), which bounds its broadcast.
+The known table is fixed (some thousand entries), which bounds its broadcast.
 
-Known entries are short licence texts and notices made by rule: each wording for each name.
+Known entries are licence texts (the short ones here, the longer ones in ``license_texts``), with and
+without each usual title and, where a text has one, its appendix; the titles alone; and notices made
+by rule: each wording for each name.  ``MISSING`` are the listed licences whose texts aren't known.
 
 Null and empty texts: no licence (text_license null, notices '').  A text in which nothing is
 left (only copyright lines) likewise.  Empty table: no rows.  Repeated rows each get a row.
@@ -15,7 +17,8 @@ Extra columns are ignored or passed on (``keep``).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -112,13 +115,81 @@ the original software.
 3. This notice may not be removed or altered from any source distribution."""),
 )
 
+# The BSD licences' parts; the enumeration and the names differ between copies.
+BSD = ("""Redistribution and use in source and binary forms, with or without modification, are permitted
+provided that the following conditions are met:
+""", """Redistributions of source code must retain the above copyright notice, this list of conditions and
+the following disclaimer.
+""", """Redistributions in binary form must reproduce the above copyright notice, this list of conditions
+and the following disclaimer in the documentation and/or other materials provided with the distribution.
+""", """Neither the name of {} nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission.
+""", """THIS SOFTWARE IS PROVIDED BY THE {} AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR
+PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE {} OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT,
+INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF
+SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND
+ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR
+OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH
+DAMAGE.""")
+HOLDERS = (("COPYRIGHT HOLDERS", "COPYRIGHT HOLDER"), ("COPYRIGHT HOLDERS", "COPYRIGHT OWNER"),
+           ("COPYRIGHT HOLDERS", "COPYRIGHT HOLDERS"), ("REGENTS", "REGENTS"))
+ENDORSERS = ("the copyright holder", "the copyright holders", "the copyright owner", "the University")
+
+# Title lines beside the names above.
+TITLES = {
+    "0BSD": ("Zero-Clause BSD", "BSD Zero Clause License (0BSD)"),
+    "BSD-2-Clause": ("The BSD 2-Clause License", "The 2-Clause BSD License", 'BSD 2-Clause "Simplified" License'),
+    "BSD-3-Clause": ("The BSD 3-Clause License", "The 3-Clause BSD License", 'BSD 3-Clause "New" or "Revised" License',
+                     "Modified BSD License"),
+    "BSL-1.0": ("Boost Software License - Version 1.0 - August 17th, 2003", "Boost Software License"),
+    "ISC": ("The ISC License", "ISC License (ISC)", "The ISC License (ISC)"),
+    "MIT": ("The MIT License", "The MIT License (MIT)", "MIT License (MIT)"),
+    "Unlicense": ("The Unlicense",),
+    "Zlib": ("The zlib License", "zlib/libpng License", "The zlib/libpng License"),
+}
+
+# Texts in ``license_texts`` and how many of their first lines are a title.
+FILES = (("Apache-2.0", 3), ("BSL-1.0", 1), ("CC-BY-SA-3.0", 2), ("CC-BY-SA-4.0", 1), ("CC0-1.0", 2), ("GPL-2.0", 2),
+         ("GPL-3.0", 2), ("LGPL-2.1", 2), ("LGPL-3.0", 2), ("MPL-2.0", 1), ("Unlicense", 0))
+APPENDIX = ("END OF TERMS AND CONDITIONS", "For more information, please refer to")  # a copy may end here
+MISSING = ("AGPL-3.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-NC-ND-4.0", "CC-BY-NC-SA-4.0", "CC-BY-ND-4.0", "EPL-2.0")
+
 JUNK = r"[^\p{L}\p{N}\n]+"
 COPYRIGHT = r"^(copyright|c (19|20)[0-9][0-9]|all rights reserved)( |$)"
 
 
+def bodies() -> Iterator[tuple[str, list[str], str]]:
+    """(licence, the text's own title lines, the text without them) of all known texts."""
+    for key, text in TEXTS:
+        yield key, [], text
+    for key, clauses in (("BSD-2-Clause", BSD[1:3]), ("BSD-3-Clause", BSD[1:4])):
+        for sign in ("{}. ", "* "):
+            listed = BSD[0] + "".join(sign.format(i + 1) + c for i, c in enumerate(clauses)) + "{}"
+            for holders in HOLDERS:
+                for name in ENDORSERS if len(clauses) > 2 else ("",):
+                    yield key, [], listed.format(*[name][:len(clauses) - 2], BSD[4].format(*holders))
+    for key, titles in FILES:
+        text = (resources.files(__package__) / "license_texts" / f"{key}.txt").read_text(encoding="utf-8")
+        lines = [x for x in text.split("\n") if x.strip()]
+        head, rest = lines[:titles], lines[titles:]
+        yield key, head, "\n".join(rest)
+        for i, line in enumerate(rest):
+            if line.strip().startswith(APPENDIX):
+                yield key, head, "\n".join(rest[:i])
+                if line.strip() == APPENDIX[0]:
+                    yield key, head, "\n".join(rest[:i + 1])
+
+
 def known_entries() -> list[tuple[str, str]]:
     """(licence, text) of all known texts and notices."""
-    return [*TEXTS, *((key, w.format(n)) for key, names in NAMES for n in names for w in WORDINGS)]
+    names = dict(NAMES)
+    out = [*TEXTS]
+    for key, own, body in bodies():
+        out += [(key, "\n".join([*own[i:], body])) for i in range(len(own) + 1)]
+        out += [(key, t + "\n" + body) for t in (*names[key], *TITLES.get(key, ()))]
+    out += [(key, t) for key, titles in TITLES.items() for t in titles]
+    return list(dict.fromkeys([*out, *((key, w.format(n)) for key, names in NAMES for n in names for w in WORDINGS)]))
 
 
 def canonical_lines(text: Column) -> Column:
@@ -137,8 +208,8 @@ def text_digest(lines: Column) -> Column:
 
 def known_digests(spark: SparkSession) -> DataFrame:
     """(digest, license) of all known entries; a digest of several licences is the first's."""
-    entries = F.array(*[F.struct(F.lit(k).alias("license"), F.lit(t).alias("text")) for k, t in known_entries()])
-    rows = spark.range(1).select(F.explode(entries).alias("e")).select("e.license", canonical_lines(F.col("e.text")).alias("lines"))
+    entries = spark.createDataFrame(known_entries(), "license string, text string")
+    rows = entries.select("license", canonical_lines(F.col("text")).alias("lines"))
     return rows.select(text_digest(F.col("lines")).alias("digest"), "license").groupBy("digest").agg(
         F.min("license").alias("license"))
 

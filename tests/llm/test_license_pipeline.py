@@ -28,6 +28,25 @@ def test_whole_texts_and_lines(docs_of):
                    6: (None, "Apache-2.0,CC-BY-NC-4.0"), 7: (None, ""), 8: (None, ""), 9: ("ISC", "")}
 
 
+def test_titled_files(docs_of):
+    """A licence file: title, copyright line, text; every listed licence but those stated as missing."""
+    bodies = defaultdict(list)
+    for key, own, body in L.bodies():
+        bodies[key].append((own, body))
+    assert set(bodies) == {k for k, _ in L.NAMES} - set(L.MISSING)
+    rows, want = [], {}
+    for key, titles in ((k, (*names, *L.TITLES.get(k, ()))) for k, names in L.NAMES if k in bodies):
+        own, body = bodies[key][-1]
+        for head in (*titles, "\n  ".join(own)):
+            want[len(rows)] = key
+            rows.append((len(rows), f"  {head}\n\nCopyright (c) 2021 Some Body\n\n{body}\n", *[None] * 8))
+    got = found(docs_of(rows))
+    assert {i: got[i][0] for i in want} == want
+    mit = L.TEXTS[0][1]
+    assert found(docs_of([(1, "The MIT License (MIT)\n\nCopyright (c) 2020 X\n\n" + mit, *[None] * 8),
+                          (2, "The MIT License (MIT)\nother", *[None] * 8)])) == {1: ("MIT", "MIT"), 2: (None, "MIT")}
+
+
 def test_odd_rows(docs_of, odd_rows):
     df = docs_of(odd_rows)
     assert L.scan(df, df.columns).select("doc.*").columns == df.columns
