@@ -63,11 +63,16 @@ class WordIds:
     ids in a row.  It also parts a letter or digit from marks after it, so a word that ends in
     ASCII marks is taken as two units.  Every distinct unit (by its 64-bit hash) is encoded once
     and remembered in flat arrays; a chunk's ids are gathered at once (tested against whole texts).
+
+    special: the vocabulary's added tokens (such as ``<|endoftext|>``) keep their own ids, as the
+    tokenizer does by itself; texts that hold one literally are encoded whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = False):
         from tokenizers import Tokenizer
 
+        self.loaded = Tokenizer.from_file(path)
+        self.literal = [t.content for t in self.loaded.get_added_tokens_decoder().values()] if special else []
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab()
@@ -130,6 +135,11 @@ class WordIds:
         return start, end, np.repeat(w.doc, count)
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
+        whole = [any(x in t for x in self.literal) for t in texts]
+        for t, special, ids in zip(texts, whole, self._by_units(["" if x else t for t, x in zip(texts, whole)])):
+            yield np.array(self.loaded.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() if special else ids
+
+    def _by_units(self, texts: list[str]) -> Iterator[bytes]:
         for _, some in chunks([folded(t).encode() for t in texts]):
             w = Words(some)
             if not len(w.start):
@@ -162,7 +172,7 @@ _encoders: dict[str, WordIds] = {}  # one per vocabulary in each worker
 
 def encoder(path: str) -> WordIds:
     if path not in _encoders:
-        _encoders[path] = WordIds(path)
+        _encoders[path] = WordIds(path, special=True)
     return _encoders[path]
 
 

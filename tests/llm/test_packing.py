@@ -91,3 +91,13 @@ def test_level_minimises_the_sum_of_squares():
         options = [0, *[x for x in range(1, 33 - size) if packer.count[x]]]
         assert squares(level) == min(map(squares, options))
         packer.place((0, size, 0, bytes(4 * size)))
+
+
+def test_special_tokens_as_the_tokenizer_loads_them(docs_of):
+    texts = ["a <|endoftext|> b", "<|startoftext|>Word<|endoftext|>,", "<|ENDOFTEXT|> <|end oftext|>", "plain words"]
+    loaded = Tokenizer.from_file(PATH)
+    want = [loaded.encode(t, add_special_tokens=False).ids for t in texts]
+    assert 49407 in want[0]
+    assert [np.frombuffer(x, "<u4").tolist() for x in packing.WordIds(PATH, special=True)(texts)] == want
+    for p in packing.pack(docs_of([(0, texts[0], *[None] * 8)]), PATH, window=16).collect():
+        assert np.frombuffer(p["ids"], "<u4").tolist() == [*want[0], packing.END_ID][p["start"]:p["start"] + p["length"]]
