@@ -40,6 +40,23 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+SHARE = 1000  # a key with more than 1/SHARE of all rows is frequent: there are fewer than SHARE of them
+
+
+def join_facts(rows: DataFrame, facts: DataFrame, key: str, count: str, how: str = "left") -> DataFrame:
+    """``rows`` joined with ``facts``, one row per ``key``, of which ``count`` rows of ``rows`` are.
+
+    Frequent keys, fewer than ``SHARE`` whatever the size, are broadcast; none of the others holds
+    enough rows to fill a task of the shuffled join.  Rows with a null key never match.  ``rows`` is
+    read twice, so it should be a written table; ``count`` is not returned."""
+    total = facts.agg(F.coalesce(F.sum(count), F.lit(0))).first()[0]
+    frequent = F.col(count) * SHARE > F.lit(total)
+    heavy, light = facts.where(frequent).drop(count), facts.where(~frequent).drop(count)
+    joined = rows.join(F.broadcast(heavy), key)
+    rest = rows.join(F.broadcast(heavy.select(key)), key, "left_anti").join(light, key, how)
+    return joined.unionByName(rest)
+
+
 def annotate(docs: DataFrame, keep: Sequence[str], need: Sequence[Column],
              make: Callable[[], Callable[..., list]], out: str) -> DataFrame:
     """One narrow pass over ``docs``: returns (doc struct of ``keep``, the columns of ``out``).
