@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from courtside.llm import (
-    bagminhash, ctw, hash_forest, langid, license_scan, mixing, packing, quality_mil, topk, toxicity, url_filter)
+    bagminhash, ctw, hash_forest, langid, license_scan, mixing, packing, prefix_trie, quality_mil, topk, toxicity,
+    url_filter)
 
 QUERIES = {
     "op1_quality_mil": quality_mil.op1_quality_mil,
@@ -17,10 +18,12 @@ QUERIES = {
     "op9_hash_forest": hash_forest.op9_hash_forest,
     "op10_toxicity": toxicity.op10_toxicity,
     "op12_url_filter": url_filter.op12_url_filter,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 
 ORACLE_SQL = {
     "op4_topk": topk.ORACLE_SQL,
     "op6_license_scan": license_scan.oracle_sql(),
     "op12_url_filter": url_filter.ORACLE_SQL,
+    "op13_prefix_trie": prefix_trie.ORACLE_SQL,
 }
