@@ -1 +1 @@
-"""Operators for building language-model training corpora (ten operators, one module each)."""
+"""Operators for building language-model training corpora (one module each)."""

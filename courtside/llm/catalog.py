@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from courtside.llm import (
-    bagminhash, ctw, hash_forest, langid, license_scan, mixing, packing, prefix_trie, quality_mil, topk, toxicity,
-    url_filter)
+    bagminhash, ctw, hard_negatives, hash_forest, langid, license_scan, mixing, packing, prefix_trie, quality_mil, topk,
+    toxicity, url_filter)
 
 QUERIES = {
     "op1_quality_mil": quality_mil.op1_quality_mil,
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_langid": langid.op8_langid,
     "op9_hash_forest": hash_forest.op9_hash_forest,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
     "op12_url_filter": url_filter.op12_url_filter,
     "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
@@ -24,6 +25,7 @@ QUERIES = {
 ORACLE_SQL = {
     "op4_topk": topk.ORACLE_SQL,
     "op6_license_scan": license_scan.oracle_sql(),
+    "op11_hard_negatives": hard_negatives.ORACLE_SQL,
     "op12_url_filter": url_filter.ORACLE_SQL,
     "op13_prefix_trie": prefix_trie.ORACLE_SQL,
 }
