@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
@@ -40,6 +42,23 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Hand what a worker has freed back to the system (workers serve many tasks in turn)."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+def releasing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for ``mapInArrow``, with ``release_memory`` after a task's last batch."""
+    def whole(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        release_memory()
+    return whole
+
+
 SHARE = 1000  # a key with more than 1/SHARE of all rows is frequent: there are fewer than SHARE of them
 
 
@@ -79,7 +98,7 @@ def annotate(docs: DataFrame, keep: Sequence[str], need: Sequence[Column],
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), *fn(*b.column(1).flatten())], names=names)
 
-    return frame.mapInArrow(run, schema)
+    return frame.mapInArrow(releasing(run), schema)
 
 
 def texts_of(arr: pa.Array) -> list[str]:

@@ -28,11 +28,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm.common import BATCH_ROWS, table, texts_of
+from courtside.llm.common import BATCH_ROWS, releasing, table, texts_of
 from courtside.llm.words import Words, chunks
 
 WINDOW, END_ID = 4096, 2
-CACHE_UNITS = 1_500_000  # units whose ids a worker remembers (some 25 bytes each); emptied when full
+CACHE_UNITS = 500_000  # units whose ids a task remembers (some 25 bytes each); emptied when full
 FLUSH_IDS = 1_000_000
 SCHEMA = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
           "sequence_id long, offset long")
@@ -71,16 +71,16 @@ class WordIds:
     def __init__(self, path: str, special: bool = False):
         from tokenizers import Tokenizer
 
-        self.loaded = Tokenizer.from_file(path)
-        self.literal = [t.content for t in self.loaded.get_added_tokens_decoder().values()] if special else []
         self.tokenizer = Tokenizer.from_file(path)
+        self.literal = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special else []
         self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # tokens that end a unit
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Drop what is remembered of units."""
         self.keys = np.zeros(0, dtype=np.uint64)     # hashes, ascending
         self.first = np.zeros(0, dtype=np.int64)     # each unit's ids in the pool
         self.size = np.zeros(0, dtype=np.int64)
@@ -137,7 +137,14 @@ class WordIds:
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         whole = [any(x in t for x in self.literal) for t in texts]
         for t, special, ids in zip(texts, whole, self._by_units(["" if x else t for t, x in zip(texts, whole)])):
-            yield np.array(self.loaded.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() if special else ids
+            yield self._encode_whole(t) if special else ids
+
+    def _encode_whole(self, text: str) -> bytes:
+        """The tokenizer's own ids of a text, literal added tokens as such."""
+        self.tokenizer.encode_special_tokens = False
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        self.tokenizer.encode_special_tokens = True
+        return np.array(ids, dtype="<u4").tobytes()
 
     def _by_units(self, texts: list[str]) -> Iterator[bytes]:
         for _, some in chunks([folded(t).encode() for t in texts]):
@@ -148,7 +155,7 @@ class WordIds:
             start, end, doc = self._units(w)
             h, index, inverse = np.unique(w.hashes_of(start, end), return_index=True, return_inverse=True)
             if len(self.keys) + len(h) > CACHE_UNITS:
-                self._forget()
+                self.forget()
             at = np.searchsorted(self.keys, h)
             new = np.ones(len(h), dtype=bool)
             if len(self.keys):
@@ -289,9 +296,10 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int
         packer.close()
         if rows:
             yield flush()
+        encode.forget()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("text").cast("string").alias("text")).mapInArrow(run, SCHEMA)
+                       F.col("text").cast("string").alias("text")).mapInArrow(releasing(run), SCHEMA)
 
 
 def with_digest(pieces: DataFrame) -> DataFrame:

@@ -19,13 +19,16 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers.get("up", ())) < n:
-        size = 1 << (n - 1).bit_length()
-        for name, base in (("up", _BASE), ("down", _INVERSE)):
-            p = np.full(size, base, dtype=np.uint64)
-            p[0] = 1
-            _powers[name] = np.cumprod(p, dtype=np.uint64)
-    return _powers["up"], _powers["down"]
+    if len(_powers.get("up", ())) >= n:
+        return _powers["up"], _powers["down"]
+    made = {}
+    for name, base in (("up", _BASE), ("down", _INVERSE)):
+        p = np.full(1 << (n - 1).bit_length(), base, dtype=np.uint64)
+        p[0] = 1
+        made[name] = np.cumprod(p, dtype=np.uint64)
+    if n <= 2 * CHUNK_BYTES:  # those of a very long text aren't kept
+        _powers.update(made)
+    return made["up"], made["down"]
 
 
 def chunks(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
