@@ -1,14 +1,14 @@
 """Column-level functions built only from Spark's native expressions.
 
-Each helper returns a ``Column``; nothing here leaves the JVM, so every use
-stays inside whole-stage codegen.
+Each helper returns a ``Column`` (``once`` a frame); nothing here leaves the JVM: no use needs
+Python workers.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import constants as K
@@ -29,14 +29,29 @@ def round_half_even(c: str | Column, digits: int) -> Column:
     return F.rint(col(c) * F.lit(scale)) / F.lit(scale)
 
 
+# Blanks, tabs, line feeds, vertical tabs, form feeds, carriage returns and no-break spaces.
+WHITESPACE = " \t\n\x0b\f\r\u00a0"
+
+
 def strip_ws(c: str | Column) -> Column:
     """Trim every kind of leading/trailing whitespace (tabs, newlines, NBSP), not just spaces."""
-    return F.regexp_replace(col(c), r"^[\s ]+|[\s ]+$", "")
+    return F.btrim(col(c).cast("string"), F.lit(WHITESPACE))
 
 
 def collapse_ws(c: str | Column) -> Column:
     """Split on whitespace and re-join with single spaces."""
-    return strip_ws(F.regexp_replace(col(c), r"[\s ]+", " "))
+    return strip_ws(F.regexp_replace(col(c), r"[\s\u00a0]+", " "))
+
+
+def let(c: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of the value of ``c``, which is evaluated once however often the body uses it."""
+    return F.get(F.transform(F.array(c), body), 0)
+
+
+def once(df: DataFrame, c: Column, name: str) -> DataFrame:
+    """``df`` with column ``c``, evaluated once per row: filters and projections that use it later
+    can't be merged with its expression, as they could with a plain ``withColumn``."""
+    return df.select("*", F.explode(F.array(c)).alias(name))
 
 
 def blank_to_null(c: str | Column) -> Column:
@@ -128,7 +143,10 @@ NAMED_DAY_FIRST = r"^(\d{1,2})(?:st|nd|rd|th)?[. ,/-]+([A-Za-z]{3})[A-Za-z]*[. ,
 def parse_date(c: str | Column, formats: Sequence[tuple[str, str]] = DATE_FORMATS) -> Column:
     """Any accepted text layout, or an Excel serial day number (1 to 99999), -> DateType.
     NULL when nothing fits.  Timestamps/dates pass through as their date."""
-    s = strip_ws(col(c).cast("string"))
+    return let(strip_ws(c), lambda s: _parse_stripped(s, formats))
+
+
+def _parse_stripped(s: Column, formats: Sequence[tuple[str, str]]) -> Column:
     out = None
     for shape, fmt in formats:
         attempt = F.to_date(F.try_to_timestamp(s, F.lit(fmt)))

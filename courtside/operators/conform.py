@@ -98,28 +98,30 @@ def normalize_dates(df: DataFrame, col: str = "DATE", formats: Sequence[str] = C
 def with_parsed_date(df: DataFrame, col: str = "DATE", formats: Sequence = C.DATE_FORMATS,
                      out: str = "DATE_PARSED") -> DataFrame:
     """Single pass: adds the parsed date and ``reject_reason`` ('unparseable_date' or NULL)."""
-    return (df.withColumn(out, C.parse_date(F.col(col), formats))
-              .withColumn("reject_reason", F.when(F.col(col).isNotNull() & F.col(out).isNull(),
-                                           F.lit("unparseable_date"))))
+    tagged = C.once(df, F.struct(C.parse_date(F.col(col), formats).alias("date")), "_date")
+    return (tagged.withColumn("reject_reason", F.when(F.col(col).isNotNull() & F.col("_date.date").isNull(),
+                                                      F.lit("unparseable_date")))
+                  .withColumn(out, F.col("_date.date")).drop("_date"))
 
 
-def id_reason(c: str):
-    """C8 classification of one id cell: missing / non_numeric / fractional / ok."""
-    s = C.strip_ws(F.col(c).cast("string"))
-    num = s.try_cast("decimal(38,9)")
-    return (F.when(s.isNull() | (s == ""), F.lit("missing"))
-             .when(s.try_cast("bigint").isNotNull(), F.lit("ok"))
-             .when(num.isNull(), F.lit("non_numeric"))
-             .when(num != F.floor(num), F.lit("fractional"))
-             .when(num.try_cast("bigint").isNull(), F.lit("non_numeric"))
-             .otherwise(F.lit("ok")))
+def typed_id(c: str | Column) -> Column:
+    """C8 of one id cell, as a struct of reason (missing / non_numeric / fractional / ok) and value:
+    the id as bigint when it is a whole number, else NULL.  All 64 bits are kept: text goes through
+    DECIMAL, never through double (a failed cast to bigint would cost an exception per cell)."""
+    def typed(reason: str, value: Column | None = None) -> Column:
+        return F.struct(F.lit(reason).alias("reason"),
+                        (F.lit(None) if value is None else value).cast("bigint").alias("value"))
 
+    def of_number(num: Column) -> Column:
+        whole = num.try_cast("bigint")
+        return (F.when(num.isNull(), typed("non_numeric")).when(num != F.floor(num).try_cast("decimal(38,9)"), typed("fractional"))
+                 .when(whole.isNull(), typed("non_numeric")).otherwise(typed("ok", whole)))
 
-def normalized_id(c: str):
-    """The id as bigint when it is a whole number, else NULL.  All 64 bits are kept: text goes
-    through bigint, or DECIMAL where it has a point or an exponent, never through double."""
-    s = C.strip_ws(F.col(c).cast("string"))
-    return F.when(id_reason(c) == "ok", F.coalesce(s.try_cast("bigint"), s.try_cast("decimal(38,9)").try_cast("bigint")))
+    def of_text(s: Column) -> Column:
+        return (F.when(s.isNull() | (s == ""), typed("missing"))
+                 .otherwise(C.let(s.try_cast("decimal(38,9)"), of_number)))
+
+    return C.let(C.strip_ws(c), of_text)
 
 
 class IdError(ValueError):
@@ -136,27 +138,34 @@ def normalize_ids(df: DataFrame, cols: Sequence[str] = ("PLAYER_ID", "GAME_ID"),
     """Ids -> bigint.  Returns (accepted, rejected); rejected carries ``reject_reason`` (the first
     failing column's reason: missing, non_numeric or fractional).  Policy 'drop_missing' (box
     scores and daily fantasy) raises on the other two, 'strict' (absences) on any."""
-    tagged = with_id_reasons(df, cols)
+    tagged = with_typed_ids(df, cols)
     if ID_POLICIES[policy]:
         bad = tagged.where(F.substring_index("reject_reason", ":", -1).isin(*ID_POLICIES[policy])).limit(1).collect()
         if bad:
             raise IdError(f"{bad[0]['reject_reason']} in {bad[0].asDict()}")
-    present = [c for c in cols if c in df.columns]
-    accepted = tagged.where(F.col("reject_reason").isNull()).drop("reject_reason")
-    for c in present:
-        accepted = accepted.withColumn(c, normalized_id(c))
-    return accepted, tagged.where(F.col("reject_reason").isNotNull())
+    accepted = tagged.where(F.col("reject_reason").isNull())
+    accepted = accepted.withColumns({c: F.col(f"_ids.{c}.value") for c in cols if c in df.columns})
+    return accepted.drop("reject_reason", "_ids"), tagged.where(F.col("reject_reason").isNotNull()).drop("_ids")
 
 
-def with_id_reasons(df: DataFrame, cols: Sequence[str] = ("PLAYER_ID", "GAME_ID")) -> DataFrame:
-    """Single pass: adds ``reject_reason`` ('<col>:missing|non_numeric|fractional' for the first
-    failing id column, NULL when every id is a whole number)."""
+def with_typed_ids(df: DataFrame, cols: Sequence[str] = ("PLAYER_ID", "GAME_ID")) -> DataFrame:
+    """Single pass: adds ``_ids``, a struct of every id column's ``typed_id``, and ``reject_reason``
+    ('<col>:missing|non_numeric|fractional' for the first failing id column, NULL when every id is
+    a whole number)."""
     present = [c for c in cols if c in df.columns]
+    if not present:
+        return df.withColumn("_ids", F.struct()).withColumn("reject_reason", F.lit(None).cast("string"))
+    tagged = C.once(df, F.struct(*[typed_id(F.col(c)).alias(c) for c in present]), "_ids")
     reason = F.lit(None).cast("string")
     for c in reversed(present):
-        r = id_reason(c)
+        r = F.col(f"_ids.{c}.reason")
         reason = F.when(r != "ok", F.concat(F.lit(f"{c}:"), r)).otherwise(reason)
-    return df.withColumn("reject_reason", reason)
+    return tagged.withColumn("reject_reason", reason)
+
+
+def with_id_reasons(df: DataFrame, cols: Sequence[str] = ("PLAYER_ID", "GAME_ID")) -> DataFrame:
+    """``with_typed_ids`` without the typed ids."""
+    return with_typed_ids(df, cols).drop("_ids")
 
 
 # --------------------------------------------------------------------------- names

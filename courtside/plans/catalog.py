@@ -264,8 +264,8 @@ c AS (
 SELECT ROW_ID, RAW_ID, reason, CASE WHEN reason = 'ok' THEN CAST(num AS BIGINT) END AS PLAYER_ID FROM c""")
 def q_normalize_ids(spark, sf_dir):
     raw = X.raw_ids(spark, sf_dir).withColumnRenamed("PLAYER_ID", "RAW_ID")
-    return raw.select("ROW_ID", "RAW_ID", CF.id_reason("RAW_ID").alias("reason"),
-                      CF.normalized_id("RAW_ID").alias("PLAYER_ID"))
+    typed = C.once(raw, CF.typed_id("RAW_ID"), "id")
+    return typed.select("ROW_ID", "RAW_ID", F.col("id.reason").alias("reason"), F.col("id.value").alias("PLAYER_ID"))
 
 
 @register("normalize_dates", X.with_(X.RAW_DATES_SQL) + """

@@ -121,7 +121,8 @@ def _checked(df: DataFrame, id_cols: Sequence[str], fatal: Sequence[str]) -> tup
     tagged = CF.with_parsed_date(df, "DATE", out="_parsed")
     dates = F.col("reject_reason")
     tagged = tagged.withColumn("_date_reason", F.when(dates.isNotNull(), F.concat(F.lit("DATE:"), dates)))
-    tagged = CF.with_id_reasons(tagged, id_cols).withColumn("reject_reason", F.coalesce("_date_reason", "reject_reason"))
+    tagged = CF.with_typed_ids(tagged.drop("reject_reason"), id_cols)
+    tagged = tagged.withColumn("reject_reason", F.coalesce("_date_reason", "reject_reason"))
     tagged = cut_lineage(tagged)
     rejected = _why_rejected(tagged, fatal)
     kept = _without(tagged, rejected)
@@ -129,8 +130,8 @@ def _checked(df: DataFrame, id_cols: Sequence[str], fatal: Sequence[str]) -> tup
     out = kept.where(F.col("reject_reason").isNull()).withColumn("DATE", F.col("_parsed"))
     for c in id_cols:
         if c in out.columns:
-            out = out.withColumn(c, CF.normalized_id(c))
-    return out.drop("_parsed", "_date_reason", "reject_reason"), rejected, missing
+            out = out.withColumn(c, F.col(f"_ids.{c}.value"))
+    return out.drop("_parsed", "_date_reason", "reject_reason", "_ids"), rejected, missing
 
 
 def _repeated_within(df: DataFrame, policy: str) -> dict[str, str]:

@@ -35,6 +35,27 @@ def test_ids_missing_fractional_non_numeric(spark):
     assert sorted(r.reject_reason for r in bad.collect()) == ["PLAYER_ID:fractional", "PLAYER_ID:missing", "PLAYER_ID:non_numeric"]
 
 
+def test_ids_keep_64_bits_and_odd_text(spark):
+    cells = ["9223372036854775807", "-9223372036854775808", "9223372036854775808", "1e5", "\u00a0 7\t", "1.0000", "1" * 40, "",
+             " ", "0x1", "NaN", "7.000000001", "+8", "1_0", "9007199254740993.0"]
+    df = C.once(spark.createDataFrame([(c,) for c in cells], "c string"), CF.typed_id("c"), "t").select("c", "t.*")
+    got = {r.c: (r.reason, r.value) for r in df.collect()}
+    assert got["9223372036854775807"] == ("ok", 2 ** 63 - 1) and got["-9223372036854775808"] == ("ok", -2 ** 63)
+    assert got["9007199254740993.0"] == ("ok", 2 ** 53 + 1) and got["1e5"] == ("ok", 100_000) and got["+8"] == ("ok", 8)
+    assert got["\u00a0 7\t"] == ("ok", 7) and got["1.0000"] == ("ok", 1) and got["7.000000001"] == ("fractional", None)
+    assert {k for k, v in got.items() if v[0] == "missing"} == {"", " "}
+    assert {k for k, v in got.items() if v[0] == "non_numeric"} == {"9223372036854775808", "1" * 40, "0x1", "NaN", "1_0"}
+
+
+def test_cells_are_typed_once(spark):
+    """Reason, value and filter come from one evaluation of every cell."""
+    df = spark.createDataFrame([("1", "2", "2025-11-01")], "PLAYER_ID string, GAME_ID string, DATE string")
+    dated = CF.normalize_dates(CF.normalize_ids(df)[0])[0]
+    plan = dated._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_cast(lambda x") <= 8 and plan.count("yyyy/M/d") == 1 and plan.count("regexp_replace") == 0
+    assert rows(dated) == [(1, 2, dt.date(2025, 11, 1))]
+
+
 def test_migrate_id_types(spark):
     df = spark.createDataFrame([(12345.0, 22500001.0), (None, 1.0)], "PLAYER_ID double, GAME_ID double")
     out, dropped = R.migrate_id_types(df)
