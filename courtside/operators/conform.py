@@ -124,6 +124,16 @@ def typed_id(c: str | Column) -> Column:
     return C.let(C.strip_ws(c), of_text)
 
 
+def id_reason(c: str | Column) -> Column:
+    """The reason of ``typed_id`` alone."""
+    return typed_id(c)["reason"]
+
+
+def normalized_id(c: str | Column) -> Column:
+    """The value of ``typed_id`` alone."""
+    return typed_id(c)["value"]
+
+
 class IdError(ValueError):
     """An id that the policy doesn't allow."""
 

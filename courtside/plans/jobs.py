@@ -209,6 +209,7 @@ def load_rows(spark: SparkSession, root: str, rows: DataFrame, feed: Feed, files
     res.overwritten = [f for f in res.files if f in before]
     sinks.record_files(spark, root, [(f["_file_name"], feed.name, run_id, "ok", None, f["length"], f["modified"], load_no)
                                      for f in files if f["_file_name"] in res.files])
+    sinks.record_rejected(spark, root, feed.name, run_id, files, res.rejected)
     return res
 
 
@@ -376,20 +377,43 @@ def build_fantasy_averages(spark: SparkSession, root: str, as_of, run_id: str, i
     return sinks.read_table(spark, root, "fantasy_averages")
 
 
+AVERAGE_VIEWS = (("vw_player_averages_regular_season", "Regular", "player_averages_regular_season"),
+                 ("vw_player_averages_playoffs", "Playoffs", "player_averages_playoffs"))
+
+
 def publish_average_views(spark: SparkSession, averages: DataFrame, export_dir: str | None,
-                          stamp: _dt.datetime) -> list[str]:
-    """The two season-type views (temp views) and their CSV exports."""
+                          stamp: _dt.datetime, root: str | None = None, failed: dict[str, str] | None = None) -> list[str]:
+    """The two season-type views and their CSV exports; returns the views made.
+
+    With ``root`` they are lasting views over the published table (``averages`` is its content),
+    else temporary ones.  Each is made on its own: one that fails is told in ``failed`` (or raises,
+    where that isn't given) and doesn't keep the other from being made."""
     done = []
-    for view, stype, base in (("vw_player_averages_regular_season", "Regular", "player_averages_regular_season"),
-                              ("vw_player_averages_playoffs", "Playoffs", "player_averages_playoffs")):
-        v = S.season_type_view(averages, stype)
-        v.createOrReplaceTempView(view)
-        done.append(view)
-        if export_dir:
-            sinks.export_csv(v, export_dir, base, stamp, single_file=False)
+    for view, stype, base in AVERAGE_VIEWS:
+        try:
+            v = S.season_type_view(averages, stype)
+            if root:
+                sinks.lasting_view(spark, view, sinks.published_path(spark, root, "fantasy_averages"), v.columns,
+                                   f"SEASON_TYPE = '{stype}'")
+            else:
+                v.createOrReplaceTempView(view)
+            done.append(view)
+            if export_dir:
+                sinks.export_csv(v, export_dir, base, stamp, single_file=False)
+        except Exception as e:  # noqa: BLE001 - the views are independent of each other
+            if failed is None:
+                raise
+            failed[view] = str(e)
     return done
 
 
+def _publish_slate_view(spark: SparkSession, root: str, view: str, slate: DataFrame, run_id: str, with_season: bool = True) -> None:
+    """The slate as a published table and a lasting view over it, in export order."""
+    sinks.publish(slate, root, view.removeprefix("vw_"), run_id)
+    sinks.lasting_view(spark, view, sinks.published_path(spark, root, view.removeprefix("vw_")), slate.columns,
+                       order_by=SL.export_columns(with_season))
+
+
 @dataclass
 class SlateResult:
     unmatched: list[str] = field(default_factory=list)
@@ -410,12 +434,12 @@ def build_slates(spark: SparkSession, root: str, entries_path: str, averages: Da
     matched = MT.matched_names(resolved)
     daily = SL.daily_slate(averages, matched, slate_seasons)
     l30 = SL.daily_slate_l30(averages, matched, l30_season)
-    SL.export_order(daily).createOrReplaceTempView("vw_daily_slate")
-    SL.export_order(l30, with_season=False).createOrReplaceTempView("vw_daily_slate_l30")
+    _publish_slate_view(spark, root, "vw_daily_slate", daily, run_date)
+    _publish_slate_view(spark, root, "vw_daily_slate_l30", l30, run_date, with_season=False)
     playoffs = S.season_type_view(averages, "Playoffs")
     resolved_p = cut_lineage(MT.match_names(entries, playoffs.select("PLAYER", "PLAYER_ID"), name_col="Name"))
-    SL.export_order(SL.playoff_slate(averages, MT.matched_names(resolved_p), playoff_season)) \
-        .createOrReplaceTempView("vw_daily_slate_playoffs")
+    _publish_slate_view(spark, root, "vw_daily_slate_playoffs",
+                        SL.playoff_slate(averages, MT.matched_names(resolved_p), playoff_season), run_date)
     if export_dir:
         out.exported.append(sinks.export_csv(SL.export_order(daily), export_dir, "slate_player_averages", stamp))
         l30_csv = SL.daily_slate_l30(averages, matched, l30_season, K.SLATE_L30_CSV_COLUMNS)
@@ -466,7 +490,9 @@ def run_daily(spark: SparkSession, root: str, box_landing: str, dfs_landing: str
     if avg is not None:
         run("drops", lambda: summary["warnings"].extend(dropped_rows(spark, root)))
         run("schema", lambda: sinks.record_schema(spark, root, run_id, "fantasy_averages", avg))
-        run("views", lambda: publish_average_views(spark, avg, export_dir, now))
+        failed: dict[str, str] = {}
+        run("views", lambda: publish_average_views(spark, avg, export_dir, now, root, failed))
+        summary["errors"] += [f"view {v}: {why}" for v, why in failed.items()]
         slate = run("slate", lambda: build_slates(spark, root, entries_path, avg, now.date().isoformat(),
                                                     export_dir, now))
         if slate is None:

@@ -210,14 +210,62 @@ def read_log(spark: SparkSession, root: str, name: str, schema: T.StructType | N
 
 
 def export_csv(df: DataFrame, out_dir: str, base_name: str, stamp: _dt.datetime, single_file: bool = True) -> str:
-    """K4: ``<out_dir>/<base>_<MM-DD-YYYY_HHMMSS>.csv`` with a header.  ``single_file`` gathers the
-    (slate-sized) output into one part file; large outputs keep their partitions."""
+    """K4: ``<out_dir>/<base>_<MM-DD-YYYY_HHMMSS>.csv`` with a header.  ``single_file`` makes that a
+    plain file: the (slate-sized) output goes to a draft folder as one part, which is then renamed,
+    so a file of that name is always whole.  Large outputs are a folder of that name."""
+    spark = df.sparkSession
     target = f"{out_dir.rstrip('/')}/{base_name}_{stamp.strftime('%m-%d-%Y_%H%M%S')}.csv"
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(target)
+    if not single_file:
+        df.write.mode("overwrite").option("header", True).csv(target)
+        return target
+    draft = f"{out_dir.rstrip('/')}/_draft-{uuid.uuid4().hex}"
+    df.coalesce(1).write.option("header", True).csv(draft)
+    fs, folder = _fs(spark, draft)
+    parts = [f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")]
+    _, final = _fs(spark, target)
+    if fs.exists(final):  # the same export again: the new one takes its place
+        fs.delete(final, True)
+    if len(parts) != 1 or not fs.rename(parts[0], final):
+        raise RuntimeError(f"could not write {target}")
+    fs.delete(folder, True)
     return target
 
 
+def published_path(spark: SparkSession, root: str, name: str) -> str:
+    """The folder of a published table's current version."""
+    path = table_path(root, name)
+    return f"{path}/{current_version(spark, path)}"
+
+
+def lasting_view(spark: SparkSession, view: str, folder: str, columns: Sequence[str], where: str | None = None,
+                 order_by: Sequence[str] = ()) -> str:
+    """K3: a view in the session's catalog over a published folder, created or replaced in one step;
+    it outlives the session that made it (in a metastore, the application too)."""
+    quoted = ", ".join(f"`{c}`" for c in columns)
+    spark.catalog.dropTempView(view)  # a temporary view of that name would hide it
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {quoted} FROM parquet.`{folder}`"
+              + (f" WHERE {where}" if where else "") + (f" ORDER BY {', '.join(order_by)}" if order_by else ""))
+    return view
+
+
+def archive_files(spark: SparkSession, paths: Sequence[str], archive_dir: str) -> list[str]:
+    """K6: move landing files to a folder; one that is gone already (a repeated call) is left out."""
+    moved = []
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        fs, source = _fs(spark, path)
+        _, folder = _fs(spark, archive_dir)
+        fs.mkdirs(folder)
+        target = jvm.org.apache.hadoop.fs.Path(folder, source.getName())
+        if not fs.exists(source):
+            continue
+        if fs.exists(target):  # an earlier delivery of that name stays beside the new one
+            target = jvm.org.apache.hadoop.fs.Path(folder, f"{uuid.uuid4().hex[:8]}-{source.getName()}")
+        if fs.rename(source, target):
+            moved.append(path)
+    return moved
+
+
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("_file_name", T.StringType(), False),
     T.StructField("feed", T.StringType(), False),
@@ -227,13 +275,33 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("length", T.LongType(), True),
     T.StructField("modified", T.TimestampType(), True),
     T.StructField("load_no", T.LongType(), True),
+    T.StructField("reason", T.StringType(), True),
 ])
 
 
 def record_files(spark: SparkSession, root: str, rows: list[tuple]) -> None:
     """K6: one manifest row per processed file (the archive record; replaces moving files)."""
     if rows:
-        append_log(spark.createDataFrame(rows, MANIFEST_SCHEMA), root, "ingest_manifest")
+        width = len(MANIFEST_SCHEMA.fields)
+        append_log(spark.createDataFrame([(*r, *[None] * (width - len(r))) for r in rows], MANIFEST_SCHEMA), root, "ingest_manifest")
+
+
+def record_rejected(spark: SparkSession, root: str, feed: str, run_id: str, files: Sequence, reasons: dict[str, str]) -> None:
+    """One manifest row for each rejected delivery (``files``: name, length, modified) with its
+    reason; a delivery that is recorded already, by an earlier run or a repeated batch, isn't again."""
+    known = {(r["_file_name"], r["length"], r["modified"]) for r in rejected_files(spark, root, feed).collect()} if reasons else set()
+    record_files(spark, root, [(f["_file_name"], feed, run_id, "rejected", None, f["length"], f["modified"], None, reasons[f["_file_name"]])
+                               for f in files if f["_file_name"] in reasons
+                               and (f["_file_name"], f["length"], f["modified"]) not in known])
+
+
+def rejected_files(spark: SparkSession, root: str, feed: str) -> DataFrame:
+    """Deliveries that were rejected: (_file_name, length, modified, reason)."""
+    m = read_log(spark, root, "ingest_manifest", MANIFEST_SCHEMA)
+    if "reason" not in m.columns:  # a manifest written before rejections were recorded
+        m = m.withColumn("reason", F.lit(None).cast("string"))
+    return (m.where((F.col("feed") == feed) & (F.col("status") == "rejected"))
+             .select("_file_name", "length", "modified", "reason").distinct())
 
 
 def processed_files(spark: SparkSession, root: str, feed: str) -> DataFrame:
@@ -267,12 +335,18 @@ def record_run(spark: SparkSession, root: str, summary: dict) -> None:
 
 
 def append_worklist(spark: SparkSession, root: str, run_date: str, resolved: DataFrame) -> None:
-    """K5: unresolved slate names with their best candidate and score."""
+    """K5: unresolved slate names with their best candidate and score, one row for each run date and
+    name: a repeated run puts its rows in the place of the earlier one's."""
     rows = resolved.where(~F.col("matched")).select(F.lit(run_date).alias("run_date"),
                                                      F.col("mapped").alias("name"),
                                                      F.col("match").alias("best_match"), "score",
                                                      F.col("worklist").alias("text"))
-    append_log(rows, root, "unmatched_names")
+    rows = rows.groupBy("run_date", "name").agg(*[F.min(c).alias(c) for c in ("best_match", "score", "text")])
+    stored = read_log(spark, root, "unmatched_names", rows.schema)
+    if stored.where(F.col("run_date") == run_date).isEmpty():
+        append_log(rows, root, "unmatched_names")
+    else:
+        replace_log(stored.where(F.col("run_date") != run_date).unionByName(rows), root, "unmatched_names", f"worklist-{run_date}")
 
 
 def replace_log(df: DataFrame, root: str, name: str, run_id: str) -> str:

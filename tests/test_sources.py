@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from courtside.operators import conform as CF
 from courtside.sources import feeds as FD
+from courtside.sources.feeds import UNREADABLE
 from tests.helpers import box_workbook, write_csv
 
 
@@ -43,3 +44,59 @@ def test_segment_column_found_by_suffix(spark):
     df = spark.createDataFrame([("2024-25 NBA Regular Season", "x")], "ACME_DATASET string, OWN_TEAM string")
     out = CF.rename_and_drop(df, {"OWN_TEAM": "TEAM"})
     assert out.columns == ["SEASON_SEGMENT", "TEAM"]
+
+
+def _write(path, data):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "wb") as f:
+        f.write(data)
+
+
+def _rows(df):
+    return sorted((r._file_name, r._row_no, tuple(r.cells)) for r in df.collect() if r._sheet != UNREADABLE)
+
+
+def test_large_csv_is_read_in_several_tasks_with_the_same_row_numbers(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "big")
+    lines = [f'{i},"name, {i}",{"x" * (i % 40)}' for i in range(20_000)]
+    lines[5] = ""
+    lines[77] = 'a "stray" quote,b""c,'
+    _write(os.path.join(d, "a.csv"), ("\ufeff" + "\r\n".join(lines)).encode())
+    _write(os.path.join(d, "b.csv"), "\n".join(lines[:50]).encode() + b"\n")
+    _write(os.path.join(d, "c.csv"), b"")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        assert FD.numbered_lines(spark, [os.path.join(d, "a.csv")]).count() == 20_000
+        assert spark.read.text(os.path.join(d, "a.csv")).rdd.getNumPartitions() > 4
+        got = _rows(FD.read_feed_rows(spark, d))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    whole = _rows(FD.parsed(spark.read.format("binaryFile").load(d)))
+    assert got == whole and len(got) == 20_050
+    assert got[6][2] == ("6", "name, 6", "xxxxxx")
+
+
+def test_quoted_cells_over_several_lines_are_kept(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "q")
+    _write(os.path.join(d, "span.csv"), b'a,b\n1,"two\nlines"\n5" pipe,"x\ny"\n2,z\n')
+    _write(os.path.join(d, "plain.csv"), b'a,b\n1,2\n')
+    got = _rows(FD.read_feed_rows(spark, d))
+    assert got == [("plain.csv", 0, ("a", "b")), ("plain.csv", 1, ("1", "2")), ("span.csv", 0, ("a", "b")),
+                   ("span.csv", 1, ("1", "two\nlines")), ("span.csv", 2, ('5" pipe', "x\ny")), ("span.csv", 3, ("2", "z"))]
+
+
+def test_bytes_of_another_charset_reject_the_file_or_are_decoded(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "cs")
+    text = "PLAYER_ID,PLAYER\n1,Luka Don\u010di\u0107\n"
+    _write(os.path.join(d, "cp.csv"), text.encode("cp1250"))
+    _write(os.path.join(d, "ok.csv"), text.encode())
+    _write(os.path.join(d, "broken.xlsx"), b"PK\x03\x04 no zip")
+    rows = FD.read_feed_rows(spark, d)
+    bad = {r._file_name: r.cells[0] for r in rows.where(F.col("_sheet") == UNREADABLE).collect()}
+    assert set(bad) == {"cp.csv", "broken.xlsx"} and bad["cp.csv"] == "line 2 is not UTF-8"
+    assert _rows(rows.where("_file_name = 'ok.csv'"))[1][2] == ("1", "Luka Don\u010di\u0107")
+    decoded = FD.read_feed_rows(spark, os.path.join(d, "cp.csv"), charset="cp1250")
+    assert _rows(decoded)[1][2] == ("1", "Luka Don\u010di\u0107")
+    whole = FD.parsed(spark.read.format("binaryFile").load(os.path.join(d, "cp.csv"))).collect()
+    assert [r._sheet for r in whole] == [UNREADABLE] and "decode" in whole[0].cells[0]
