@@ -85,7 +85,7 @@ def summarised_vectors(vectors: DataFrame, scale: int) -> DataFrame:
                                              names=names)
 
     made = v.mapInArrow(run, "vec_id long, label long, e array<long>, dim int, means array<double>, deviations array<double>")
-    return staged(staged(made).withColumn("row", F.monotonically_increasing_id()))
+    return staged(made.withColumn("row", F.monotonically_increasing_id()))
 
 
 class Block:

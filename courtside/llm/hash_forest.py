@@ -45,11 +45,12 @@ def prefix_ranges(tree: np.ndarray, strings: np.ndarray, depth: np.ndarray, bits
     return np.searchsorted(tree, low), np.searchsorted(tree, low + (np.int64(1) << (bits - depth)))
 
 
-def candidates(rows: np.ndarray, queries: np.ndarray, bits: int, effort: float):
+def candidates(rows: np.ndarray, queries: np.ndarray, bits: int, effort: float, least: int = 0):
     """Yields each query's candidate positions.  rows, queries: hash strings (n, trees).
 
     The ascent of all trees at once ends at the deepest level whose ranges hold the wanted number;
-    as a shorter prefix never holds less, that level is found by bisection."""
+    as a shorter prefix never holds less, that level is found by bisection.  Where its ranges hold
+    fewer than ``least`` different rows, the ascent goes on."""
     n, trees = rows.shape
     order = np.argsort(rows, axis=0, kind="stable")
     trees_sorted = np.ascontiguousarray(np.take_along_axis(rows, order, axis=0).T)
@@ -68,45 +69,51 @@ def candidates(rows: np.ndarray, queries: np.ndarray, bits: int, effort: float):
         enough, short = np.where(ok, depth, enough), np.where(ok, short, depth)
     lo, hi = ranges(enough)
     for j in range(len(queries)):
-        met = np.zeros(n, dtype=bool)
-        for t in range(trees):
-            met[order[lo[t, j]:hi[t, j], t]] = True
+        depth = int(enough[j])
+        while True:
+            met = np.zeros(n, dtype=bool)
+            for t in range(trees):
+                met[order[lo[t, j]:hi[t, j], t]] = True
+            if not depth or met.sum() >= least:
+                break
+            depth -= 1
+            for t in range(trees):
+                lo[t, j], hi[t, j] = prefix_ranges(trees_sorted[t], strings[t, j], np.int64(depth), bits)
         yield np.flatnonzero(met)
 
 
 def nearest(k: int, trees: int, bits: int, effort: float, seed: int):
     """The k nearest found of each query within a block pair."""
     def run(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
-        a, b, ids = matrix(q["qe"]), matrix(v["e"]), v["vec_id"].to_numpy(np.int64)
+        a, b, ids, number = matrix(q["qe"]), matrix(v["e"]), v["vec_id"].to_numpy(np.int64), v["row"].to_numpy(np.int64)
         order = np.argsort(ids, kind="stable")
         leaf, member = np.unique(b, axis=0, return_inverse=True)
         member = member.reshape(-1)
         own_ids = [[] for _ in range(len(leaf))]
         for i in order:  # smallest ids first
             if len(own_ids[member[i]]) <= k:
-                own_ids[member[i]].append(ids[i])
+                own_ids[member[i]].append((ids[i], number[i]))
         length = np.sqrt((leaf * leaf).sum(axis=1))
         unit_leaf, a_length = leaf / length[:, None], np.sqrt((a * a).sum(axis=1))
         unit_a = a / a_length[:, None]
-        near = unit_a @ unit_leaf.T  # to within rounding, which may differ by position
         out_q, out_v, out_s = [], [], []
         found = candidates(hash_strings(unit_leaf, trees, bits, seed),
-                           hash_strings(unit_a, trees, bits, seed), bits, effort)
+                           hash_strings(unit_a, trees, bits, seed), bits, effort, k + 1)
         for j, at in enumerate(found):
-            query = int(q["query_id"].iloc[j])
+            query = int(q["query"].iloc[j])
             # The k + 1 best leaves (one may hold the query alone) with ties, then their ids.
             if len(at) > k + 1:
-                rough = near[j, at]
+                rough = unit_leaf[at] @ unit_a[j]  # of the candidates alone
                 at = at[rough >= np.partition(rough, len(at) - k - 1)[len(at) - k - 1] - 1e-9]
             score = (leaf[at] * a[j]).sum(axis=1) / (length[at] * a_length[j])
-            pairs = [(i, s) for at_i, s in zip(at, score) for i in own_ids[at_i] if i != query]
+            pairs = [(i, s) for at_i, s in zip(at, score) for i, n in own_ids[at_i] if n != query]
             vec = np.array([p[0] for p in pairs], dtype=np.int64)
             value = np.array([p[1] for p in pairs], dtype=np.float64)
             best = first_k(value, vec, k) if len(pairs) else np.zeros(0, np.int64)
             out_q.append(np.full(len(best), query, dtype=np.int64))
             out_v.append(vec[best])
             out_s.append(value[best])
-        return pd.DataFrame({"query_id": np.concatenate(out_q), "vec_id": np.concatenate(out_v),
+        return pd.DataFrame({"query": np.concatenate(out_q), "vec_id": np.concatenate(out_v),
                              "score": np.concatenate(out_s)})
     return run
 
@@ -116,7 +123,7 @@ def nearest_neighbours(vectors: DataFrame, k: int = K, every: int = EVERY, trees
     """(query_id, rank, vec_id, score) for queries ``vec_id % every = 0`` against all other rows."""
     valid = clean_vectors(vectors).where(F.exists("e", lambda x: x != 0))
     queries, rows = block_pairs(valid, every)
-    return top(search(queries, rows, nearest(k, trees, bits, effort, seed), "double"), k)
+    return top(search(queries, rows, nearest(k, trees, bits, effort, seed), "double"), k, valid)
 
 
 def op9_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,7 +57,7 @@ def _blocks(q: pd.DataFrame, v: pd.DataFrame, scale: int, lists: int):
 def _frame(parts: list[tuple]) -> pd.DataFrame:
     q = np.repeat(np.array([p[0] for p in parts], np.int64), [len(p[1]) for p in parts])
     return pd.DataFrame({
-        "query_id": q,
+        "query": q,
         "vec_id": np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int64),
         "score": np.concatenate([p[2] for p in parts]).astype(np.int64) if parts else np.zeros(0, np.int64)})
 
@@ -65,13 +65,13 @@ def _frame(parts: list[tuple]) -> pd.DataFrame:
 def local_lists(k: int, scale: int, lists: int):
     """Phase 1 within a block pair: whole scores of the rows leading any local list."""
     def run(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
-        ids, parts = v["vec_id"].to_numpy(np.int64), []
+        ids, number, parts = v["vec_id"].to_numpy(np.int64), v["row"].to_numpy(np.int64), []
         for some, local in _blocks(q, v, scale, lists):
             lead = min(k + 1, len(ids))  # one more, as the query's own row may lead
             at = np.argpartition(local, len(ids) - lead, axis=2)[:, :, len(ids) - lead:]
-            for j, query in enumerate(some["query_id"].to_numpy(np.int64)):
+            for j, query in enumerate(some["query"].to_numpy(np.int64)):
                 rows = np.unique(at[:, j, :])
-                rows = rows[ids[rows] != query]
+                rows = rows[number[rows] != query]
                 score = local[:, j, rows].sum(axis=0)
                 best = rows[first_k(score, ids[rows], k)]
                 parts.append((query, ids[best], local[:, j, best].sum(axis=0)))
@@ -82,11 +82,11 @@ def local_lists(k: int, scale: int, lists: int):
 def sufficient(k: int, scale: int, lists: int):
     """Phases 2 and 3 within a block pair; queries carry their cutoff (null: none)."""
     def run(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
-        ids, parts = v["vec_id"].to_numpy(np.int64), []
+        ids, number, parts = v["vec_id"].to_numpy(np.int64), v["row"].to_numpy(np.int64), []
         for some, local in _blocks(q, v, scale, lists):
             m = local.shape[0]
             cutoffs = some["cutoff"].to_numpy(dtype=object)
-            for j, query in enumerate(some["query_id"].to_numpy(np.int64)):
+            for j, query in enumerate(some["query"].to_numpy(np.int64)):
                 if pd.isna(cutoffs[j]):
                     rows = np.arange(len(ids))
                 else:
@@ -95,7 +95,7 @@ def sufficient(k: int, scale: int, lists: int):
                     rows = np.flatnonzero(seen.any(axis=0))
                     bound = np.where(seen[:, rows], local[:, j, rows] * m, cutoff).sum(axis=0)
                     rows = rows[bound >= m * cutoff]
-                rows = rows[ids[rows] != query]
+                rows = rows[number[rows] != query]
                 score = local[:, j, rows].sum(axis=0)
                 if len(rows) and not pd.isna(cutoffs[j]):
                     rows, score = rows[score >= cutoff], score[score >= cutoff]
@@ -108,13 +108,14 @@ def sufficient(k: int, scale: int, lists: int):
 def exact_top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE,
                 lists: int = LISTS) -> DataFrame:
     """(query_id, rank, vec_id, score) for queries ``vec_id % every = 0`` against all other rows."""
-    queries, rows = block_pairs(clean_vectors(vectors), every)
+    vectors = clean_vectors(vectors)
+    queries, rows = block_pairs(vectors, every)
     leaders = search(queries, rows, local_lists(k, scale, lists), "long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     cutoffs = (leaders.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k)
-               .where(F.col("r") == k).select(F.col("query_id").alias("of"), F.col("score").alias("cutoff")))
-    queries = queries.join(cutoffs, F.col("query_id") == F.col("of"), "left").drop("of")
-    return top(search(queries, rows, sufficient(k, scale, lists), "long"), k)
+               .where(F.col("r") == k).select(F.col("query").alias("of"), F.col("score").alias("cutoff")))
+    queries = queries.join(cutoffs, F.col("query") == F.col("of"), "left").drop("of")
+    return top(search(queries, rows, sufficient(k, scale, lists), "long"), k, vectors)
 
 
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,17 +125,17 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE_SQL = """
 WITH v AS (
-  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
+  SELECT row_number() OVER () AS n, vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
     AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+  SELECT q.n, q.vec_id AS query_id, c.vec_id AS vec_id,
          CAST(list_sum([q.e[i] * c.e[i] FOR i IN generate_series(1, len(q.e))]) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+  FROM v q JOIN v c ON q.n <> c.n AND len(q.e) = len(c.e)
   WHERE q.vec_id % 50 = 0),
 r AS (
-  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
          vec_id, score
   FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
