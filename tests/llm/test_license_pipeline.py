@@ -66,7 +66,7 @@ def test_known_entries_are_distinct(spark):
 def test_sql_twin(spark, name):
     got = catalog.QUERIES[name](spark, SF)
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "pages", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.sql(catalog.ORACLE_SQL[name])
     assert sorted(got.columns) == sorted(want.columns)
