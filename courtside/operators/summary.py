@@ -61,20 +61,31 @@ def team_abbreviations(logs: DataFrame, map_teams: DataFrame) -> DataFrame:
     return logs.join(m, "TEAM", "left")
 
 
-def game_columns(df: DataFrame, as_of, window_days: int = 30) -> DataFrame:
-    """Per-game conditional columns feeding the aggregate."""
+def in_window(as_of, window_days: int = 30) -> Column:
+    return F.col("DATE") >= F.date_sub(_as_date(as_of), window_days)
+
+
+def starter_values() -> list[Column]:
+    """A game's points per minute, and its values where the player started."""
     started = F.col("STARTED") == F.lit("Y")
-    recent = F.col("DATE") >= F.date_sub(_as_date(as_of), window_days)
     fppm = C.safe_ratio("DK_POINTS", "MINUTES")
-    return df.select(
-        *GROUP_KEYS, "DATE", "STARTED", "DK_SALARY", "DK_POINTS", "MINUTES", "USAGE",
-        fppm.alias("GAME_FPPM"),
-        F.when(started, F.col("DK_POINTS")).alias("GS_DK_POINTS"),
-        F.when(started, F.col("MINUTES")).alias("GS_MINUTES"),
-        F.when(started, fppm).alias("GS_GAME_FPPM"),
-        F.when(recent, F.col("DK_POINTS")).alias("L30_DK_POINTS"),
-        F.when(recent, F.col("MINUTES")).alias("L30_MINUTES"),
-    )
+    return [fppm.alias("GAME_FPPM"),
+            F.when(started, F.col("DK_POINTS")).alias("GS_DK_POINTS"),
+            F.when(started, F.col("MINUTES")).alias("GS_MINUTES"),
+            F.when(started, fppm).alias("GS_GAME_FPPM")]
+
+
+def window_values(as_of, window_days: int = 30) -> list[Column]:
+    """A game's values where it lies in the trailing window."""
+    recent = in_window(as_of, window_days)
+    return [F.when(recent, F.col("DK_POINTS")).alias("L30_DK_POINTS"),
+            F.when(recent, F.col("MINUTES")).alias("L30_MINUTES")]
+
+
+def game_columns(df: DataFrame, as_of, window_days: int = 30) -> DataFrame:
+    """Per-game conditional columns feeding the aggregate."""
+    return df.select(*GROUP_KEYS, "DATE", "STARTED", "DK_SALARY", "DK_POINTS", "MINUTES", "USAGE",
+                     *starter_values(), *window_values(as_of, window_days))
 
 
 # Sums and means accumulate in DECIMAL(38,9): addition is then exact and associative, so the

@@ -23,6 +23,7 @@ from ..operators import conform as CF
 from ..operators import ingest as I
 from ..operators import matching as MT
 from ..operators import quality as Q
+from ..operators import season_state as SS
 from ..operators import seasons as S
 from ..operators import slate as SL
 from ..operators import summary as M
@@ -324,29 +325,37 @@ def affected_segments(segments: DataFrame, touched: Sequence[str | None], as_of,
     return [r[0] for r in rows]
 
 
-def _basis(spark: SparkSession, root: str) -> str:
-    """What the published averages rest on besides the rows loaded since: the dimensions' content
-    and the log's folder, which every rewrite changes.  Equal text: equal basis."""
-    parts = [sinks.log_folder(spark, root, "fantasy_logs")]
-    for t in (sinks.read_log(spark, root, "dim_players"), sinks.read_table(spark, root, "map_teams")):
-        h = F.xxhash64(*[F.col(c) for c in t.columns])
-        r = t.agg(F.count(F.lit(1)), F.bit_xor(h), F.sum(h.cast("decimal(38,0)"))).first()
-        parts.append(f"{r[0]}:{r[1]}:{r[2]}")
-    return "|".join(map(str, parts))
+def season_state(spark: SparkSession, root: str, run_id: str, incremental: bool = True) -> DataFrame | None:
+    """The moments of the log's numbered rows, brought up to date and published.
 
-
-STATE_SCHEMA = "basis string, load_no long, window_days int"
+    Only rows of later loads than the state's are read (the files' statistics leave out the others)
+    and merged into it.  Which load it reaches becomes current together with it, so a run that broke
+    off anywhere neither loses nor doubles rows.  A rewritten log, which has another folder, and
+    ``incremental=False`` start it anew.  None for a log without load numbers."""
+    logs = sinks.read_log(spark, root, "fantasy_logs")
+    if "_load_no" not in logs.columns:
+        return None
+    folder = sinks.log_folder(spark, root, "fantasy_logs")
+    note = sinks.published_note(spark, root, "season_state")
+    if incremental and note.get("folder") == folder:
+        fresh = logs.where(F.col("_load_no") > note["load_no"]) if note["load_no"] is not None else logs.where("_load_no is not null")
+        state = SS.merge(sinks.read_table(spark, root, "season_state"), SS.moments(fresh))
+    else:
+        state = SS.moments(logs.where("_load_no is not null"))
+    sinks.publish(state, root, "season_state", run_id,
+                  note=lambda df: {"folder": folder, "load_no": df.agg(F.max("LAST_LOAD")).first()[0]})
+    return sinks.read_table(spark, root, "season_state")
 
 
 def build_fantasy_averages(spark: SparkSession, root: str, as_of, run_id: str, incremental: bool = True,
                            window_days: int = 30) -> DataFrame:
     """B4 + K2: compute and publish ``fantasy_averages``.
 
-    If the previous version rests on the same dimensions and the same (not rewritten) log, only
-    the affected seasons are recomputed -- their log partitions are the only ones read -- and the
-    other seasons' rows are carried over.  What was loaded since is taken from the log's own load
-    numbers, so a run that failed between loading and averaging leaves nothing stale.  Otherwise,
-    or with ``incremental=False``, everything is recomputed.  Either way the result is the same.
+    The averages are finished from the season state (exact moments, into which the new loads' rows
+    are merged) and the log's rows inside the trailing window: of the log, a run reads new and recent
+    rows.  What was loaded since is taken from the log's own load numbers, so a run that failed
+    between loading and averaging leaves nothing stale; rows stored without one are read every time.
+    With ``incremental=False`` the state is made anew.  Either way the result is the same.
     """
     missing = [t for t in ("fantasy_logs", "dim_players") if sinks.read_log(spark, root, t) is None]
     if sinks.read_table(spark, root, "map_teams") is None:
@@ -354,26 +363,13 @@ def build_fantasy_averages(spark: SparkSession, root: str, as_of, run_id: str, i
     if missing:
         raise FeedError(f"missing required tables: {missing}")
     logs = sinks.read_log(spark, root, "fantasy_logs")
-    dims = (sinks.read_log(spark, root, "dim_players"), sinks.read_table(spark, root, "map_teams"))
-    previous = sinks.read_table(spark, root, "fantasy_averages")
-    state = sinks.read_table(spark, root, "averages_state")
-    state = state.first() if state is not None else None
-    segments = segment_dates(logs).collect()
-    basis = f"{_basis(spark, root)}|{sum(r['unnumbered'] for r in segments)}"
-    latest = max([r["last_load"] for r in segments if r["last_load"] is not None], default=None)
-    same = state is not None and state["basis"] == basis and state["window_days"] == window_days
-    if not (incremental and same and state["load_no"] is not None and previous is not None):
-        avg = M.season_averages(logs, *dims, as_of, window_days)
-    else:
-        touched = [r["SEASON_SEGMENT"] for r in segments if (r["last_load"] or 0) > state["load_no"]]
-        known = spark.createDataFrame(segments, "SEASON_SEGMENT string, last_game date, last_load long, unnumbered long")
-        segs = [x for x in affected_segments(known, touched, as_of, window_days, previous) if x is not None]
-        fresh = M.season_averages(logs.where(F.col("SEASON_SEGMENT").isin(segs)), *dims, as_of, window_days)
-        stale = (S.classify_season(spark.createDataFrame([(x,) for x in segs], "SEASON_SEGMENT string"))
-                 .select("SEASON_TYPE", F.col("SEASON_KEY").alias("SEASON")).distinct())   # a row per season
-        avg = previous.join(stale, ["SEASON_TYPE", "SEASON"], "left_anti").select(*fresh.columns).unionByName(fresh)
+    state = season_state(spark, root, run_id, incremental)
+    loose = logs if state is None else logs.where("_load_no is null")
+    if state is None or not loose.isEmpty():
+        state = SS.moments(loose) if state is None else state.unionByName(SS.moments(loose))
+    avg = SS.averages(state, SS.windowed(logs, as_of, window_days), sinks.read_log(spark, root, "dim_players"),
+                      sinks.read_table(spark, root, "map_teams"))
     sinks.publish(avg, root, "fantasy_averages", run_id, keys=AVERAGES_KEYS)
-    sinks.publish(spark.createDataFrame([(basis, latest, window_days)], STATE_SCHEMA), root, "averages_state", run_id)
     return sinks.read_table(spark, root, "fantasy_averages")
 
 

@@ -22,7 +22,7 @@ from __future__ import annotations
 import datetime as _dt
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -118,10 +118,16 @@ def require_tables(spark: SparkSession, root: str, names: Sequence[str]) -> list
     return [n for n in names if not table_exists(spark, root, n)]
 
 
+def published_note(spark: SparkSession, root: str, name: str) -> dict:
+    """What was noted when the table's current version was published."""
+    return _state(spark, table_path(root, name))[1].get("note", {})
+
+
 def publish(df: DataFrame, root: str, name: str, run_id: str, keys: Sequence[str] | None = None,
-            partition_by: Sequence[str] = ()) -> str:
+            partition_by: Sequence[str] = (), note: Callable[[DataFrame], dict] | None = None) -> str:
     """K2/K3 staged replace: write a version of its own, validate, then make it current.  A run
-    id may come twice: an existing version is never written to."""
+    id may come twice: an existing version is never written to.  ``note`` makes, from the written
+    rows, a few values that become current together with them."""
     spark = df.sparkSession
     path = table_path(root, name)
     version = f"version={run_id}-{uuid.uuid4().hex[:8]}"
@@ -131,7 +137,7 @@ def publish(df: DataFrame, root: str, name: str, run_id: str, keys: Sequence[str
     w.parquet(f"{path}/{version}")
     if keys:
         assert_unique(spark.read.parquet(f"{path}/{version}"), keys)   # M3 before it becomes current
-    _set_state(spark, path, {"version": version})
+    _set_state(spark, path, {"version": version, **({"note": note(spark.read.parquet(f"{path}/{version}"))} if note else {})})
     return version
 
 
@@ -312,9 +318,11 @@ def processed_files(spark: SparkSession, root: str, feed: str) -> DataFrame:
 
 
 def next_load(spark: SparkSession, root: str) -> int:
-    """Number of the next load: orders rows by when they were inserted."""
+    """Number of the next load: orders rows by when they were inserted.  A load whose rows the season
+    state holds but that broke off before its manifest row isn't numbered again."""
     m = read_log(spark, root, "ingest_manifest", MANIFEST_SCHEMA)
-    return int(m.agg(F.coalesce(F.max("load_no"), F.lit(0))).first()[0]) + 1
+    held = published_note(spark, root, "season_state").get("load_no") or 0
+    return max(int(m.agg(F.coalesce(F.max("load_no"), F.lit(0))).first()[0]), held) + 1
 
 
 RUN_SUMMARY_SCHEMA = T.StructType([
