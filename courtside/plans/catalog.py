@@ -21,6 +21,7 @@ from ..operators import slate as SL
 from ..operators import summary as M
 from ..session import checkpoint_dir, stage
 from . import fixtures as X
+from . import job_catalog
 from . import jobs as J
 from . import oracle as O
 
@@ -664,8 +665,8 @@ def q_season_averages_by_player(spark, sf_dir):
 
 
 def all_queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return QUERIES | job_catalog.QUERIES
 
 
 def all_oracle() -> dict[str, str]:
-    return dict(ORACLE)
+    return ORACLE | job_catalog.ORACLE

@@ -224,8 +224,15 @@ def export_csv(df: DataFrame, out_dir: str, base_name: str, stamp: _dt.datetime,
     if not single_file:
         df.write.mode("overwrite").option("header", True).csv(target)
         return target
+    return write_single(df, "csv", out_dir, target.rpartition("/")[2], header=True)
+
+
+def write_single(df: DataFrame, form: str, out_dir: str, name: str, **options) -> str:
+    """``df`` as the plain file ``<out_dir>/<name>``: one part of a draft folder, which is then renamed;
+    an older file of that name gives way."""
+    spark, target = df.sparkSession, f"{out_dir.rstrip('/')}/{name}"
     draft = f"{out_dir.rstrip('/')}/_draft-{uuid.uuid4().hex}"
-    df.coalesce(1).write.option("header", True).csv(draft)
+    df.coalesce(1).write.format(form).options(**options).save(draft)
     fs, folder = _fs(spark, draft)
     parts = [f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")]
     _, final = _fs(spark, target)
