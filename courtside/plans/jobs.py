@@ -9,14 +9,14 @@ from __future__ import annotations
 
 import datetime as _dt
 import traceback
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import sinks
-from ..session import cut_lineage, stage
+from ..session import cut_lineage, stage, stage_observed
 from ..functions import columns as C
 from ..functions import constants as K
 from ..operators import conform as CF
@@ -70,23 +70,27 @@ LOAD_COLUMNS = ("_load_no", "_file_name", "_row_no")   # insertion order, kept i
 FATAL = ("non_numeric", "fractional", "unparseable_date")
 
 
-def _numeric(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict[str, int]]:
-    """Numeric columns as double; how many cells of each were text (stored as NULL, reported)."""
-    present = [c for c in cols if c in df.columns]
-    if not present:
-        return df, {}
-    bad = df.agg(*[F.count(F.when(C.blank_to_null(F.col(c)).isNotNull() & F.col(c).try_cast("double").isNull(), 1))
-                   .alias(c) for c in present]).first().asDict()
-    for c in present:
-        df = df.withColumn(c, F.col(c).try_cast("double"))
-    return df, {c: n for c, n in bad.items() if n}
+def _no_numbers(df: DataFrame, cols: Sequence[str], where=None) -> dict:
+    """Aggregates by column: cells that are text where a number is due (stored as NULL, reported)."""
+    ok = F.lit(True) if where is None else where
+    return {c: F.count(F.when(ok & C.blank_to_null(F.col(c)).isNotNull() & F.col(c).try_cast("double").isNull(), 1))
+            for c in cols if c in df.columns}
+
+
+def _numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Numeric columns as double."""
+    return df.withColumns({c: F.col(c).try_cast("double") for c in cols if c in df.columns})
 
 
-def _pending_files(spark: SparkSession, root: str, feed: str, landing: str, glob: str | None) -> list:
-    """Deliveries not loaded yet, by name: (path, name, length, modified).  The listing is metadata."""
+def _pending_files(spark: SparkSession, root: str, feed: str, landing: str, glob: str | None,
+                   latest: str | None = None) -> list:
+    """Deliveries not loaded yet, by name: (path, name, length, modified); with ``latest``, of the files
+    whose name has that text the newest one only (S10).  The listing is metadata."""
     listing = FD.file_listing(spark, landing)
     if glob:
         listing = listing.where(F.col("_file_name").rlike(glob))
+    if latest is not None:
+        listing = listing.join(FD.latest_per_feed(listing, {feed: latest}).select("path"), "path", "left_semi")
     listing = listing.select("path", "_file_name", "length", F.col("modificationTime").alias("modified"))
     pending = listing.join(sinks.processed_files(spark, root, feed), ["_file_name", "length", "modified"], "left_anti")
     return sorted(pending.collect(), key=lambda r: (r["_file_name"], r["path"]))
@@ -116,23 +120,48 @@ def _header_faults(rows: DataFrame, feed: Feed) -> dict[str, str]:
     return why
 
 
-def _checked(df: DataFrame, id_cols: Sequence[str], fatal: Sequence[str]) -> tuple[DataFrame, dict[str, str], int]:
-    """C7 + C8 with per-file isolation: (rows with typed dates and ids, file -> why it is
-    rejected, rows dropped for a missing id)."""
+@dataclass
+class Checked:
+    """Rows with typed dates and ids, and what their staging observed."""
+    rows: DataFrame
+    rejected: dict[str, str]      # file -> why
+    missing: int                  # rows dropped for a missing id
+    bad_cells: dict[str, int]
+    months: list[str | None]      # months of the rows' dates: the only ones whose stored keys are read
+
+
+def _checked(df: DataFrame, id_cols: Sequence[str], fatal: Sequence[str], numeric: Sequence[str] = ()) -> Checked:
+    """C7 + C8 with per-file isolation.  Everything is counted by the write that stages the rows; only
+    where files have to be left out are the others' rows counted again."""
     tagged = CF.with_parsed_date(df, "DATE", out="_parsed")
     dates = F.col("reject_reason")
     tagged = tagged.withColumn("_date_reason", F.when(dates.isNotNull(), F.concat(F.lit("DATE:"), dates)))
     tagged = CF.with_typed_ids(tagged.drop("reject_reason"), id_cols)
     tagged = tagged.withColumn("reject_reason", F.coalesce("_date_reason", "reject_reason"))
-    tagged = cut_lineage(tagged)
-    rejected = _why_rejected(tagged, fatal)
+    reason, good = F.col("reject_reason"), F.col("reject_reason").isNull()
+    is_fatal = F.lit(False)
+    for f in fatal:
+        is_fatal = is_fatal | reason.endswith(f)
+    cells = {f"cells:{c}": n for c, n in _no_numbers(tagged, numeric, good).items()}
+    tagged, seen = stage_observed(tagged, fatal=F.count(F.when(is_fatal, 1)),
+                                  missing=F.count(F.when(reason.endswith("missing"), 1)),
+                                  months=F.collect_set(F.when(good, sinks.month(F.col("_parsed")))),
+                                  undated=F.count(F.when(good & F.col("_parsed").isNull(), 1)), **cells)
+    rejected = _why_rejected(tagged, fatal) if seen["fatal"] else {}
     kept = _without(tagged, rejected)
-    missing = kept.where(F.col("reject_reason").endswith("missing")).count()
-    out = kept.where(F.col("reject_reason").isNull()).withColumn("DATE", F.col("_parsed"))
+    missing = kept.where(reason.endswith("missing")).count() if rejected else seen["missing"]
+    out = kept.where(good).withColumn("DATE", F.col("_parsed"))
+    bad = _bad_cells(out, numeric) if rejected else {c.removeprefix("cells:"): seen[c] for c in cells if seen[c]}
     for c in id_cols:
         if c in out.columns:
             out = out.withColumn(c, F.col(f"_ids.{c}.value"))
-    return out.drop("_parsed", "_date_reason", "reject_reason", "_ids"), rejected, missing
+    return Checked(out.drop("_parsed", "_date_reason", "reject_reason", "_ids"), rejected, missing, bad,
+                   [*seen["months"], *([None] if seen["undated"] else [])])
+
+
+def _bad_cells(df: DataFrame, numeric: Sequence[str]) -> dict[str, int]:
+    counts = [n.alias(c) for c, n in _no_numbers(df, numeric).items()]
+    return {c: n for c, n in df.agg(*counts).first().asDict().items() if n} if counts else {}
 
 
 def _repeated_within(df: DataFrame, policy: str) -> dict[str, str]:
@@ -146,11 +175,6 @@ def _repeated_within(df: DataFrame, policy: str) -> dict[str, str]:
     return {r["_file_name"]: f"{r['n']} keys occur more than once" for r in bad}
 
 
-def _months(df: DataFrame) -> list[str | None]:
-    """Months of a batch's dates: the only ones whose stored keys are read."""
-    return [r[0] for r in df.select(sinks.month(F.col("DATE"))).distinct().collect()]
-
-
 def _load(spark: SparkSession, root: str, rows: DataFrame, feed: Feed, load_no: int, policy: str,
           res: IngestResult) -> None:
     """The main sheet of parsed files into the feed's log and the player dimension.  Everything is
@@ -164,27 +188,31 @@ def _load(spark: SparkSession, root: str, rows: DataFrame, feed: Feed, load_no:
             res.rejected.setdefault(f, f"columns {[c for c in (*KEYS, 'PLAYER') if c not in df.columns]} are missing")
         return
     df = CF.standardize_names(df, "PLAYER")
-    df, why, res.dropped_missing_ids = _checked(df, ["PLAYER_ID", "GAME_ID"], FATAL)
-    res.rejected |= why
+    checked = _checked(df, ["PLAYER_ID", "GAME_ID"], FATAL, feed.numeric)
+    df, res.dropped_missing_ids, months = checked.rows, checked.missing, checked.months
+    res.rejected |= checked.rejected
     why = _repeated_within(df, policy)
     res.rejected |= why
-    df, res.bad_cells = _numeric(_without(df, why), feed.numeric)
-    months = _months(df)
+    df = _without(df, why)
+    res.bad_cells = _bad_cells(df, feed.numeric) if why else checked.bad_cells
+    df = _numeric(df, feed.numeric)
     stored = sinks.read_log(spark, root, feed.log, months=months)
-    fresh = I.new_rows(df, stored.select(*KEYS) if stored is not None else None).withColumn("_load_no", F.lit(load_no))
-    # checkpointed (reliably, into spark.checkpoint.dir): both writes below see the same rows
-    # even if executors are lost, and the plan of the writes starts from stored data
-    fresh = cut_lineage(fresh.withColumn("_load_no", F.col("_load_no").cast("long")))
-    members = cut_lineage(I.learn_members(fresh, sinks.read_log(spark, root, "dim_players")))
-    res.members_added = members.count()
-    res.rows_added = fresh.count()
+    fresh = I.new_rows(df, I.stored_among(df, stored)).withColumn("_load_no", F.lit(load_no).cast("long"))
+    # staged: both writes below see the same rows even if executors are lost, and the plan of the
+    # writes starts from stored data
+    segment = F.col("SEASON_SEGMENT") if "SEASON_SEGMENT" in fresh.columns else F.lit(None).cast("string")
+    fresh, added = stage_observed(fresh, rows=F.count(F.lit(1)), segments=F.collect_set(segment),
+                                  without=F.count(F.when(segment.isNull(), 1)))
+    members, learned = stage_observed(I.learn_members(fresh, sinks.read_log(spark, root, "dim_players")),
+                                      rows=F.count(F.lit(1)))
+    res.members_added, res.rows_added = learned["rows"], added["rows"]
     if res.members_added:
         sinks.append_log(members, root, "dim_players")
     if res.rows_added:
         sinks.append_log(fresh, root, feed.log)
         Q.assert_unique(sinks.read_log(spark, root, feed.log, months=months), KEYS)   # M3
         if "SEASON_SEGMENT" in fresh.columns:
-            res.touched_segments = [r[0] for r in fresh.select("SEASON_SEGMENT").distinct().collect()]
+            res.touched_segments = [*added["segments"], *([None] if added["without"] else [])]
 
 
 def _files_of(rows: DataFrame) -> list[str]:
@@ -215,8 +243,8 @@ def load_rows(spark: SparkSession, root: str, rows: DataFrame, feed: Feed, files
 
 
 def _ingest(spark: SparkSession, root: str, landing: str, run_id: str, feed: Feed, glob: str | None,
-            policy: str) -> IngestResult:
-    files = _pending_files(spark, root, feed.name, landing, glob)
+            policy: str, latest: str | None = None) -> IngestResult:
+    files = _pending_files(spark, root, feed.name, landing, glob, latest)
     if not files:
         return IngestResult()
     # every file is parsed once: all checks and both sheets read the staged rows
@@ -225,9 +253,10 @@ def _ingest(spark: SparkSession, root: str, landing: str, run_id: str, feed: Fee
 
 
 def ingest_box_scores(spark: SparkSession, root: str, landing: str, run_id: str,
-                      glob: str | None = r"\.(xlsx|csv)$", duplicate_policy: str = "error") -> IngestResult:
+                      glob: str | None = r"\.(xlsx|csv)$", duplicate_policy: str = "error",
+                      latest: str | None = None) -> IngestResult:
     """B1 (+B3 for the absence sheet of the same workbooks)."""
-    return _ingest(spark, root, landing, run_id, BOX, glob, duplicate_policy)
+    return _ingest(spark, root, landing, run_id, BOX, glob, duplicate_policy, latest)
 
 
 @dataclass
@@ -250,20 +279,17 @@ def ingest_absences(spark: SparkSession, root: str, rows: DataFrame, files: Sequ
     if not present:
         return res
     ab = CF.standardize_names(FD.apply_feed_spec(rows, ABSENCES, K.ABSENCE_SHEET), "PLAYER")
-    ab, res.rejected, _ = _checked(ab, ["PLAYER_ID", "GAME_ID"], (*FATAL, "missing"))
-    ab = CF.classify_absence(ab)
-    firsts = Q.first_by_key(ab, list(KEYS), ["_file_name", "_row_no"])      # D4 within this run
-    months = _months(firsts)
-    box = sinks.read_log(spark, root, "player_logs", months=months)
-    free = I.drop_conflicts(firsts, box) if box is not None else firsts      # J4
-    if box is not None:
-        res.conflicts = firsts.join(box.select(*KEYS), list(KEYS), "left_semi").count()
-    stored = sinks.read_log(spark, root, "player_absences", months=months)
-    if stored is not None:
-        free = free.join(stored.select(*KEYS), list(KEYS), "left_anti")      # J3
-    out = cut_lineage(free.withColumn("_load_no", F.lit(load_no).cast("long"))
-                      .select(*K.ABSENCE_COLUMNS, *LOAD_COLUMNS))
-    res.inserted = out.count()
+    checked = _checked(ab, ["PLAYER_ID", "GAME_ID"], (*FATAL, "missing"))
+    res.rejected, months = checked.rejected, checked.months
+    ab = CF.classify_absence(checked.rows)
+    marked = Q.first_by_key(ab, list(KEYS), ["_file_name", "_row_no"])      # D4 within this run
+    for log, mark in (("player_logs", "_played"), ("player_absences", "_known")):   # J4, J3
+        marked = I.mark_stored(marked, I.stored_among(ab, sinks.read_log(spark, root, log, months=months)), mark)
+    free = ~F.col("_played") & ~F.col("_known")
+    marked, seen = stage_observed(marked, conflicts=F.count(F.when(F.col("_played"), 1)), inserted=F.count(F.when(free, 1)))
+    res.conflicts, res.inserted = seen["conflicts"], seen["inserted"]
+    out = (marked.where(free).withColumn("_load_no", F.lit(load_no).cast("long"))
+           .select(*K.ABSENCE_COLUMNS, *LOAD_COLUMNS))
     if res.inserted:
         members = cut_lineage(I.learn_members(out.select("PLAYER_ID", "PLAYER", "_file_name", "_row_no"),
                                               sinks.read_log(spark, root, "dim_players")))
@@ -274,9 +300,10 @@ def ingest_absences(spark: SparkSession, root: str, rows: DataFrame, files: Sequ
 
 
 def ingest_fantasy_logs(spark: SparkSession, root: str, landing: str, run_id: str,
-                        glob: str | None = r"\.(xlsx|csv)$", duplicate_policy: str = "error") -> IngestResult:
+                        glob: str | None = r"\.(xlsx|csv)$", duplicate_policy: str = "error",
+                        latest: str | None = None) -> IngestResult:
     """B2: DFS feed (header on the second row, the row after it discarded, hyphens stripped)."""
-    return _ingest(spark, root, landing, run_id, DFS, glob, duplicate_policy)
+    return _ingest(spark, root, landing, run_id, DFS, glob, duplicate_policy, latest)
 
 
 def seed_map_teams(spark: SparkSession, root: str, run_id: str, force: bool = False) -> DataFrame:
@@ -448,8 +475,13 @@ def build_slates(spark: SparkSession, root: str, entries_path: str, averages: Da
 
 
 def run_daily(spark: SparkSession, root: str, box_landing: str, dfs_landing: str, entries_path: str,
-              as_of, run_id: str, export_dir: str | None = None, now: _dt.datetime | None = None) -> dict:
-    """Every stage in order, each isolated; errors and warnings end up in ``run_summary``."""
+              as_of, run_id: str, export_dir: str | None = None, now: _dt.datetime | None = None,
+              latest: Mapping[str, str] | None = None) -> dict:
+    """Every stage in order, each isolated; errors and warnings end up in ``run_summary``.
+
+    ``latest`` (feed name -> text in its file names) takes, of a folder where cumulative deliveries
+    gather, the newest one of that feed instead of all pending ones (S10)."""
+    latest = latest or {}
     now = now or _dt.datetime.now()
     summary = {"run_id": run_id, "files_processed": 0, "files_overwritten": 0, "fantasy_rows_dropped": 0,
                "absence_rows_inserted": 0, "errors": [], "warnings": []}
@@ -468,7 +500,7 @@ def run_daily(spark: SparkSession, root: str, box_landing: str, dfs_landing: str
         summary["errors"] += [f"{feed}: {f}: {why}" for f, why in sorted(res.rejected.items())]
         summary["warnings"] += [f"{feed}: {n} cells of {c} are no numbers" for c, n in sorted(res.bad_cells.items())]
 
-    box = run("box_scores", lambda: ingest_box_scores(spark, root, box_landing, run_id))
+    box = run("box_scores", lambda: ingest_box_scores(spark, root, box_landing, run_id, latest=latest.get(BOX.name)))
     if box:
         told("box_scores", box)
         summary["absence_rows_inserted"] = box.absences_inserted
@@ -476,7 +508,7 @@ def run_daily(spark: SparkSession, root: str, box_landing: str, dfs_landing: str
             summary["warnings"].append(f"{box.absence_conflicts} absences have a box score and were left out")
         for f in box.absence_files_without_sheet:
             summary["warnings"].append(f"{f}: no {K.ABSENCE_SHEET} sheet")
-    dfs = run("fantasy_logs", lambda: ingest_fantasy_logs(spark, root, dfs_landing, run_id))
+    dfs = run("fantasy_logs", lambda: ingest_fantasy_logs(spark, root, dfs_landing, run_id, latest=latest.get(DFS.name)))
     if dfs:
         told("fantasy_logs", dfs)
         summary["fantasy_rows_dropped"] = dfs.dropped_missing_ids

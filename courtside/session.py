@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 # Settings the library's semantics depend on (not tuning): UTC dates and ANSI arithmetic.
 REQUIRED_CONF = {
@@ -118,6 +118,15 @@ def stage(df):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_observed(df, **measures):
+    """``stage``, and ``measures`` (aggregates by name) observed on its write, so that counting takes no
+    pass of its own: (staged frame, values).  They sit in the stage that writes, whose tasks count
+    once however often they are run again."""
+    seen = Observation()
+    out = stage(df.observe(seen, *[m.alias(n) for n, m in measures.items()]))
+    return out, seen.get
+
+
 def env_cpus(default: int = 8) -> int:
     try:
         return int(os.environ.get("BENCH_CPUS", default))

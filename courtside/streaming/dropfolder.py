@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from .. import sinks
 from ..functions import columns as C
-from ..operators.ingest import new_rows
+from ..operators.ingest import new_rows, stored_among
 from ..session import cut_lineage, stage
 from ..sources import feeds as FD
 
@@ -92,8 +92,8 @@ def ingest_batch(files: DataFrame, root: str, table: str, schema: T.StructType,
         batch = stage(batch.withColumn(date_col, C.parse_date(date_col)))
         months = [r[0] for r in batch.select(sinks.month(F.col(date_col))).distinct().collect()]
     stored = sinks.read_log(spark, root, table, months=months)
-    stored_keys = stored.select(*keys) if stored is not None else None
-    sinks.append_log(cut_lineage(new_rows(batch, stored_keys, keys, ("_file_name", "_row_no"))), root, table)
+    fresh = new_rows(batch, stored_among(batch, stored, keys), keys, ("_file_name", "_row_no"))
+    sinks.append_log(cut_lineage(fresh), root, table)
     known = {(r["_file_name"], r["length"], r["modified"]) for r in sinks.processed_files(spark, root, table).collect()}
     load_no = sinks.next_load(spark, root)
     sinks.record_files(spark, root, [(f["_file_name"], table, run_id, "ok", None, f["length"], f["modified"], load_no, unfit.get(f["_file_name"]))
