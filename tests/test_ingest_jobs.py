@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from courtside import sinks
 from courtside.functions import columns as C
 from courtside.operators import conform as CF
+from courtside.operators import ingest as I
 from courtside.operators import repair as R
 from courtside.plans import jobs as J
+from courtside.session import stage_observed
 from courtside.streaming import dropfolder as DF
 from tests.helpers import BOX_HEADER, box_workbook, dfs_workbook, write_csv, write_xlsx
 from tests.test_pipeline import DFS_HEADER, dfs_row
@@ -212,3 +214,56 @@ def test_id_policies(spark):
         CF.normalize_ids(df, ["PLAYER_ID"], policy="strict")
     with pytest.raises(CF.IdError):
         CF.normalize_ids(spark.createDataFrame([("x",)], "PLAYER_ID string"), ["PLAYER_ID"], policy="drop_missing")
+
+
+def test_measures_are_observed_on_the_staging_write(spark):
+    df = spark.range(10).withColumn("s", F.when(F.col("id") < 4, F.concat(F.lit("s"), (F.col("id") % 2).cast("string"))))
+    out, seen = stage_observed(df, rows=F.count(F.lit(1)), kinds=F.collect_set("s"), none=F.count(F.when(F.col("s").isNull(), 1)))
+    assert out.count() == 10 and (seen["rows"], sorted(seen["kinds"]), seen["none"]) == (10, ["s0", "s1"], 6)
+    out, seen = stage_observed(df.where("id < 0"), rows=F.count(F.lit(1)), kinds=F.collect_set("s"))
+    assert out.count() == 0 and (seen["rows"], list(seen["kinds"])) == (0, [])
+
+
+def test_stored_keys_are_met_where_they_are_scanned(spark, tmp_dir):
+    day = F.lit("2025-11-01").cast("date")
+    spark.range(1000).select(F.col("id").alias("PLAYER_ID"), day.alias("DATE"), F.lit("x").alias("v")).write.parquet(f"{tmp_dir}/stored")
+    stored = spark.read.parquet(f"{tmp_dir}/stored")
+    batch, _ = stage_observed(spark.range(990, 1010).union(spark.createDataFrame([(None,), (995,)], "id long"))
+                              .select(F.col("id").alias("PLAYER_ID"), day.alias("DATE")), n=F.count(F.lit(1)))
+    among = I.stored_among(batch, stored)
+    assert sorted(r.PLAYER_ID for r in among.collect()) == list(range(990, 1000))
+    plan = among._jdf.queryExecution().executedPlan().toString()
+    scan = plan.index("FileScan parquet")   # the streamed side comes first: the stored rows
+    assert "BroadcastHashJoin" in plan[:scan] and "Exchange" not in plan[:scan]
+    marked = {r.PLAYER_ID: r.m for r in I.mark_stored(batch.distinct(), among, "m").collect()}
+    assert marked == {None: False, **{i: i < 1000 for i in range(990, 1010)}}
+    assert I.stored_among(batch, None) is None and not I.mark_stored(batch, None, "m").where("m").count()
+
+
+def test_a_large_batch_leaves_the_stored_side_to_the_planner(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(I, "DIM_BROADCAST_BYTES", 0)
+    keys = spark.createDataFrame([(1, "a"), (2, "b")], "PLAYER_ID long, DATE string")
+    assert sorted(r.PLAYER_ID for r in I.stored_among(keys.limit(1), keys).collect()) == [1, 2]
+
+
+def test_counts_leave_out_files_that_are_rejected(spark, tmp_dir):
+    root, landing = os.path.join(tmp_dir, "store"), os.path.join(tmp_dir, "box")
+    box_workbook(os.path.join(landing, "a.xlsx"), [[1, 1, "A", "2025-11-01", "n/a"], [1, None, "N", "2025-11-01", 1]],
+                 [["2025-11-01", 1, "T", "O", 1, "A", "DNP", "rest"], ["2025-11-01", 1, "T", "O", 8, "H", "DNP", "rest"]])
+    box_workbook(os.path.join(landing, "b.xlsx"), [[1, 4, "D", "2025-11-01", "x"], [1, 4, "D", "2025-11-01", "y"]])
+    box_workbook(os.path.join(landing, "c.xlsx"), [[1, 5, "E", "someday", "x"], [1, None, "N", "2025-11-01", 1]])
+    got = J.ingest_box_scores(spark, root, landing, "r1")
+    assert (got.rows_added, got.members_added, got.dropped_missing_ids, got.bad_cells) == (1, 1, 1, {"PTS": 1})
+    assert (got.absences_inserted, got.absence_conflicts) == (1, 1) and sorted(got.rejected) == ["b.xlsx", "c.xlsx"]
+
+
+def test_the_newest_delivery_of_a_feed_is_taken(spark, tmp_dir):
+    root, landing = os.path.join(tmp_dir, "store"), os.path.join(tmp_dir, "box")
+    box_workbook(os.path.join(landing, "box-z.xlsx"), [[1, 1, "A", "2025-11-01", 1]])
+    time.sleep(0.05)
+    box_workbook(os.path.join(landing, "box-a.xlsx"), [[1, 1, "A", "2025-11-01", 1], [2, 1, "A", "2025-11-02", 2]])
+    time.sleep(0.05)
+    box_workbook(os.path.join(landing, "other.xlsx"), [[3, 9, "Z", "2025-11-03", 3]])
+    assert J.ingest_box_scores(spark, root, landing, "r1", latest="box").files == ["box-a.xlsx"]
+    assert J.ingest_box_scores(spark, root, landing, "r2", latest="box").files == []
+    assert log(spark, root, "player_logs", "PLAYER_ID", "PTS") == [(1, 1.0), (1, 2.0)]
