@@ -1,4 +1,4 @@
-"""Queries that drive whole jobs (B1-B9, M1-M7, T1) over a store of their own.
+"""Queries that drive whole jobs (B1-B9, M1-M8, T1) over a store of their own.
 
 Each writes feed files or stored tables that derive from the given tables into a new folder of the
 shared checkpoint folder, runs the job as a user would, and returns what the job left in the store.
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import sinks
 from ..functions import constants as K
 from ..operators import quality as Q
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, stage
 from ..streaming import dropfolder as DF
 from . import fixtures as X
 from . import jobs as J
@@ -171,21 +171,126 @@ def q_job_daily_summary(spark, sf_dir):
 
 # --- B5: lasting views (K3) -------------------------------------------------------------------
 
+def _averages_store(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    root = _folder(spark, "store")
+    sinks.append_log(X.dim_players(spark, sf_dir), root, "dim_players")
+    sinks.publish(X.map_teams(spark, sf_dir), root, "map_teams", "r1")
+    sinks.append_log(X.fantasy_logs(spark, sf_dir).withColumn("_load_no", F.lit(1).cast("long")), root, "fantasy_logs")
+    return root, J.build_fantasy_averages(spark, root, X.AS_OF, "r1")
+
+
 @register("job_average_views", O.averages_with() + """
 SELECT CASE SEASON_TYPE WHEN 'Regular' THEN 'vw_player_averages_regular_season'
             ELSE 'vw_player_averages_playoffs' END AS view_name, * FROM fantasy_averages""")
 def q_job_average_views(spark, sf_dir):
     """Averages built in a store, read back through the two views over them."""
-    root = _folder(spark, "store")
-    sinks.append_log(X.dim_players(spark, sf_dir), root, "dim_players")
-    sinks.publish(X.map_teams(spark, sf_dir), root, "map_teams", "r1")
-    sinks.append_log(X.fantasy_logs(spark, sf_dir).withColumn("_load_no", F.lit(1).cast("long")), root, "fantasy_logs")
-    averages = J.build_fantasy_averages(spark, root, X.AS_OF, "r1")
+    root, averages = _averages_store(spark, sf_dir)
     made = J.publish_average_views(spark, averages, None, _dt.datetime(2001, 8, 1), root)
     first, second = [spark.table(v).withColumn("view_name", F.lit(v)) for v in made]
     return first.unionByName(second)
 
 
+# --- B6, B7, B8: the slate's views and exports (S5, C28, J6, J7, K3, K4, O1) ------------------------
+
+SLATE_SEASONS = ("2000-01", "2001-02")
+L30_SEASON = "2001-02"
+PLAYOFF_SEASON = "2001"
+SLATE_SQL = O.averages_with() + ", " + X.TYPED_SLATE_SQL.strip() + """,
+on_slate AS (SELECT * RENAME (STDV_FPPG AS STDV) FROM fantasy_averages WHERE PLAYER IN (SELECT stored FROM typed_slate))"""
+
+
+def _slate_store(spark: SparkSession, sf_dir: str) -> tuple[str, J.SlateResult]:
+    """A store after the slate job over an entries file as it is downloaded: lines of another table first."""
+    root, averages = _averages_store(spark, sf_dir)
+    head = spark.createDataFrame([(0, "Entry ID,Contest Name"), (1, "1,Evening"), (2, "Position,Name + ID,Name,ID")], "a int, value string")
+    entries = X.typed_slate(spark, sf_dir).select(F.lit(3).alias("a"), F.concat(F.lit("PG,"), "Name", F.lit(" (1),"), "Name", F.lit(",1")).alias("value"))
+    path = sinks.write_single(head.unionByName(entries).orderBy("a", "value").select("value"), "text", root, "entries.csv")
+    return root, J.build_slates(spark, root, path, averages, "2001-08-01", f"{root}/exports", _dt.datetime(2001, 8, 1),
+                                SLATE_SEASONS, L30_SEASON, PLAYOFF_SEASON)
+
+
+@register("job_slate_views", SLATE_SQL + f"""
+SELECT 'vw_daily_slate' AS view_name, {', '.join(K.SLATE_COLUMNS)} FROM on_slate
+WHERE SEASON_TYPE = 'Regular' AND SEASON IN {SLATE_SEASONS}
+UNION ALL SELECT 'vw_daily_slate_playoffs', {', '.join(K.SLATE_COLUMNS)} FROM on_slate
+WHERE SEASON_TYPE = 'Playoffs' AND SEASON = '{PLAYOFF_SEASON}'""")
+def q_job_slate_views(spark, sf_dir):
+    """The slate's lasting views, through header detection and name matching."""
+    _slate_store(spark, sf_dir)
+    daily, playoffs = [spark.table(v).withColumn("view_name", F.lit(v)) for v in ("vw_daily_slate", "vw_daily_slate_playoffs")]
+    return daily.unionByName(playoffs)
+
+
+@register("job_slate_exports", SLATE_SQL + f"""
+SELECT 'slate_player_averages' AS export, {', '.join(K.SLATE_COLUMNS)}, NULL AS L30FPPM FROM on_slate
+WHERE SEASON_TYPE = 'Regular' AND SEASON IN {SLATE_SEASONS}
+UNION ALL SELECT 'slate_player_averages_l30', {', '.join(K.SLATE_L30_CSV_COLUMNS)} FROM on_slate
+WHERE SEASON_TYPE = 'Regular' AND SEASON = '{L30_SEASON}'""")
+def q_job_slate_exports(spark, sf_dir):
+    """The two CSV files of the slate, read back."""
+    _, made = _slate_store(spark, sf_dir)
+    types = {f.name: f.dataType.simpleString() for f in spark.table("vw_daily_slate_l30").schema.fields}
+    out = []
+    for path, columns in zip(made.exported, (K.SLATE_COLUMNS, K.SLATE_L30_CSV_COLUMNS)):
+        schema = ", ".join(f"{c} {types[c]}" for c in columns)
+        out.append(spark.read.schema(schema).csv(path, header=True, enforceSchema=False)
+                   .withColumn("export", F.lit(path.rpartition("/")[2].removesuffix("_08-01-2001_000000.csv"))))
+    return out[0].unionByName(out[1], allowMissingColumns=True)
+
+
+# --- B3: two cumulative absence sheets against stored box scores (S3, C9, C14, C15, D4, J3, J4) ------
+
+ABSENCE_HEADER = ("GAME DATE", "GAME-ID", "TEAM", "OPPONENT", "PLAYER-ID", "PLAYER NAME", "STATUS", "REASON")
+
+
+def _absence_sheet(events: DataFrame, name: str) -> DataFrame:
+    """The absence sheet of a parsed workbook."""
+    n = F.col("_row_no")
+    reason = F.when(n % 3 == 0, F.lit("Coach's Decision ")).when(n % 3 == 1, F.lit("Rest"))
+    cells = [F.date_format("DATE", "yyyy-MM-dd"), n.cast("string"), F.lit("T"), F.lit("O"), F.col("PLAYER_ID").cast("string"),
+             F.concat(F.lit("Player "), F.col("PLAYER_ID").cast("string")), F.lit("DNP"), reason]
+    header = events.sparkSession.createDataFrame([(0, list(ABSENCE_HEADER))], "_row_no int, cells array<string>")
+    rows = events.where("EVENT_TYPE = 'error'").select((n + 1).cast("int").alias("_row_no"), F.array(*cells).alias("cells"))
+    return header.unionByName(rows).select(F.lit(name).alias("_file_name"), F.lit(K.ABSENCE_SHEET).alias("_sheet"),
+                                           F.lit(1).alias("_sheet_no"), "_row_no", "cells")
+
+
+@register("job_absence_ingest", X.with_(X.EVENT_LOGS_SQL, f"""
+free AS (
+  SELECT * FROM event_logs WHERE EVENT_TYPE = 'error'
+  AND (PLAYER_ID, DATE) NOT IN (SELECT (PLAYER_ID, DATE) FROM event_logs WHERE EVENT_TYPE = 'purchase')
+  QUALIFY row_number() OVER (PARTITION BY PLAYER_ID, DATE ORDER BY _row_no) = 1
+)""") + f"""
+SELECT DATE, _row_no AS GAME_ID, 'T' AS TEAM, 'O' AS OPPONENT, PLAYER_ID, 'Player ' || CAST(PLAYER_ID AS VARCHAR) AS PLAYER,
+       'DNP' AS STATUS, CASE _row_no % 3 WHEN 0 THEN 'Coach''s Decision ' WHEN 1 THEN 'Rest' END AS REASON,
+       CASE _row_no % 3 WHEN 0 THEN 'DNP-CD' ELSE 'INJURY/ILLNESS/OTHER' END AS ABSENCE_TYPE,
+       CASE WHEN DATE < DATE '{X.FILE1_CUTOFF}' THEN 1 ELSE 2 END AS load_no
+FROM free""")
+def q_job_absence_ingest(spark, sf_dir):
+    """A second, cumulative sheet adds only what is neither stored nor played."""
+    root, events = _folder(spark, "store"), X.event_logs(spark, sf_dir)
+    sinks.append_log(events.where("EVENT_TYPE = 'purchase'").select("PLAYER_ID", "DATE"), root, "player_logs")
+    first = events.where(F.col("DATE") < F.lit(X.FILE1_CUTOFF).cast("date"))
+    for load_no, (part, name) in enumerate(((first, "a.xlsx"), (events, "b.xlsx")), 1):
+        J.ingest_absences(spark, root, stage(_absence_sheet(part, name)), [name], load_no)
+    return sinks.read_log(spark, root, "player_absences").select(*K.ABSENCE_COLUMNS, F.col("_load_no").cast("int").alias("load_no"))
+
+
+# --- M8: the team dimension from the logs (A13, C27, U3) ------------------------------------------
+
+@register("job_seed_teams", X.with_(X.FANTASY_LOGS_SQL) + """
+SELECT DISTINCT n.n_name AS RAW_TEAM_NAME, r.r_name AS TEAM_ABBREVIATION
+FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
+WHERE n.n_name IN (SELECT TEAM FROM fantasy_logs)""")
+def q_job_seed_teams(spark, sf_dir):
+    """M8 over a store with a fantasy log."""
+    root, n, r = _folder(spark, "store"), X.table(spark, sf_dir, "nation"), X.table(spark, sf_dir, "region")
+    sinks.append_log(X.fantasy_logs(spark, sf_dir), root, "fantasy_logs")
+    spellings = n.join(r, n.n_regionkey == r.r_regionkey).select(F.lower("n_name").alias("SPELLING"), F.col("r_name").alias("TEAM_ABBREVIATION"))
+    J.seed_map_teams(spark, root, "r1", spellings=spellings)
+    return sinks.read_table(spark, root, "map_teams")
+
+
 # --- M1, M2: audit and repair of stored logs -----------------------------------------------------
 
 LOG_OF_EVENT = {"purchase": "player_logs", "error": "player_absences", "view": "fantasy_logs"}

@@ -306,14 +306,15 @@ def ingest_fantasy_logs(spark: SparkSession, root: str, landing: str, run_id: st
     return _ingest(spark, root, landing, run_id, DFS, glob, duplicate_policy, latest)
 
 
-def seed_map_teams(spark: SparkSession, root: str, run_id: str, force: bool = False) -> DataFrame:
+def seed_map_teams(spark: SparkSession, root: str, run_id: str, force: bool = False,
+                   spellings: DataFrame | None = None) -> DataFrame:
     """M8: team dimension from the data (fantasy logs first, then box scores); the canonical teams
-    while no log holds a team name."""
+    while no log holds a team name.  ``spellings`` (SPELLING, TEAM_ABBREVIATION) default to the known ones."""
     from ..operators.repair import check_seed
     sources = [t for t in (sinks.read_log(spark, root, "fantasy_logs"), sinks.read_log(spark, root, "player_logs"))
                if t is not None and "TEAM" in t.columns]
     canonical = spark.createDataFrame([(t,) for t in K.CANONICAL_TEAMS], "TEAM string")
-    mapped, unmapped = CF.seed_team_map([*sources, canonical], CF.team_spellings(spark))
+    mapped, unmapped = CF.seed_team_map([*sources, canonical], CF.team_spellings(spark) if spellings is None else spellings)
     mapped = cut_lineage(mapped)   # a row per distinct raw name
     existing = sinks.read_table(spark, root, "map_teams")
     check_seed(existing.count() if existing is not None else 0,
