@@ -11,11 +11,13 @@ whose sizes add up to it:
    documents; what rounding leaves over is filled by whole documents down to a few lengths of the
    largest document, and the rest by bounded-knapsack dynamic programming (reachable sums over
    the spare counts, split into powers of two).
-3. Of each (source, size) class the documents with the smallest seeded hashes are taken: whole
-   hash buckets by their counts, and in the one bucket that is cut, by rank.
+3. Of each (source, size) class the documents with the smallest seeded hashes of id and text are
+   taken: whole hash buckets by their counts, and in the one bucket that is cut, by rank, ties by a
+   hash of all columns kept (but maps), so that reruns agree on rows without or with repeated ids too.
 
 Null text: size 0.  Null source: a source of its own, last in order.  Documents of size 0 hold no
-words and are taken by full passes only.  Repeated rows count one by one.  Empty table: no rows.
+words and are taken by full passes only.  Repeated rows count one by one.  Empty table: no rows.  The
+dynamic program's arrays have about twice as many entries as the longest text has words.
 Extra columns are ignored by ``plan_mix`` and kept by ``mix``.
 """
 
@@ -27,9 +29,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from courtside.llm.common import col, table
+from courtside.llm.common import col, staged, table
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3.0
@@ -115,17 +118,27 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int) -> np.nda
     return take
 
 
+def _has_map(dtype: T.DataType) -> bool:
+    """Whether values of the type can't be hashed: maps, also within other types."""
+    if isinstance(dtype, T.StructType):
+        return any(_has_map(f.dataType) for f in dtype.fields)
+    return _has_map(dtype.elementType) if isinstance(dtype, T.ArrayType) else isinstance(dtype, (T.MapType, T.VariantType))
+
+
 def plan_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = MOST,
              seed: int = SEED, keep: Sequence[str] | None = None) -> DataFrame:
     """Struct ``doc`` (columns ``keep``, all by default) and struct ``mix`` (size, source_size,
     target, passes): how often the mix takes each document."""
     spark = docs.sparkSession
+    kept = [docs.schema[c] for c in (keep or docs.columns)]
     rows = docs.select(F.struct(*[col(c) for c in (keep or docs.columns)]).alias("doc"),
                        col("source").cast("string").alias("source"),
                        size_of(col("text").cast("string")).alias("size"),
-                       F.xxhash64(col("doc_id"), F.lit(seed)).alias("h"))
+                       F.xxhash64(col("doc_id"), col("text"), F.lit(seed)).alias("h"),
+                       F.xxhash64(*[col(f.name) for f in kept if not _has_map(f.dataType)]).alias("tie"))
     rows = rows.withColumn("bucket", F.pmod("h", F.lit(BUCKETS)).cast("int"))
-    hist = rows.groupBy("source", "size", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    # written once: totals, classes and cuts read the counts, the texts are read for them only here
+    hist = staged(rows.groupBy("source", "size", "bucket").agg(F.count(F.lit(1)).alias("n")))
     classes = hist.groupBy("source", "size").agg(F.sum("n").alias("n"))
     totals = classes.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     # One row per source (metadata): ordered by code point, null last.
@@ -164,11 +177,11 @@ def plan_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: float =
     r, k = rows.alias("r"), cuts.alias("k")
     joined = r.join(k, F.col("r.source").eqNullSafe(F.col("k.source")) & (F.col("r.size") == F.col("k.size"))
                     & (F.col("r.bucket") == F.col("k.bucket")))
-    joined = joined.select("r.doc", "r.source", "r.size", "r.h", "r.bucket", "k.quota", "k.n",
+    joined = joined.select("r.doc", "r.source", "r.size", "r.h", "r.tie", "r.bucket", "k.quota", "k.n",
                            "k.source_size", "k.target", "k.full")
     whole = joined.where((F.col("quota") == 0) | (F.col("quota") == F.col("n"))) \
         .withColumn("extra", (F.col("quota") > 0).cast("int"))
-    rank = F.row_number().over(Window.partitionBy("source", "size", "bucket").orderBy("h"))
+    rank = F.row_number().over(Window.partitionBy("source", "size", "bucket").orderBy("h", "tie"))
     cut = joined.where((F.col("quota") > 0) & (F.col("quota") < F.col("n"))) \
         .withColumn("extra", (rank <= F.col("quota")).cast("int"))
     return whole.unionByName(cut).select(

@@ -70,6 +70,20 @@ def test_odd_rows(docs_of, odd_rows):
     assert out.count() == sum(r["passes"] for r in got)
 
 
+def test_reruns_agree_on_rows_without_ids(docs_of):
+    """Null and repeated ids, sizes alike: the same texts are taken however the rows are dealt to tasks."""
+    rows = [(None if i % 2 else 7, f"w{i} b c", None, "x", 1, *[None] * 5) for i in range(60)] + \
+           [(None, "a b c", None, "y", n, *[None] * 5) for n in range(60)]
+    df = docs_of(rows)
+    runs = [sorted(map(repr, mixing.mix(df.repartition(n, F.rand(n))).collect())) for n in (1, 3, 7)]
+    assert runs[0] == runs[1] == runs[2] and 0 < len(set(runs[0])) < len(rows)
+
+
+def test_columns_of_maps_are_kept(docs_of):
+    df = docs_of([(i, "a b", None, "x", 1, *[None] * 5) for i in range(9)]).withColumn("m", F.create_map(F.lit("k"), F.lit(1)))
+    assert {r["m"]["k"] for r in mixing.mix(df).collect()} == {1}
+
+
 def test_copies_share_a_size(docs_of):
     """One size and source for all rows: a part of them is taken, by rank within one class."""
     rows = [(i, "a b c", None, "x", 1, *[None] * 5) for i in range(500)] + \
