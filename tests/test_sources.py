@@ -100,3 +100,23 @@ def test_bytes_of_another_charset_reject_the_file_or_are_decoded(spark, tmp_dir)
     assert _rows(decoded)[1][2] == ("1", "Luka Don\u010di\u0107")
     whole = FD.parsed(spark.read.format("binaryFile").load(os.path.join(d, "cp.csv"))).collect()
     assert [r._sheet for r in whole] == [UNREADABLE] and "decode" in whole[0].cells[0]
+
+
+def test_delimited_rows_need_no_python_and_no_shuffle_of_a_file(spark, tmp_dir):
+    """Plain lines are split by Spark, quoted ones by the parser; headers are broadcast to the rows, so that
+    no file becomes a single task; names of files are read as they are."""
+    from courtside.session import stage
+    d = os.path.join(tmp_dir, "d")
+    os.makedirs(d)
+    for name, text in (("a 1+%.csv", '\ufeffA,B\n1,2\n\n"x,y",\n,,\n'), ("b[1].csv", "B,C\r\n5,6\r\n")):
+        with open(os.path.join(d, name), "w", encoding="utf-8", newline="") as f:
+            f.write(text)
+    paths = [r[0] for r in spark.read.format("binaryFile").load(d).select("path").collect()]
+    rows = FD.read_feed_rows(spark, [FD.literal_path(p) for p in paths])
+    assert _rows(rows) == _rows(FD.parsed(spark.read.format("binaryFile").load(d)))
+    assert "MapInPandas" not in rows._jdf.queryExecution().executedPlan().toString()
+    frame = FD.sheet_frame(stage(rows))
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert sorted(map(tuple, frame.collect()), key=str) == [
+        ("a 1+%.csv", 1, "1", "2", None), ("a 1+%.csv", 3, "x,y", None, None), ("b[1].csv", 1, None, "5", "6")]
