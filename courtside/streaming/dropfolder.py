@@ -1,7 +1,8 @@
 """Incremental drop-folder ingest with Structured Streaming.
 
 New landing files are picked up once (the file source's checkpoint is the record of what
-was read) and parsed whole by the feed reader, so rows keep their position in the file; each
+was read) and read by path through the feed reader, which splits delimited files and keeps every
+row's position in its file; each
 micro-batch keeps the first copy of every key (file order, then position) and appends only keys
 the table does not hold yet.  ``run_feed_stream`` runs the batch jobs' own load on every
 micro-batch.  Because the batch body is idempotent
@@ -34,11 +35,11 @@ FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
 def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Landing files as a stream of (path, modificationTime, length, content)."""
+    """Landing files as a stream of (path, modificationTime, length); content is read by path, in splits."""
     r = spark.readStream.format("binaryFile").schema(FILES)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.load(landing_dir)
+    return r.load(landing_dir).drop("content")
 
 
 def _deliveries(files: DataFrame) -> list:
@@ -48,6 +49,11 @@ def _deliveries(files: DataFrame) -> list:
     return sorted(listed, key=lambda r: (r["_file_name"], r["path"]))
 
 
+def _rows_of(spark: SparkSession, listed: Sequence) -> DataFrame:
+    """The staged rows of a batch's files, read as the batch jobs do: delimited files as lines, in splits."""
+    return stage(FD.read_feed_rows(spark, [FD.literal_path(f["path"]) for f in listed]))
+
+
 def unfit_cells(named: DataFrame, schema: T.StructType, date_col: str | None) -> dict[str, str]:
     """file -> columns whose non-empty cells don't fit ``schema``, with their counts."""
     counts = []
@@ -72,7 +78,7 @@ def ingest_batch(files: DataFrame, root: str, table: str, schema: T.StructType,
     counted in the manifest; a file that can't be read, or lacks a key column, is rejected."""
     spark = files.sparkSession
     listed = _deliveries(files)
-    rows = stage(FD.parsed(files))
+    rows = _rows_of(spark, listed)
     rejected = {r["_file_name"]: r["cells"][0] for r in rows.where(F.col("_sheet") == FD.UNREADABLE).collect()}
     header = FD.sheet_header(rows, 0, 0).groupBy("_file_name").agg(F.collect_set("name").alias("names")).collect()
     names = {r["_file_name"]: set(r["names"]) for r in header}
@@ -134,7 +140,7 @@ def _drain(spark: SparkSession, landing_dir: str, root: str, feed: str, load, ch
     def retry(run_id: str) -> None:
         paths = corrected_files(spark, landing_dir, root, feed)
         if paths:
-            load(spark.read.format("binaryFile").load(paths), run_id)
+            load(spark.read.format("binaryFile").load([FD.literal_path(p) for p in paths]), run_id)
 
     def batch(files: DataFrame, epoch: int) -> None:
         if not files.isEmpty():
@@ -167,7 +173,8 @@ def run_feed_stream(spark: SparkSession, landing_dir: str, root: str, feed, chec
     from ..plans import jobs as J
 
     def load(files: DataFrame, run_id: str) -> None:
-        J.load_rows(files.sparkSession, root, stage(FD.parsed(files)), feed, _deliveries(files), run_id, duplicate_policy)
+        listed = _deliveries(files)
+        J.load_rows(files.sparkSession, root, _rows_of(files.sparkSession, listed), feed, listed, run_id, duplicate_policy)
 
     return _drain(spark, landing_dir, root, feed.name, load, checkpoint, archive_dir, available_now)
 

@@ -158,3 +158,17 @@ def test_views_last_and_are_independent(spark, tmp_dir):
     open(blocked, "w").close()  # exports below a file fail, view by view
     J.publish_average_views(spark, avg, os.path.join(blocked, "x"), stamp, root, failed)
     assert set(failed) == set(done) and other.table("vw_player_averages_regular_season").count() == 1
+
+
+def test_stream_never_takes_a_file_whole(spark, tmp_dir, monkeypatch):
+    """A delimited file comes by its path, in splits: its content is neither in the stream nor in a Python worker."""
+    from courtside.plans import jobs as J
+    landing, root = os.path.join(tmp_dir, "land"), os.path.join(tmp_dir, "store")
+    os.makedirs(landing)
+    with open(os.path.join(landing, "day 1.csv"), "w") as f:
+        f.write("GAME-ID,PLAYER-ID,PLAYER  FULL NAME,DATE,PTS\n1,7,Ann,2025-01-01,3\n2,8,Bo,2025-01-02,4\n")
+    assert "content" not in DF.landing_stream(spark, landing).columns
+    monkeypatch.setattr(DF.FD, "parsed", lambda *_: pytest.fail("parsed whole"))
+    DF.run_feed_stream(spark, landing, root, J.BOX, os.path.join(tmp_dir, "c"))
+    assert sorted(r[0] for r in sinks.read_log(spark, root, "player_logs").select("PLAYER_ID").collect()) == [7, 8]
+    assert [r["_file_name"] for r in sinks.processed_files(spark, root, "box").collect()] == ["day 1.csv"]
