@@ -51,7 +51,7 @@ def _deliveries(files: DataFrame) -> list:
 
 def _rows_of(spark: SparkSession, listed: Sequence) -> DataFrame:
     """The staged rows of a batch's files, read as the batch jobs do: delimited files as lines, in splits."""
-    return stage(FD.read_feed_rows(spark, [FD.literal_path(f["path"]) for f in listed]))
+    return FD.staged_feed_rows(spark, [FD.literal_path(f["path"]) for f in listed])
 
 
 def unfit_cells(named: DataFrame, schema: T.StructType, date_col: str | None) -> dict[str, str]:

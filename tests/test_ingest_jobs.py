@@ -13,7 +13,7 @@ from courtside.operators import conform as CF
 from courtside.operators import ingest as I
 from courtside.operators import repair as R
 from courtside.plans import jobs as J
-from courtside.session import stage_observed
+from courtside.session import checkpoint_dir, discard, stage, stage_observed
 from courtside.streaming import dropfolder as DF
 from tests.helpers import BOX_HEADER, box_workbook, dfs_workbook, write_csv, write_xlsx
 from tests.test_pipeline import DFS_HEADER, dfs_row
@@ -267,3 +267,50 @@ def test_the_newest_delivery_of_a_feed_is_taken(spark, tmp_dir):
     assert J.ingest_box_scores(spark, root, landing, "r1", latest="box").files == ["box-a.xlsx"]
     assert J.ingest_box_scores(spark, root, landing, "r2", latest="box").files == []
     assert log(spark, root, "player_logs", "PLAYER_ID", "PTS") == [(1, 1.0), (1, 2.0)]
+
+
+def _staged(spark):
+    return {f for f in os.listdir(checkpoint_dir(spark).removeprefix("file:")) if f.startswith("stage-")}
+
+
+def _new_shuffles(spark, before):
+    """Shuffle files that weren't there before and don't go (they are removed in the background)."""
+    for _ in range(50):
+        left = _shuffles(spark) - before
+        if not left:
+            break
+        time.sleep(0.2)
+    return left
+
+
+def _shuffles(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {name for i in range(blocks.size()) if (name := blocks.apply(i).name()).startswith("shuffle_")}
+
+
+def test_staged_files_and_shuffles_go_when_nothing_reads_them(spark, tmp_dir):
+    before, shuffles = _staged(spark), _shuffles(spark)
+    a, b = stage(spark.range(100).repartition(3)), stage(spark.range(5).withColumnRenamed("id", "n"))
+    assert not _new_shuffles(spark, shuffles)
+    spark.range(3).write.parquet(os.path.join(tmp_dir, "stage-" + "0" * 32))
+    own = spark.read.parquet(os.path.join(tmp_dir, "stage-" + "0" * 32))
+    assert a.count() == 100 and len(_staged(spark) - before) == 2
+    discard(a.join(b, a.id == b.n).join(own, "id"))   # all that the frame reads, but only what was staged
+    assert _staged(spark) == before and own.count() == 3
+    discard(a, own)
+    assert own.count() == 3
+
+
+def test_loads_leave_nothing_staged(spark, tmp_dir):
+    """What a load staged goes with it, whether it adds rows, rejects files or adds nothing."""
+    root, before = os.path.join(tmp_dir, "store"), _staged(spark)
+    dfs, box = os.path.join(tmp_dir, "dfs"), os.path.join(tmp_dir, "box")
+    dfs_workbook(os.path.join(dfs, "d1.xlsx"), DFS_HEADER, [dfs_row(1, "A", "2025-11-01", 10.0), dfs_row(2, "B", "2025-11-01", 20.0)])
+    write_csv(os.path.join(box, "a.csv"), [["GAME-ID", "PLAYER-ID", "PLAYER FULL NAME", "DATE", "PTS"], [22500001, 1, "A", "2025-11-01", 30]])
+    box_workbook(os.path.join(box, "b.xlsx"), [[22500001, 2, "B", "2025-11-01", 30], [22500001, 2, "B", "2025-11-01", 3]])
+    assert J.ingest_fantasy_logs(spark, root, dfs, "r1").rows_added == 2
+    done = J.ingest_box_scores(spark, root, box, "r1")
+    assert (done.rows_added, list(done.rejected)) == (1, ["b.xlsx"])
+    assert J.ingest_box_scores(spark, root, box, "r2").rows_added == 0
+    assert _staged(spark) == before
+    assert log(spark, root, "player_logs", "PLAYER_ID") == [(1,)]
